@@ -65,12 +65,13 @@ def bool_text(c: Column) -> Column:
 
 def doc_type(c: Column) -> Column:
     """Text before the first colon."""
-    return F.get(F.split(c, ":"), F.lit(0))
+    return F.substring_index(c, ":", 1)
 
 
 def doc_number(c: Column) -> Column:
     """Trimmed text between the first and second colon; null without colon."""
-    return strip(F.get(F.split(c, ":"), F.lit(1)))
+    second = F.substring_index(F.substring_index(c, ":", 2), ":", -1)
+    return F.when(F.contains(c, F.lit(":")), strip(second))
 
 
 def is_personal_document(c: Column) -> Column:

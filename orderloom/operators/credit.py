@@ -11,7 +11,7 @@ from orderloom.functions.text import blank_to_null, doc_number
 from orderloom.operators.erp import (clients_per_branch, clients_with_debt,
                                      exclude_orders_in_erp, keyed_clients)
 from orderloom.operators.picking import first_filled_value, first_rows
-from orderloom.operators.shaping import payment_code, rule_table
+from orderloom.operators.shaping import payment_code
 from orderloom.rules import CREDIT_CLOSING, CREDIT_OPENING, PAYMENT_CODES
 
 SUM = "decimal(28,2)"
@@ -26,17 +26,18 @@ def credit_requests(items: DataFrame, centers: DataFrame, grain: str = "document
     """Orders that count for the credit check: the first order of each document in a
     branch, or with ``grain="order"`` every order. Items outside the listed centres
     and orders without a document number drop out before anything is shuffled."""
-    rules = rule_table(centers.select("center", "branch"))
+    rules = centers.select("center", "branch")
     candidates = (items.select("order_no", "center", "order_total", "payment", "ord",
                                blank_to_null(doc_number(F.col("document"))).alias("doc_key"))
                   .where("doc_key IS NOT NULL").join(rules, "center"))
-    keys = {"document": ["branch", "doc_key"], "order": ["branch", "order_no"]}[grain]
+    # The long, varied key first: sorting compares its leading bytes.
+    keys = {"document": ["doc_key", "branch"], "order": ["order_no", "branch"]}[grain]
     return first_rows(candidates, keys, ["order_no", "ord"])
 
 
 def order_client_join(requests: DataFrame, clients: DataFrame) -> DataFrame:
     """Requests with the branch's customers of the same document number."""
-    return requests.join(keyed_clients(clients).drop("cgcent"), ["branch", "doc_key"])
+    return requests.join(keyed_clients(clients).drop("cgcent"), ["doc_key", "branch"])
 
 
 def credit_gap(items: DataFrame, clients: DataFrame, receivables: DataFrame, centers: DataFrame,
@@ -100,8 +101,6 @@ def credit_outbox(gaps: DataFrame, contacts: DataFrame, ledger: DataFrame,
                 .withColumn("_done", F.lit(True)))
     hailed = (today.where(F.col("greeted_day") == day).select("branch").distinct()
               .withColumn("_hailed", F.lit(True)))
-    people = rule_table(reachable.select("branch", "target", "name")
-                        .join(hailed, "branch", "left"))
     flagged = (gaps.join(notified, ["branch", "codcli"], "left")
                .withColumn("_new", F.col("_done").isNull()))
     sets = flagged.groupingSets([["branch", "codcli"], ["branch"]], "branch", "codcli").agg(
@@ -119,6 +118,7 @@ def credit_outbox(gaps: DataFrame, contacts: DataFrame, ledger: DataFrame,
         line(~of_branch & F.col("_new"), 1, "request",
              credit_message(F.col("codcli"), F.col("total"), F.col("payment"))),
         line(of_branch & F.col("_new"), 2, "closing", F.lit(CREDIT_CLOSING))))
-    return (sets.join(people, "branch")
+    return (sets.join(reachable.select("branch", "target", "name"), "branch")
+            .join(hailed, "branch", "left")
             .select("branch", "target", "codcli", F.explode(lines).alias("line"))
             .select("branch", "target", "line.seq", "line.kind", "codcli", "line.text"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import blank_to_null, digits_only
 from orderloom.operators.picking import first_rows
-from orderloom.operators.shaping import prepare_registry, rule_table
+from orderloom.operators.shaping import prepare_registry
 from orderloom.sources.tables import receivables_sum
 
 
@@ -18,7 +18,7 @@ def keyed_clients(clients: DataFrame) -> DataFrame:
 def clients_per_branch(clients: DataFrame, branch_sources: DataFrame) -> DataFrame:
     """Scan each source once and serve every branch that uses it; a branch without
     a source gets no clients."""
-    rules = rule_table(branch_sources.where("source IS NOT NULL").select("branch", "source"))
+    rules = branch_sources.where("source IS NOT NULL").select("branch", "source")
     return clients.join(rules, "source")
 
 
@@ -31,7 +31,7 @@ def codcli_lookup(items: DataFrame, clients: DataFrame, branch_sources: DataFram
     keyed = (orders.select("order_no", "branch",
                            blank_to_null(digits_only(F.col("document"))).alias("doc_key"))
              .where("doc_key IS NOT NULL")
-             .join(rule_table(branch_sources), "branch"))
+             .join(branch_sources.where("source IS NOT NULL"), "branch"))
     codes = (keyed_clients(clients).groupBy("source", "doc_key")
              .agg(F.max(F.col("codcli").cast("string")).alias("codcli")))
     return keyed.join(codes, ["source", "doc_key"]).select("order_no", "branch", "codcli")
@@ -44,7 +44,7 @@ def registry_erp_match(registry: DataFrame, clients: DataFrame, branch_states: D
     rows. ``null_safe`` also matches blank with blank documents."""
     companies = (prepare_registry(registry)
                  .select("cnpj", "nome", "cidade", "uf", blank_to_null(F.col("cnpj")).alias("doc_key"))
-                 .join(rule_table(branch_states.select("branch", "uf", "source")), "uf"))
+                 .join(branch_states.select("branch", "uf", "source"), "uf"))
     coded = clients.select("source", F.col("codcli").cast("string").alias("codcli"),
                            blank_to_null(digits_only(F.col("cgcent"))).alias("c_key"))
     coded = coded.withColumnRenamed("source", "c_source")

@@ -2,16 +2,15 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from orderloom.functions.text import digits_only
 from orderloom.rules import ACTIVE_STATUS, PAYMENT_CODES
 
-# Rows up to which a configuration table is broadcast.
-RULE_ROWS = 10_000
-
-
 def rename_labels(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
     """Display labels -> canonical columns; unknown labels pass through."""
     return df.withColumnsRenamed(dict(labels))
@@ -55,17 +54,22 @@ def payment_code(c: Column, codes: Mapping[str, str] = PAYMENT_CODES) -> Column:
 
 def center_code(df: DataFrame, centers: DataFrame) -> DataFrame:
     """Centre names -> ERP codes of the branch, by a small rule table."""
-    rules = rule_table(centers.select("branch", "center", "erp_code"))
+    rules = centers.select("branch", "center", "erp_code")
     return (df.join(rules, ["branch", "center"], "left")
             .withColumn("center", F.coalesce("erp_code", "center")).drop("erp_code"))
 
 
-def rule_table(rules: DataFrame, max_rows: int = RULE_ROWS) -> DataFrame:
-    """A configuration table (branches, centres, contacts), broadcast if it really is
-    small: its rows are counted up to the bound first, and a longer table is left to
-    the join strategy Spark picks."""
-    fits = rules.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(rules) if fits else rules
+def rule_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A configuration table (branches, centres, contacts) from literal rows.
+
+    Spark knows the exact size of such a relation and broadcasts it while it is below
+    ``spark.sql.autoBroadcastJoinThreshold``; operators add no hint of their own, so a
+    rule table of any other origin is also joined by its real size.
+    """
+    fields = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [[] for _ in fields]
+    arrow = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in fields])
+    return spark.createDataFrame(pa.table([list(c) for c in columns], schema=arrow), fields)
 
 
 def prepare_registry(registry: DataFrame) -> DataFrame:

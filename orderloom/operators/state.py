@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import blank_to_null, key_text, stored_text
 from orderloom.operators.picking import first_rows
-from orderloom.operators.shaping import rule_table
 from orderloom.schemas import STORED_FIELDS
 
 ITEM_KEYS = ["order_no", "sku"]
@@ -71,8 +70,8 @@ def delete_inactive(items: DataFrame, captured: DataFrame, active: DataFrame) ->
     capture deletes nothing, a complete empty one clears its branch, and branches
     without a capture stay as they are.
     """
-    cleared = rule_table(captured.where("complete").select("branch").distinct()
-                         .withColumn("_captured", F.lit(True)))
+    cleared = (captured.where("complete").select("branch").distinct()
+               .withColumn("_captured", F.lit(True)))
     alive = active.select("branch", "order_no").distinct().withColumn("_active", F.lit(True))
     return (items.join(cleared, "branch", "left")
             .join(alive, ["branch", "order_no"], "left")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators.picking import first_rows, group_slices
+from orderloom.operators.shaping import rule_table
 from orderloom.operators.state import as_stored
 from orderloom.rules import ACTIVE_STATUS, GREETING_CODE
 from orderloom.sources.captures import detail_pages, listing_rows
@@ -54,7 +55,11 @@ def dotted(c: Column) -> Column:
 
 def us_money(amount: Column) -> Column:
     """Cents as ``$1,234.56``."""
-    whole = F.format_number(((amount - amount % 100) / 100).cast("bigint"), 0)
+    units = F.floor(amount / 100)
+    whole = (F.when(units < 1000, text(units))
+             .when(units < 1000000, F.concat(text(F.floor(units / 1000)), F.lit(","),
+                                             F.lpad(text(units % 1000), 3, "0")))
+             .otherwise(F.format_number(units, 0)))
     return F.concat(F.lit("$"), whole, F.lit("."), F.lpad(text(amount % 100), 2, "0"))
 
 
@@ -72,12 +77,15 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     def rules(self, rows: list[tuple], schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        return rule_table(self.spark, rows, schema)
 
     @cached_property
     def as_of(self) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from orderloom.functions.text import is_personal_document
 from orderloom.operators import capture, registry, state
 from orderloom.operators.picking import first_rows
-from orderloom.operators.shaping import rule_table
 from orderloom.rules import PENDING_FOR_PREPARATION, PENDING_FOR_REJECTION
 
 
@@ -51,7 +50,7 @@ def cpf_reject_candidates(items: DataFrame, centers: DataFrame) -> DataFrame:
 
 def in_centers(items: DataFrame, centers: DataFrame) -> DataFrame:
     """Items of the listed distribution centres; the list is configuration."""
-    return items.join(rule_table(centers.select("center")), "center", "left_semi")
+    return items.join(centers.select("center"), "center", "left_semi")
 
 
 def pending(orders: DataFrame, statuses: list[str]) -> DataFrame:

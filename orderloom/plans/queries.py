@@ -372,7 +372,7 @@ def personal_document(t):
 @query
 def filter_state(t):
     states = t.rules(bindings.BRANCH_STATES, "branch string, uf string, source string")
-    return t.registry.join(shaping.rule_table(states), "uf").select("cnpj", "uf", "branch")
+    return t.registry.join(states, "uf").select("cnpj", "uf", "branch")
 
 
 @query
