@@ -54,9 +54,8 @@ def key_text(c: Column) -> Column:
 
 
 def stored_text(c: Column) -> Column:
-    """Text as the item table stores it: null (and NaN) become blank."""
-    text = F.coalesce(c.cast("string"), F.lit(""))
-    return F.when(text == "NaN", F.lit("")).otherwise(text)
+    """Text as the item table stores it: null becomes blank."""
+    return F.coalesce(c.cast("string"), F.lit(""))
 
 
 def bool_text(c: Column) -> Column:

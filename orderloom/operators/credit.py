@@ -30,9 +30,8 @@ def credit_requests(items: DataFrame, centers: DataFrame, grain: str = "document
     candidates = (items.select("order_no", "center", "order_total", "payment", "ord",
                                blank_to_null(doc_number(F.col("document"))).alias("doc_key"))
                   .where("doc_key IS NOT NULL").join(rules, "center"))
-    # The long, varied key first: sorting compares its leading bytes.
     keys = {"document": ["doc_key", "branch"], "order": ["order_no", "branch"]}[grain]
-    return first_rows(candidates, keys, ["order_no", "ord"])
+    return first_rows(candidates, keys, ["order_no", "ord"], by_hash=True)
 
 
 def order_client_join(requests: DataFrame, clients: DataFrame) -> DataFrame:
@@ -46,9 +45,10 @@ def credit_gap(items: DataFrame, clients: DataFrame, receivables: DataFrame, cen
                erp_orders: DataFrame | None = None) -> DataFrame:
     """Customers to ask a credit limit for: codcli, total, payment, branch.
 
-    The requests are cut to one row per (branch, document) before they meet the
-    customers, and that join keeps their partitioning. ``erp_orders`` leaves out
-    the orders the ERP holds already.
+    The requests are cut to one row per (branch, document) before they are shuffled
+    and meet the customers; both sides of that join come straight from a shuffle, so a
+    document shared by very many customers can be split. ``erp_orders`` leaves out the
+    orders the ERP holds already.
     """
     requests = credit_requests(items, centers, grain)
     if erp_orders is not None:

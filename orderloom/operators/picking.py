@@ -11,16 +11,31 @@ from orderloom.session import settle
 SLICE_ROWS = 10_000
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+               by_hash: bool = False) -> DataFrame:
     """The first whole row of each key, nulls forming one group like any value.
 
     ``row_number() = 1`` lets Spark keep one row per key *before* the shuffle
     (WindowGroupLimit), so a key with a third of all rows ships one row per task.
+    ``by_hash`` sorts on a 64-bit hash of the keys first, which is much faster for text
+    keys with common beginnings; the result is then not partitioned by the keys, so a
+    later join on them shuffles the (few) first rows again.
     """
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    lead = [F.xxhash64(*keys)] if by_hash else []
+    first = F.row_number().over(Window.partitionBy(*lead, *keys).orderBy(*order))
     return df.withColumn("_rank", first).where("_rank = 1").drop("_rank")
 
 
+def lookup_side(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The unique side of a join whose other side may have hot keys.
+
+    An aggregated or windowed side would lend the join its own partitioning, and Spark
+    splits skewed join partitions only where both sides are read straight from a shuffle.
+    This side is small next to the other one, so it is shuffled once more.
+    """
+    return df.repartition(*keys)
+
+
 def first_filled_value(value: str | Column, order: str | Column) -> Column:
     """Aggregate: the first value that is not null, by order."""
     value = F.col(value) if isinstance(value, str) else value

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions.text import blank_to_null, key_text, stored_text
 from orderloom.operators.picking import first_rows
@@ -21,9 +22,14 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 
 def as_stored(batch: DataFrame) -> DataFrame:
-    """Item texts as stored: null becomes blank."""
-    return batch.withColumns({c: stored_text(F.col(c)) for c in STORED_FIELDS
-                              if c in batch.columns})
+    """Item values as stored: text, and null (or a float NaN) becomes blank."""
+    floats = {f.name for f in batch.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+
+    def stored(c: str) -> Column:
+        value = F.nanvl(F.col(c), F.lit(None)) if c in floats else F.col(c)
+        return stored_text(value)
+
+    return batch.withColumns({c: stored(c) for c in STORED_FIELDS if c in batch.columns})
 
 
 def fresh_items(existing: DataFrame, batch: DataFrame, order: str = "ord") -> DataFrame:
@@ -40,7 +46,8 @@ def upsert_company(existing: DataFrame, batch: DataFrame, as_of: Column, key: st
     """Insert or overwrite the columns the batch supplies, nulls included.
 
     Other columns and the time stamp of a stored company stay; a row without a key
-    does nothing. With ``order`` the last of several rows of a key wins.
+    does nothing. The batch holds one row per key, or ``order`` says which is the last,
+    and the last one wins.
     """
     supplied = [c for c in batch.columns if c in existing.columns and c not in (key, stamp)]
     new = batch.where(blank_to_null(F.col(key)).isNotNull()).select(
@@ -68,15 +75,14 @@ def delete_inactive(items: DataFrame, captured: DataFrame, active: DataFrame) ->
 
     ``captured`` holds one row per captured branch with ``complete``; an incomplete
     capture deletes nothing, a complete empty one clears its branch, and branches
-    without a capture stay as they are.
+    without a capture stay as they are, without being shuffled. (A null branch is never
+    captured.) The semi join needs no distinct active set, so a hot order can be split.
     """
-    cleared = (captured.where("complete").select("branch").distinct()
-               .withColumn("_captured", F.lit(True)))
-    alive = active.select("branch", "order_no").distinct().withColumn("_active", F.lit(True))
-    return (items.join(cleared, "branch", "left")
-            .join(alive, ["branch", "order_no"], "left")
-            .where(F.col("_captured").isNull() | F.col("_active"))
-            .select(*items.columns))
+    cleared = captured.where("complete").select("branch")
+    untouched = items.join(cleared, "branch", "left_anti")
+    kept = (items.join(cleared, "branch", "left_semi")
+            .join(active.select("branch", "order_no"), ["branch", "order_no"], "left_semi"))
+    return untouched.unionByName(kept)
 
 
 def update_codcli(items: DataFrame, codes: DataFrame) -> DataFrame:

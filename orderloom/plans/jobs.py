@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import is_personal_document
 from orderloom.operators import capture, registry, state
-from orderloom.operators.picking import first_rows
+from orderloom.operators.picking import first_rows, lookup_side
 from orderloom.rules import PENDING_FOR_PREPARATION, PENDING_FOR_REJECTION
 
 
@@ -30,7 +30,8 @@ def reconcile_rows(items: DataFrame, listing: DataFrame, batch: DataFrame, captu
                    order: str = "ord") -> DataFrame:
     """The same cycle for item rows that were captured and exploded already."""
     fresh = capture.new_orders(capture.dedupe_listing(listing), items)
-    wanted = batch.join(fresh.select("branch", "order_no"), ["branch", "order_no"], "left_semi")
+    keys = ["branch", "order_no"]
+    wanted = batch.join(lookup_side(fresh.select(*keys), keys), keys, "left_semi")
     return _reconciled(items, wanted, listing, captured, order)
 
 
@@ -78,7 +79,9 @@ def company_backfill(items: DataFrame, companies: DataFrame, answers: DataFrame,
     ``answers`` holds the requested number as ``asked`` and the JSON text as ``doc``;
     the requested number is the key, so an answer is never asked for twice."""
     todo = registry.unknown_companies(items, companies)
-    wanted = answers.join(todo.select(F.col("cnpj").alias("asked")), "asked", "left_semi")
+    # Equal numbers asked for twice give one record.
+    wanted = first_rows(answers.join(todo.select(F.col("cnpj").alias("asked")), "asked",
+                                     "left_semi"), ["asked"], ["doc"])
     flat = registry.flatten_company(wanted, keep=("asked",))
     records = flat.withColumn("cnpj", F.col("asked")).drop("asked")
     return state.upsert_company(companies, records, as_of)

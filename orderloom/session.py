@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even where that costs one more shuffle after it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # The default of 128 groups makes nearly every collect_list sort its input.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
