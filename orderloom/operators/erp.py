@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.text import blank_to_null, digits_only
-from orderloom.operators.picking import first_rows, lookup_side
+from orderloom.operators.picking import first_rows, lookup_groups
 from orderloom.operators.shaping import prepare_registry
 from orderloom.sources.tables import receivables_sum
 
@@ -32,10 +32,10 @@ def codcli_lookup(items: DataFrame, clients: DataFrame, branch_sources: DataFram
                            blank_to_null(digits_only(F.col("document"))).alias("doc_key"))
              .where("doc_key IS NOT NULL")
              .join(branch_sources.where("source IS NOT NULL"), "branch"))
-    codes = (keyed_clients(clients).groupBy("source", "doc_key")
-             .agg(F.max(F.col("codcli").cast("string")).alias("codcli")))
     keys = ["source", "doc_key"]
-    return keyed.join(lookup_side(codes, keys), keys).select("order_no", "branch", "codcli")
+    codes = lookup_groups(keyed_clients(clients), keys).agg(
+        F.max(F.col("codcli").cast("string")).alias("codcli"))
+    return keyed.join(codes, keys).select("order_no", "branch", "codcli")
 
 
 def registry_erp_match(registry: DataFrame, clients: DataFrame, branch_states: DataFrame,

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from orderloom.session import settle
@@ -26,14 +26,14 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rank", first).where("_rank = 1").drop("_rank")
 
 
-def lookup_side(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The unique side of a join whose other side may have hot keys.
+def lookup_groups(df: DataFrame, keys: Sequence[str]) -> GroupedData:
+    """Group the unique side of a join whose other side may have hot keys.
 
-    An aggregated or windowed side would lend the join its own partitioning, and Spark
-    splits skewed join partitions only where both sides are read straight from a shuffle.
-    This side is small next to the other one, so it is shuffled once more.
+    Grouped by the keys alone, this side would lend the join its partitioning, and Spark
+    splits a skewed join partition only where both sides come straight from a shuffle.
+    With the hash as a further key the (small) result is shuffled once more for the join.
     """
-    return df.repartition(*keys)
+    return df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
 
 
 def first_filled_value(value: str | Column, order: str | Column) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import is_personal_document
 from orderloom.operators import capture, registry, state
-from orderloom.operators.picking import first_rows, lookup_side
+from orderloom.operators.picking import first_rows, lookup_groups
 from orderloom.rules import PENDING_FOR_PREPARATION, PENDING_FOR_REJECTION
 
 
@@ -29,9 +29,12 @@ def reconcile(items: DataFrame, listing: DataFrame, details: DataFrame, captured
 def reconcile_rows(items: DataFrame, listing: DataFrame, batch: DataFrame, captured: DataFrame,
                    order: str = "ord") -> DataFrame:
     """The same cycle for item rows that were captured and exploded already."""
-    fresh = capture.new_orders(capture.dedupe_listing(listing), items)
     keys = ["branch", "order_no"]
-    wanted = batch.join(lookup_side(fresh.select(*keys), keys), keys, "left_semi")
+    seen = (listing.select(*keys, F.lit(True).alias("listed"))
+            .unionByName(items.select(*keys, F.lit(False).alias("listed"))))
+    # Listed and never stored; both sides are reduced to their keys before the shuffle.
+    fresh = lookup_groups(seen, keys).agg(F.bool_and("listed").alias("fresh")).where("fresh")
+    wanted = batch.join(fresh, keys, "left_semi")
     return _reconciled(items, wanted, listing, captured, order)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from orderloom.operators import credit, dashboard, erp, outbox, picking, routing, state
-from orderloom.plans import queries
+from orderloom.plans import jobs, queries
 from orderloom.plans.bindings import Tables
 
 
@@ -92,13 +92,12 @@ def test_late_pages_equal_early_pages(t, monkeypatch):
 
 @pytest.fixture
 def split_small(spark):
-    """Let Spark split skewed join partitions of test size, and broadcast nothing."""
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+    """Let Spark split skewed join partitions of test size; only rules are broadcast."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "2k",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
-                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
                 "spark.sql.shuffle.partitions": "16"}
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
@@ -108,28 +107,68 @@ def split_small(spark):
         spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def test_hot_document_is_split_in_the_customer_lookup(t, split_small):
-    hot = F.col("ord.l_orderkey") % 3 > 0
-    items = t.items.withColumn("document", F.when(hot, "CNPJ: 00000000000004").otherwise(F.col("document")))
-    found = erp.codcli_lookup(items, t.erp_clients, queries.branch_sources(t))
-    assert "skew=true" in final_plan(found)
-
-
-def test_hot_order_is_split_when_inactive_orders_are_deleted(t, skewed, split_small):
-    captured = t.rules([("north", True), ("south", True)], "branch string, complete boolean")
-    active = t.listing.select("branch", "order_no").union(
-        t.rules([("north", "77"), ("south", "77")], "branch string, order_no string"))
-    kept = state.delete_inactive(skewed, captured, active)
-    assert "skew=true" in final_plan(kept)
-
-
-def test_document_shared_by_many_customers_is_split(t, split_small):
-    doc = F.when(F.col("codcli").cast("bigint") % 3 > 0, "00000000000004").otherwise(F.col("cgcent"))
-    many = t.erp_clients.join(t.rules([(i,) for i in range(20)], "copy int")).withColumns(
-        {"cgcent": doc, "codcli": F.concat("codcli", F.lit("-"), "copy")})
-    known = erp.clients_per_branch(many, queries.credit_sources(t))
-    joined = credit.order_client_join(credit.credit_requests(t.items, queries.centers(t)), known)
-    assert "skew=true" in final_plan(joined)
+def skew_of(df, *keys):
+    """Whether the join on exactly these columns was split at run time."""
+    text = final_plan(df).split("== Initial Plan ==")[0]
+    wanted = "[" + ", ".join(keys) + "]"
+    lines = [re.sub(r"#\d+L?", "", x) for x in text.splitlines() if "SortMergeJoin" in x]
+    lines = [x for x in lines if wanted in x]
+    assert lines, "no such join in the plan"
+    return any("skew=true" in x for x in lines)
+
+
+def many_items(spark, hot, field):
+    """Item rows, of which two thirds share one document or order if ``hot``."""
+    key = F.col("id")
+    number = F.when((key % 3 > 0) & F.lit(hot), F.lit(4)).otherwise(key)
+    values = {"order_no": key, "doc": key, field: number}
+    return spark.range(0, 200_000, 1, 4).select(
+        values["order_no"].cast("string").alias("order_no"),
+        F.when(key % 2 == 0, "north").otherwise("outlet").alias("branch"),
+        F.concat(F.lit("CNPJ: "), F.lpad(values["doc"].cast("string"), 14, "0")).alias("document"),
+        F.lit("CD-0").alias("center"), F.lit("$1.00").alias("order_total"),
+        F.lit("Dinheiro").alias("payment"), key.cast("string").alias("sku"),
+        F.sha2(key.cast("string"), 256).alias("product_name"), F.struct("id").alias("ord"))
+
+
+def many_clients(spark, hot):
+    key = F.col("id")
+    number = F.when((key % 3 > 0) & F.lit(hot), F.lit(4)).otherwise(key)
+    return spark.range(0, 200_000, 1, 4).select(
+        F.when(key >= 0, "erp-1").otherwise("erp-2").alias("source"),
+        key.cast("string").alias("codcli"), F.lpad(number.cast("string"), 14, "0").alias("cgcent"),
+        F.lit("N").alias("bloqueio"), F.sha2(key.cast("string"), 256).alias("limcred"))
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_hot_document_is_split_in_the_customer_lookup(spark, t, split_small, hot):
+    found = erp.codcli_lookup(many_items(spark, hot, "doc"), many_clients(spark, False),
+                              queries.branch_sources(t))
+    assert skew_of(found, "source", "doc_key") == hot
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_document_shared_by_many_customers_is_split(spark, t, split_small, hot):
+    known = erp.clients_per_branch(many_clients(spark, hot), queries.credit_sources(t))
+    requests = credit.credit_requests(many_items(spark, False, "doc"), queries.centers(t))
+    assert skew_of(credit.order_client_join(requests, known), "doc_key", "branch") == hot
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_hot_order_is_split_when_inactive_orders_are_deleted(spark, t, split_small, hot):
+    captured = t.rules([("north", True), ("outlet", True)], "branch string, complete boolean")
+    active = many_items(spark, False, "doc").select("branch", "order_no")
+    kept = state.delete_inactive(many_items(spark, hot, "order_no"), captured, active)
+    assert skew_of(kept, "branch", "order_no") == hot
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_hot_order_is_split_among_the_rows_of_a_capture(spark, split_small, monkeypatch, hot):
+    monkeypatch.setattr(jobs, "_reconciled", lambda items, batch, *rest: batch)
+    batch = many_items(spark, hot, "order_no")
+    listing = many_items(spark, False, "doc").select("branch", "order_no", F.lit(1).alias("pos"))
+    wanted = jobs.reconcile_rows(batch.where("sku = '-1'"), listing, batch, None)
+    assert skew_of(wanted, "branch", "order_no") == hot
 
 
 HEAVY = ["credit_gap", "credit_outbox", "orders_grouped", "route_orders", "reconcile_snapshot",
