@@ -123,7 +123,7 @@ def scan_order_csvs(t):
     landed = shaping.to_labels(t.items, ORDER_LABELS).select(*wanted, "branch")
     (landed.write.partitionBy("branch").option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(folder, header=True))
-    read = files.order_csvs(t.spark, folder, wanted, name_glob="*.csv")
+    read = files.order_csvs(t.spark, folder, name_glob="*.csv")
     return shaping.rename_labels(read, ORDER_LABELS)
 
 

@@ -29,20 +29,25 @@ def local_session(cores: str = "*", name: str = "orderloom", **extra: str) -> Sp
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
 
     Only a local session without the setting gets a folder of its own; a cluster
     without it is an error, because a machine-local folder dies with its machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = (spark.conf.get("spark.checkpoint.dir", None)
+              or spark.sparkContext.getCheckpointDir())
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="orderloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="orderloom-")
+    return _local_folders[app]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

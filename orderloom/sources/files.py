@@ -1,10 +1,13 @@
 """CSV and JSON files. Schemas are given, never inferred."""
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schemas import LEDGER_JSON, ORDER_LABELS, REGISTRY_LABELS, text_schema
+from orderloom.sources.tables import union_all
 
 
 def registry_csv(spark: SparkSession, path: str,
@@ -14,20 +17,38 @@ def registry_csv(spark: SparkSession, path: str,
                           schema=text_schema(labels or list(REGISTRY_LABELS)))
 
 
-def order_csvs(spark: SparkSession, folder: str, labels: list[str] | None = None,
+def order_csvs(spark: SparkSession, folder: str,
                name_glob: str = "Pedidos_A_Preparar_*.csv") -> DataFrame:
-    """Order exports anywhere below a folder.
+    """Order exports anywhere below a folder, put together by column name.
 
     A byte-order mark is tolerated, a short line is filled with nulls, a line with
-    too many fields is skipped. The extra column at the end of the schema catches
-    the first surplus field, which is how too long lines are told from short ones.
+    too many fields is skipped. Files are read in one go per distinct header.
     """
-    names = labels or list(ORDER_LABELS)
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+             .text(folder).select("value", F.col("_metadata.file_path").alias("path")))
+    bare = F.regexp_replace("value", '^\ufeff|"|\\r$', "")
+    # One short row per file, no more than the file list Spark itself keeps for the scan.
+    found = (lines.select("path", bare.alias("header"))
+             .where(F.array_contains(F.split("header", ","), ORDER_KEY_LABEL)).distinct().collect())
+    by_header: dict[str, list[str]] = {}
+    for row in sorted(found):
+        by_header.setdefault(row.header, []).append(unquote(row.path))
+    if not by_header:
+        return spark.createDataFrame([], text_schema(list(ORDER_LABELS)))
+    return union_all([_order_csv(spark, paths, header.split(","))
+                      for header, paths in sorted(by_header.items())])
+
+
+# Every order export has this column.
+ORDER_KEY_LABEL = "Numero Pedido"
+
+
+def _order_csv(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """Files with the same header. One more column than the header catches the first
+    surplus field, which is how too long lines are told from short ones."""
     df = (spark.read.schema(text_schema([*names, "_surplus", "_bad"]))
           .option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_bad").option("encoding", "UTF-8")
-          .option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
-          .csv(folder))
+          .option("columnNameOfCorruptRecord", "_bad").option("encoding", "UTF-8").csv(paths))
     return df.where(F.col("_surplus").isNull() & ~_too_long(F.col("_bad"), len(names))).select(*names)
 
 
