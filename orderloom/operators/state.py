@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions.text import blank_to_null, key_text, stored_text
-from orderloom.operators.picking import first_rows
+from orderloom.operators.picking import first_rows, lookup_groups
 from orderloom.schemas import STORED_FIELDS
 
 ITEM_KEYS = ["order_no", "sku"]
@@ -75,14 +75,16 @@ def delete_inactive(items: DataFrame, captured: DataFrame, active: DataFrame) ->
 
     ``captured`` holds one row per captured branch with ``complete``; an incomplete
     capture deletes nothing, a complete empty one clears its branch, and branches
-    without a capture stay as they are, without being shuffled. (A null branch is never
-    captured.) The semi join needs no distinct active set, so a hot order can be split.
+    without a capture stay as they are. The items are read and shuffled once; a hot
+    order among them can be split, because the active set is grouped for lookup.
     """
-    cleared = captured.where("complete").select("branch")
-    untouched = items.join(cleared, "branch", "left_anti")
-    kept = (items.join(cleared, "branch", "left_semi")
-            .join(active.select("branch", "order_no"), ["branch", "order_no"], "left_semi"))
-    return untouched.unionByName(kept)
+    keys = ["branch", "order_no"]
+    cleared = (captured.where("complete").select("branch").distinct()
+               .withColumn("_captured", F.lit(True)))
+    alive = lookup_groups(active, keys).agg(F.lit(True).alias("_active")).drop("_hash")
+    return (items.join(cleared, "branch", "left").join(alive, keys, "left")
+            .where(F.col("_captured").isNull() | F.col("_active"))
+            .select(*items.columns))
 
 
 def update_codcli(items: DataFrame, codes: DataFrame) -> DataFrame:

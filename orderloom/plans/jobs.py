@@ -40,10 +40,12 @@ def reconcile_rows(items: DataFrame, listing: DataFrame, batch: DataFrame, captu
 
 def _reconciled(items: DataFrame, batch: DataFrame, listing: DataFrame, captured: DataFrame,
                 order: str) -> DataFrame:
+    """Stored items without the inactive ones, and the new items. New items belong to
+    listed orders, which are never inactive, so only the stored ones are tested."""
     added = state.fresh_items(items, batch, order).select(
         *[c for c in batch.columns if c in items.columns])
-    stored = items.unionByName(added, allowMissingColumns=True)
-    return state.delete_inactive(stored, captured, listing)
+    kept = state.delete_inactive(items, captured, listing)
+    return kept.unionByName(added, allowMissingColumns=True)
 
 
 def cpf_reject_candidates(items: DataFrame, centers: DataFrame) -> DataFrame:

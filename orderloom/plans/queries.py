@@ -15,7 +15,7 @@ from orderloom.operators import (capture, credit, dashboard, erp, ledger, outbox
 from orderloom.plans import bindings, jobs
 from orderloom.plans.bindings import Tables
 from orderloom.schemas import HEADER_FIELDS, ORDER_LABELS, REGISTRY_LABELS
-from orderloom.session import new_folder
+from orderloom.session import new_folder, settle
 from orderloom.sources import files, tables
 from orderloom.streaming import jobs as streams
 
@@ -968,8 +968,9 @@ def credit_outbox(t):
 
 @query
 def credit_ledger_after(t):
-    """The ledger once the outbox was delivered: greetings and notices recorded."""
-    sent = _credit_messages(t).withColumn("ts", t.as_of)
+    """The ledger once the outbox was delivered: greetings and notices recorded from
+    the table of delivered messages."""
+    sent = settle(_credit_messages(t), "delivered").withColumn("ts", t.as_of)
     greeted = ledger.upsert_greetings(t.credit_ledger, sent.where("kind = 'greeting'"))
     return ledger.insert_clients(greeted, sent.where("kind = 'request'"))
 
