@@ -388,7 +388,8 @@ SQL = {
     "parse_money_br": """select order_no, sku, (try_cast(replace(replace(replace(price, '$', ''), '.', ''), ',', '.') as decimal(18,2)) * 100)::bigint br_cents from oi""",
     "parse_money_us": "select order_no, sku, price_cents us_cents, 0::bigint zero_cents from oi",
     "to_number_or_zero": "select order_no, sku, q quantity from oi",
-    "doc_number": "select order_no, sku, doc doc_number, split_part(document, ':', 1) doc_type from oi",
+    "doc_number": "select order_no, sku, doc doc_number from oi",
+    "doc_type": "select order_no, sku, split_part(document, ':', 1) doc_type from oi",
     "format_document": "select order_no, sku, coalesce(doc, '—') document from oi",
     "clean_phone": """select order_no, sku, '219' || zip phone_1, case when o_custkey % 4 <> 0 then '21 ' || zip end phone_2 from oi""",
     "format_date_br": """select oi.order_no, sku, ordered, delivery from oi join shown s on s.order_no = oi.order_no""",

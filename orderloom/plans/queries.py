@@ -749,8 +749,12 @@ def to_number_or_zero(t):
 
 @query
 def doc_number(t):
-    return t.items.select("order_no", "sku", text.doc_number(F.col("document")).alias("doc_number"),
-                          text.doc_type(F.col("document")).alias("doc_type"))
+    return t.items.select("order_no", "sku", text.doc_number(F.col("document")).alias("doc_number"))
+
+
+@query
+def doc_type(t):
+    return t.items.select("order_no", "sku", text.doc_type(F.col("document")).alias("doc_type"))
 
 
 @query

@@ -17,14 +17,18 @@ def registry_csv(spark: SparkSession, path: str,
                           schema=text_schema(labels or list(REGISTRY_LABELS)))
 
 
-def order_csvs(spark: SparkSession, folder: str,
+def order_csvs(spark: SparkSession, folder: str, header: list[str] | None = None,
                name_glob: str = "Pedidos_A_Preparar_*.csv") -> DataFrame:
     """Order exports anywhere below a folder, put together by column name.
 
     A byte-order mark is tolerated, a short line is filled with nulls, a line with
-    too many fields is skipped. Files are read in one go per distinct header.
+    too many fields is skipped. Files are read in one go per distinct header; finding the
+    headers takes a pass over the lines, which ``header`` saves where all files share it.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+    found_below = {"recursiveFileLookup": True, "pathGlobFilter": name_glob}
+    if header:
+        return _order_csv(spark, [folder], header, **found_below)
+    lines = (spark.read.options(**found_below)
              .text(folder).select("value", F.col("_metadata.file_path").alias("path")))
     bare = F.regexp_replace("value", '^\ufeff|"|\\r$', "")
     # One short row per file, no more than the file list Spark itself keeps for the scan.
@@ -43,12 +47,14 @@ def order_csvs(spark: SparkSession, folder: str,
 ORDER_KEY_LABEL = "Numero Pedido"
 
 
-def _order_csv(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+def _order_csv(spark: SparkSession, paths: list[str], names: list[str],
+               **options: object) -> DataFrame:
     """Files with the same header. One more column than the header catches the first
     surplus field, which is how too long lines are told from short ones."""
     df = (spark.read.schema(text_schema([*names, "_surplus", "_bad"]))
           .option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_bad").option("encoding", "UTF-8").csv(paths))
+          .option("columnNameOfCorruptRecord", "_bad").option("encoding", "UTF-8").options(**options)
+          .csv(paths))
     return df.where(F.col("_surplus").isNull() & ~_too_long(F.col("_bad"), len(names))).select(*names)
 
 

@@ -23,7 +23,9 @@ def test_order_csvs_nested_bom_long_and_short_lines(spark, tmp_path):
     assert rows(got) == [("1", "10", "$1,234.56", None), ("2", "20", None, None),
                          ("4", "40", "$2", None), ("5", "50", None, "123")]
     assert got.count() == 4
-    assert files.order_csvs(spark, str(tmp_path), "none*.csv").count() == 0
+    assert files.order_csvs(spark, str(tmp_path), name_glob="none*.csv").count() == 0
+    same = files.order_csvs(spark, str(tmp_path), ["Numero Pedido", "SKU", "Preço"], "*_1.csv")
+    assert rows(same) == [("1", "10", "$1,234.56"), ("2", "20", None), ("4", "40", "$2")]
 
 
 def test_registry_csv_is_all_text(spark, tmp_path):
