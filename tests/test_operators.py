@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from orderloom import rules
-from orderloom.operators import (capture, credit, dashboard, erp, ledger, outbox, picking, registry,
+from orderloom.operators import (credit, dashboard, erp, ledger, outbox, picking, registry,
                                  routing, shaping, state)
 from orderloom.plans import jobs
 from orderloom.schemas import HEADER_FIELDS, ITEM_FIELDS, LEDGER_SCHEMA, REGISTRY_LABELS
