@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import toxicity
+from orderloom.llm import substrings, toxicity
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -13,6 +13,32 @@ def query(run):
     return run
 
 
+@query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(from_parquet(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_substrings"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+r AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM s)
+  WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM r, (SELECT unnest(range(0, 20)) AS j)),
+words AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (
+  SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.p) AS t, count(*) AS n
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p
+  WHERE gone.p IS NULL GROUP BY 1)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(from_parquet(spark, sf_dir, "documents"),
