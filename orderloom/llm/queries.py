@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import substrings, toxicity
+from orderloom.llm import neardup, substrings, toxicity
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -13,6 +13,11 @@ def query(run):
     return run
 
 
+@query
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(from_parquet(spark, sf_dir, "documents"))
+
+
 @query
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(from_parquet(spark, sf_dir, "documents"))
