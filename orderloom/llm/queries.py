@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import neardup, substrings, toxicity
+from orderloom.llm import mixing, neardup, substrings, toxicity
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -48,3 +48,36 @@ FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(from_parquet(spark, sf_dir, "documents"),
                              from_parquet(spark, sf_dir, "labels"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(from_parquet(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents),
+s AS (
+  SELECT source, n, cap, w, cap / w AS r, sum(n) OVER () * 1.5::DOUBLE AS total FROM (
+    SELECT source, sum(size)::DOUBLE AS n, 2 * sum(size)::DOUBLE AS cap,
+      [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+    FROM d GROUP BY source)),
+levels AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY r, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (ORDER BY r, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+    row_number() OVER (ORDER BY r, source) AS k FROM s),
+first AS (SELECT min(k) AS k0, min_by(level, k) AS level0 FROM levels WHERE cap > w * level),
+t AS (SELECT source, n::BIGINT AS n, CASE WHEN k < coalesce(k0, k + 1) THEN cap ELSE w * level0 END AS target
+      FROM levels, first),
+p AS (
+  SELECT d.*, n, target, floor(target)::BIGINT AS q,
+    (sum(size) OVER (PARTITION BY d.source ORDER BY md5('17:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
+      ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, n AS source_size, target,
+  CASE WHEN n = 0 THEN 0 ELSE (q // n) * size + least(size, greatest(0, q - (q // n) * n - before)) END::BIGINT AS taken
+FROM p
+"""
