@@ -2,17 +2,30 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import mixing, neardup, substrings, toxicity
+from orderloom.llm import mixing, neardup, packing, substrings, toxicity
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the vocabulary file of a public tokenizer lies, on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+
 def query(run):
     QUERIES[run.__name__] = run
     return run
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(from_parquet(spark, sf_dir, "documents"),
+                        tokenizer_file("word_bpe_49k.json"))
+
+
 @query
 def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(from_parquet(spark, sf_dir, "documents"))
