@@ -1,13 +1,14 @@
-"""Helpers the operators share: words, hashes over word sequences, text batches."""
+"""Helpers the operators share: words, hashes over word sequences, text batches, scratch tables."""
 
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.session import settle  # noqa: F401  (the operators take it from here)
+from orderloom.session import new_folder
 
 #: A word: a run without space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -17,6 +18,34 @@ WORD_SQL = r"[^\x20\x09-\x0D]+"
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 U64 = np.uint64
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables an operator writes to the shared folder and reads back.
+
+    What follows no longer depends on recomputing what came before, so a lost executor costs
+    little. The shuffle files of a table are freed when it is written, and a table that is
+    no longer needed is dropped, so the disk holds one step at a time.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder = spark, new_folder(spark, purpose)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path, before = f"{self.folder}/{name}", self.spark.conf.get(SHUFFLE_CLEANUP, "false")
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(conf).delete(path, True)
 
 
 class Memo(dict):
@@ -33,45 +62,89 @@ class Memo(dict):
         return value
 
 
-def word_memo(seed: int = 0) -> Memo:
-    return Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), seed))
-
-
-def slices(batches, text: str = "text", chars: int = 3_000_000):
+def slices(batches, text: str = "text", size: int = 2_000_000):
     """Row ranges of Arrow batches with a bounded amount of text (one row at least), so
-    that what a task holds does not depend on how many rows Spark puts into a batch.
-
-    Gives (slice of the batch, its texts); a null text is an empty one.
-    """
+    that what a task holds does not depend on how many rows Spark puts into a batch."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text))
-        lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(
+        lengths = pc.fill_null(pc.binary_length(column(batch, text)), 0).to_numpy(
             zero_copy_only=False)
         first = total = 0
-        for i, n in enumerate(lengths):
-            if total + n > chars and i > first:
-                yield batch.slice(first, i - first), _texts(column, first, i)
+        for i, n in enumerate(lengths.tolist()):
+            if total + n > size and i > first:
+                yield batch.slice(first, i - first)
                 first, total = i, 0
             total += n
         if first < len(lengths):
-            yield batch.slice(first), _texts(column, first, len(lengths))
-
-
-def _texts(column, first: int, last: int) -> list[str]:
-    return [x or "" for x in column.slice(first, last - first).to_pylist()]
+            yield batch.slice(first)
 
 
 def column(batch, name: str):
     return batch.column(batch.schema.get_field_index(name))
 
 
-def flat_hashes(texts, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in one array, and where each text begins (n + 1)."""
-    flat, ends = [], [0]
-    for text in texts:
-        flat += map(memo.__getitem__, WORD.findall(text))
-        ends.append(len(flat))
-    return np.array(flat, U64), np.array(ends, np.int64)
+def texts_of(batch, name: str = "text") -> list[str]:
+    """The texts; a null one is empty."""
+    return [x or "" for x in column(batch, name).to_pylist()]
+
+
+def text_bytes(batch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts in one array, and where each text begins (n + 1)."""
+    values = pc.fill_null(column(batch, name), "")
+    kind = np.int64 if pa.types.is_large_string(values.type) else np.int32
+    _, places, data = values.buffers()
+    places = np.frombuffer(places, kind)[values.offset:values.offset + len(values) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[places[0]:places[-1]], (places - places[0]).astype(np.int64)
+
+
+class Words(NamedTuple):
+    """Words of a batch of texts: word i is data[first[i]:last[i]], text t has the words
+    ends[t] to ends[t + 1]."""
+    data: np.ndarray
+    places: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    ends: np.ndarray
+
+    def owners(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.ends) - 1), np.diff(self.ends))
+
+
+#: Word separators; no byte of a longer UTF-8 sequence is one of them.
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def words_of(batch, name: str = "text") -> Words:
+    data, places = text_bytes(batch, name)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[places] = True
+    space = _SPACE[data]
+    first = np.flatnonzero(~space & (np.r_[True, space][:-1] | edge[:-1]))
+    last = np.flatnonzero(~space & (np.r_[space, True][1:] | edge[1:])) + 1
+    return Words(data, places, first, last, np.searchsorted(first, places))
+
+
+def word_hashes(words: Words, seed: int = 0, step: int = 1 << 20) -> np.ndarray:
+    """A 64-bit hash of each word's bytes: a polynomial over a fixed table of the byte values,
+    from running sums. Sums are taken over some ``step`` bytes at a time."""
+    table = mix(np.arange(1, 257, dtype=U64) + U64(seed << 32))
+    out, done = np.zeros(len(words.first), U64), 0
+    while done < len(out):
+        start = words.first[done]
+        end = max(done + 1, int(np.searchsorted(words.last, start + step)))
+        first, last = words.first[done:end] - start, words.last[done:end] - start
+        some = table[words.data[start:start + last[-1]]] * powers(BASE, int(last[-1]))
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(some)])
+        out[done:end] = mix((sums[last] - sums[first]) * powers(BASE_INVERSE, len(sums))[first])
+        done = end
+    return out
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n - 1) modulo 2**64."""
+    out = np.full(n, U64(base))
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -120,10 +193,5 @@ def size_of(text) -> F.Column:
     return F.regexp_count(text, F.lit(WORD_SQL)).cast("long")
 
 
-def shares_of(spark) -> int:
-    """How many parts hot groups are dealt into: the session's shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def from_parquet(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

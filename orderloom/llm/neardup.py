@@ -30,8 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import (U64, WORD, column, flat_hashes, gram_hashes, mix, settle, signed,
-                                  slices, word_memo)
+from orderloom.llm.common import (U64, Scratch, column, gram_hashes, gram_valid, mix, signed, slices,
+                                  word_hashes, words_of)
 from orderloom.operators.picking import first_rows, lookup_groups
 
 SHINGLE = 5
@@ -48,63 +48,84 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> U64(11)).astype(np.float64) + 0.5) * UNIT
 
 
-def weighted_shingles(h: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of one text's word hashes, and how often each occurs."""
-    if not len(h):
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    return np.unique(mix(gram_hashes(h, min(n, len(h)))), return_counts=True)
+def weighted_shingles(h: np.ndarray, ends: np.ndarray, n: int = SHINGLE):
+    """(owner, shingle, count) of each text's distinct shingles, ordered by both."""
+    sizes = np.diff(ends)
+    grams = mix(gram_hashes(h, n))
+    at = np.flatnonzero(gram_valid(ends, n))
+    owner = np.searchsorted(ends, at, "right") - 1
+    ids = grams[at]
+    for size in range(1, n):  # texts that are one short shingle
+        few = np.flatnonzero(sizes == size)
+        if len(few):
+            owner = np.r_[owner, few]
+            ids = np.r_[ids, mix(gram_hashes(h, size)[ends[few]] ^ U64(size))]
+    order = np.lexsort((ids, owner))
+    owner, ids = owner[order], ids[order]
+    first = np.flatnonzero(np.r_[True, (np.diff(owner) != 0) | (ids[1:] != ids[:-1])][:len(ids)])
+    return owner[first], ids[first], np.diff(np.r_[first, len(ids)])
 
 
-def darts(ids: np.ndarray, weights: np.ndarray, k: int = COORDINATES) -> np.ndarray:
-    """Signature: for each coordinate the id of its earliest dart, 0 where none fell.
+def _throw(ids: np.ndarray, weights: np.ndarray, limit: np.ndarray, owner: np.ndarray):
+    """(owner, rank, dart) of the darts that land within the weights and below the limits.
 
     The weight axis of an element is cut into regions [2**v - 1, 2**(v + 1) - 1); region v
     gets darts as a Poisson process of rate 2**v in rank. A dart is kept if its place on the
-    weight axis lies below the element's weight. Ranks up to a threshold are enough for
-    about k (ln k + 3) kept darts; the threshold doubles until every coordinate has one.
+    weight axis lies below the element's weight.
     """
-    total = float(weights.sum())
-    limit = k * (np.log(k) + 3) / total
-    while True:
-        out, ranks = np.zeros(k, U64), np.full(k, np.inf)
-        for v in range(int(np.log2(weights.max() + 1)) + 1):
-            size = 2.0 ** v
-            some = weights > size - 1
-            seed = mix(ids[some] ^ U64(0x5851F42D4C957F2D * (v + 1) & (2 ** 64 - 1)))
-            weight, rank, j = weights[some], np.zeros(some.sum()), 0
-            while len(seed):
-                j += 1
-                here = mix(seed + U64(j * 0x9E3779B97F4A7C15 & (2 ** 64 - 1)))
-                rank = rank - np.log(_uniform(here)) / size
-                near = rank < limit
-                seed, weight, rank, here = seed[near], weight[near], rank[near], here[near]
-                place = mix(here ^ U64(0xA0761D6478BD642F))
-                hit = size - 1 + size * _uniform(place) < weight
-                dart = mix(here[hit] ^ U64(0xE7037ED1A0B428DB))
-                at, r = (dart % U64(k)).astype(np.int64), rank[hit]
-                order = np.lexsort((dart, r))[::-1]  # the earliest is written last
-                dart, at, r = dart[order], at[order], r[order]
-                best_d, best_r = np.zeros(k, U64), np.full(k, np.inf)
-                best_d[at], best_r[at] = dart, r
-                win = best_r < ranks
-                out[win], ranks[win] = best_d[win], best_r[win]
-        if np.isfinite(ranks).all():
-            return out
-        limit *= 2
+    out = [], [], []
+    for v in range(int(np.log2(weights.max() + 1)) + 1):
+        size = 2.0 ** v
+        alive = np.flatnonzero(weights > size - 1)
+        seed = mix(ids[alive] ^ U64(0x5851F42D4C957F2D * (v + 1) & (2 ** 64 - 1)))
+        rank, j = np.zeros(len(alive)), 0
+        while len(alive):
+            j += 1
+            here = mix(seed + U64(j * 0x9E3779B97F4A7C15 & (2 ** 64 - 1)))
+            rank = rank - np.log(_uniform(here)) / size
+            near = rank < limit[alive]
+            alive, seed, rank, here = alive[near], seed[near], rank[near], here[near]
+            place = size - 1 + size * _uniform(mix(here ^ U64(0xA0761D6478BD642F)))
+            hit = place < weights[alive]
+            for x, got in zip(out, (owner[alive], rank, mix(here ^ U64(0xE7037ED1A0B428DB))),
+                              strict=True):
+                x.append(got[hit])
+    return [np.concatenate(x) for x in out]
+
+
+def darts(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int,
+          k: int = COORDINATES) -> np.ndarray:
+    """Signatures of n texts: for each coordinate the id of its earliest dart.
+
+    Ranks up to a limit for k (ln k + 3) darts fill all coordinates of most texts; the limit
+    of the others doubles until theirs are filled, too.
+    """
+    total = np.bincount(owner, weights, n)
+    todo, out = total > 0, np.zeros(n * k, U64)
+    limit = k * (np.log(k) + 3) / np.maximum(total, 1)
+    while todo.any():
+        some = todo[owner]
+        who, rank, dart = _throw(ids[some], weights[some], limit[owner[some]], owner[some])
+        at = who * k + (dart % U64(k)).astype(np.int64)
+        best = np.full(n * k, np.inf)
+        np.minimum.at(best, at, rank)
+        win = rank == best[at]
+        out[at[win]] = dart[win]
+        todo &= ~np.isfinite(best.reshape(n, k)).all(1)
+        limit[todo] *= 2
+    return out.reshape(n, k)
 
 
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = word_memo()
-    for part, texts in slices(batches):
-        h, ends = flat_hashes(texts, memo)
-        kept = np.flatnonzero(np.diff(ends) > 0)
-        sign = np.zeros((len(kept), COORDINATES), U64)
-        for i, d in enumerate(kept):
-            sign[i] = darts(*weighted_shingles(h[ends[d]:ends[d + 1]]))
+    for part in slices(batches):
+        words = words_of(part)
+        sign = darts(*weighted_shingles(word_hashes(words), words.ends), part.num_rows)
+        kept = np.flatnonzero(np.diff(words.ends) > 0)
+        sign = sign[kept]
         bits = (mix(sign) & U64(1)).reshape(len(kept), 2, 64) << np.arange(64, dtype=U64)
         sketch = np.bitwise_or.reduce(bits, 2)
-        band = sign.reshape(len(kept), BANDS, ROWS)
-        keys = mix(gram_hashes_rows(band) + np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15))
+        band = gram_hashes_rows(sign.reshape(len(kept), BANDS, ROWS))
+        keys = mix(band + np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15))
         yield pa.RecordBatch.from_arrays(
             [column(part, "key").take(pa.array(kept)),
              pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1) * BANDS, pa.int32()),
@@ -170,13 +191,12 @@ def class_pairs(bands: DataFrame, classes: DataFrame, tested: DataFrame) -> Data
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = word_memo()
-    for part, texts in slices(batches):
-        h, ends = flat_hashes(texts, memo)
-        out = []
-        for d in range(len(texts)):
-            ids, n = weighted_shingles(h[ends[d]:ends[d + 1]])
-            out.append(ids.tobytes() + n.astype("<u4").tobytes())
+    for part in slices(batches):
+        words = words_of(part)
+        owner, ids, n = weighted_shingles(word_hashes(words), words.ends)
+        at = np.searchsorted(owner, np.arange(part.num_rows + 1))
+        n = n.astype("<u4")
+        out = [ids[a:b].tobytes() + n[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([column(part, "key"), pa.array(out, pa.binary())],
                                          names=["key", "shingles"])
 
@@ -200,54 +220,60 @@ def _similar(least: float):
     return run
 
 
-def checked(keyed: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+def checked(keyed: DataFrame, pairs: DataFrame, least: float, scratch: Scratch,
+            name: str) -> DataFrame:
     """The pairs whose exact similarity reaches the least one."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     texts = first_rows(keyed.select("key", "text", "doc_id").join(wanted, "key"), ["key"], ["doc_id"])
-    sets = settle(texts.select("key", "text").mapInArrow(_set_rows, "key binary, shingles binary"),
-                  "shingles")
-    return (pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-            .mapInArrow(_similar(least), "a binary, b binary"))
+    sets = scratch.keep(texts.select("key", "text").mapInArrow(
+        _set_rows, "key binary, shingles binary"), f"{name}-shingles")
+    found = scratch.keep(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+                         .mapInArrow(_similar(least), "a binary, b binary"), name)
+    scratch.drop(f"{name}-shingles")
+    return found
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(key, class): the least key of each connected component, for keys with a link.
 
     Each round gives every node its least neighbour or itself and contracts the links to
     those; a component at least halves per round.
     """
     link = links.select("a", "b")
-    named = None
+    named, i = None, 0
     while True:
         both = link.union(link.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        step = settle(lookup_groups(both, ["u"]).agg(F.least(F.min("v"), F.min("u")).alias("to"))
-                      .select("u", "to"), "component-step")
+        step = scratch.keep(lookup_groups(both, ["u"]).agg(F.least(F.min("v"), F.min("u")).alias("to"))
+                            .select("u", "to"), f"{name}-step{i}")
         if named is None:
             named = step.select(F.col("u").alias("key"), F.col("to").alias("class"))
         else:
             named = (named.join(step, named["class"] == step["u"], "left")
                      .select("key", F.coalesce("to", "class").alias("class")))
-        named = settle(named, "component-names")
-        link = settle(link.join(step.toDF("a", "a2"), "a").join(step.toDF("b", "b2"), "b")
-                      .where("a2 <> b2")
-                      .select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
-                      .distinct(), "component-links")
+        named = scratch.keep(named, f"{name}-names{i}")
+        link = scratch.keep(link.join(step.toDF("a", "a2"), "a").join(step.toDF("b", "b2"), "b")
+                            .where("a2 <> b2")
+                            .select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
+                            .distinct(), f"{name}-links{i}")
+        i += 1
         if link.isEmpty():
             return named
 
 
 def links_and_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Checked links between distinct texts (a, b), and (key, class) for linked texts."""
+    scratch = Scratch(docs.sparkSession, "neardup")
     keyed = _keyed(docs)
-    nodes = settle(signatures(keyed), "signatures")
+    nodes = scratch.keep(signatures(keyed), "signatures")
     bands = nodes.select(F.explode("bands").alias("band"), "key", "sketch0", "sketch1")
-    pairs = settle(leader_pairs(bands), "leader-pairs")
-    first = settle(checked(keyed, pairs, least), "leader-links")
-    classes = components(first)
-    more = settle(class_pairs(bands, classes, pairs), "class-pairs")
-    second = settle(checked(keyed, more, least), "class-links")
+    pairs = scratch.keep(leader_pairs(bands), "leader-pairs")
+    first = checked(keyed, pairs, least, scratch, "leader-links")
+    classes = components(first, scratch, "leaders")
+    more = scratch.keep(class_pairs(bands, classes, pairs), "class-pairs")
+    second = checked(keyed, more, least, scratch, "class-links")
+    scratch.drop("signatures", "leader-pairs", "class-pairs")
     links = first.union(second)
-    return links, components(links) if not second.isEmpty() else classes
+    return links, classes if second.isEmpty() else components(links, scratch, "classes")
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

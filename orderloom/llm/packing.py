@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import column, settle, slices
+from orderloom.llm.common import Scratch, column, slices, texts_of
 
 WINDOW = 2048
 STEP = 8
@@ -72,9 +72,9 @@ def _piece_rows(vocabulary: str, window: int, closing: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = Ids(vocabulary)
-        for part, texts in slices(batches):
+        for part in slices(batches):
             owner, rows = [], []
-            for i, ids in enumerate(ids_of(texts)):
+            for i, ids in enumerate(ids_of(texts_of(part))):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, window):
@@ -123,7 +123,8 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 1000)
         free[best] = True
         while True:
             z = np.zeros_like(x)
-            z[free] = np.linalg.lstsq(a[:, free], b, rcond=None)[0]
+            some = a[:, free]
+            z[free] = np.linalg.solve(some.T @ some + 1e-9 * np.eye(some.shape[1]), some.T @ b)
             low = free & (z <= 1e-12 * scale)
             if not low.any():
                 break
@@ -211,7 +212,8 @@ def _seat_rows(runs):
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, step: int = STEP,
          depth: int = DEPTH, closing: int = CLOSING) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = settle(pieces(docs, vocabulary, window, closing), "pieces")
+    cut = Scratch(docs.sparkSession, "packing").keep(
+        pieces(docs, vocabulary, window, closing), "pieces")
     units = -(-window // step)
     unit = F.ceil(F.col("length") / step).cast("int")
     own = ["length", "start", "ids_crc32", "doc_tokens"]

@@ -5,13 +5,14 @@ shuffled one by one:
 
 * ``edges``: each text is cut into edges, runs of windows that share an anchor (the least hash
   among the ``ANCHOR``-word grams a window holds). Which anchor a window has depends on its
-  words alone, so equal windows always lie on edges with the same anchor.
-* ``repeated``: anchors seen once end the matter for their edges. An anchor whose edges all
-  have the same content is non-branching: its windows form one path, and one join with
-  the path's source (its first coordinate) decides all of them together.
-* ``branching``: edges of one anchor that differ (the ends of a copy, an edit) are expanded
-  to windows, the only place where single windows meet in a join.
-* ``remove``: the repeated stretches, merged per document, are cut from the text.
+  words alone, so equal windows always lie on edges with the same anchor. An edge is a
+  path of the graph without branches inside; its content hash names it.
+* ``sources``: anchors seen once end the matter for their edges. For the others one join by
+  (anchor, content) gives each path its source, its first coordinate; all other
+  occurrences are copies as a whole, whatever their number.
+* ``source_windows``: an anchor with several contents is a branch (the end of a copy, an edit).
+  Only there, and only for the source of each content, single windows are compared.
+* the repeated stretches are merged per document and cut from the text.
 
 Every join compares two independent 64-bit hashes over the same words, so that a coordinate
 counts as a copy of its source only if 128 bits agree. Joins are against one row per key and
@@ -28,17 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import (BASE, BASE_INVERSE, U64, WORD, column, flat_hashes, gram_hashes,
-                                  gram_valid, mix, settle, signed, slices, word_memo)
+from orderloom.llm.common import (BASE, BASE_INVERSE, U64, Scratch, column, gram_hashes, gram_valid,
+                                  mix, powers, signed, slices, word_hashes, words_of)
 from orderloom.operators.picking import lookup_groups
 
 WIDTH = 20
 ANCHOR = 6
 SECOND_BASE = 0xD1342543DE82EF95  # fixed odd multiplier, independent of the first
 
-#: Extra name for the text's crc32, unlikely to clash; inputs are narrowed to doc_id and text.
+#: A text's coordinate system: its id, and its crc32 in case the id repeats.
 DOC = ["doc_id", "_tag"]
 
 
@@ -50,44 +52,36 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", _tag().alias("_tag"))
 
 
+def _here():
+    return F.struct("doc_id", "start", "_tag")
+
+
 def _least(values: np.ndarray, n: int) -> np.ndarray:
     """Where the leftmost least of each n consecutive values is, by doubling."""
     best, at, reach = values, np.arange(len(values)), 1
-
-    def joined(shift):
-        left = best[:-shift] <= best[shift:]
-        return np.where(left, best[:-shift], best[shift:]), np.where(left, at[:-shift], at[shift:])
-
     while reach < n:
         shift = min(reach, n - reach)
-        best, at = joined(shift)
+        left = best[:-shift] <= best[shift:]
+        best, at = (np.where(left, x[:-shift], x[shift:]) for x in (best, at))
         reach += shift
     return at
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, U64(base))
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def _span_hashes(h: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of h[first:end] for each pair, wherever in the array the span lies."""
-    sums = np.concatenate([np.zeros(1, U64), np.cumsum(h * _powers(BASE, len(h)))])
-    return mix((sums[end] - sums[first]) * _powers(BASE_INVERSE, len(h) + 1)[first])
+    sums = np.concatenate([np.zeros(1, U64), np.cumsum(h * powers(BASE, len(h)))])
+    return mix((sums[end] - sums[first]) * powers(BASE_INVERSE, len(h) + 1)[first])
 
 
 def cut_edges(h: np.ndarray, ends: np.ndarray, width: int):
     """Edges of a batch: text number, first window, windows, anchor, content hash."""
-    valid = gram_valid(ends, width)
-    starts = np.flatnonzero(valid)
+    starts = np.flatnonzero(gram_valid(ends, width))
     if not len(starts):
         return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U64)] * 2
     grams = mix(gram_hashes(h, ANCHOR))
     at = _least(grams, width - ANCHOR + 1)[starts]
     owner = np.searchsorted(ends, starts, "right") - 1
-    new = np.r_[True, (np.diff(at) != 0) | (np.diff(owner) != 0)]
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(np.r_[True, (np.diff(at) != 0) | (np.diff(owner) != 0)])
     count = np.diff(np.r_[first, len(starts)])
     s, a, o = starts[first], at[first], owner[first]
     content = _span_hashes(h, s, s + count + width - 1)
@@ -97,10 +91,9 @@ def cut_edges(h: np.ndarray, ends: np.ndarray, width: int):
 
 def _edge_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
-        for part, texts in slices(batches):
-            h, ends = flat_hashes(texts, memo)
-            o, start, count, anchor, content = cut_edges(h, ends, width)
+        for part in slices(batches):
+            words = words_of(part)
+            o, start, count, anchor, content = cut_edges(word_hashes(words), words.ends, width)
             owners = pa.array(o)
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id").take(owners), column(part, "_tag").take(owners),
@@ -116,31 +109,30 @@ def edges(rows: DataFrame, width: int = WIDTH) -> DataFrame:
                                               "anchor long, content long")
 
 
-def repeated(found: DataFrame) -> DataFrame:
-    """Edges whose anchor occurs more than once, with ``source``, the anchor's first
-    coordinate, and ``branching``: whether its edges differ in content."""
-    # All edges are counted by anchor alone; what is wider is gathered for repeated ones only.
+def repeated_anchors(found: DataFrame) -> DataFrame:
+    """The edges whose anchor occurs more than once; only anchors are counted for it."""
     again = lookup_groups(found, ["anchor"]).agg(F.count("*").alias("n")).where("n > 1")
-    many = settle(found.join(again.select("anchor"), "anchor"), "edges-repeated")
-    source = lookup_groups(many, ["anchor"]).agg(
-        F.min(F.struct("doc_id", "start", "_tag")).alias("source"),
-        (F.min("content") != F.max("content")).alias("branching")).drop("_hash")
-    return many.join(source, "anchor")
+    return found.join(again.select("anchor"), "anchor")
+
+
+def sources(many: DataFrame) -> DataFrame:
+    """(anchor, content, windows, source): each path's first coordinate."""
+    return lookup_groups(many, ["anchor", "content"]).agg(
+        F.min("windows").alias("windows"), F.min(_here()).alias("source")).drop("_hash")
 
 
 def _window_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
-        for part, texts in slices(batches):
-            h, ends = flat_hashes(texts, memo)
-            lists = column(part, "spans")
-            owner = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(lists).to_numpy())
+        for part in slices(batches):
+            words = words_of(part)
+            h, lists = word_hashes(words), column(part, "spans")
+            owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
             spans = lists.flatten()
             start, count = (spans.field(k).to_numpy().astype(np.int64) for k in (0, 1))
             who = np.repeat(owner, count)
-            at = np.repeat(start, count) + np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
-            flat = at + ends[who]
-            owners = pa.array(who)
+            at = (np.repeat(start, count) + np.arange(len(who))
+                  - np.repeat(np.cumsum(count) - count, count))
+            flat, owners = at + words.ends[who], pa.array(who)
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id").take(owners), column(part, "_tag").take(owners),
                  pa.array(at, pa.int32()),
@@ -154,73 +146,87 @@ def _same_document(a: DataFrame, b: DataFrame):
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_tag"] == b["_tag"])
 
 
-def branching_windows(rows: DataFrame, marked: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The windows of branching edges, one row each, with two hashes."""
-    spans = (marked.where("branching").distinct().groupBy(*DOC)
-             .agg(F.collect_list(F.struct("start", "windows")).alias("spans")))
+def source_windows(rows: DataFrame, first: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The windows of the sources at branches, one row each, with two hashes."""
+    branch = lookup_groups(first, ["anchor"]).agg(F.count("*").alias("n")).where("n > 1")
+    spans = (first.join(branch.select("anchor"), "anchor").select("source.*", "windows")
+             .groupBy(*DOC).agg(F.collect_list(F.struct("start", "windows")).alias("spans")))
+    texts = rows.dropDuplicates(DOC)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return (rows.join(spans, _same_document(rows, spans))
-            .select(rows["doc_id"], "text", rows["_tag"], "spans")
+    return (texts.join(spans, _same_document(texts, spans))
+            .select(texts["doc_id"], "text", texts["_tag"], "spans")
             .mapInArrow(_window_rows(width),
                         f"doc_id {kind}, _tag long, start int, one long, two long"))
 
 
-def _copies(df: DataFrame) -> DataFrame:
-    """Rows at another coordinate than their source."""
-    here = F.struct("doc_id", "start", "_tag")
-    return df.where(~here.eqNullSafe(F.col("source")))
-
-
 def repeats(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, _tag, start, end, source): word spans all of whose windows occur earlier."""
-    found = settle(edges(rows, width), "edges")
-    marked = settle(repeated(found).select(*DOC, "start", "windows", "branching", "source"),
-                    "edges-marked")
-    whole = _copies(marked.where("not branching")).select(
-        *DOC, "start", (F.col("start") + F.col("windows") + (width - 1)).alias("end"), "source")
-    windows = settle(branching_windows(rows, marked, width), "windows")
-    source = (lookup_groups(windows, ["one", "two"]).agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "_tag")).alias("source"))
-        .where("n > 1").drop("n", "_hash"))
-    single = _copies(windows.join(source, ["one", "two"])).select(
-        *DOC, "start", (F.col("start") + width).alias("end"), "source")
-    return whole.unionByName(single)
+    """(doc_id, _tag, start, end): word spans all of whose windows occur earlier."""
+    scratch = Scratch(rows.sparkSession, "substrings")
+    many = scratch.keep(repeated_anchors(scratch.keep(edges(rows, width), "edges")), "repeated")
+    scratch.drop("edges")
+    first = scratch.keep(sources(many), "sources")
+    copy = ~_here().eqNullSafe(F.col("source"))
+    whole = many.drop("windows").join(first, ["anchor", "content"]).where(copy).select(
+        *DOC, "start", (F.col("start") + F.col("windows") + (width - 1)).alias("end"))
+    windows = scratch.keep(source_windows(rows, first, width), "windows")
+    again = (lookup_groups(windows, ["one", "two"])
+             .agg(F.count("*").alias("n"), F.min(_here()).alias("source"))
+             .where("n > 1").drop("n", "_hash"))
+    single = windows.join(again, ["one", "two"]).where(copy).select(
+        *DOC, "start", (F.col("start") + width).alias("end"))
+    spans = scratch.keep(whole.unionByName(single).groupBy(*DOC)
+                         .agg(F.collect_list(F.struct("start", "end")).alias("_spans")), "spans")
+    scratch.drop("repeated", "sources", "windows")
+    return spans
 
 
 def with_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All columns of the documents, ``_tag``, and ``spans``: the list of repeated
+    """All columns of the documents, ``_tag``, and ``_spans``: the list of repeated
     (start, end) word spans, null where there is none."""
-    rows = _rows(docs)
-    gone = (repeats(rows, width).groupBy(*DOC)
-            .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    gone = repeats(_rows(docs), width)
     named = docs.withColumn("_tag", _tag())
     return named.join(gone, _same_document(named, gone), "left").select(
-        *[named[c] for c in docs.columns], named["_tag"], gone["spans"].alias("_spans"))
-
-
-def keep_mask(n: int, spans) -> np.ndarray:
-    """Which of n words lie in none of the (start, end) spans."""
-    change = np.zeros(n + 1, np.int64)
-    if spans is not None and len(spans):
-        start, end = (spans.field(k).to_numpy() for k in (0, 1))
-        np.add.at(change, start, 1)
-        np.add.at(change, end, -1)
-    return np.cumsum(change[:n]) == 0
+        *[named[c] for c in docs.columns], named["_tag"], gone["_spans"])
+
+
+def kept_words(part: pa.RecordBatch, words) -> np.ndarray:
+    """Which words of a batch lie in none of their text's spans."""
+    lists = column(part, "_spans")
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    base = np.repeat(words.ends[:-1], sizes)
+    spans = lists.flatten()
+    change = np.zeros(len(words.first) + 1, np.int64)
+    np.add.at(change, spans.field(0).to_numpy() + base, 1)
+    np.add.at(change, spans.field(1).to_numpy() + base, -1)
+    return np.cumsum(change[:-1]) == 0
+
+
+def joined_words(words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the kept words of each text joined by one space, and where each text begins."""
+    first, last, owner = words.first[kept], words.last[kept], words.owners()[kept]
+    size = last - first + 1  # with the space behind it
+    final = np.r_[owner[1:] != owner[:-1], True][:len(owner)]
+    size = size - final
+    at = np.cumsum(size) - size
+    out = np.full(int(size.sum()), 0x20, np.uint8)
+    length = last - first
+    into = np.repeat(at - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    from_ = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    out[into] = words.data[from_]
+    begins = np.bincount(owner, size, len(words.ends) - 1).astype(np.int64)
+    return out, np.r_[0, np.cumsum(begins)]
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in slices(batches):
-        spans, out = column(part, "_spans"), []
-        for i, text in enumerate(texts):
-            words = WORD.findall(text)
-            mask = keep_mask(len(words), spans[i].values)
-            if not mask.all():
-                words = [w for w, k in zip(words, mask.tolist(), strict=True) if k]
-            out.append((len(mask), len(mask) - len(words),
-                        hashlib.sha256(" ".join(words).encode("utf-8")).hexdigest()))
-        n, removed, sha = zip(*out, strict=True)
+    for part in slices(batches):
+        words = words_of(part)
+        kept = kept_words(part, words)
+        data, at = joined_words(words, kept)
+        n = np.diff(words.ends)
+        left = np.bincount(words.owners()[kept], minlength=len(n))
+        sha = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [column(part, "doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+            [column(part, "doc_id"), pa.array(n, pa.int64()), pa.array(n - left, pa.int64()),
              pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
@@ -231,17 +237,17 @@ def digest(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         _digest, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
-def cut_text(text: str, spans) -> str:
-    """The text without the words in the spans; the rest keeps its white space."""
-    places = [m.span() for m in WORD.finditer(text)]
-    mask = keep_mask(len(places), spans)
-    out, done = [], 0
-    drops = np.flatnonzero(~mask)
-    for run in np.split(drops, np.flatnonzero(np.diff(drops) > 1) + 1) if len(drops) else ():
-        after = places[run[-1] + 1][0] if run[-1] + 1 < len(places) else len(text)
-        out.append(text[done:places[run[0]][0]])
-        done = after
-    return "".join(out) + text[done:]
+def cut_text(words, kept: np.ndarray, t: int) -> str:
+    """Text t without the words that are not kept; the rest keeps its white space. A run of
+    removed words goes with the white space behind it."""
+    lo, hi = words.ends[t], words.ends[t + 1]
+    begin, end = words.places[t], words.places[t + 1]
+    mask = np.ones(end - begin, bool)
+    drops = np.flatnonzero(~kept[lo:hi]) + lo
+    for run in np.split(drops, np.flatnonzero(np.diff(drops) > 1) + 1):
+        after = words.first[run[-1] + 1] if run[-1] + 1 < hi else end
+        mask[words.first[run[0]] - begin:after - begin] = False
+    return words.data[begin:end][mask].tobytes().decode("utf-8")
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -253,31 +259,27 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _cut_rows(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches):
-            spans, kept, new = column(part, "_spans"), [], []
-            for i, text in enumerate(texts):
-                if not spans[i].is_valid:
-                    kept.append(i)
-                    new.append(None)
-                    continue
-                cut = cut_text(text, spans[i].values)
-                if WORD.search(cut):
-                    kept.append(i)
-                    new.append(cut)
-            yield _replaced(part, names, kept, new)
+        for part in slices(batches):
+            words = words_of(part)
+            kept = kept_words(part, words)
+            left = np.bincount(words.owners()[kept], minlength=part.num_rows)
+            lost = np.diff(words.ends) - left
+            rows = np.flatnonzero((lost == 0) | (left > 0))
+            new = [cut_text(words, kept, t) if lost[t] else None for t in rows]
+            yield _replaced(part, names, rows, new)
     return run
 
 
-def _replaced(part: pa.RecordBatch, names, kept, new) -> pa.RecordBatch:
-    """The kept rows, with the new text where there is one."""
-    at, out = pa.array(kept, pa.int64()), []
+def _replaced(part: pa.RecordBatch, names: list[str], rows, new) -> pa.RecordBatch:
+    """The given rows, with the new text where there is one."""
+    at, out = pa.array(rows, pa.int64()), []
     changed = pa.array([x is not None for x in new], pa.bool_())
     for name in names:
         values = column(part, name).take(at)
         if name == "text":
-            values = pa.compute.if_else(changed, pa.array(new, values.type), values)
+            values = pc.if_else(changed, pa.array(new, values.type), values)
         elif name == "n_chars":
             sizes = pa.array([None if x is None else len(x) for x in new], values.type)
-            values = pa.compute.if_else(changed, sizes, values)
+            values = pc.if_else(changed, sizes, values)
         out.append(values)
     return pa.RecordBatch.from_arrays(out, names=names)

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderloom.llm.common import WORD, Memo, column, slices
+from orderloom.llm.common import WORD, Memo, column, slices, texts_of
 
 THRESHOLD = 0.3
 
@@ -89,9 +89,9 @@ def _features(groups):
         memo = Memo(word_features)
         pack = lambda words: np.unique(np.fromiter(
             (f for w in words for f in memo[w]), np.uint32)).tobytes()
-        for part, texts in slices(batches):
+        for part in slices(batches):
             own, other = [], []
-            for text in texts:
+            for text in texts_of(part):
                 words = set(WORD.findall(text))
                 own.append(pack(words))
                 swaps = swapped(words, groups)
