@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import mixing, neardup, packing, substrings, toxicity
+from orderloom.llm import mixing, neardup, packing, substrings, tokencount, toxicity
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -20,6 +20,12 @@ def query(run):
     return run
 
 
+@query
+def op1_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(from_parquet(spark, sf_dir, "documents"),
+                                   tokenizer_file("byte_bpe_50k.json"))
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(from_parquet(spark, sf_dir, "documents"),
