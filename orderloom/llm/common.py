@@ -114,11 +114,15 @@ class Words(NamedTuple):
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
-def words_of(batch, name: str = "text") -> Words:
+def words_of(batch, name: str = "text", separator: np.ndarray = _SPACE,
+             folded: np.ndarray | None = None) -> Words:
+    """Words between bytes marked in ``separator``, bytes replaced by ``folded`` before."""
     data, places = text_bytes(batch, name)
+    if folded is not None:
+        data = folded[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[places] = True
-    space = _SPACE[data]
+    space = separator[data]
     first = np.flatnonzero(~space & (np.r_[True, space][:-1] | edge[:-1]))
     last = np.flatnonzero(~space & (np.r_[space, True][1:] | edge[1:])) + 1
     return Words(data, places, first, last, np.searchsorted(first, places))

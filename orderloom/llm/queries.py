@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import mixing, neardup, packing, substrings, tokencount, toxicity
+from orderloom.llm import (licenses, mixing, neardup, packing, repetition, substrings, tokencount,
+                           toxicity)
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -37,6 +38,17 @@ def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(from_parquet(spark, sf_dir, "documents"))
 
 
+@query
+def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.repetition(from_parquet(spark, sf_dir, "documents"))
+    return found.select("doc_id", *repetition.COUNTS, "base_failed", "kept")
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(from_parquet(spark, sf_dir, "documents"))
+
+
 @query
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(from_parquet(spark, sf_dir, "documents"))
