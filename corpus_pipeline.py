@@ -8,7 +8,7 @@ All stages but the last return the columns of documents.
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import mixing, neardup, packing, substrings, toxicity
-from orderloom.llm.common import from_parquet, settle
+from orderloom.llm.common import Scratch, from_parquet
 from orderloom.llm.queries import tokenizer_file
 
 
@@ -50,7 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = from_parquet(spark, sf_dir, "documents")
+    scratch, docs, before = Scratch(spark, "pipeline"), from_parquet(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        scratch.drop(*before)
+        before = [name.replace(" ", "-")]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import (licenses, mixing, neardup, packing, repetition, substrings, tokencount,
-                           toxicity)
+from orderloom.llm import (licenses, mixing, nearest, neardup, packing, repetition, substrings,
+                           tokencount, toxicity, urlfilter)
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -112,3 +112,33 @@ SELECT doc_id, size, n AS source_size, target,
   CASE WHEN n = 0 THEN 0 ELSE (q // n) * size + least(size, greatest(0, q - (q // n) * n - before)) END::BIGINT AS taken
 FROM p
 """
+
+
+@query
+def op9_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(from_parquet(spark, sf_dir, "pages"))
+
+
+ORACLE["op9_urlfilter"] = r"""
+WITH p AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN regexp_matches(host || path, '(?s)([.](exe|zip|iso)$)|/login|/cart/|/wp-admin/') THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(from_parquet(spark, sf_dir, "embeddings"))
