@@ -304,5 +304,6 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     named = named.join(classes.toDF("_key", "_class"), "_key", "left").withColumn(
         "_class", F.coalesce("_class", "_key"))
     blank = F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    spread = first_rows(named.where(~blank), ["_class"], ["doc_id", "_key"])
+    spread = first_rows(named.where(~blank), ["_class"],
+                        [F.col("doc_id").asc_nulls_last(), "_key"])
     return spread.unionByName(named.where(blank)).select(*docs.columns)

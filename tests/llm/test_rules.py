@@ -1,0 +1,304 @@
+"""Quality rules, license scans, toxicity, URL rules, mixing and search."""
+
+import random
+import re
+from collections import Counter
+from fnmatch import translate
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.llm import licenses, mixing, nearest, repetition, toxicity, urlfilter
+
+from .conftest import SF, document_rows, plain, prose, words
+
+
+def plain_counts(text):
+    w, text = words(text), text or ""
+    n = len(w)
+    grams = Counter(tuple(w[i:i + 8]) for i in range(n - 7))
+    inside = {i + j for i in range(n - 7) if grams[tuple(w[i:i + 8])] > 1 for j in range(8)}
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            again += line in seen
+            seen.add(line)
+    return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), again, len(inside)
+
+
+def test_repetition_counts(docs):
+    got = repetition.repetition(docs).select("doc_id", *repetition.COUNTS, "base_failed")
+    want = []
+    for i, t, *_ in document_rows():
+        c = plain_counts(t)
+        want.append((i, *c, c[0] < 20 or 100 * c[4] > 30 * c[0]))
+    assert plain(got) == sorted(want, key=repr)
+
+
+def test_repetition_shares():
+    rng = random.Random(1)
+    text = prose(rng, 60) + " " + "one two three four five six seven " * 3 + prose(rng, 5)
+    batch = pa.RecordBatch.from_pydict({"text": ["", text, "a\nb\na\na"]})
+    got = repetition.measures(batch)
+    w = words(text)
+    for k in (2, 3, 4):
+        grams = Counter(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+        top = max(n * sum(map(len, g)) for g, n in grams.items() if n > 1)
+        assert got[f"top{k}"][1] == pytest.approx(top / sum(map(len, w)))
+    for k in (5, 8, 10):
+        grams = Counter(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+        inside = {i + j for i in range(len(w) - k + 1) if grams[tuple(w[i:i + k])] > 1
+                  for j in range(k)}
+        assert got[f"repeated{k}"][1] == pytest.approx(
+            sum(len(w[i]) for i in inside) / sum(map(len, w)))
+    assert got["line_share"][2] == 0.5 and got["n_dup_lines"].tolist() == [0, 0, 2]
+
+
+def test_good_labels_are_kept_and_bad_ones_found(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = repetition.repetition(docs).join(labels, "doc_id").where("not base_failed")
+    assert got.where("kept and quality = 0").count() == 0
+    assert got.where("not kept and quality = 1").count() == 0
+
+
+def test_repetition_of_nothing(no_docs):
+    assert repetition.repetition(no_docs).collect() == []
+
+
+def test_licenses_are_found_changed_and_twice(spark):
+    mit = licenses.TEMPLATES["mit-permission"]
+    changed = mit.replace("free of charge, ", "").replace("merge, ", "merge and more, ")
+    rows = [(1, f"é {mit.upper()} tail"), (2, changed), (3, "All rights reserved. x " * 3),
+            (4, None), (5, ""), (6, "permission is here, all rights kept"), (None, "all Rights reserved")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((r.doc_id, r.license, round(r.coverage, 2)) for r in got if r.doc_id)
+    assert found == [(1, "mit-permission", 1.0), (2, "mit-permission", 0.96)] + [
+        (3, "all-rights-reserved", 1.0)] * 3
+    first = next(r for r in got if r.doc_id == 1)
+    assert rows[0][1][first.start_char:first.end_char] == mit.upper().rstrip(":")
+
+
+def test_every_notice_of_a_table_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = Counter((r.doc_id, r.license) for r in licenses.scan(docs).collect())
+    want = Counter()
+    for d in docs.select("doc_id", "text").collect():
+        for name, text in licenses.TEMPLATES.items():
+            n = len(re.findall(re.escape(text.rstrip(".:")), d.text or "", re.I))
+            if n:
+                want[d.doc_id, name] += n
+    assert want and got == want
+
+
+def test_winnowing_keeps_one_of_each_window():
+    grams = np.random.default_rng(2).integers(0, 99, 200).astype(np.uint64)
+    kept = set(licenses.winnow(grams, 4).tolist())
+    assert all(kept & set(range(i, i + 4)) for i in range(197))
+
+
+def labelled(spark, n=400):
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(n):
+        toxic = i % 4 == 0
+        w = prose(rng, 60).split()
+        if toxic:
+            w[rng.randrange(60)] = "vilest" + rng.choice(["er", "en", "ing", ""])
+        if i % 3 == 0 or toxic:
+            w[rng.randrange(30)] = "women"
+        docs.append((i, " ".join(w), "k"))
+        labels.append((i, 1, int(toxic)))
+    labels += [(3, 1, None), (None, 1, 1)]
+    docs += [(None, None, None), (n, "", "k"), (n + 1, "word " * 20_000, "k"), (0, docs[0][1], "k")]
+    return (spark.createDataFrame(docs, "doc_id long, text string, score string"),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_toxic_texts_are_told_and_groups_do_not_matter(spark):
+    docs, labels = labelled(spark)
+    got = toxicity.toxicity(docs, labels).toPandas()
+    truth = {i: int(i % 4 == 0) for i in range(400)}
+    held = got[got.held_out & got.doc_id.isin(truth)]
+    assert len(held) > 50 and (held.predicted == held.doc_id.map(truth)).mean() > 0.97
+    assert got.score.between(0, 1).all() and len(got) == docs.count()
+    assert (got[~got.doc_id.isin(truth)].predicted == 0).all()
+    fair = toxicity.fit(docs, labels)
+    free = toxicity.fit(docs, labels, fairness=0.0)
+    term = lambda m: abs(sum(m.weights.get(f, 0) for f in toxicity.word_features("women")))
+    assert term(fair) < 0.3 and term(fair) <= term(free)
+
+
+def test_toxicity_without_labels_or_documents(spark, no_docs):
+    docs, labels = labelled(spark, 40)
+    none = labels.where("false")
+    assert {r.predicted for r in toxicity.toxicity(docs, none).collect()} == {0}
+    assert toxicity.toxicity(no_docs, labels).collect() == []
+    kept = toxicity.without_toxic(docs, none)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_held_out_labels_are_not_learned(spark):
+    docs, labels = labelled(spark)
+    other = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic"))
+                              .otherwise(F.col("toxic")))
+    assert toxicity.fit(docs, labels) == toxicity.fit(docs, other)
+
+
+def test_swaps_stay_in_their_group():
+    assert toxicity.swapped({"Women,", "x", "he"}, toxicity.IDENTITY_GROUPS) == {
+        "Women,": "men", "he": "she"}
+
+
+URLS = ["http://A.Example.NET/en/x?q", "https://example.net/fr", "x://example.com/de/", "http://net",
+        "http://a.org/fr/1", "http://notexample.com/de/", "no url", None, "", "a://b://c.net/z",
+        "http://h.xyz/a.exe", "http://h.xyz/a.exe#f", "http://x.y/.net/", "http://é.net/ü",
+        "://", "http://x.y/" + "long/" * 3000 + "login", "http://sub.org/fr/?x", "http://net/"]
+
+
+def test_urls(spark):
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(URLS)] + [(0, URLS[0], None)],
+                                  "page_id long, url string, rule string")
+    got = {r.page_id: (r.host, r.path[:9], r.rule, r.verdict)
+           for r in urlfilter.judge(pages).collect()}
+    assert urlfilter.judge(pages).count() == len(URLS) + 1
+    assert got[0] == ("a.example.net", "/en/x", "example.net/en/", "allow")
+    assert got[1] == ("example.net", "/fr", "net/", "block")
+    assert got[2] == ("example.com", "/de/", "example.com/de/", "block")
+    assert got[3] == ("net", "", None, "allow")
+    assert got[4] == ("a.org", "/fr/1", "org/fr/", "allow")
+    assert got[5] == ("notexample.com", "/de/", None, "allow")
+    assert got[6] == got[7] == got[8] == got[14] == ("", "", None, "allow")
+    assert got[9] == ("b:", "//c.net/z", None, "allow")
+    assert got[10][3] == got[11][3] == got[15][3] == "block"
+    assert got[12] == ("x.y", "/.net/", None, "allow")
+    assert got[13] == ("é.net", "/ü", "net/", "block")
+    assert got[16][2] == "org/fr/" and got[17][2] == "net/"
+
+
+def test_no_urls(spark):
+    assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
+def test_automaton_against_globs():
+    rng = random.Random(9)
+    globs = ["".join(rng.choices(["a", "b", "**", "ab"], k=rng.randint(1, 9))) for _ in range(40)]
+    texts = ["".join(rng.choices("ab", k=rng.randint(0, 30))) for _ in range(300)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    got = urlfilter.Automaton(globs).fits(data, np.cumsum([0, *map(len, texts)]))
+    for j, g in enumerate(globs):
+        want = re.compile(translate(re.sub(r"\*+", "*", g)))
+        assert [bool(want.match(t)) for t in texts] == got[:, j].tolist(), g
+
+
+def test_single_star_stops_at_a_slash():
+    data = np.frombuffer(b"a/bab", np.uint8)
+    got = urlfilter.Automaton(["a*b", "a**b"]).fits(data, np.array([0, 3, 5]))
+    assert got.tolist() == [[False, True], [True, True]]
+
+
+def test_targets_share_what_exceeds():
+    got = mixing.targets({"b": 10, "a": 100, None: 1000, "c": 0})
+    assert list(got) != [] and sum(got.values()) == pytest.approx(1.5 * 1110)
+    assert got["b"] == 20 and got["a"] == 200 and got["c"] == 0 and got[None] <= 2000
+
+
+def test_flow_prefers_first_passes():
+    # Pattern 0 serves both sources, 1 and 2 one each.
+    flow = mixing.min_cost_flow([10, 10, 10], [[0, 1], [0], [1]], [18, 12])
+    assert flow.sum(0).tolist() == [18, 12] and flow.sum(1).tolist() == [10, 10, 10]
+    flow = mixing.min_cost_flow([10, 1], [[0, 1], [1]], [15, 9])
+    assert flow.sum(1).tolist() == [20, 2] and flow.sum() == 22
+
+
+def test_mix_comes_near_its_targets(docs):
+    got = mixing.mixed_sizes(docs).toPandas()
+    assert len(got) == len(document_rows()) and (got.taken <= 2 * got["size"]).all()
+    assert sorted(got["size"]) == sorted(len(words(r[1])) for r in document_rows())
+    sums = got.groupby("target").agg(taken=("taken", "sum"))
+    assert all(abs(t - taken) <= 1 for t, taken in sums.taken.items())
+    assert plain(mixing.mixed_sizes(docs)) == plain(mixing.mixed_sizes(docs.repartition(5)))
+
+
+def test_mix_of_nothing(no_docs):
+    assert mixing.mixed_sizes(no_docs).collect() == []
+    assert mixing.mixed_documents(no_docs).collect() == []
+
+
+def test_overlapping_sources_share_documents(spark):
+    rows = [(i, "w " * 10, ["a"] if i < 10 else ["a", "b"] if i < 20 else ["b"]) for i in range(30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    got = mixing.mix(table, F.col("sources"), weights=(3, 1), share=1.0)
+    assert got.agg(F.sum("_taken")).first()[0] == 400  # 'a' and 'b' count 200 words each
+    assert got.where("_taken > 2 * _size").count() == 0
+
+
+def plain_nearest(rows, k=20):
+    vectors = {(i, tuple(v)) for i, v in rows if i is not None and v and None not in v
+               and np.isfinite(v).all() and any(v)}
+    most = Counter(len(v) for _, v in vectors).most_common(1)[0][0]
+    vectors = sorted(x for x in vectors if len(x[1]) == most)
+    out = {}
+    for i, v in vectors:
+        if i % 20 == 0:
+            all_ = sorted((-float(np.dot(v, w)), j) for j, w in vectors if j != i)
+            out[i] = [(j, -s) for s, j in all_[:k]]
+    return out
+
+
+def odd_vectors():
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(90)]
+    rows[7] = (7, [8 * x for x in rows[7][1]])
+    rows += [(1000 + i, rows[7][1]) for i in range(40)] + [rows[20], (2000, rows[7][1])]
+    rows += [(100, None), (120, []), (140, [0.0] * 6), (160, [1.0, None] * 3), (None, rows[3][1]),
+             (180, [float("nan")] * 6), (200, [float("inf")] + [1.0] * 5), (220, [1.0] * 5)]
+    return rows
+
+
+def test_nearest_rows_of_odd_vectors(spark):
+    rows = odd_vectors()
+    table = spark.createDataFrame([(i, v, "x") for i, v in rows],
+                                  "vec_id long, embedding array<float>, score string").repartition(4)
+    got = nearest.nearest(table).toPandas().sort_values(["query_id", "rank"])
+    want, hit, all_ = plain_nearest(rows), 0, 0
+    assert set(got.query_id) == set(want)
+    for i, g in got.groupby("query_id"):
+        assert g["rank"].tolist() == list(range(1, 21)) and g.score.is_monotonic_decreasing
+        hit += len({j for j, _ in want[i]} & set(g.vec_id))
+        all_ += 20
+    assert hit / all_ > 0.9
+    # All copies of one vector have equal scores: the least ids are taken.
+    two = got[got.query_id == 2000]
+    assert two.vec_id.tolist()[:20] == [7, *range(1000, 1019)]
+
+
+def test_nearest_when_there_are_few(spark):
+    kind = "vec_id long, embedding array<float>"
+    few = spark.createDataFrame([(20, [1.0, 0.0]), (3, [0.5, 0.5]), (5, [0.0, 2.0])], kind)
+    got = [tuple(r) for r in nearest.nearest(few).orderBy("rank").collect()]
+    assert got == [(20, 1, 3, 0.5), (20, 2, 5, 0.0)]
+    assert nearest.nearest(spark.createDataFrame([], kind)).collect() == []
+    assert nearest.nearest(few.where("vec_id = 3")).collect() == []
+
+
+def test_recall_on_a_given_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    want = plain_nearest([(r.vec_id, list(r.embedding)) for r in table.collect()])
+    got = nearest.nearest(table).toPandas().groupby("query_id").vec_id.apply(set)
+    assert np.mean([len({j for j, _ in want[i]} & got[i]) / 20 for i in want]) >= 0.9
+
+
+def test_pigeonhole_finds_every_code():
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    index = nearest.SubstringIndex(codes)
+    for radius in (9, 20, 31):
+        want = np.flatnonzero(np.bitwise_count(codes ^ codes[5]) <= radius)
+        assert index.within(codes[5], radius).tolist() == want.tolist()
+
+
+def test_given_tables_are_read(spark):
+    assert spark.read.parquet(f"{SF}/documents.parquet").count() > 0
