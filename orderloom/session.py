@@ -1,7 +1,5 @@
 """Session settings used by tests and the benchmark, and the shared work folder."""
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +18,8 @@ SETTINGS = {
 
 
 def local_session(cores: str = "*", name: str = "orderloom", **extra: str) -> SparkSession:
-    """A local session. On a cluster the caller brings its own."""
+    """A local session; ``extra`` should name a ``spark.checkpoint.dir``. On a cluster the
+    caller brings its own session."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -29,30 +28,27 @@ def local_session(cores: str = "*", name: str = "orderloom", **extra: str) -> Sp
     return spark
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without the setting gets a folder of its own; a cluster
+    A local session without the setting uses a folder in its warehouse; a cluster
     without it is an error, because a machine-local folder dies with its machine.
     """
     folder = (spark.conf.get("spark.checkpoint.dir", None)
               or spark.sparkContext.getCheckpointDir())
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="orderloom-")
-    return _local_folders[app]
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark), purpose, uuid.uuid4().hex)
+    """A fresh path below the shared folder, removed when the application ends."""
+    name = "/".join([shared_folder(spark), purpose, uuid.uuid4().hex])
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return name
 
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:

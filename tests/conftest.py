@@ -9,10 +9,11 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from orderloom.session import local_session
-    session = local_session("4", "tests", **{"spark.sql.shuffle.partitions": "4",
-                                             "spark.driver.memory": "4g"})
+    session = local_session("4", "tests", **{
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"})
     yield session
     session.stop()
 

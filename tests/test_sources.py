@@ -100,7 +100,9 @@ class FakeSession:
     """A session with the given master and checkpoint folder."""
 
     def __init__(self, master, folder=None):
-        self.conf = {} if folder is None else {"spark.checkpoint.dir": folder}
+        self.conf = {"spark.sql.warehouse.dir": "file:/w"}
+        if folder is not None:
+            self.conf["spark.checkpoint.dir"] = folder
         self.sparkContext = self
         self.master, self.applicationId = master, "app"
 
@@ -110,10 +112,13 @@ class FakeSession:
 
 def test_shared_folder_is_the_one_the_cluster_names(monkeypatch):
     assert shared_folder(FakeSession("yarn", "hdfs:///work/")) == "hdfs:///work"
-    assert new_folder(FakeSession("yarn", "hdfs:///work"), "x").startswith("hdfs:///work/x/")
     with pytest.raises(RuntimeError):
         shared_folder(FakeSession("yarn"))
-    assert shared_folder(FakeSession("local[2]")) == shared_folder(FakeSession("local[2]"))
+    assert shared_folder(FakeSession("local[2]")) == "file:/w/_scratch"
+
+
+def test_a_new_folder_lies_in_the_shared_one(spark):
+    assert new_folder(spark, "x").startswith(shared_folder(spark) + "/x/")
 
 
 def test_settled_rows_are_read_back(spark):
