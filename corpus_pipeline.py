@@ -50,7 +50,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch, docs, before = Scratch(spark, "pipeline"), from_parquet(spark, sf_dir, "documents"), []
+    docs, before = from_parquet(spark, sf_dir, "documents"), []
+    scratch = Scratch(docs, "pipeline")
     for name, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
         scratch.drop(*before)

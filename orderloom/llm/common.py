@@ -26,17 +26,27 @@ class Scratch:
 
     What follows no longer depends on recomputing what came before, so a lost executor costs
     little. The shuffle files of a table are freed when it is written, and a table that is
-    no longer needed is dropped, so the disk holds one step at a time.
+    no longer needed is dropped, so the disk holds one step at a time. Tables have at most a
+    file for every ``ROWS_A_FILE`` rows of the operator's input: their number follows the input
+    and not how finely a join was split.
     """
 
-    def __init__(self, spark: SparkSession, purpose: str):
-        self.spark, self.folder = spark, new_folder(spark, purpose)
+    ROWS_A_FILE = 8_000
+
+    def __init__(self, source: DataFrame, purpose: str):
+        self.spark = source.sparkSession
+        self.folder = new_folder(self.spark, purpose)
+        self.files = max(1, -(-source.count() // self.ROWS_A_FILE))
+
+    def few(self, df: DataFrame) -> DataFrame:
+        """The rows in no more tasks than the table would have files."""
+        return df.coalesce(self.files)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path, before = f"{self.folder}/{name}", self.spark.conf.get(SHUFFLE_CLEANUP, "false")
         self.spark.conf.set(SHUFFLE_CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            self.few(df).write.parquet(path)
         finally:
             self.spark.conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -7,12 +7,14 @@ order of rank and each of ``COORDINATES`` coordinates keeps its earliest dart. T
 agree in a coordinate with probability equal to their weighted Jaccard similarity, and the
 cost is the number of darts plus shingles, not their product.
 
-Bands of coordinates are the join keys. Each band bucket links its members to two leaders
-(least and greatest key), never all pairs of a group; candidates are checked exactly on their
-shingles. What a bucket still holds in different classes after that is compared with a
-128-bit sketch inside the join, and only pairs that may reach the similarity leave it, so
-no link between different texts is lost to the leaders. Classes are connected components,
-found by contraction in Spark; no link, class or signature passes through the driver.
+Bands of coordinates are the join keys. Each bucket links its members to one leader, the
+member that meets most others in all its buckets (the hub of a family of copies), never all pairs
+of a group; candidates are checked exactly on their shingles. What a bucket still holds in
+different classes after that is compared inside the join: a pair leaves it only if a 128-bit
+sketch says it may be similar and both have enough shingles that any other candidate has at all
+(a text with many shingles of its own cannot reach the similarity with anything). No link between
+different texts is lost to the leaders. Classes are connected components, found by contraction
+in Spark; no link, class or signature passes through the driver.
 
 Exact copies are one node (md5 of the text), so a group of copies costs one signature row.
 
@@ -160,36 +162,73 @@ def _near(a: str, b: str) -> F.Column:
     return differ <= COORDINATES - SKETCH_BITS
 
 
-def leader_pairs(bands: DataFrame) -> DataFrame:
-    """Candidates (a, b), a < b: members of a band bucket with its least and greatest key."""
-    node = F.struct("key", "sketch0", "sketch1")
-    ends = (lookup_groups(bands, ["band"])
-            .agg(F.min(node).alias("low"), F.max(node).alias("high"))
-            .where("low.key <> high.key").drop("_hash"))
-    # bands and ends both come from a shuffle, so a hot bucket is split.
-    met = bands.alias("m").join(ends, "band")
-    pairs = [met.where(f"m.key <> {e}.key").where(_near("m", e))
-             .select(F.least(f"{e}.key", "m.key").alias("a"), F.greatest(f"{e}.key", "m.key").alias("b"))
-             for e in ("low", "high")]
-    return pairs[0].union(pairs[1]).distinct()
-
-
-def class_pairs(bands: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
-    """Candidates that the leaders left: in one bucket, in different classes, near by sketch,
-    not tested yet."""
-    mixed = (lookup_groups(bands.join(classes, "key", "left")
-                           .withColumn("class", F.coalesce("class", "key")), ["band"])
-             .agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
-             .select("band"))
-    left = (bands.join(mixed, "band").join(classes, "key", "left")
-            .withColumn("class", F.coalesce("class", "key")))
-    one, two = left.alias("p"), left.alias("q")
-    met = one.join(two, F.expr("p.band = q.band and p.key < q.key and p.class <> q.class")
-                   & _near("p", "q"))
+def shared_buckets(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(band, key, degree, sketch0, sketch1) for buckets with several members; degree counts
+    whom a key meets in all its buckets."""
+    bands = nodes.select(F.explode("bands").alias("band"), "key")
+    several = lookup_groups(bands, ["band"]).agg(F.count("*").alias("n")).where("n > 1")
+    met = scratch.keep(bands.join(several.select("band", "n"), "band"), "met")
+    degree = met.groupBy("key").agg(F.sum("n").alias("degree"))
+    known = degree.join(nodes.select("key", "sketch0", "sketch1"), "key")
+    return scratch.keep(met.drop("n").join(known, "key"), "buckets")
+
+
+def leader_pairs(buckets: DataFrame) -> DataFrame:
+    """Candidates (a, b), a < b: members of a bucket with its member of greatest degree."""
+    leader = (lookup_groups(buckets, ["band"])
+              .agg(F.max(F.struct("degree", "key", "sketch0", "sketch1")).alias("lead")).drop("_hash"))
+    # Both sides come from a shuffle, so a hot bucket is split.
+    met = buckets.alias("m").join(leader, "band").where("m.key <> lead.key").where(_near("m", "lead"))
+    return met.select(F.least("lead.key", "m.key").alias("a"),
+                      F.greatest("lead.key", "m.key").alias("b")).distinct()
+
+
+def mixed_buckets(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of buckets whose members are in different classes, with ``class``."""
+    named = buckets.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
+    mixed = (lookup_groups(named, ["band"]).agg(F.min("class").alias("x"), F.max("class").alias("y"))
+             .where("x <> y").select("band"))
+    return named.join(mixed, "band")
+
+
+def shared_weight(rows: DataFrame) -> DataFrame:
+    """(key, size, shared): all of a text's shingles, and those some other text has, too.
+
+    ``rows`` are (key, shingle, weight). A shingle of one text is found by its count alone.
+    """
+    single = (rows.groupBy("shingle")
+              .agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("weight").alias("weight"))
+              .where("n = 1").groupBy("key").agg(F.sum("weight").alias("own")))
+    size = rows.groupBy("key").agg(F.sum("weight").alias("size"))
+    return size.join(single, "key", "left").select(
+        "key", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def class_pairs(mixed: DataFrame, sizes: DataFrame, tested: DataFrame, least: float) -> DataFrame:
+    """Candidates that the leaders left: in one bucket, in different classes, similar by the
+    sketch, with shared shingles enough, not tested yet.
+
+    Similarity s means common shingles of s / (1 + s) times both sizes, and no more can be common
+    than either text shares with anyone.
+    """
+    left = mixed.join(sizes.where(F.col("shared") >= least * F.col("size")), "key")
+    met = left.alias("p").join(left.alias("q"), F.expr(
+        "p.band = q.band and p.key < q.key and p.class <> q.class") & _near("p", "q")
+        & (F.least("p.shared", "q.shared") * (1 + least)
+           >= least * (F.col("p.size") + F.col("q.size")) - 1e-9))
     return (met.select(F.col("p.key").alias("a"), F.col("q.key").alias("b")).distinct()
             .join(tested, ["a", "b"], "left_anti"))
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        words = words_of(part)
+        owner, ids, n = weighted_shingles(word_hashes(words), words.ends)
+        yield pa.RecordBatch.from_arrays(
+            [column(part, "key").take(pa.array(owner)), pa.array(signed(ids)), pa.array(n, pa.int64())],
+            names=["key", "shingle", "weight"])
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         words = words_of(part)
@@ -220,12 +259,18 @@ def _similar(least: float):
     return run
 
 
+def texts_of_keys(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key and text, once for each wanted key."""
+    found = keyed.select("key", "text", "doc_id").join(wanted, "key")
+    return first_rows(found, ["key"], ["doc_id"]).select("key", "text")
+
+
 def checked(keyed: DataFrame, pairs: DataFrame, least: float, scratch: Scratch,
             name: str) -> DataFrame:
     """The pairs whose exact similarity reaches the least one."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = first_rows(keyed.select("key", "text", "doc_id").join(wanted, "key"), ["key"], ["doc_id"])
-    sets = scratch.keep(texts.select("key", "text").mapInArrow(
+    texts = texts_of_keys(keyed, wanted)
+    sets = scratch.keep(texts.mapInArrow(
         _set_rows, "key binary, shingles binary"), f"{name}-shingles")
     found = scratch.keep(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
                          .mapInArrow(_similar(least), "a binary, b binary"), name)
@@ -262,16 +307,23 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 def links_and_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Checked links between distinct texts (a, b), and (key, class) for linked texts."""
-    scratch = Scratch(docs.sparkSession, "neardup")
+    scratch = Scratch(docs.select("doc_id"), "neardup")
     keyed = _keyed(docs)
     nodes = scratch.keep(signatures(keyed), "signatures")
-    bands = nodes.select(F.explode("bands").alias("band"), "key", "sketch0", "sketch1")
-    pairs = scratch.keep(leader_pairs(bands), "leader-pairs")
+    buckets = shared_buckets(nodes, scratch)
+    scratch.drop("met")
+    pairs = scratch.keep(leader_pairs(buckets), "leader-pairs")
     first = checked(keyed, pairs, least, scratch, "leader-links")
     classes = components(first, scratch, "leaders")
-    more = scratch.keep(class_pairs(bands, classes, pairs), "class-pairs")
+    mixed = scratch.keep(mixed_buckets(buckets, classes), "mixed")
+    scratch.drop("signatures", "buckets")
+    texts = texts_of_keys(keyed, mixed.select("key").distinct())
+    sizes = shared_weight(scratch.keep(texts.mapInArrow(
+        _shingle_rows, "key binary, shingle long, weight long"), "shingles"))
+    more = scratch.keep(class_pairs(mixed, sizes, pairs, least), "class-pairs")
+    scratch.drop("leader-pairs", "mixed", "shingles")
     second = checked(keyed, more, least, scratch, "class-links")
-    scratch.drop("signatures", "leader-pairs", "class-pairs")
+    scratch.drop("class-pairs")
     links = first.union(second)
     return links, classes if second.isEmpty() else components(links, scratch, "classes")
 

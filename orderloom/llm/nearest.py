@@ -143,7 +143,7 @@ def _search(codes: Codes, k: int):
 
 def nearest(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of each row whose id is divisible."""
-    scratch = Scratch(vectors.sparkSession, "nearest")
+    scratch = Scratch(vectors.select("vec_id"), "nearest")
     rows = scratch.keep(usable(vectors), "rows")
     inside = Window.partitionBy("vector").orderBy("vec_id")
     entries = scratch.keep(

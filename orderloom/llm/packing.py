@@ -212,7 +212,7 @@ def _seat_rows(runs):
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, step: int = STEP,
          depth: int = DEPTH, closing: int = CLOSING) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = Scratch(docs.sparkSession, "packing").keep(
+    cut = Scratch(docs.select("doc_id"), "packing").keep(
         pieces(docs, vocabulary, window, closing), "pieces")
     units = -(-window // step)
     unit = F.ceil(F.col("length") / step).cast("int")

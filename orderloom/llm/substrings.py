@@ -159,9 +159,9 @@ def source_windows(rows: DataFrame, first: DataFrame, width: int = WIDTH) -> Dat
                         f"doc_id {kind}, _tag long, start int, one long, two long"))
 
 
-def repeats(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, _tag, start, end): word spans all of whose windows occur earlier."""
-    scratch = Scratch(rows.sparkSession, "substrings")
+def repeats(rows: DataFrame, scratch: Scratch, width: int = WIDTH) -> DataFrame:
+    """(doc_id, _tag, _spans): lists of (start, end) word spans all of whose windows occur
+    earlier."""
     many = scratch.keep(repeated_anchors(scratch.keep(edges(rows, width), "edges")), "repeated")
     scratch.drop("edges")
     first = scratch.keep(sources(many), "sources")
@@ -183,10 +183,11 @@ def repeats(rows: DataFrame, width: int = WIDTH) -> DataFrame:
 def with_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """All columns of the documents, ``_tag``, and ``_spans``: the list of repeated
     (start, end) word spans, null where there is none."""
-    gone = repeats(_rows(docs), width)
+    scratch = Scratch(docs.select("doc_id"), "substrings")
+    gone = repeats(_rows(docs), scratch, width)
     named = docs.withColumn("_tag", _tag())
-    return named.join(gone, _same_document(named, gone), "left").select(
-        *[named[c] for c in docs.columns], named["_tag"], gone["_spans"])
+    return scratch.few(named.join(gone, _same_document(named, gone), "left").select(
+        *[named[c] for c in docs.columns], named["_tag"], gone["_spans"]))
 
 
 def kept_words(part: pa.RecordBatch, words) -> np.ndarray:

@@ -197,7 +197,7 @@ def _sum_block(rows: pa.Table) -> pa.Table:
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = Scratch(docs.sparkSession, "token-counts").keep(pieces(docs, vocabulary), "pieces")
+    known = Scratch(docs.select("doc_id"), "token-counts").keep(pieces(docs, vocabulary), "pieces")
     return (postings(docs, vocabulary).join(known, "pre_token", "left").drop("pre_token")
             .groupBy("block")
             .applyInArrow(_sum_block, f"doc_id {kind}, n_bytes long, n_tokens long")

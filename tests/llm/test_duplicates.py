@@ -71,18 +71,33 @@ def test_near_duplicates_of_nothing(no_docs):
     assert neardup.one_of_each(no_docs).collect() == []
 
 
-def test_a_chain_that_no_leader_sees_is_one_class(spark):
-    """Neighbours are similar, the ends are not; all share a band bucket by construction."""
-    bands = spark.createDataFrame(
-        [(7, bytes([i]), 0, 0) for i in range(6)], "band long, key binary, sketch0 long, sketch1 long")
-    pairs = neardup.leader_pairs(bands)
-    assert pairs.count() == 9  # each member with the least and the greatest, not all 15
+def test_what_the_leader_leaves_is_compared(spark):
+    """One bucket of six; the leader meets all, the others meet across classes only."""
+    buckets = spark.createDataFrame(
+        [(7, bytes([i]), 9 if i == 2 else 1, 0, 0) for i in range(6)],
+        "band long, key binary, degree long, sketch0 long, sketch1 long")
+    pairs = neardup.leader_pairs(buckets)
+    tested = {(r.a[0], r.b[0]) for r in pairs.collect()}
+    assert tested == {tuple(sorted((2, i))) for i in range(6) if i != 2}
     classes = spark.createDataFrame([(bytes([i]), bytes([0])) for i in (0, 1, 2)],
                                     "key binary, class binary")
-    more = neardup.class_pairs(bands, classes, pairs)
-    left = {(r.a[0], r.b[0]) for r in more.collect()}
-    assert left == {(a, b) for a, b in combinations(range(6), 2)
-                    if not (a <= 2 and b <= 2)} - {(r.a[0], r.b[0]) for r in pairs.collect()}
+    mixed = neardup.mixed_buckets(buckets, classes)
+    # 5 shares too little with anyone, 4 too little for a text as large as 3.
+    sizes = spark.createDataFrame([(bytes([i]), 90 if i == 3 else 80, n) for i, n in
+                                   enumerate((80, 80, 80, 90, 74, 60))],
+                                  "key binary, size long, shared long")
+    more = neardup.class_pairs(mixed, sizes, pairs, 0.8)
+    assert {(r.a[0], r.b[0]) for r in more.collect()} == {(0, 3), (1, 3), (0, 4), (1, 4)}
+    none = neardup.mixed_buckets(buckets, spark.createDataFrame(
+        [(bytes([i]), bytes([0])) for i in range(6)], "key binary, class binary"))
+    assert none.count() == 0
+
+
+def test_shared_weight_counts_what_others_have(spark):
+    rows = spark.createDataFrame([(b"a", 1, 2), (b"a", 2, 3), (b"b", 2, 1), (b"c", 3, 4)],
+                                 "key binary, shingle long, weight long")
+    got = {bytes(r.key): (r["size"], r.shared) for r in neardup.shared_weight(rows).collect()}
+    assert got == {b"a": (5, 3), b"b": (1, 1), b"c": (4, 0)}
 
 
 def test_components_of_a_long_path(spark):
@@ -90,7 +105,7 @@ def test_components_of_a_long_path(spark):
     path = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(40) if i != 20],
                                  "a binary, b binary")
     got = {r.key[0]: r["class"][0] for r in
-           neardup.components(path, Scratch(spark, "t"), "p").collect()}
+           neardup.components(path, Scratch(path, "t"), "p").collect()}
     assert got == {i: 0 if i <= 20 else 21 for i in range(41)}
 
 
