@@ -12,9 +12,10 @@ The plan has a row per combination, whatever the number of documents. Pieces get
 within their length class in two levels (class and slice of a hash, then slices added up), so
 no class is sorted in one task, and find their sequence by binary search in the plan.
 
-Ids come from the tokenizer library, word by word and remembered: ids never cross white
-space, so a text's ids are the ids of its parts. Texts with special strings or characters
-outside the Latin blocks go to the library whole.
+Ids come from the tokenizer library, once per distinct pre-token of a task: texts are cut into
+pre-tokens on their bytes, told apart by 64-bit hashes, and only new ones are tokenized, all
+in one call. Texts with special strings or characters outside the Latin letters go to the
+library whole.
 
 Defined results: a null or empty text is one piece with the closing id alone; repeated rows are
 separate documents; sequences hold 1 to ``window`` ids. Other columns are ignored.
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import Scratch, column, slices, texts_of
+from orderloom.llm.common import Scratch, Words, column, slices, texts_of, word_hashes
 
 WINDOW = 2048
 STEP = 8
@@ -37,34 +38,105 @@ DEPTH = 3
 CLOSING = 1
 SLICES = 256
 
-#: Texts of these characters only are tokenized part by part: white space that the library
-#: and Python agree on, printable ASCII, and Latin letters and signs up to U+024F.
-_PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-ɏ]*")
+#: Texts of these characters only are cut here: white space that the library and Python agree
+#: on, printable ASCII, and letters from U+00C0 to U+024F (without the dotted capital I, whose
+#: lower case is two characters).
+_PLAIN = re.compile("[\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]*")
+
+#: Kinds of bytes in such texts: white space, letters (and all bytes of longer characters),
+#: digits, which stand alone, and the rest.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.array([_SPACE if b == 0x20 or 0x09 <= b <= 0x0D else _DIGIT if 0x30 <= b <= 0x39
+                  else _LETTER if b >= 0x80 or chr(b).isalpha() else _OTHER for b in range(256)])
+_APOSTROPHE = 0x27
+
+
+def pre_tokens(data: np.ndarray, places: np.ndarray) -> Words:
+    """Pre-tokens of lower-case plain texts: runs of letters, single digits, runs of others.
+
+    A run between white space that has an apostrophe stays whole, as contractions are cut
+    by rules of their own; the library sees to those.
+    """
+    kind = _KIND[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[places] = True
+    solid = kind != _SPACE
+    apart = np.r_[True, kind[1:] != kind[:-1]][:len(data)] | edge[:-1]
+    run = solid & (np.r_[True, ~solid][:-1] | edge[:-1])
+    number = np.cumsum(run) - 1
+    whole = np.bincount(number[(data == _APOSTROPHE) & solid], minlength=int(run.sum()) + 1) > 0
+    begin = solid & (run | ((apart | (kind == _DIGIT)) & ~whole[number]))
+    first = np.flatnonzero(begin)
+    stop = np.flatnonzero((begin | ~solid | edge[:-1])[1:]) + 1
+    stop = np.r_[stop, len(data)]
+    last = stop[np.searchsorted(stop, first, "right")] if len(first) else first
+    return Words(data, places, first, last, np.searchsorted(first, places))
 
 
 class Ids:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of texts."""
 
-    def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+    def __init__(self, vocabulary: str, most: int = 600_000):
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.memo: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
+        # The same model for words that are cut and lower-case already.
+        self.words = Tokenizer.from_file(vocabulary)
+        self.words.normalizer = None
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.final = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a pre-token
+        self.final[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.memo: dict[int, bytes] = {}
+        self.most = most
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def __call__(self, texts: list[str], most: int = 500_000) -> list[bytes]:
+    def _cut(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens, by one call: each ends with an id that only ends pre-tokens."""
+        ids = np.array(self.words.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        stop = (np.flatnonzero(self.final[ids]) + 1) * 4
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
+
+    def _learn(self, words: Words, hashes: np.ndarray, at: np.ndarray) -> None:
+        new = [(h, words.data[a:b].tobytes()) for h, a, b in zip(
+            hashes.tolist(), words.first[at].tolist(), words.last[at].tolist(), strict=True)
+            if h not in self.memo]
+        if len(self.memo) + len(new) > self.most:
+            kept = {h: self.memo[h] for h in hashes.tolist() if h in self.memo}
+            self.memo = kept
+        for mark, tokenize in ((False, self._cut), (True, self._whole)):
+            some = [(h, w.decode()) for h, w in new if (b"'" in w) == mark]
+            if some:
+                self.memo.update(zip([h for h, _ in some], tokenize([w for _, w in some]),
+                                     strict=True))
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        raw = [t.lower().encode() for t in texts]
+        words = pre_tokens(np.frombuffer(b"".join(raw), np.uint8),
+                           np.cumsum([0, *map(len, raw)]))
+        hashes, at, back = np.unique(word_hashes(words), return_index=True, return_inverse=True)
+        self._learn(words, hashes, at)
+        own = [self.memo[h] for h in hashes.tolist()]
+        ids = np.frombuffer(b"".join(own), "<u4")
+        size = np.array([len(x) // 4 for x in own], np.int64)
+        begin, size = (np.cumsum(size) - size)[back], size[back]
+        done = np.r_[0, np.cumsum(size)]
+        out = ids[np.repeat(begin - done[:-1], size) + np.arange(done[-1])].tobytes()
+        ends = (done[words.ends] * 4).tolist()
+        return [out[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit bytes."""
         plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
-        parts = [t.split() if p else None for t, p in zip(texts, plain, strict=True)]
-        new = list(set().union(*(p for p in parts if p)) - self.memo.keys())
-        if len(self.memo) + len(new) > most:
-            self.memo.clear()
-            new = list(set().union(*(p for p in parts if p)))
-        self.memo.update(zip(new, self._library(new), strict=True))
-        rest = iter(self._library([t for t, p in zip(texts, plain, strict=True) if not p]))
-        get = self.memo.__getitem__
-        return [next(rest) if p is None else b"".join(map(get, p)) for p in parts]
+        kinds = {True: self._plain, False: self._whole}
+        done = {k: iter(f([t for t, p in zip(texts, plain, strict=True) if p == k]))
+                for k, f in kinds.items()}
+        return [next(done[p]) for p in plain]
 
 
 def _piece_rows(vocabulary: str, window: int, closing: int):

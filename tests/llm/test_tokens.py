@@ -36,6 +36,18 @@ def test_latin_texts_are_cut_as_the_library_cuts_them():
         assert ours == [where for _, where in cut(text)], hex(ord(c))
 
 
+def test_ids_of_plain_texts_are_the_library_s():
+    ids, library = packing.Ids(CASELESS, most=50), Tokenizer.from_file(CASELESS)
+    texts = ["", " ", "it's the DOG'S ,'s 'sun we'll''d rock'n'roll don't, 12x3 ...?! a1b2 _x_ O'Neil's"]
+    for c in map(chr, range(1, 0x260)):
+        texts.append(f"a{c}B {c}{c} 1{c}2{c}! {c}'s x'{c} {c}\n{c}ing The end {c}")
+    want = [np.array(x.ids, "<u4").tobytes() for x in
+            library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert ids(texts) == want
+    assert [i for i, t in enumerate(texts) if ids([t]) != [want[i]]] == []
+
+
 def test_counts_of_nothing(no_docs):
     assert tokencount.token_counts(no_docs, BYTES).collect() == []
 
