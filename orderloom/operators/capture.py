@@ -48,9 +48,8 @@ def order_headers(listing: DataFrame, details: DataFrame) -> DataFrame:
     Payment, business and account fall back when blank; trade name, contacts, status
     and centre only when absent from the page.
     """
-    parts = ["part"] if "part" in details.columns else []
     detail = details.select(
-        "branch", "order_no", *parts, "items", F.col("status").alias("d_status"),
+        "branch", "order_no", "items", F.col("status").alias("d_status"),
         F.col("center").alias("d_center"),
         _at(PAYMENT_LABEL, 0).alias("d_payment"), _at(BUSINESS_LABEL, 0).alias("d_business_id"),
         _at(ACCOUNT_LABEL, 0).alias("d_account_id"), _at(TRADE_LABEL, 0).alias("d_trade_name"),

@@ -12,7 +12,7 @@ from orderloom.operators.erp import (clients_per_branch, clients_with_debt,
                                      exclude_orders_in_erp, keyed_clients)
 from orderloom.operators.picking import first_filled_value, first_rows
 from orderloom.operators.shaping import payment_code
-from orderloom.rules import CREDIT_CLOSING, CREDIT_OPENING, PAYMENT_CODES
+from orderloom.rules import CREDIT_CLOSING, CREDIT_OPENING
 
 SUM = "decimal(28,2)"
 
@@ -41,7 +41,7 @@ def order_client_join(requests: DataFrame, clients: DataFrame) -> DataFrame:
 
 def credit_gap(items: DataFrame, clients: DataFrame, receivables: DataFrame, centers: DataFrame,
                branch_sources: DataFrame, *, grain: str = "document",
-               payments: Mapping[str, str] = PAYMENT_CODES,
+               payments: Mapping[str, str],
                erp_orders: DataFrame | None = None) -> DataFrame:
     """Customers to ask a credit limit for: codcli, total, payment, branch.
 
@@ -53,13 +53,18 @@ def credit_gap(items: DataFrame, clients: DataFrame, receivables: DataFrame, cen
     requests = credit_requests(items, centers, grain)
     if erp_orders is not None:
         requests = exclude_orders_in_erp(requests, erp_orders)
-    known = clients_per_branch(clients_with_debt(clients, receivables), branch_sources)
-    matched = order_client_join(requests, known).withColumns({
-        "_order": F.struct("order_no", "ord"),
+    requests = requests.withColumns({
+        "_order": F.struct("order_no", "ord"), "_value": parse_money_us(F.col("order_total")),
         "payment": payment_code(F.col("payment"), payments)})
+    if grain == "order":  # one row per document, before it meets that document's customers
+        requests = requests.groupBy("doc_key", "branch").agg(
+            F.sum("_value").alias("_value"), F.min("_order").alias("_order"),
+            first_filled_value("payment", "_order").alias("payment"))
+    known = clients_per_branch(clients_with_debt(clients, receivables), branch_sources)
+    matched = order_client_join(requests, known)
     limit = parse_money_us(F.col("limcred").cast("string"))
     per_client = matched.groupBy("branch", "codcli").agg(
-        F.coalesce(F.sum(parse_money_us(F.col("order_total"))), F.lit(0)).cast(SUM).alias("total"),
+        F.coalesce(F.sum("_value"), F.lit(0)).cast(SUM).alias("total"),
         first_filled_value("bloqueio", "_order").alias("bloqueio"),
         first_filled_value(limit, "_order").alias("limit"),
         first_filled_value("valor", "_order").alias("debt"),

@@ -10,37 +10,44 @@ from orderloom.functions.clock import time_text
 from orderloom.functions.display import payment_badge, payment_family, status_badge
 from orderloom.functions.money import format_total, parse_money_br, parse_money_us
 from orderloom.functions.text import format_date_br, format_document, null_to_dash, strip
-from orderloom.operators.picking import SLICE_ROWS, group_slices, positions
+from orderloom.operators.picking import first_rows, positions
 from orderloom.operators.routing import order_heads
 from orderloom.rules import NEVER, PAGE_SIZE, UNKNOWN_BRANCH
 from orderloom.schemas import HEADER_FIELDS, ITEM_FIELDS
 
-# Rows up to which a page is cut with offset and limit; later pages use positions.
-TOP_ROWS = 10_000
 
+def orders_grouped(items: DataFrame) -> DataFrame:
+    """Orders as rows: (order_no, kind, ord, header fields, item fields).
 
-def orders_grouped(items: DataFrame, limit: int = SLICE_ROWS) -> DataFrame:
-    """One document per order: header of its first row and the array of its items.
-    Only an order with more than ``limit`` items comes in several parts."""
-    sliced = group_slices(items, "order_no", "ord", HEADER_FIELDS, ITEM_FIELDS, limit)
-    return sliced.withColumnRenamed("rows", "items")
+    Each order has one row of kind ``order`` with the header of its first row, and one of
+    kind ``item`` for each item. Sorted by order number, the order row (whose ``ord`` is null)
+    first, they are the documents; no key is gathered, so an order may have any size.
+    """
+    heads = (first_rows(items.select("order_no", "ord", *HEADER_FIELDS), ["order_no"], ["ord"])
+             .select("order_no", F.lit("order").alias("kind"), *HEADER_FIELDS))
+    rows = items.select("order_no", F.lit("item").alias("kind"), "ord", *ITEM_FIELDS)
+    return (heads.unionByName(rows, allowMissingColumns=True)
+            .select("order_no", "kind", "ord", *HEADER_FIELDS, *ITEM_FIELDS))
 
 
-def flat_orders(documents: DataFrame, limit: int = SLICE_ROWS) -> DataFrame:
-    """Documents back to one row per item, with its position in the order."""
-    rows = documents.select("*", F.posexplode("items").alias("_i", "item")).drop("items")
-    return (rows.withColumn("item_pos", F.col("part") * limit + F.col("_i"))
-            .select("order_no", "item_pos", *HEADER_FIELDS, "item.*"))
+def flat_orders(items: DataFrame) -> DataFrame:
+    """One row per item with the header of its order. The heads are shuffled once more for
+    the join, so Spark can split an order that holds very many items."""
+    heads = first_rows(items.select("order_no", "ord", *HEADER_FIELDS), ["order_no"], ["ord"],
+                       by_hash=True).select("order_no", *HEADER_FIELDS)
+    return items.select("order_no", "ord", *ITEM_FIELDS).join(heads, "order_no")
 
 
-def orders_json(documents: DataFrame) -> DataFrame:
-    """Documents as JSON texts."""
-    return documents.select("order_no", "part", F.to_json(F.struct("*")).alias("doc"))
+def orders_json(grouped: DataFrame) -> DataFrame:
+    """The rows of the documents as JSON texts: (order_no, kind, ord, doc)."""
+    fields = {"order": HEADER_FIELDS, "item": ITEM_FIELDS}
+    texts = [F.when(F.col("kind") == k, F.to_json(F.struct(*f))) for k, f in fields.items()]
+    return grouped.select("order_no", "kind", "ord", F.coalesce(*texts).alias("doc"))
 
 
-def point_lookup(documents: DataFrame, order_no: str) -> DataFrame:
-    """The document of one order number."""
-    return documents.where(strip(F.col("order_no")) == order_no.strip())
+def point_lookup(items: DataFrame, order_no: str) -> DataFrame:
+    """The items of one order number; cut before anything is grouped."""
+    return items.where(strip(F.col("order_no")) == order_no.strip())
 
 
 def total_of(c: Column, style: str) -> Column:
@@ -100,21 +107,25 @@ def search_orders(orders: DataFrame, query: str = "", branch: str = "") -> DataF
 def paginate(orders: DataFrame, page: int, size: int = PAGE_SIZE,
              order: Sequence[str] = ("order_no",)) -> DataFrame:
     """Page ``page`` of the orders, clamped to the pages there are, with the numbers
-    shown below the table. Early pages come from a bounded top-k, any later page from
-    distributed row positions."""
-    total = orders.count()
-    pages = -(-total // size)
-    page = max(1, min(page, pages))
-    start, end = (page - 1) * size, min(page * size, total)
-    if end <= TOP_ROWS:
-        rows = orders.orderBy(*order).offset(start).limit(size)
-    else:
-        keys = positions(orders.select(*order), order)
-        wanted = keys.where(F.col("position").between(start, end - 1)).select(*order)
-        rows = orders.join(F.broadcast(wanted), list(order), "left_semi")  # at most one page
-    numbers = {"page": page, "pages": pages, "first": min(start + 1, total), "last": end,
-               "total": total}
-    return rows.withColumns({k: F.lit(v).cast("bigint") for k, v in numbers.items()})
+    shown below the table.
+
+    Every row gets its place in one total order, ties broken by the other columns, and a
+    page is a range of places, wherever it lies. Rows that are equal in all columns are
+    interchangeable. The orders are computed once.
+    """
+    placed = positions(orders, [*order, *(c for c in orders.columns if c not in order)])
+    total = F.max("position") + 1
+    numbers = placed.agg(F.coalesce(total, F.lit(0)).alias("total")).select(
+        "total", F.ceil(F.col("total") / size).cast("bigint").alias("pages"))
+    numbers = numbers.withColumn("page", F.greatest(F.lit(1), F.least(F.lit(page), F.col("pages"))))
+    known = numbers.select(F.struct("total", "pages", "page")).scalar()
+    first = (known["page"] - 1) * size
+    return (placed.where((F.col("position") >= first) & (F.col("position") < first + size))
+            .withColumns({k: v.cast("bigint") for k, v in {
+                "page": known["page"], "pages": known["pages"],
+                "first": F.least(first + 1, known["total"]),
+                "last": F.least(known["page"] * size, known["total"]),
+                "total": known["total"]}.items()}).drop("position"))
 
 
 def order_list(items: DataFrame) -> DataFrame:

@@ -1,19 +1,18 @@
 """Outbox and sent-set sinks."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.picking import SLICE_ROWS, group_slices
-
 
 def outbox(*message_sets: DataFrame) -> DataFrame:
-    """Message rows of all producers in one table: target, key, text, kind, seq."""
+    """Message rows of all producers in one table: target, key, text, kind, seq, and
+    ``ord`` where a producer's messages have several rows."""
     shaped = [m.select("target", F.col("codcli" if "codcli" in m.columns else "order_no").alias("key"),
-                       "text", "kind", "seq") for m in message_sets]
-    out = shaped[0]
-    for more in shaped[1:]:
-        out = out.unionByName(more)
-    return out
+                       "text", "kind", "seq", *[c for c in ["ord"] if c in m.columns])
+              for m in message_sets]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shaped)
 
 
 def append_outbox(messages: DataFrame, folder: str) -> None:
@@ -21,16 +20,12 @@ def append_outbox(messages: DataFrame, folder: str) -> None:
     messages.write.mode("append").parquet(folder)
 
 
-def sent_registry_lines(sent: DataFrame, limit: int = SLICE_ROWS) -> DataFrame:
-    """The sent set as a sorted JSON array of texts: (part, doc). Up to ``limit`` orders
-    it is one array; a longer set comes as consecutive arrays of at most that length."""
-    numbers = sent.select("order_no").distinct().withColumn("_set", F.lit(0))
-    sliced = group_slices(numbers, "_set", "order_no", [], ["order_no"], limit)
-    texts = F.transform("rows", lambda r: r["order_no"])
-    return sliced.select("part", F.to_json(texts).alias("doc"))
+def sent_registry_lines(sent: DataFrame) -> DataFrame:
+    """The sent set, one order number per row, with the JSON array of it: (order_no, doc)."""
+    return sent.select("order_no").distinct().withColumn("doc", F.to_json(F.array("order_no")))
 
 
-def write_sent_registry(sent: DataFrame, folder: str, limit: int = SLICE_ROWS) -> None:
-    """Write the sent set, one array per line; ``sources.files.sent_registry`` reads it."""
-    (sent_registry_lines(sent, limit).orderBy("part").select("doc")
-     .write.mode("overwrite").text(folder))
+def write_sent_registry(sent: DataFrame, folder: str) -> None:
+    """Write the sent set sorted, a JSON array of one order number per line;
+    ``sources.files.sent_registry`` reads it."""
+    sent_registry_lines(sent).orderBy("order_no").select("doc").write.mode("overwrite").text(folder)

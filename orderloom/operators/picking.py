@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from orderloom.session import settle
 
-# Largest array built for one key in one row.
-SLICE_ROWS = 10_000
-
-
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                by_hash: bool = False) -> DataFrame:
     """The first whole row of each key, nulls forming one group like any value.
@@ -62,39 +58,3 @@ def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> Da
     return (placed.join(F.broadcast(starts), "_part")
             .withColumn(name, F.col("_before") + local)
             .drop("_row", "_part", "_before"))
-
-
-def group_slices(df: DataFrame, key: str, order: str, head: Sequence[str],
-                 body: Sequence[str | Column], limit: int = SLICE_ROWS) -> DataFrame:
-    """One row per key: ``head`` fields of its first row and ``rows``, the ordered
-    array of ``body`` structs.
-
-    A key with more than ``limit`` rows is cut into consecutive slices, numbered in
-    ``part`` and each at most ``limit`` long, so no task holds a whole hot key and no
-    row is lost. Such keys are looked for first, in a count over the key column only;
-    without any, the result is a single aggregation.
-    """
-    head_row = F.struct(*(head or [F.lit(0).alias("_none")])).alias("_head")
-    entry = F.struct(F.col(order).alias("_at"), F.struct(*body).alias("_body"))
-    ordered = F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["_body"])
-    sizes = df.groupBy(key).agg(F.count("*").alias("_n"))
-    large = sizes.where(F.col("_n") > limit).select(key)
-
-    def grouped(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(
-            F.min_by(head_row, F.col(order)).alias("_head"), ordered.alias("rows"))
-
-    if large.isEmpty():
-        whole = grouped(df, key).withColumn("part", F.lit(0).cast("bigint"))
-        return whole.select(key, "part", "_head.*", "rows").drop("_none")
-
-    small = grouped(df.join(large, key, "left_anti"), key)
-    small = small.withColumn("part", F.lit(0).cast("bigint"))
-    hot = positions(df.join(large, key, "left_semi"), [key, order])
-    starts = hot.groupBy(key).agg(F.min("position").alias("_start"),
-                                  F.min_by(head_row, F.col(order)).alias("_first"))
-    part = F.floor((F.col("position") - F.col("_start")) / limit).cast("bigint")
-    cut = (grouped(hot.join(starts.select(key, "_start"), key).withColumn("part", part), key, "part")
-           .drop("_head").join(starts.select(key, F.col("_first").alias("_head")), key))
-    return (small.unionByName(cut)
-            .select(key, "part", "_head.*", "rows").drop("_none"))

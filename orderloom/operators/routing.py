@@ -11,10 +11,9 @@ from orderloom.functions.money import (fixed2, parse_money_us, quantity_text, to
                                        unit_price)
 from orderloom.functions.text import (blank_to_null, clean_phone, key_text, strip,
                                       upper_trim_city)
-from orderloom.operators.picking import SLICE_ROWS, group_slices
+from orderloom.operators.picking import first_rows
 from orderloom.operators.state import mark_dispatched
-from orderloom.rules import (GENERAL_DOCUMENT, GENERAL_STATE, INTERIOR_CITIES, REGIONAL_CITIES,
-                             REGIONAL_PROBE_CITIES, ROUTE_OPENING)
+from orderloom.rules import GENERAL_DOCUMENT, GENERAL_STATE, ROUTE_OPENING
 
 
 def matches_any(city: Column, patterns: Sequence[str]) -> Column:
@@ -24,10 +23,9 @@ def matches_any(city: Column, patterns: Sequence[str]) -> Column:
 
 
 def order_heads(items: DataFrame, *columns: str, order: str = "ord") -> DataFrame:
-    """Fields of each order's first row, nulls included; aggregated before the shuffle."""
-    return (items.where("order_no IS NOT NULL").groupBy("order_no")
-            .agg(F.min_by(F.struct(*columns), F.col(order)).alias("_head"))
-            .select("order_no", "_head.*"))
+    """Fields of each order's first row, nulls included; cut before the shuffle."""
+    named = items.where("order_no IS NOT NULL").select("order_no", order, *columns)
+    return first_rows(named, ["order_no"], [order], by_hash=True).select("order_no", *columns)
 
 
 def not_sent(orders: DataFrame, sent: DataFrame) -> DataFrame:
@@ -46,8 +44,8 @@ def route_of(city: Column, document: Column, regional: Sequence[str],
     return F.when(matches_any(city, regional), F.lit("regional")).when(general, F.lit("general"))
 
 
-def route_orders(items: DataFrame, sent: DataFrame, regional: Sequence[str] = REGIONAL_CITIES,
-                 interior: Sequence[str] = INTERIOR_CITIES) -> DataFrame:
+def route_orders(items: DataFrame, sent: DataFrame, regional: Sequence[str],
+                 interior: Sequence[str]) -> DataFrame:
     """Route of every unsent order. Patterns are tested once per order, not per item,
     and as plain expressions, so no join with the rule list is needed."""
     heads = order_heads(items, "city_uf", "document")
@@ -56,8 +54,7 @@ def route_orders(items: DataFrame, sent: DataFrame, regional: Sequence[str] = RE
 
 
 def any_eligible(items: DataFrame, sent: DataFrame,
-                 regional: Sequence[str] = REGIONAL_PROBE_CITIES,
-                 interior: Sequence[str] = INTERIOR_CITIES) -> DataFrame:
+                 regional: Sequence[str], interior: Sequence[str]) -> DataFrame:
     """One row: is there any unsent order with a route?"""
     routed = route_orders(items, sent, regional, interior)
     return routed.agg(F.coalesce(F.bool_or(F.col("route").isNotNull()), F.lit(False))
@@ -76,16 +73,10 @@ def item_line(price_is: str = "line") -> Column:
                     F.lit("\n"))
 
 
-def order_message_lines(items: DataFrame, price_is: str = "line",
-                        limit: int = SLICE_ROWS) -> DataFrame:
-    """Item lines of each order in row order, joined to one text per slice."""
-    lined = items.where("order_no IS NOT NULL").withColumn("_line", item_line(price_is))
-    sliced = group_slices(lined, "order_no", "ord", ["branch"], ["_line"], limit)
-    return sliced.select("order_no", "part", _joined_lines().alias("lines"))
-
-
-def _joined_lines() -> Column:
-    return F.array_join(F.transform("rows", lambda r: r["_line"]), "")
+def order_message_lines(items: DataFrame, price_is: str = "line") -> DataFrame:
+    """Item lines of each order: (order_no, ord, line); sorted by ``ord`` they are its text."""
+    return (items.where("order_no IS NOT NULL")
+            .select("order_no", "ord", item_line(price_is).alias("line")))
 
 
 HEADER = ["responsible", "document", "trade_name", "email_1", "phone_1", "phone_2", "payment",
@@ -121,39 +112,40 @@ def message_head(columns: Sequence[str]) -> Column:
         always("Data Entrega", F.col("delivery_date")))
 
 
-def order_messages(items: DataFrame, price_is: str = "line",
-                   limit: int = SLICE_ROWS) -> DataFrame:
-    """Message of each order: (order_no, part, text). Only an order with more than
-    ``limit`` items has several parts; joined in order they are its whole message."""
+def order_messages(items: DataFrame, price_is: str = "line") -> DataFrame:
+    """Messages as rows: (order_no, kind, ord, text). Each order has one row of kind
+    ``order``, the head of its message, and one of kind ``line`` for each item; the texts in the
+    order of (kind = 'line', ord) are the message. Nothing is gathered per order."""
     head = HEADER + [c for c in CONTACTS if c in items.columns]
-    lined = items.where("order_no IS NOT NULL").withColumn("_line", item_line(price_is))
-    sliced = group_slices(lined, "order_no", "ord", head, ["_line"], limit)
-    opening = F.when(F.col("part") == 0, message_head(head)).otherwise(F.lit(""))
-    return sliced.select("order_no", "part", F.concat(opening, _joined_lines()).alias("text"))
+    heads = order_heads(items, *head).select(
+        "order_no", F.lit("order").alias("kind"), message_head(head).alias("text"))
+    lines = order_message_lines(items, price_is).select(
+        "order_no", F.lit("line").alias("kind"), "ord", F.col("line").alias("text"))
+    return (heads.unionByName(lines, allowMissingColumns=True)
+            .select("order_no", "kind", "ord", "text"))
 
 
 def routed_outbox(items: DataFrame, sent: DataFrame, target: str, as_of: Column,
-                  regional: Sequence[str] = REGIONAL_CITIES,
-                  interior: Sequence[str] = INTERIOR_CITIES) -> DataFrame:
-    """Messages of the regional route: (target, seq, kind, order_no, part, text). A
-    greeting goes first if there is any order. The general route is computed by
-    ``route_orders`` and sends nothing."""
+                  regional: Sequence[str], interior: Sequence[str]) -> DataFrame:
+    """Messages of the regional route: (target, seq, kind, order_no, ord, text). A
+    greeting (seq 0) goes first if there is any order; heads have seq 1, lines seq 2. The
+    general route is computed by ``route_orders`` and sends nothing."""
     regional_orders = (route_orders(items, sent, regional, interior)
                        .where("route = 'regional'").select("order_no"))
     texts = order_messages(items.join(regional_orders, "order_no", "left_semi"))
-    messages = texts.select(F.lit(target).alias("target"), F.lit(1).alias("seq"),
-                            F.lit("order").alias("kind"), "order_no", "part", "text")
+    messages = texts.select(F.lit(target).alias("target"),
+                            F.when(F.col("kind") == "order", 1).otherwise(2).alias("seq"),
+                            "kind", "order_no", "ord", "text")
     hello = F.concat(day_greeting(as_of), F.lit("! " + ROUTE_OPENING))
     greeting = (regional_orders.agg(F.count("*").alias("n")).where("n > 0")
                 .select(F.lit(target).alias("target"), F.lit(0).alias("seq"),
-                        F.lit("greeting").alias("kind"), F.lit(None).cast("string").alias("order_no"),
-                        F.lit(0).cast("bigint").alias("part"), hello.alias("text")))
-    return greeting.unionByName(messages)
+                        F.lit("greeting").alias("kind"), hello.alias("text")))
+    return messages.unionByName(greeting, allowMissingColumns=True)
 
 
 def queue_routed(queue: DataFrame, outbox: DataFrame, as_of: Column) -> DataFrame:
     """The dispatch queue with the orders of an outbox added."""
-    routed = outbox.where("kind = 'order' AND part = 0").select("order_no", as_of.alias("sent_at"))
+    routed = outbox.where("kind = 'order'").select("order_no", as_of.alias("sent_at"))
     return mark_dispatched(queue, routed)
 
 

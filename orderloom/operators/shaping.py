@@ -9,7 +9,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from orderloom.functions.text import digits_only
-from orderloom.rules import ACTIVE_STATUS, PAYMENT_CODES
+from orderloom.rules import ACTIVE_STATUS
 
 def rename_labels(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
     """Display labels -> canonical columns; unknown labels pass through."""
@@ -48,7 +48,7 @@ def recode(c: Column, codes: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), c), c) if pairs else c
 
 
-def payment_code(c: Column, codes: Mapping[str, str] = PAYMENT_CODES) -> Column:
+def payment_code(c: Column, codes: Mapping[str, str]) -> Column:
     return recode(c, codes)
 
 

@@ -41,20 +41,19 @@ def insert_ignore_items(existing: DataFrame, batch: DataFrame, order: str = "ord
     return existing.unionByName(fresh_items(existing, batch, order), allowMissingColumns=True)
 
 
-def upsert_company(existing: DataFrame, batch: DataFrame, as_of: Column, key: str = "cnpj",
-                   order: Sequence[str | Column] = (), stamp: str = "consultado_em") -> DataFrame:
+def upsert_company(existing: DataFrame, batch: DataFrame, as_of: Column,
+                   order: Sequence[str | Column], key: str = "cnpj",
+                   stamp: str = "consultado_em") -> DataFrame:
     """Insert or overwrite the columns the batch supplies, nulls included.
 
     Other columns and the time stamp of a stored company stay; a row without a key
-    does nothing. The batch holds one row per key, or ``order`` says which is the last,
-    and the last one wins.
+    does nothing. Of several rows of a key the last one by ``order`` wins (a Column is
+    given descending), so the table never holds a key twice.
     """
     supplied = [c for c in batch.columns if c in existing.columns and c not in (key, stamp)]
-    new = batch.where(blank_to_null(F.col(key)).isNotNull()).select(
-        key, *supplied, *[c for c in order if isinstance(c, str) and c not in supplied])
-    if order:
-        new = first_rows(new, [key], [F.col(c).desc() if isinstance(c, str) else c for c in order])
-    new = new.select(F.col(key), F.struct(*supplied).alias("_new"))
+    named = batch.where(blank_to_null(F.col(key)).isNotNull())
+    last = first_rows(named, [key], [F.col(c).desc() if isinstance(c, str) else c for c in order])
+    new = last.select(F.col(key), F.struct(*supplied).alias("_new"))
     both = existing.join(new, key, "full_outer")
     is_new = F.col("_new").isNotNull()
 
@@ -75,21 +74,24 @@ def delete_inactive(items: DataFrame, captured: DataFrame, active: DataFrame) ->
 
     ``captured`` holds one row per captured branch with ``complete``; an incomplete
     capture deletes nothing, a complete empty one clears its branch, and branches
-    without a capture stay as they are. The items are read and shuffled once; a hot
-    order among them can be split, because the active set is grouped for lookup.
+    without a capture stay as they are. The items are read and shuffled once, by branch and
+    order; a hot order among them can be split, because the active set is grouped for lookup.
+    The captured branches are one array, as long as a capture has branches, and never a
+    key that items are shuffled by.
     """
     keys = ["branch", "order_no"]
-    cleared = (captured.where("complete").select("branch").distinct()
-               .withColumn("_captured", F.lit(True)))
+    cleared = captured.where("complete").agg(F.collect_set("branch")).scalar()
+    is_cleared = F.coalesce(F.array_contains(cleared, F.col("branch")), F.lit(False))
     alive = lookup_groups(active, keys).agg(F.lit(True).alias("_active")).drop("_hash")
-    return (items.join(cleared, "branch", "left").join(alive, keys, "left")
-            .where(F.col("_captured").isNull() | F.col("_active"))
+    return (items.join(alive, keys, "left").where(~is_cleared | F.col("_active"))
             .select(*items.columns))
 
 
 def update_codcli(items: DataFrame, codes: DataFrame) -> DataFrame:
-    """Set the customer code on all items of the orders in ``codes``."""
-    new = codes.select("order_no", F.col("codcli").cast("string").alias("_codcli"))
+    """Set the customer code on all items of the orders in ``codes``; of several codes of
+    an order (it is in several branches) the largest, as text. No item is multiplied."""
+    new = lookup_groups(codes, ["order_no"]).agg(
+        F.max(F.col("codcli").cast("string")).alias("_codcli")).drop("_hash")
     return (items.join(new, "order_no", "left")
             .withColumn("codcli", F.coalesce("_codcli", "codcli")).select(*items.columns))
 
@@ -111,6 +113,7 @@ def drain_queue(queue: DataFrame, prepared: DataFrame) -> DataFrame:
     return queue.join(prepared.select("order_no"), "order_no", "left_anti")
 
 
-def write_version(df: DataFrame, folder: str, version: int) -> None:
-    """Write one version of a table to its own folder; repeating it is harmless."""
-    df.write.mode("overwrite").parquet(f"{folder}/version={version}")
+def write_version(df: DataFrame, folder: str, version: int, *parts: str) -> None:
+    """Write one version of a table to its own folder, partitioned by ``parts``; repeating
+    it is harmless."""
+    df.write.mode("overwrite").partitionBy(*parts).parquet(f"{folder}/version={version}")

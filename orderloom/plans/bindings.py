@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.operators.picking import first_rows, group_slices
+from orderloom.operators.picking import first_rows
 from orderloom.operators.shaping import rule_table
 from orderloom.operators.state import as_stored
 from orderloom.rules import ACTIVE_STATUS, GREETING_CODE
@@ -181,7 +181,7 @@ class Tables:
     @cached_property
     def erp_receivables(self) -> DataFrame:
         key = F.col("o_orderkey")
-        return self.raw("orders").where(key % 5 == 0).select(
+        return self.raw("orders").select(
             F.when(key % 2 == 0, "erp-1").otherwise("erp-2").alias("source"),
             text("o_custkey").alias("codcli"), plain_money(cents("o_totalprice")).alias("valor"),
             F.when(F.col("o_orderstatus") == "P", "0").when(F.col("o_orderstatus") == "F", "1")
@@ -322,11 +322,15 @@ class Tables:
     def detail_capture(self) -> DataFrame:
         """A captured detail page per active order, its item table as one array."""
         active = self.order_items.where("o_orderstatus = 'P'")
-        pages = group_slices(active, "order_no", "ord",
-                             ["branch", "o_orderkey", "status", "center", "payment", "document",
-                              "trade_name", "street", "city_uf", "zip", "phone_1", "phone_2",
-                              "email_1", "account_id"],
-                             ["product_name", "sku", "price", "quantity", "quantity_prepared"])
+        head = ["branch", "o_orderkey", "status", "center", "payment", "document", "trade_name",
+                "street", "city_uf", "zip", "phone_1", "phone_2", "email_1", "account_id"]
+        body = ["product_name", "sku", "price", "quantity", "quantity_prepared"]
+        # A captured page is one row by nature, so its item table is gathered here.
+        entry = F.struct("ord", F.struct(*body).alias("row"))
+        pages = active.groupBy("order_no").agg(
+            F.min_by(F.struct(*head), "ord").alias("head"),
+            F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["row"]).alias("rows"))
+        pages = pages.select("order_no", "head.*", "rows")
         key = F.col("o_orderkey")
 
         def block(label: str, *texts: Column) -> list[Column]:
@@ -346,7 +350,7 @@ class Tables:
         status = F.when(key % 9 != 0, F.concat(F.lit(" "), "status"))
         items = F.transform("rows", lambda r: r.withField(
             "price", F.when(r["sku"] != "7", r["price"])))
-        return pages.select("branch", "order_no", "part", labels.alias("labels"),
+        return pages.select("branch", "order_no", labels.alias("labels"),
                             status.alias("status"), "center", items.alias("items"))
 
     @cached_property

@@ -21,28 +21,29 @@ def reconcile(items: DataFrame, listing: DataFrame, details: DataFrame, captured
     the orders of completely captured branches that are not listed any more."""
     batch = captured_items(listing, details, items)
     if order not in batch.columns:
-        place = [c for c in ("pos", "part", "item_pos") if c in batch.columns]
+        place = [c for c in ("pos", "item_pos") if c in batch.columns]
         batch = batch.withColumn(order, F.struct(*place))
     return _reconciled(items, batch, listing, captured, order)
 
 
 def reconcile_rows(items: DataFrame, listing: DataFrame, batch: DataFrame, captured: DataFrame,
-                   order: str = "ord") -> DataFrame:
-    """The same cycle for item rows that were captured and exploded already."""
+                   order: str = "ord", stored: DataFrame | None = None) -> DataFrame:
+    """The same cycle for item rows that were captured and exploded already. ``items`` may be
+    some branches of the table; ``stored`` is then the whole, for its keys."""
     keys = ["branch", "order_no"]
     seen = (listing.select(*keys, F.lit(True).alias("listed"))
             .unionByName(items.select(*keys, F.lit(False).alias("listed"))))
     # Listed and never stored; both sides are reduced to their keys before the shuffle.
     fresh = lookup_groups(seen, keys).agg(F.bool_and("listed").alias("fresh")).where("fresh")
     wanted = batch.join(fresh, keys, "left_semi")
-    return _reconciled(items, wanted, listing, captured, order)
+    return _reconciled(items, wanted, listing, captured, order, stored)
 
 
 def _reconciled(items: DataFrame, batch: DataFrame, listing: DataFrame, captured: DataFrame,
-                order: str) -> DataFrame:
+                order: str, stored: DataFrame | None = None) -> DataFrame:
     """Stored items without the inactive ones, and the new items. New items belong to
     listed orders, which are never inactive, so only the stored ones are tested."""
-    added = state.fresh_items(items, batch, order).select(
+    added = state.fresh_items(items if stored is None else stored, batch, order).select(
         *[c for c in batch.columns if c in items.columns])
     kept = state.delete_inactive(items, captured, listing)
     return kept.unionByName(added, allowMissingColumns=True)
@@ -82,11 +83,11 @@ def company_backfill(items: DataFrame, companies: DataFrame, answers: DataFrame,
                      as_of: Column) -> DataFrame:
     """Registry table after the unknown companies of the orders were looked up.
     ``answers`` holds the requested number as ``asked`` and the JSON text as ``doc``;
-    the requested number is the key, so an answer is never asked for twice."""
+    the requested number is the key, so an answer is never asked for twice. Answers
+    that are no record count for nothing; of several records of a number the first by its
+    text is stored."""
     todo = registry.unknown_companies(items, companies)
-    # Equal numbers asked for twice give one record.
-    wanted = first_rows(answers.join(todo.select(F.col("cnpj").alias("asked")), "asked",
-                                     "left_semi"), ["asked"], ["doc"])
-    flat = registry.flatten_company(wanted, keep=("asked",))
+    wanted = answers.join(todo.select(F.col("cnpj").alias("asked")), "asked", "left_semi")
+    flat = registry.flatten_company(wanted, keep=("asked", "doc"))
     records = flat.withColumn("cnpj", F.col("asked")).drop("asked")
-    return state.upsert_company(companies, records, as_of)
+    return state.upsert_company(companies, records, as_of, [F.col("doc")])

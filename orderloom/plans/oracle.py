@@ -89,7 +89,7 @@ from customer, (values ('erp-1'), ('erp-2')) s(source) where s.source = 'erp-1'
     "recv": """
 select case when o_orderkey % 2 = 0 then 'erp-1' else 'erp-2' end source, o_custkey::varchar codcli,
   round(o_totalprice*100)::bigint val, case o_orderstatus when 'P' then '0' when 'F' then '1' end vpago
-from orders where o_orderkey % 5 = 0""",
+from orders""",
     "debts": """
 select source, codcli, sum(val)::bigint valor_cents from recv where vpago is null or vpago = '0' group by all""",
     "reg": """
@@ -160,7 +160,7 @@ select *, '*Produto*: ' || product_name || ' | Quantidade: ' || q || ' | ' || ca
      || ' (Quantidade zero)' end || chr(10) line
 from oi""",
     "messages": f"""
-select order_no, 0::bigint part, '*Número Pedido*: *' || order_no || '*' || chr(10)
+select order_no, 'order' kind, null::bigint line_no, '*Número Pedido*: *' || order_no || '*' || chr(10)
   || '*Responsavel*: ' || any_value(responsible) || chr(10)
   || '*Documento*: ' || any_value(document) || chr(10)
   || '*Estabelecimento*: ' || coalesce(any_value(trade_name), '') || chr(10)
@@ -172,14 +172,15 @@ select order_no, 0::bigint part, '*Número Pedido*: *' || order_no || '*' || chr
   || '*Endereço de Entrega*: ' || any_value(street) || chr(10)
   || '*Cidade/UF*: ' || upper(trim(any_value(city_uf))) || chr(10)
   || '*CEP*: ' || any_value(zip) || chr(10)
-  || '*Data Entrega*: ' || any_value(delivery_date) || chr(10)
-  || string_agg(line, '' order by {ORD}) as text
-from lines group by order_no""",
+  || '*Data Entrega*: ' || any_value(delivery_date) || chr(10) as text
+from lines group by order_no
+union all
+select order_no, 'line', l_linenumber::bigint, line from lines""",
     "routed": """
-select 'chat-regional' target, 0 seq, 'greeting' kind, null::varchar order_no, 0::bigint part, 'Bom dia! Pedidos sendo enviados!' as text
+select 'chat-regional' target, 0 seq, 'greeting' kind, null::varchar order_no, null::bigint line_no, 'Bom dia! Pedidos sendo enviados!' as text
 where exists (select 1 from routes where route = 'regional')
 union all
-select 'chat-regional', 1, 'order', order_no, part, text from messages
+select 'chat-regional', case kind when 'order' then 1 else 2 end, kind, order_no, line_no, text from messages
 where order_no in (select order_no from routes where route = 'regional')""",
     "fresh_gap": """
 select g.*, (codcli::bigint % 5 = 0 and codcli::bigint < 1000000) as done from gap g""",
@@ -264,13 +265,12 @@ SQL = {
     "ledger_insert_client": """with n as (select branch, codcli, day sent_day, strftime(min(ts), '%H:%M:%S') sent_time, null::date greeted_day
    from ev group by branch, codcli, day)
  select * from led union all select n.* from n anti join led on led.branch = n.branch and led.codcli = n.codcli and led.sent_day = n.sent_day""",
-    "sent_registry_write": """select part, '["' || string_agg(order_no, '","' order by order_no) || '"]' doc from
- (select order_no, ((row_number() over (order by order_no) - 1) // 10000)::bigint part from q) group by part""",
+    "sent_registry_write": """select order_no, '["' || order_no || '"]' doc from q""",
     "schema_evolve": "select order_no, sku, null::varchar codcli, null::varchar contact_3, center from oi",
-    "orders_json": """select order_no, any_value(order_total) order_total, any_value(trade_name) trade_name,
- max(case when item_pos = 0 then sku end) first_sku, max(case when item_pos = 1 then price end) second_price from pos group by order_no""",
-    "outbox": """select target, order_no as key, text, kind, seq from routed union all
- select target, codcli, text, kind, seq from credit_rows""",
+    "orders_json": """select order_no, 'order' kind, null::bigint line_no, order_total, trade_name, null::varchar sku, null::varchar price
+ from heads union all select order_no, 'item', l_linenumber::bigint, null, null, sku, price from oi""",
+    "outbox": """select target, order_no as key, text, kind, seq, line_no from routed union all
+ select target, codcli, text, kind, seq, null from credit_rows""",
 
     "rename_labels": 'select order_no "Numero Pedido", sku "SKU", price "Preço", center "Centro de Distribuição", branch from oi',
     "rename_columns": "select cnpj, nome, nome_fantasia, status, ie_status from reg",
@@ -301,7 +301,8 @@ SQL = {
  case c_custkey % 20 when 0 then 'S' when 1 then null else 'N' end blocked from customer)
  where available_cents < total_cents or coalesce(blocked = 'S', false)""",
     "business_hours": "select event_id, isodow(ts) <= 5 and hour(ts) >= 9 and hour(ts) < 18 as open from ev",
-    "point_lookup": "select order_no, item_pos::bigint item_pos, sku, trade_name from pos where order_no = '77'",
+    "point_lookup": """select order_no, 'order' kind, null::bigint line_no, null::varchar sku, trade_name from heads where order_no = '77'
+ union all select order_no, 'item', l_linenumber::bigint, sku, null from oi where order_no = '77'""",
     "search_orders": """select order_no, document, branch from heads where branch = 'north' and
  (lower(document) like '%cpf%' or lower(coalesce(trade_name, '')) like '%cpf%' or lower(responsible) like '%cpf%')""",
     "valid_tax_number": """select order_no, regexp_full_match(regexp_replace(account_id, '[./-]', '', 'g'), '[0-9]+')
@@ -334,10 +335,11 @@ SQL = {
     "source_dedup": """select b.branch, b.source, codcli from clients
  join (values ('north','erp-1'),('south','erp-2'),('outlet','erp-1')) b(branch, source) on b.source = clients.source""",
 
-    "orders_grouped": f"""select h.order_no, {', '.join('h.' + c for c in HEADER.split(', '))}, i.items, i.skus from heads h
- join (select order_no, count(*) items, string_agg(sku, '|' order by {ORD}) skus from oi group by order_no) i on i.order_no = h.order_no""",
-    "orders_grouped_flat": """select order_no, item_pos::bigint item_pos, sku, product_name, price, quantity, quantity quantity_prepared,
- trade_name, document, order_total from pos""",
+    "orders_grouped": f"""select order_no, 'order' kind, null::bigint line_no, {HEADER}, null::varchar sku, null::varchar price,
+ null::varchar quantity from heads union all
+ select order_no, 'item', l_linenumber::bigint, {', '.join('null' for _ in HEADER.split(', '))}, sku, price, quantity from oi""",
+    "orders_grouped_flat": """select order_no, l_linenumber::bigint line_no, sku, product_name, price, quantity, quantity quantity_prepared,
+ trade_name, document, order_total from oi""",
     "credit_gap": "select * from gap",
     "credit_gap_all_orders": """select codcli, sum(total_cents)::bigint total_cents, arg_min(payment, order_no) payment, branch
  from gap_rows group by branch, codcli
@@ -356,7 +358,7 @@ SQL = {
     "known_companies": "select cnpj from reg",
     "queue_orders": "select order_no from q",
     "any_eligible": "select count(route) > 0 eligible from routes",
-    "order_message_lines": f"select order_no, 0::bigint part, string_agg(line, '' order by {ORD}) as lines from lines group by order_no",
+    "order_message_lines": "select order_no, l_linenumber::bigint line_no, line as text from lines",
     "run_counts": """select 'items' stage, count(*) as rows from oi union all select 'orders', count(distinct order_no) from oi
  union all select 'companies', count(*) from acct
  union all select 'unknown companies', count(*) from acct where cnpj not in (select cnpj from reg)
@@ -480,6 +482,7 @@ union all select branch, case seq when 0 then '__saudacao__' else codcli end, da
     "stream_insert_ignore": f"""select order_no, sku, price, quantity, coalesce(phone_2, '') phone_2
  from (select *, row_number() over (partition by order_no, sku order by {ORD}) rn from oi) where rn = 1""",
     "stream_daily_once": "select distinct branch, codcli, day from ev",
+    "stream_daily_once_watermark": "select distinct branch, codcli, day from ev",
     "stream_daily_once_exact": "select distinct branch, codcli, day from ev",
     "stream_snapshot_reconcile": "select * from snap",
     "stream_order_stats": f"""select branch, count(*) orders, sum(total_cents)::bigint value_cents,

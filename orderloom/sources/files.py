@@ -10,11 +10,15 @@ from orderloom.schemas import LEDGER_JSON, ORDER_LABELS, REGISTRY_LABELS, text_s
 from orderloom.sources.tables import union_all
 
 
-def registry_csv(spark: SparkSession, path: str,
-                 labels: list[str] | None = None) -> DataFrame:
-    """Company registry export: comma, UTF-8, header, every column text."""
-    return spark.read.csv(path, header=True, encoding="UTF-8",
-                          schema=text_schema(labels or list(REGISTRY_LABELS)))
+# Columns that every file of a kind has; a file without is not of that kind.
+ORDER_KEY_LABEL = "Numero Pedido"
+REGISTRY_KEY_LABEL = "CNPJ"
+
+
+def registry_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Company registry exports: comma, UTF-8, header, every column text. Columns go by
+    name, whatever their order in a file."""
+    return _by_header(spark, path, REGISTRY_KEY_LABEL, list(REGISTRY_LABELS), {})
 
 
 def order_csvs(spark: SparkSession, folder: str, header: list[str] | None = None,
@@ -22,32 +26,46 @@ def order_csvs(spark: SparkSession, folder: str, header: list[str] | None = None
     """Order exports anywhere below a folder, put together by column name.
 
     A byte-order mark is tolerated, a short line is filled with nulls, a line with
-    too many fields is skipped. Files are read in one go per distinct header; finding the
-    headers takes a pass over the lines, which ``header`` saves where all files share it.
+    too many fields is skipped. Files are read in one go per distinct header; ``header`` saves
+    looking for them where all files share it.
     """
     found_below = {"recursiveFileLookup": True, "pathGlobFilter": name_glob}
     if header:
-        return _order_csv(spark, [folder], header, **found_below)
-    lines = (spark.read.options(**found_below)
-             .text(folder).select("value", F.col("_metadata.file_path").alias("path")))
-    bare = F.regexp_replace("value", '^\ufeff|"|\\r$', "")
-    # One short row per file, no more than the file list Spark itself keeps for the scan.
-    found = (lines.select("path", bare.alias("header"))
-             .where(F.array_contains(F.split("header", ","), ORDER_KEY_LABEL)).distinct().collect())
+        return _csv(spark, [folder], header, **found_below)
+    return _by_header(spark, folder, ORDER_KEY_LABEL, list(ORDER_LABELS), found_below)
+
+
+def _by_header(spark: SparkSession, path: str, key: str, labels: list[str],
+               options: dict) -> DataFrame:
+    """Files under a path by the names in their first lines. A file whose first line has no
+    column ``key`` is an error, not silently left out."""
+    headers = sorted(_first_lines(spark, path, options).items())
     by_header: dict[str, list[str]] = {}
-    for row in sorted(found):
-        by_header.setdefault(row.header, []).append(unquote(row.path))
+    for file, line in headers:
+        if key not in line.split(","):
+            raise ValueError(f"no column {key} in the first line of {file}")
+        by_header.setdefault(line, []).append(unquote(file))
     if not by_header:
-        return spark.createDataFrame([], text_schema(list(ORDER_LABELS)))
-    return union_all([_order_csv(spark, paths, header.split(","))
-                      for header, paths in sorted(by_header.items())])
+        return spark.createDataFrame([], text_schema(labels))
+    return union_all([_csv(spark, files, line.split(","))
+                      for line, files in sorted(by_header.items())])
 
 
-# Every order export has this column.
-ORDER_KEY_LABEL = "Numero Pedido"
+def _first_lines(spark: SparkSession, path: str, options: dict) -> dict[str, str]:
+    """First line of each file, without byte-order mark and quotes.
+
+    Only the split that holds a file's beginning is looked at, and of it the first row; the
+    driver gets one short row per file, no more than the file list Spark itself keeps.
+    """
+    lines = (spark.read.options(**options).text(path)
+             .select("value", F.col("_metadata.file_path").alias("path"),
+                     F.monotonically_increasing_id().alias("row"))
+             .where("_metadata.file_block_start = 0"))
+    bare = F.regexp_replace(F.min_by("value", "row"), '^\ufeff|"|\\r$', "")
+    return {r.path: r.line for r in lines.groupBy("path").agg(bare.alias("line")).collect()}
 
 
-def _order_csv(spark: SparkSession, paths: list[str], names: list[str],
+def _csv(spark: SparkSession, paths: list[str], names: list[str],
                **options: object) -> DataFrame:
     """Files with the same header. One more column than the header catches the first
     surplus field, which is how too long lines are told from short ones."""
@@ -71,13 +89,14 @@ JSON_TEXT = r'("(?:[^"\\]|\\.)*")'
 def sent_registry(spark: SparkSession, path: str, on_corrupt: str = "empty") -> DataFrame:
     """Order numbers of a JSON array file (or of lines of arrays), as distinct rows.
 
-    The file is cut at its commas, so a large array on one line is still read by many
-    tasks. Anything but texts and brackets makes it corrupt: no rows then, or an error
-    with ``on_corrupt="fail"``. A missing file gives no rows.
+    A JSON text never holds a line break, so lines are read by many tasks, and within a line
+    texts are told from the rest by their quotes; a comma in a text is part of it.
+    Anything but texts, commas and brackets makes the file corrupt: no rows then, or an
+    error with ``on_corrupt="fail"``. A missing file gives no rows.
     """
     empty = spark.createDataFrame([], text_schema(["order_no"]))
     try:
-        pieces = spark.read.option("lineSep", ",").text(path)
+        lines = spark.read.text(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -85,13 +104,12 @@ def sent_registry(spark: SparkSession, path: str, on_corrupt: str = "empty") ->
     rest = F.regexp_replace("value", JSON_TEXT, "")
     opened, closed = (F.coalesce(F.sum(F.regexp_count(rest, F.lit(b))), F.lit(0))
                       for b in (r"\[", r"\]"))
-    clean = F.coalesce(F.bool_and(rest.rlike(r"^[\s\[\]]*$")), F.lit(False))
-    if not pieces.select(clean & (opened == closed) & (opened > 0)).first()[0]:
-        if on_corrupt == "fail":
-            raise ValueError(f"not a JSON array of texts: {path}")
-        return empty
-    texts = pieces.select(F.explode(F.regexp_extract_all("value", F.lit(JSON_TEXT), F.lit(1)))
-                          .alias("text"))
+    clean = F.coalesce(F.bool_and(rest.rlike(r"^[\s,\[\]]*$")), F.lit(False))
+    sound = lines.agg((clean & (opened == closed) & (opened > 0)).alias("sound"))
+    if on_corrupt == "fail" and not sound.first()[0]:
+        raise ValueError(f"not a JSON array of texts: {path}")
+    texts = lines.where(sound.scalar()).select(
+        F.explode(F.regexp_extract_all("value", F.lit(JSON_TEXT), F.lit(1))).alias("text"))
     value = F.get(F.from_json(F.concat(F.lit("["), "text", F.lit("]")), "array<string>"), F.lit(0))
     return texts.select(value.alias("order_no")).distinct()
 

@@ -3,7 +3,8 @@
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +53,8 @@ def multi_source_union(sources: Mapping[str, DataFrame | Callable[[], DataFrame]
     """The same scan over several sources, each row tagged with its source.
 
     ``None`` marks a source that is not configured and is left out. A source that
-    cannot be opened fails the query, unless ``skip_failed`` leaves it out as well.
+    cannot be opened (no such table, no connection) fails the query, unless ``skip_failed``
+    leaves it out as well.
     """
     frames = []
     for name, source in sources.items():
@@ -60,7 +62,7 @@ def multi_source_union(sources: Mapping[str, DataFrame | Callable[[], DataFrame]
             continue
         try:
             df = source() if callable(source) else source
-        except AnalysisException:
+        except (PySparkException, Py4JError, OSError):
             if not skip_failed:
                 raise
             continue
@@ -72,13 +74,26 @@ def multi_source_union(sources: Mapping[str, DataFrame | Callable[[], DataFrame]
 
 def jdbc_table(spark: SparkSession, url: str, table: str, *, partition_column: str | None = None,
                lower: int = 0, upper: int = 0, partitions: int = 1, **options: str) -> DataFrame:
-    """A table in a database. Projection, filters and aggregates written on the result
-    are pushed to the database; give a numeric ``partition_column`` to read in parallel.
-    Drivers and credentials come from the caller through ``options``."""
-    reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
-              .option("pushDownAggregate", "true"))
+    """A table in a database. Projection and filters written on the result are pushed to
+    the database; give a numeric ``partition_column`` to read in parallel. Drivers and
+    credentials come from the caller through ``options``."""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     if partition_column:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", lower).option("upperBound", upper)
                   .option("numPartitions", partitions))
     return reader.options(**options).load()
+
+
+def receivables_query(table: str, keys: tuple[str, ...] = ("codcli",)) -> str:
+    """The statement of ``receivables_sum`` for a database."""
+    names = ", ".join(keys)
+    return (f"SELECT {names}, SUM(valor) AS valor FROM {table} "
+            f"WHERE vpago IS NULL OR vpago = 0 GROUP BY {names}")
+
+
+def jdbc_receivables(spark: SparkSession, url: str, table: str, keys: tuple[str, ...] = ("codcli",),
+                     **options: str) -> DataFrame:
+    """Open receivables per customer, summed by the database: only the sums travel."""
+    return (spark.read.format("jdbc").option("url", url)
+            .option("query", receivables_query(table, keys)).options(**options).load())

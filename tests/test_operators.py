@@ -98,7 +98,7 @@ def test_inactive_orders_of_captured_branches_go(spark, captured, active, left):
 def test_codes_orders_and_queue(spark):
     have = items(spark, {"order_no": "1", "sku": "a"}, {"order_no": "1", "sku": "b", "codcli": "7"},
                  {"order_no": "2", "codcli": "9"})
-    codes = table(spark, "order_no string, codcli int", ("1", 5))
+    codes = table(spark, "order_no string, codcli int", ("1", 5), ("1", 4))  # in two branches
     assert rows(state.update_codcli(have, codes).select("order_no", "codcli")) == [
         ("1", "5"), ("1", "5"), ("2", "9")]
     assert rows(state.delete_orders(have, codes).select("order_no")) == [("2",)]
@@ -144,7 +144,8 @@ def gap(spark, given, clients, debts=(), **options):
     rows_ = items(spark, *[{"center": "X", "payment": "Dinheiro", **g} for g in given])
     df = credit.credit_gap(rows_, table(spark, CLIENTS, *[("s", c, "n", d, b, lim) for c, d, b, lim in clients]),
                            table(spark, DEBTS, *[("s", *d) for d in debts]),
-                           table(spark, *CENTERS), table(spark, *SOURCES), **options)
+                           table(spark, *CENTERS), table(spark, *SOURCES),
+                           payments=rules.PAYMENT_CODES, **options)
     return [(c, str(total), p, b) for c, total, p, b in rows(df)]
 
 
@@ -217,7 +218,8 @@ def test_credit_outbox_sends_once_a_day(spark):
 # --------------------------------------------------------------- routing
 
 def routes(spark, given, sent=()):
-    df = routing.route_orders(items(spark, *given), table(spark, "order_no string", *[(s,) for s in sent]))
+    df = routing.route_orders(items(spark, *given), table(spark, "order_no string", *[(s,) for s in sent]),
+                              rules.REGIONAL_CITIES, rules.INTERIOR_CITIES)
     return dict(rows(df))
 
 
@@ -235,9 +237,10 @@ def test_routes(spark):
 def test_probe_has_its_own_city_list(spark):
     empty = table(spark, "order_no string")
     one = items(spark, {"order_no": "1", "city_uf": "ARROZAL"})
-    assert routing.any_eligible(one, empty).first()[0] is True
+    assert routing.any_eligible(one, empty, rules.REGIONAL_PROBE_CITIES, rules.INTERIOR_CITIES).first()[0] is True
     assert routes(spark, [{"order_no": "1", "city_uf": "ARROZAL"}]) == {"1": None}
-    assert routing.any_eligible(items(spark), empty).first()[0] is False
+    assert routing.any_eligible(items(spark), empty, rules.REGIONAL_PROBE_CITIES,
+                                rules.INTERIOR_CITIES).first()[0] is False
 
 
 def test_message_text(spark):
@@ -247,8 +250,9 @@ def test_message_text(spark):
     df = items(spark, {**head, "product_name": "A", "price": "$10.00", "quantity": "3"},
                {"order_no": "9", "product_name": "B", "price": "$1,000.50", "quantity": "0"},
                {"order_no": "9", "product_name": "C", "price": "x", "quantity": "x"})
-    got = routing.order_messages(df.withColumn("contact_3", F.lit("Zé"))).first()
-    assert got.text == (
+    got = routing.order_messages(df.withColumn("contact_3", F.lit("Zé")))
+    text = "".join(r.text for r in got.orderBy(F.col("kind") == "line", "ord").collect())
+    assert text == (
         "*Número Pedido*: *9*\n*Responsavel*: R\n*Documento*: CPF: 1\n*Estabelecimento*: Bar\n"
         "*Telefone 1*: 2112\n*Contato 3*: Zé\n*Forma de Pagamento*: Pix\n*Total Pedido*: $3.00\n"
         "*Endereço de Entrega*: Rua 1\n*Cidade/UF*: NITERÓI, RJ\n*CEP*: 1\n*Data Entrega*: d\n"
@@ -261,13 +265,16 @@ def test_routed_outbox_and_queue(spark):
     df = items(spark, {"order_no": "1", "city_uf": "PARATY"}, {"order_no": "2", "city_uf": "Niterói"})
     queue = table(spark, "order_no string, sent_at timestamp")
     now = F.lit("2024-01-10 20:00:00").cast("timestamp")
-    sent = routing.routed_outbox(df, queue, "t", now)
-    assert [(r.kind, r.order_no) for r in sent.orderBy("seq").collect()] == [("greeting", None), ("order", "1")]
+    sent = routing.routed_outbox(df, queue, "t", now, rules.REGIONAL_CITIES, rules.INTERIOR_CITIES)
+    assert [(r.kind, r.order_no) for r in sent.orderBy("seq").collect()] == [
+        ("greeting", None), ("order", "1"), ("line", "1")]
     assert sent.orderBy("seq").first().text == "Boa noite! Pedidos sendo enviados!"
     after = routing.queue_routed(queue, sent, now)
     assert rows(after.select("order_no")) == [("1",)]
-    assert routing.routed_outbox(df, after, "t", now).count() == 0
-    assert rows(outbox.outbox(sent).select("target", "key", "seq")) == [("t", "1", 1), ("t", None, 0)]
+    assert routing.routed_outbox(df, after, "t", now, rules.REGIONAL_CITIES,
+                                 rules.INTERIOR_CITIES).count() == 0
+    assert rows(outbox.outbox(sent).select("target", "key", "seq")) == [
+        ("t", "1", 1), ("t", "1", 2), ("t", None, 0)]
     assert rows(routing.sent_after(after, table(spark, "order_no string", (" 1",), ("0",)))) == [("0",), ("1",)]
 
 
@@ -328,7 +335,7 @@ def test_unknown_and_pending_companies(spark):
 def test_backfill_stores_the_requested_number(spark):
     df = items(spark, {"order_no": "1", "account_id": "12345678000191"})
     answers = table(spark, "asked string, doc string", ("12345678000191", '{"taxId":"other","company":{"name":"N"}}'),
-                    ("5", '{"taxId":"5"}'))
+                    ("12345678000191", "<html>503</html>"), ("5", '{"taxId":"5"}'))
     new = jobs.company_backfill(df, registry_table(spark), answers, F.lit("2024-02-02").cast("timestamp"))
     assert rows(new.select("cnpj", "nome")) == [("12345678000191", "N")]
 
@@ -404,15 +411,25 @@ def test_totals_search_and_pages(spark):
     page = dashboard.paginate(heads, 9, 2).collect()
     assert [(r.order_no, r.page, r.pages, r["first"], r["last"], r.total) for r in page] == [("3", 2, 2, 3, 3, 3)]
     assert dashboard.paginate(heads.where("false"), 1).count() == 0
-    assert dashboard.point_lookup(dashboard.orders_grouped(df), " 2 ").count() == 1
+    assert dashboard.orders_grouped(dashboard.point_lookup(df, " 2 ")).groupBy("kind").count().count() == 2
+
+
+@pytest.mark.parametrize("page, left", [(1, 3), (2, 3), (4, 1), (99, 1)])
+def test_pages_of_equal_and_null_keys(spark, page, left):
+    df = table(spark, "k string, v int", *[("same", i) for i in range(6)], *[(None, i) for i in range(4)])
+    got = dashboard.paginate(df, page, 3, ["k"])
+    assert got.count() == left and got.first().total == 10
+    pages = [tuple(r)[:2] for p in (1, 2, 3, 4) for r in dashboard.paginate(df, p, 3, ["k"]).collect()]
+    assert sorted(pages, key=repr) == rows(df)
 
 
 def test_grouped_orders_take_the_first_row_with_its_nulls(spark):
     df = items(spark, {"order_no": "1", "trade_name": None, "sku": "b"}, {"order_no": "1", "trade_name": "x", "sku": "a"})
-    doc = dashboard.orders_grouped(df).first()
-    assert doc.trade_name is None and [i.sku for i in doc["items"]] == ["b", "a"]
-    back = dashboard.flat_orders(dashboard.orders_grouped(df)).select("item_pos", "sku")
-    assert rows(back) == [(0, "b"), (1, "a")]
+    doc = dashboard.orders_grouped(df).orderBy("order_no", F.col("ord").asc_nulls_first()).collect()
+    assert [(r.kind, r.trade_name, r.sku) for r in doc] == [
+        ("order", None, None), ("item", None, "b"), ("item", None, "a")]
+    back = dashboard.flat_orders(df).orderBy("ord").select("sku", "trade_name")
+    assert [tuple(r) for r in back.collect()] == [("b", None), ("a", None)]
 
 
 def test_last_update(spark):
@@ -430,6 +447,7 @@ def test_shaping(spark):
         shaping.drop_columns(df, ["c"], strict=True)
     once = shaping.ensure_columns(df, ["c"])
     assert shaping.ensure_columns(once, ["c"]).columns == ["a", "b", "c"]
-    assert rows(df.select(shaping.payment_code(F.lit("Dinheiro")), shaping.payment_code(F.lit("x")))) == [("D", "x")]
+    code = lambda text: shaping.payment_code(F.lit(text), {"Dinheiro": "D"})
+    assert rows(df.select(code("Dinheiro"), code("x"))) == [("D", "x")]
     empty = shaping.rule_table(spark, [], "a string, b int")
     assert empty.count() == 0 and empty.columns == ["a", "b"]

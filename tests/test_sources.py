@@ -31,14 +31,31 @@ def test_order_csvs_nested_bom_long_and_short_lines(spark, tmp_path):
 def test_registry_csv_is_all_text(spark, tmp_path):
     path = tmp_path / "r.csv"
     path.write_text("CNPJ,Nome,Nome Fantasia\n00012,Ação,\n")
-    got = files.registry_csv(spark, str(path), list(REGISTRY_LABELS)[:3])
+    got = files.registry_csv(spark, str(path))
     assert rows(got) == [("00012", "Ação", None)]
 
 
+def test_registry_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Nome,CNPJ\nAcme,123\n")
+    (tmp_path / "b.csv").write_text("Extra,CNPJ,Nome\n,456,CNPJ\n")
+    got = files.registry_csv(spark, str(tmp_path)).select("CNPJ", "Nome")
+    assert rows(got) == [("123", "Acme"), ("456", "CNPJ")]
+
+
+def test_a_label_as_a_value_is_no_header(spark, tmp_path):
+    path = tmp_path / "Pedidos_A_Preparar_1.csv"
+    path.write_text("Numero Pedido,SKU\n1,a\n2,Numero Pedido\nNumero Pedido,c\n")
+    assert rows(files.order_csvs(spark, str(tmp_path))) == [
+        ("1", "a"), ("2", "Numero Pedido"), ("Numero Pedido", "c")]
+    (tmp_path / "Pedidos_A_Preparar_2.csv").write_text("SKU,Outro\n1,2\n")
+    with pytest.raises(ValueError, match="Numero Pedido"):
+        files.order_csvs(spark, str(tmp_path))
+
+
 @pytest.mark.parametrize("content, expected", [
     ('["1", "2", "2"]', ["1", "2"]),
     ('[\n  "1",\n  "2"\n]', ["1", "2"]),
-    ('["a\\"b"]', ['a"b']),
+    ('["a\\"b"]', ['a"b']), ('["a,b", "c"]', ["a,b", "c"]), ('["[x]", ","]', [",", "[x]"]),
     ('["x"]\n["y","z"]\n', ["x", "y", "z"]),
     ("[]", []), ("", []), ('["1", 2]', []), ('["1", "2"', []), ("{}", []),
 ])
