@@ -7,7 +7,8 @@ So a text's count is the sum over its distinct pre-tokens of frequency times pie
 * ``postings``: texts are read in blocks; for each distinct pre-token of a block one row
   holds how often each text of the block has it. Pre-tokens that are one piece (a table no
   larger than the vocabulary) are summed at once and need no row.
-* one join brings the pieces to the postings, one sum per block adds them up.
+* one join brings the pieces to the postings; each task sums what it sees of a block, and
+  one sum per block adds that up.
 
 A pre-token that all texts share has one row per block, and the join splits hot keys. The
 texts are cut twice, which costs less than storing the frequencies for a second use.
@@ -27,7 +28,8 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import Scratch, column, slices, texts_of
+from orderloom.llm.common import column, slices, texts_of
+from orderloom.operators.picking import lookup_groups
 
 LIMIT = 512
 BLOCK_TEXTS = 16_384
@@ -96,7 +98,13 @@ def _distinct_rows(vocabulary: str, most: int = BLOCK_WORDS):
 def pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(pre_token, pieces) for each distinct pre-token of several pieces."""
     found = docs.select("text").mapInArrow(_distinct_rows(vocabulary), "pre_token string")
-    return found.distinct().withColumn("pieces", piece_counts(vocabulary)("pre_token"))
+    distinct = lookup_groups(found, ["pre_token"]).agg(F.count("*").alias("blocks"))
+    return distinct.select("pre_token", piece_counts(vocabulary)("pre_token").alias("pieces"))
+
+
+#: A text of a block (at most BLOCK_TEXTS) with a frequency, or with a sum of pieces.
+POSTING = np.dtype([("text", "<u2"), ("n", "u1")])
+PARTIAL = np.dtype([("text", "<u2"), ("n", "<u4")])
 
 
 class _Block:
@@ -124,13 +132,14 @@ class _Block:
         """
         key = (np.concatenate(self.found).astype(np.int64) << 32) + np.concatenate(self.owners)
         key, n = np.unique(key, return_counts=True)
-        times = -(-n // 0xFFFF)  # a frequency beyond 16 bits is split over several entries
+        times = -(-n // 0xFF)  # a frequency beyond 8 bits is split over several entries
         key, n = np.repeat(key, times), np.where(
             np.arange(times.sum()) == np.repeat(np.cumsum(times), times) - 1,
-            np.repeat(n - (times - 1) * 0xFFFF, times), 0xFFFF)
-        pairs = np.empty((len(key), 2), "<u2")
-        pairs[:, 0], pairs[:, 1] = key & 0xFFFFFFFF, n
-        places = np.searchsorted(key >> 32, np.arange(len(self.number) + 1)).astype(np.int32) * 4
+            np.repeat(n - (times - 1) * 0xFF, times), 0xFF)
+        pairs = np.empty(len(key), POSTING)
+        pairs["text"], pairs["n"] = key & 0xFFFFFFFF, n
+        places = (np.searchsorted(key >> 32, np.arange(len(self.number) + 1))
+                  * POSTING.itemsize).astype(np.int32)
         words, texts = len(self.number), len(self.head)
         docs, sizes, base = zip(*self.head, strict=True)
         postings = pa.Array.from_buffers(
@@ -181,24 +190,83 @@ def piece_counts(vocabulary: str):
     return run
 
 
+class _Sums:
+    """Running sums of pieces of the texts of some blocks."""
+
+    def __init__(self):
+        self.blocks: dict[int, np.ndarray] = {}
+
+    def add(self, blocks: np.ndarray, postings: list[bytes], pieces: np.ndarray):
+        sizes = np.array([len(p) for p in postings]) // POSTING.itemsize
+        pairs = np.frombuffer(b"".join(postings), POSTING)
+        each = np.repeat(pieces, sizes) * pairs["n"].astype(np.float64)
+        owner = np.repeat(blocks, sizes)
+        for block in np.unique(blocks).tolist():
+            here = owner == block
+            got = np.bincount(pairs["text"][here], each[here]).astype(np.int64)
+            old = self.blocks.get(block, got[:0])
+            if len(old) < len(got):
+                old, got = got, old
+            old[:len(got)] += got
+            self.blocks[block] = old
+
+    def entries(self) -> int:
+        return sum(map(len, self.blocks.values()))
+
+    def rows(self) -> Iterator[tuple[int, bytes]]:
+        for block, sums in self.blocks.items():
+            out = np.empty(np.count_nonzero(sums), PARTIAL)
+            out["text"], out["n"] = np.flatnonzero(sums), sums[sums > 0]
+            yield block, out.tobytes()
+
+
+def _partial_rows(most: int = 2_000_000):
+    """Postings times pieces, summed per block as far as a task sees it; other rows as they
+    are. Sums are sent on whenever they fill ``most`` entries."""
+    def sent(sums: _Sums, like: pa.RecordBatch) -> pa.RecordBatch:
+        blocks, packed = zip(*sums.rows(), strict=True)
+        columns = {"block": pa.array(blocks, pa.int64()), "sums": pa.array(packed, pa.binary())}
+        return pa.RecordBatch.from_arrays(
+            [columns.get(f.name, pa.nulls(len(blocks), f.type)) for f in like.schema],
+            schema=like.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, heads = _Sums(), None
+        for batch in batches:
+            head = pc.is_valid(column(batch, "text_number"))
+            body = batch.filter(pc.invert(head))
+            heads = batch.filter(head).drop_columns(["postings", "pieces"])
+            heads = heads.append_column("sums", pa.nulls(heads.num_rows, pa.binary()))
+            if heads.num_rows:
+                yield heads
+            for at in range(0, body.num_rows, 20_000):
+                some = body.slice(at, 20_000)
+                sums.add(column(some, "block").to_numpy(), column(some, "postings").to_pylist(),
+                         column(some, "pieces").to_numpy(zero_copy_only=False).astype(np.int64))
+                if sums.entries() > most:
+                    yield sent(sums, heads)
+                    sums = _Sums()
+        if sums.blocks:
+            yield sent(sums, heads)
+    return run
+
+
 def _sum_block(rows: pa.Table) -> pa.Table:
     head = rows.filter(pc.is_valid(rows["text_number"])).sort_by("text_number")
     total = np.array(head["base"].to_numpy())
-    for part in rows.filter(pc.is_valid(rows["postings"])).to_batches():
-        kept = column(part, "postings")
-        sizes = pc.binary_length(kept).to_numpy() // 4
-        pairs = np.frombuffer(b"".join(kept.to_pylist()), "<u2").reshape(-1, 2)
-        each = np.repeat(column(part, "pieces").to_numpy(zero_copy_only=False), sizes)
-        total += np.bincount(pairs[:, 0], pairs[:, 1] * each.astype(np.float64),
-                             len(total)).astype(np.int64)
+    for packed in rows.filter(pc.is_valid(rows["sums"]))["sums"].to_pylist():
+        part = np.frombuffer(packed, PARTIAL)
+        total[part["text"]] += part["n"]
     return head.select(["doc_id", "n_bytes"]).append_column("n_tokens", pa.array(total, pa.int64()))
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = Scratch(docs.select("doc_id"), "token-counts").keep(pieces(docs, vocabulary), "pieces")
-    return (postings(docs, vocabulary).join(known, "pre_token", "left").drop("pre_token")
+    joined = postings(docs, vocabulary).join(pieces(docs, vocabulary), "pre_token", "left")
+    return (joined.drop("pre_token")
+            .mapInArrow(_partial_rows(), "block long, text_number int, "
+                        f"doc_id {kind}, n_bytes long, base long, sums binary")
             .groupBy("block")
             .applyInArrow(_sum_block, f"doc_id {kind}, n_bytes long, n_tokens long")
             .withColumn("over_limit", F.col("n_tokens") > limit))

@@ -52,14 +52,17 @@ def test_counts_of_nothing(no_docs):
     assert tokencount.token_counts(no_docs, BYTES).collect() == []
 
 
-def test_frequencies_beyond_16_bits():
+def test_large_frequencies_and_sums_in_parts():
+    import pyarrow as pa
     block = tokencount._Block()
-    block.add(1, 0, ["thorreou"] * 70_000, 0, frozenset())
+    block.add(1, 0, ["thorreou"] * 70_000 + ["x"], 0, frozenset())
     block.add(2, 0, ["thorreou"], 5, frozenset())
-    import pyarrow as pa
     batch = block.batch(0, pa.int64())
-    got = pa.Table.from_batches([batch]).append_column("pieces", pa.array([3, 0, 0], pa.int32()))
-    assert tokencount._sum_block(got)["n_tokens"].to_pylist() == [210_000, 8]
+    batch = batch.append_column("pieces", pa.array([3, 2, None, None], pa.int32()))
+    for most in (10**6, 0):
+        rows = list(tokencount._partial_rows(most)(iter([batch.drop_columns(["pre_token"])])))
+        got = tokencount._sum_block(pa.Table.from_batches(rows))
+        assert got["n_tokens"].to_pylist() == [210_002, 8]
 
 
 @pytest.mark.parametrize("window", [64, 2048])
