@@ -1,7 +1,8 @@
 """Near-duplicate documents: DartMinHash signatures, banded joining, exact check, components.
 
 A text is the weighted set of its shingles (``SHINGLE`` words; a shorter text with any word is
-one shingle), weighted by how often each occurs. Darts of a fixed random process are thrown
+one shingle). Each has weight 1, or with ``counted`` as many as it occurs; the default keeps
+texts apart that share little but one line repeated many times. Darts of a fixed random process are thrown
 at the area (shingle x weight x rank); those that land within a text's weights are kept in
 order of rank and each of ``COORDINATES`` coordinates keeps its earliest dart. Two texts
 agree in a coordinate with probability equal to their weighted Jaccard similarity, and the
@@ -50,8 +51,8 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> U64(11)).astype(np.float64) + 0.5) * UNIT
 
 
-def weighted_shingles(h: np.ndarray, ends: np.ndarray, n: int = SHINGLE):
-    """(owner, shingle, count) of each text's distinct shingles, ordered by both."""
+def weighted_shingles(h: np.ndarray, ends: np.ndarray, counted: bool, n: int = SHINGLE):
+    """(owner, shingle, weight) of each text's distinct shingles, ordered by both."""
     sizes = np.diff(ends)
     grams = mix(gram_hashes(h, n))
     at = np.flatnonzero(gram_valid(ends, n))
@@ -65,7 +66,8 @@ def weighted_shingles(h: np.ndarray, ends: np.ndarray, n: int = SHINGLE):
     order = np.lexsort((ids, owner))
     owner, ids = owner[order], ids[order]
     first = np.flatnonzero(np.r_[True, (np.diff(owner) != 0) | (ids[1:] != ids[:-1])][:len(ids)])
-    return owner[first], ids[first], np.diff(np.r_[first, len(ids)])
+    weight = np.diff(np.r_[first, len(ids)]) if counted else np.ones(len(first), np.int64)
+    return owner[first], ids[first], weight
 
 
 def _throw(ids: np.ndarray, weights: np.ndarray, limit: np.ndarray, owner: np.ndarray):
@@ -118,23 +120,25 @@ def darts(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int,
     return out.reshape(n, k)
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        words = words_of(part)
-        sign = darts(*weighted_shingles(word_hashes(words), words.ends), part.num_rows)
-        kept = np.flatnonzero(np.diff(words.ends) > 0)
-        sign = sign[kept]
-        bits = (mix(sign) & U64(1)).reshape(len(kept), 2, 64) << np.arange(64, dtype=U64)
-        sketch = np.bitwise_or.reduce(bits, 2)
-        band = gram_hashes_rows(sign.reshape(len(kept), BANDS, ROWS))
-        keys = mix(band + np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15))
-        yield pa.RecordBatch.from_arrays(
-            [column(part, "key").take(pa.array(kept)),
-             pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1) * BANDS, pa.int32()),
-                                      pa.array(signed(keys.ravel()))),
-             pa.array(signed(np.ascontiguousarray(sketch[:, 0]))),
-             pa.array(signed(np.ascontiguousarray(sketch[:, 1])))],
-            names=["key", "bands", "sketch0", "sketch1"])
+def _signature_rows(counted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            words = words_of(part)
+            sign = darts(*weighted_shingles(word_hashes(words), words.ends, counted), part.num_rows)
+            kept = np.flatnonzero(np.diff(words.ends) > 0)
+            sign = sign[kept]
+            bits = (mix(sign) & U64(1)).reshape(len(kept), 2, 64) << np.arange(64, dtype=U64)
+            sketch = np.bitwise_or.reduce(bits, 2)
+            band = gram_hashes_rows(sign.reshape(len(kept), BANDS, ROWS))
+            keys = mix(band + np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15))
+            yield pa.RecordBatch.from_arrays(
+                [column(part, "key").take(pa.array(kept)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1) * BANDS, pa.int32()),
+                                          pa.array(signed(keys.ravel()))),
+                 pa.array(signed(np.ascontiguousarray(sketch[:, 0]))),
+                 pa.array(signed(np.ascontiguousarray(sketch[:, 1])))],
+                names=["key", "bands", "sketch0", "sketch1"])
+    return run
 
 
 def gram_hashes_rows(band: np.ndarray) -> np.ndarray:
@@ -149,10 +153,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.unhex(F.md5(text.cast("binary"))).alias("key"))
 
 
-def signatures(keyed: DataFrame) -> DataFrame:
+def signatures(keyed: DataFrame, counted: bool = False) -> DataFrame:
     """One row per distinct text with a word: key, bands, sketch0, sketch1."""
     found = keyed.select("key", "text").mapInArrow(
-        _signature_rows, "key binary, bands array<long>, sketch0 long, sketch1 long")
+        _signature_rows(counted), "key binary, bands array<long>, sketch0 long, sketch1 long")
     return first_rows(found, ["key"], ["sketch0"])
 
 
@@ -220,24 +224,29 @@ def class_pairs(mixed: DataFrame, sizes: DataFrame, tested: DataFrame, least: fl
             .join(tested, ["a", "b"], "left_anti"))
 
 
-def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        words = words_of(part)
-        owner, ids, n = weighted_shingles(word_hashes(words), words.ends)
-        yield pa.RecordBatch.from_arrays(
-            [column(part, "key").take(pa.array(owner)), pa.array(signed(ids)), pa.array(n, pa.int64())],
-            names=["key", "shingle", "weight"])
+def _shingle_rows(counted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            words = words_of(part)
+            owner, ids, n = weighted_shingles(word_hashes(words), words.ends, counted)
+            yield pa.RecordBatch.from_arrays(
+                [column(part, "key").take(pa.array(owner)), pa.array(signed(ids)),
+                 pa.array(n, pa.int64())], names=["key", "shingle", "weight"])
+    return run
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        words = words_of(part)
-        owner, ids, n = weighted_shingles(word_hashes(words), words.ends)
-        at = np.searchsorted(owner, np.arange(part.num_rows + 1))
-        n = n.astype("<u4")
-        out = [ids[a:b].tobytes() + n[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([column(part, "key"), pa.array(out, pa.binary())],
-                                         names=["key", "shingles"])
+def _set_rows(counted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            words = words_of(part)
+            owner, ids, n = weighted_shingles(word_hashes(words), words.ends, counted)
+            at = np.searchsorted(owner, np.arange(part.num_rows + 1))
+            n = n.astype("<u4")
+            out = [ids[a:b].tobytes() + n[a:b].tobytes()
+                   for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([column(part, "key"), pa.array(out, pa.binary())],
+                                             names=["key", "shingles"])
+    return run
 
 
 def weighted_jaccard(a: bytes, b: bytes) -> float:
@@ -265,13 +274,13 @@ def texts_of_keys(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return first_rows(found, ["key"], ["doc_id"]).select("key", "text")
 
 
-def checked(keyed: DataFrame, pairs: DataFrame, least: float, scratch: Scratch,
+def checked(keyed: DataFrame, pairs: DataFrame, least: float, counted: bool, scratch: Scratch,
             name: str) -> DataFrame:
     """The pairs whose exact similarity reaches the least one."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     texts = texts_of_keys(keyed, wanted)
     sets = scratch.keep(texts.mapInArrow(
-        _set_rows, "key binary, shingles binary"), f"{name}-shingles")
+        _set_rows(counted), "key binary, shingles binary"), f"{name}-shingles")
     found = scratch.keep(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
                          .mapInArrow(_similar(least), "a binary, b binary"), name)
     scratch.drop(f"{name}-shingles")
@@ -305,33 +314,34 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return named
 
 
-def links_and_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def links_and_classes(docs: DataFrame, least: float = SIMILARITY,
+                      counted: bool = False) -> tuple[DataFrame, DataFrame]:
     """Checked links between distinct texts (a, b), and (key, class) for linked texts."""
     scratch = Scratch(docs.select("doc_id"), "neardup")
     keyed = _keyed(docs)
-    nodes = scratch.keep(signatures(keyed), "signatures")
+    nodes = scratch.keep(signatures(keyed, counted), "signatures")
     buckets = shared_buckets(nodes, scratch)
     scratch.drop("met")
     pairs = scratch.keep(leader_pairs(buckets), "leader-pairs")
-    first = checked(keyed, pairs, least, scratch, "leader-links")
+    first = checked(keyed, pairs, least, counted, scratch, "leader-links")
     classes = components(first, scratch, "leaders")
     mixed = scratch.keep(mixed_buckets(buckets, classes), "mixed")
     scratch.drop("signatures", "buckets")
     texts = texts_of_keys(keyed, mixed.select("key").distinct())
     sizes = shared_weight(scratch.keep(texts.mapInArrow(
-        _shingle_rows, "key binary, shingle long, weight long"), "shingles"))
+        _shingle_rows(counted), "key binary, shingle long, weight long"), "shingles"))
     more = scratch.keep(class_pairs(mixed, sizes, pairs, least), "class-pairs")
     scratch.drop("leader-pairs", "mixed", "shingles")
-    second = checked(keyed, more, least, scratch, "class-links")
+    second = checked(keyed, more, least, counted, scratch, "class-links")
     scratch.drop("class-pairs")
     links = first.union(second)
     return links, classes if second.isEmpty() else components(links, scratch, "classes")
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, counted: bool = False) -> DataFrame:
     """doc_id, class_id, links, keep for every row; keep marks the class's least doc_id
     (on each of its rows, if that id repeats) and every text without words."""
-    links, classes = links_and_classes(docs, least)
+    links, classes = links_and_classes(docs, least, counted)
     degree = (links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key")
               .agg(F.count("*").alias("links")))
     keyed = _keyed(docs)
@@ -348,9 +358,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         "links", (F.col("blank") | F.col("doc_id").eqNullSafe(F.col("first"))).alias("keep"))
 
 
-def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def one_of_each(docs: DataFrame, least: float = SIMILARITY, counted: bool = False) -> DataFrame:
     """The documents with one row of each class, all columns as they were."""
-    _, classes = links_and_classes(docs, least)
+    _, classes = links_and_classes(docs, least, counted)
     text = F.coalesce(F.col("text"), F.lit(""))
     named = docs.withColumn("_key", F.unhex(F.md5(text.cast("binary"))))
     named = named.join(classes.toDF("_key", "_class"), "_key", "left").withColumn(

@@ -19,12 +19,14 @@ def shingles(text):
     return Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if w else None
 
 
-def similarity(x, y):
+def similarity(x, y, counted):
+    if not counted:
+        x, y = Counter(set(x)), Counter(set(y))
     both = sum((x & y).values())
     return both / (sum(x.values()) + sum(y.values()) - both)
 
 
-def plain_classes(rows):
+def plain_classes(rows, counted=False):
     """Class of each (row number): least id of all rows linked to it."""
     bags = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -35,7 +37,7 @@ def plain_classes(rows):
         return i
 
     for a, b in combinations(range(len(rows)), 2):
-        if bags[a] and bags[b] and similarity(bags[a], bags[b]) >= 0.8:
+        if bags[a] and bags[b] and similarity(bags[a], bags[b], counted) >= 0.8:
             parent[root(b)] = root(a)
     least = defaultdict(lambda: None)
     for i, (doc, _) in enumerate(rows):
@@ -45,10 +47,19 @@ def plain_classes(rows):
     return sorted(((d, least[root(i)] if bags[i] else d) for i, (d, _) in enumerate(rows)), key=repr)
 
 
-def test_classes_of_odd_rows(docs):
-    got = neardup.near_duplicates(docs)
+@pytest.mark.parametrize("counted", [False, True])
+def test_classes_of_odd_rows(docs, counted):
+    got = neardup.near_duplicates(docs, counted=counted)
     assert plain(got.select("doc_id", "class_id")) == plain_classes(
-        [r[:2] for r in document_rows()])
+        [r[:2] for r in document_rows()], counted)
+
+
+def test_a_common_repeated_line_makes_no_near_duplicates(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)) + " same old line." * 200) for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for counted, classes in ((False, 6), (True, 1)):
+        got = neardup.near_duplicates(table, counted=counted)
+        assert got.select("class_id").distinct().count() == classes
 
 
 def test_classes_of_a_given_table(spark):
