@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import Scratch, Words, column, slices, texts_of, word_hashes
+from orderloom.llm.common import U64, Scratch, Words, column, slices, texts_of, word_hashes
 
 WINDOW = 2048
 STEP = 8
@@ -73,8 +73,14 @@ def pre_tokens(data: np.ndarray, places: np.ndarray) -> Words:
     return Words(data, places, first, last, np.searchsorted(first, places))
 
 
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places begin[i], ..., begin[i] + size[i] - 1, one i after the other."""
+    end = np.cumsum(size)
+    return np.repeat(begin - (end - size), size) + np.arange(end[-1] if len(end) else 0)
+
+
 class Ids:
-    """Token ids of texts."""
+    """Token ids of texts; ``most`` pre-tokens are remembered."""
 
     def __init__(self, vocabulary: str, most: int = 600_000):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -88,32 +94,56 @@ class Ids:
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.final = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a pre-token
         self.final[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.memo: dict[int, bytes] = {}
         self.most = most
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
+        self._forget(np.zeros(0, U64))
+
+    def _forget(self, but: np.ndarray) -> None:
+        """Drop what is known but for the given hashes (sorted)."""
+        if not len(but):
+            self.known, self.ids = np.zeros(0, U64), np.zeros(0, np.uint32)
+            self.begin = self.size = np.zeros(0, np.int64)
+            return
+        at = np.searchsorted(self.known, but)
+        self.ids = self.ids[_spread(self.begin[at], self.size[at])]
+        self.known, self.size = but, self.size[at]
+        self.begin = np.cumsum(self.size) - self.size
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _cut(self, words: list[str]) -> list[bytes]:
-        """Ids of pre-tokens, by one call: each ends with an id that only ends pre-tokens."""
-        ids = np.array(self.words.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        stop = (np.flatnonzero(self.final[ids]) + 1) * 4
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
+        return [np.array(x.ids, np.uint32) for x in found]
+
+    def _cut(self, words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens and how many each has, by one call: words are joined by
+        spaces, and some ids only ever end a pre-token."""
+        first, size = words.first[at], words.last[at] - words.first[at]
+        text = np.full(int(size.sum()) + len(at), 0x20, np.uint8)
+        begin = np.cumsum(size + 1) - size - 1
+        text[_spread(begin, size)] = words.data[_spread(first, size)]
+        found = self.words.encode(text.tobytes().decode(), add_special_tokens=False).ids
+        ids = np.array(found, np.uint32)
+        stop = np.flatnonzero(self.final[ids]) + 1
+        return ids, np.diff(np.r_[0, stop])
 
     def _learn(self, words: Words, hashes: np.ndarray, at: np.ndarray) -> None:
-        new = [(h, words.data[a:b].tobytes()) for h, a, b in zip(
-            hashes.tolist(), words.first[at].tolist(), words.last[at].tolist(), strict=True)
-            if h not in self.memo]
-        if len(self.memo) + len(new) > self.most:
-            kept = {h: self.memo[h] for h in hashes.tolist() if h in self.memo}
-            self.memo = kept
-        for mark, tokenize in ((False, self._cut), (True, self._whole)):
-            some = [(h, w.decode()) for h, w in new if (b"'" in w) == mark]
-            if some:
-                self.memo.update(zip([h for h, _ in some], tokenize([w for _, w in some]),
-                                     strict=True))
+        """Tokenize the pre-tokens at the given places whose hashes (sorted) are new."""
+        known = np.isin(hashes, self.known, assume_unique=True)
+        if known.all():
+            return
+        if len(self.known) + len(hashes) > self.most:
+            self._forget(hashes[known])
+        new, at = hashes[~known], at[~known]
+        marks = np.r_[0, np.cumsum(words.data == _APOSTROPHE)]
+        whole = marks[words.last[at]] > marks[words.first[at]]
+        ids, size = self._cut(words, at[~whole])
+        rest = self._whole([words.data[a:b].tobytes().decode() for a, b in zip(
+            words.first[at[whole]].tolist(), words.last[at[whole]].tolist(), strict=True)])
+        size = np.r_[size, np.array([len(x) for x in rest], np.int64)]
+        begin = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, ids, *rest])
+        hashes = np.r_[self.known, new[~whole], new[whole]]
+        order = np.argsort(hashes, kind="stable")
+        self.known = hashes[order]
+        self.begin, self.size = np.r_[self.begin, begin][order], np.r_[self.size, size][order]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         raw = [t.lower().encode() for t in texts]
@@ -121,22 +151,19 @@ class Ids:
                            np.cumsum([0, *map(len, raw)]))
         hashes, at, back = np.unique(word_hashes(words), return_index=True, return_inverse=True)
         self._learn(words, hashes, at)
-        own = [self.memo[h] for h in hashes.tolist()]
-        ids = np.frombuffer(b"".join(own), "<u4")
-        size = np.array([len(x) // 4 for x in own], np.int64)
-        begin, size = (np.cumsum(size) - size)[back], size[back]
+        own = np.searchsorted(self.known, hashes)
+        size = self.size[own][back]
         done = np.r_[0, np.cumsum(size)]
-        out = ids[np.repeat(begin - done[:-1], size) + np.arange(done[-1])].tobytes()
+        out = self.ids[_spread(self.begin[own][back], size)].astype("<u4").tobytes()
         ends = (done[words.ends] * 4).tolist()
         return [out[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
         plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
-        kinds = {True: self._plain, False: self._whole}
-        done = {k: iter(f([t for t, p in zip(texts, plain, strict=True) if p == k]))
-                for k, f in kinds.items()}
-        return [next(done[p]) for p in plain]
+        own = iter(self._plain([t for t, p in zip(texts, plain, strict=True) if p]))
+        rest = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(own) if p else next(rest).astype("<u4").tobytes() for p in plain]
 
 
 def _piece_rows(vocabulary: str, window: int, closing: int):
@@ -144,7 +171,7 @@ def _piece_rows(vocabulary: str, window: int, closing: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = Ids(vocabulary)
-        for part in slices(batches):
+        for part in slices(batches, size=4_000_000):
             owner, rows = [], []
             for i, ids in enumerate(ids_of(texts_of(part))):
                 ids += end
