@@ -104,8 +104,8 @@ def credit_outbox(gaps: DataFrame, contacts: DataFrame, ledger: DataFrame,
     today = ledger.where((F.col("sent_day") == day) | (F.col("greeted_day") == day))
     notified = (today.where(F.col("sent_day") == day).select("branch", "codcli").distinct()
                 .withColumn("_done", F.lit(True)))
-    hailed = (today.where(F.col("greeted_day") == day).select("branch").distinct()
-              .withColumn("_hailed", F.lit(True)))
+    # As many entries as there are branches; an array, so that no row is shuffled by branch.
+    hailed = today.where(F.col("greeted_day") == day).agg(F.collect_set("branch")).scalar()
     flagged = (gaps.join(notified, ["branch", "codcli"], "left")
                .withColumn("_new", F.col("_done").isNull()))
     sets = flagged.groupingSets([["branch", "codcli"], ["branch"]], "branch", "codcli").agg(
@@ -119,11 +119,10 @@ def credit_outbox(gaps: DataFrame, contacts: DataFrame, ledger: DataFrame,
                                      text.alias("text")))
 
     lines = F.array_compact(F.array(
-        line(of_branch & F.col("_hailed").isNull(), 0, "greeting", opening),
+        line(of_branch & ~F.array_contains(hailed, F.col("branch")), 0, "greeting", opening),
         line(~of_branch & F.col("_new"), 1, "request",
              credit_message(F.col("codcli"), F.col("total"), F.col("payment"))),
         line(of_branch & F.col("_new"), 2, "closing", F.lit(CREDIT_CLOSING))))
     return (sets.join(reachable.select("branch", "target", "name"), "branch")
-            .join(hailed, "branch", "left")
             .select("branch", "target", "codcli", F.explode(lines).alias("line"))
             .select("branch", "target", "line.seq", "line.kind", "codcli", "line.text"))

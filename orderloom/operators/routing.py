@@ -25,7 +25,7 @@ def matches_any(city: Column, patterns: Sequence[str]) -> Column:
 def order_heads(items: DataFrame, *columns: str, order: str = "ord") -> DataFrame:
     """Fields of each order's first row, nulls included; cut before the shuffle."""
     named = items.where("order_no IS NOT NULL").select("order_no", order, *columns)
-    return first_rows(named, ["order_no"], [order], by_hash=True).select("order_no", *columns)
+    return first_rows(named, ["order_no"], [order]).select("order_no", *columns)
 
 
 def not_sent(orders: DataFrame, sent: DataFrame) -> DataFrame:
