@@ -11,10 +11,10 @@ cost is the number of darts plus shingles, not their product.
 Bands of coordinates are the join keys. Each bucket links its members to one leader, the
 member that meets most others in all its buckets (the hub of a family of copies), never all pairs
 of a group; candidates are checked exactly on their shingles. What a bucket still holds in
-different classes after that is compared inside the join: a pair leaves it only if a 128-bit
-sketch says it may be similar and both have enough shingles that any other candidate has at all
-(a text with many shingles of its own cannot reach the similarity with anything). No link between
-different texts is lost to the leaders. Classes are connected components, found by contraction
+different classes after that is compared inside the join: a pair leaves it, from the first bucket
+it shares, only if a 128-bit and a 1,024-bit sketch say it may be similar and both have enough
+shingles that any other candidate has at all (a text with many shingles of its own cannot reach
+the similarity with anything). No link between different texts is lost to the leaders. Classes are connected components, found by contraction
 in Spark; no link, class or signature passes through the driver.
 
 Exact copies are one node (md5 of the text), so a group of copies costs one signature row.
@@ -44,6 +44,10 @@ COORDINATES = BANDS * ROWS
 #: Least number of equal sketch bits (of 128) for a pair to be checked exactly. At similarity
 #: 0.8 a bit agrees with probability 0.9: 115 expected, 3.4 standard deviation.
 SKETCH_BITS = 97
+#: Bits of the longer sketch, for texts the leaders left, and how many standard deviations a
+#: similar pair may fall short of the expected agreement (a miss in 75,000 at the threshold).
+LONG_SKETCH, SHORTFALL = 1024, 4.2
+LONGS = [f"long{i}" for i in range(LONG_SKETCH // 64)]
 UNIT = 2.0 ** -53
 
 
@@ -98,12 +102,21 @@ def _throw(ids: np.ndarray, weights: np.ndarray, limit: np.ndarray, owner: np.nd
 
 
 def darts(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int,
-          k: int = COORDINATES) -> np.ndarray:
-    """Signatures of n texts: for each coordinate the id of its earliest dart.
-
-    Ranks up to a limit for k (ln k + 3) darts fill all coordinates of most texts; the limit
-    of the others doubles until theirs are filled, too.
-    """
+          k: int = COORDINATES, at_once: int = 500_000) -> np.ndarray:
+    """Signatures of n texts (``owner`` ascending): for each coordinate the id of its
+    earliest dart. Texts are taken some at a time, about ``at_once`` darts."""
+    step = max(1, int(at_once / (k * (np.log(k) + 3))))
+    out = np.zeros((n, k), U64)
+    for t in range(0, n, step):
+        end = min(n, t + step)
+        lo, hi = np.searchsorted(owner, [t, end])
+        out[t:end] = _earliest(owner[lo:hi] - t, ids[lo:hi], weights[lo:hi], end - t, k)
+    return out
+
+
+def _earliest(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int, k: int) -> np.ndarray:
+    """Ranks up to a limit for k (ln k + 3) darts fill all coordinates of most texts; the
+    limit of the others doubles until theirs are filled, too."""
     total = np.bincount(owner, weights, n)
     todo, out = total > 0, np.zeros(n * k, U64)
     limit = k * (np.log(k) + 3) / np.maximum(total, 1)
@@ -209,50 +222,72 @@ def shared_weight(rows: DataFrame) -> DataFrame:
 
 
 def class_pairs(mixed: DataFrame, sizes: DataFrame, tested: DataFrame, least: float) -> DataFrame:
-    """Candidates that the leaders left: in one bucket, in different classes, similar by the
-    sketch, with shared shingles enough, not tested yet.
+    """Candidates that the leaders left: in one bucket, in different classes, similar by both
+    sketches, with shared shingles enough, not tested yet.
 
     Similarity s means common shingles of s / (1 + s) times both sizes, and no more can be common
-    than either text shares with anyone.
+    than either text shares with anyone. ``sizes`` has key, size, shared and the long sketch;
+    a key's buckets are gathered (BANDS at most), so that a pair is met in one of them.
     """
-    left = mixed.join(sizes.where(F.col("shared") >= least * F.col("size")), "key")
+    equal = (1 + least) / 2  # expected share of equal bits
+    differ = LONG_SKETCH * (1 - equal) + SHORTFALL * (LONG_SKETCH * equal * (1 - equal)) ** 0.5
+    apart = sum(F.bit_count(F.col(f"p.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in LONGS)
+    own = mixed.groupBy("key").agg(F.sort_array(F.collect_set("band")).alias("bands"))
+    left = (mixed.join(sizes.where(F.col("shared") >= least * F.col("size")), "key")
+            .join(own, "key"))
     met = left.alias("p").join(left.alias("q"), F.expr(
         "p.band = q.band and p.key < q.key and p.class <> q.class") & _near("p", "q")
         & (F.least("p.shared", "q.shared") * (1 + least)
-           >= least * (F.col("p.size") + F.col("q.size")) - 1e-9))
-    return (met.select(F.col("p.key").alias("a"), F.col("q.key").alias("b")).distinct()
+           >= least * (F.col("p.size") + F.col("q.size")) - 1e-9)
+        & (apart <= differ)
+        & (F.array_min(F.array_intersect("p.bands", "q.bands")) == F.col("p.band")))
+    return (met.select(F.col("p.key").alias("a"), F.col("q.key").alias("b"))
             .join(tested, ["a", "b"], "left_anti"))
 
 
-def _shingle_rows(counted: bool):
+def _set_rows(counted: bool, sketched: bool):
+    """Packed shingles of each text (ids ascending, then weights), and its long sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             words = words_of(part)
             owner, ids, n = weighted_shingles(word_hashes(words), words.ends, counted)
+            at = np.searchsorted(owner, np.arange(part.num_rows + 1))
+            weight = n.astype("<u4")
+            out = [ids[a:b].tobytes() + weight[a:b].tobytes()
+                   for a, b in zip(at[:-1], at[1:], strict=True)]
+            more = []
+            if sketched:
+                sign = darts(owner, ids, n, part.num_rows, LONG_SKETCH)
+                bits = (mix(sign) & U64(1)).reshape(part.num_rows, -1, 64)
+                long = np.bitwise_or.reduce(bits << np.arange(64, dtype=U64), 2)
+                more = [pa.array(signed(np.ascontiguousarray(c))) for c in long.T]
             yield pa.RecordBatch.from_arrays(
-                [column(part, "key").take(pa.array(owner)), pa.array(signed(ids)),
-                 pa.array(n, pa.int64())], names=["key", "shingle", "weight"])
+                [column(part, "key"), pa.array(out, pa.binary()), *more],
+                names=["key", "shingles", *LONGS[:len(more)]])
     return run
 
 
-def _set_rows(counted: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            words = words_of(part)
-            owner, ids, n = weighted_shingles(word_hashes(words), words.ends, counted)
-            at = np.searchsorted(owner, np.arange(part.num_rows + 1))
-            n = n.astype("<u4")
-            out = [ids[a:b].tobytes() + n[a:b].tobytes()
-                   for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([column(part, "key"), pa.array(out, pa.binary())],
-                                             names=["key", "shingles"])
-    return run
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed sets to one row per shingle."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2_000):
+            part = batch.slice(at, 2_000)
+            sets = [_unpacked(x) for x in column(part, "shingles").to_pylist()]
+            owner = np.repeat(np.arange(len(sets)), [len(i) for i, _ in sets])
+            ids, weights = (np.concatenate(x) for x in zip(*sets, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [column(part, "key").take(pa.array(owner)), pa.array(signed(ids)),
+                 pa.array(weights, pa.int64())], names=["key", "shingle", "weight"])
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(packed) // 12
+    return np.frombuffer(packed, U64, n), np.frombuffer(packed, "<u4", n, 8 * n)
 
 
 def weighted_jaccard(a: bytes, b: bytes) -> float:
-    """Similarity of two packed shingle sets: ids ascending, then their counts."""
-    (x, m), (y, n) = ((np.frombuffer(s, U64, len(s) // 12), np.frombuffer(s, "<u4", -1, len(s) // 12 * 8))
-                      for s in (a, b))
+    """Similarity of two packed shingle sets."""
+    (x, m), (y, n) = _unpacked(a), _unpacked(b)
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     both = int(np.minimum(m[i], n[j]).sum())
     return both / (int(m.sum()) + int(n.sum()) - both)
@@ -274,17 +309,17 @@ def texts_of_keys(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return first_rows(found, ["key"], ["doc_id"]).select("key", "text")
 
 
-def checked(keyed: DataFrame, pairs: DataFrame, least: float, counted: bool, scratch: Scratch,
-            name: str) -> DataFrame:
+def shingle_sets(keyed: DataFrame, wanted: DataFrame, counted: bool, sketched: bool) -> DataFrame:
+    longs = "".join(f", {c} long" for c in LONGS) if sketched else ""
+    return texts_of_keys(keyed, wanted).mapInArrow(
+        _set_rows(counted, sketched), f"key binary, shingles binary{longs}")
+
+
+def checked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs whose exact similarity reaches the least one."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = texts_of_keys(keyed, wanted)
-    sets = scratch.keep(texts.mapInArrow(
-        _set_rows(counted), "key binary, shingles binary"), f"{name}-shingles")
-    found = scratch.keep(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-                         .mapInArrow(_similar(least), "a binary, b binary"), name)
-    scratch.drop(f"{name}-shingles")
-    return found
+    sets = sets.select("key", "shingles")
+    return (pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+            .mapInArrow(_similar(least), "a binary, b binary"))
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -323,17 +358,22 @@ def links_and_classes(docs: DataFrame, least: float = SIMILARITY,
     buckets = shared_buckets(nodes, scratch)
     scratch.drop("met")
     pairs = scratch.keep(leader_pairs(buckets), "leader-pairs")
-    first = checked(keyed, pairs, least, counted, scratch, "leader-links")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = scratch.keep(shingle_sets(keyed, wanted, counted, False), "leader-sets")
+    first = scratch.keep(checked(pairs, sets, least), "leader-links")
+    scratch.drop("leader-sets")
     classes = components(first, scratch, "leaders")
     mixed = scratch.keep(mixed_buckets(buckets, classes), "mixed")
     scratch.drop("signatures", "buckets")
-    texts = texts_of_keys(keyed, mixed.select("key").distinct())
-    sizes = shared_weight(scratch.keep(texts.mapInArrow(
-        _shingle_rows(counted), "key binary, shingle long, weight long"), "shingles"))
+    sets = scratch.keep(shingle_sets(keyed, mixed.select("key").distinct(), counted, True),
+                        "class-sets")
+    rows = sets.select("key", "shingles").mapInArrow(
+        _shingle_rows, "key binary, shingle long, weight long")
+    sizes = scratch.keep(shared_weight(rows), "sizes").join(sets.drop("shingles"), "key")
     more = scratch.keep(class_pairs(mixed, sizes, pairs, least), "class-pairs")
-    scratch.drop("leader-pairs", "mixed", "shingles")
-    second = checked(keyed, more, least, counted, scratch, "class-links")
-    scratch.drop("class-pairs")
+    scratch.drop("leader-pairs", "mixed", "sizes")
+    second = scratch.keep(checked(more, sets, least), "class-links")
+    scratch.drop("class-pairs", "class-sets")
     links = first.union(second)
     return links, classes if second.isEmpty() else components(links, scratch, "classes")
 

@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import neardup, substrings
 from orderloom.llm.common import gram_hashes, powers
@@ -97,8 +98,13 @@ def test_what_the_leader_leaves_is_compared(spark):
     sizes = spark.createDataFrame([(bytes([i]), 90 if i == 3 else 80, n) for i, n in
                                    enumerate((80, 80, 80, 90, 74, 60))],
                                   "key binary, size long, shared long")
-    more = neardup.class_pairs(mixed, sizes, pairs, 0.8)
-    assert {(r.a[0], r.b[0]) for r in more.collect()} == {(0, 3), (1, 3), (0, 4), (1, 4)}
+    # The long sketch of 1 is far from all others.
+    sizes = sizes.withColumns({c: F.when(F.col("key") == bytes([1]), -1).otherwise(0).cast("long")
+                               for c in neardup.LONGS})
+    # A second bucket with the same members: a pair is met in one of them only.
+    both = mixed.unionByName(mixed.withColumn("band", F.col("band") + 1))
+    more = neardup.class_pairs(both, sizes, pairs, 0.8).collect()
+    assert sorted((r.a[0], r.b[0]) for r in more) == [(0, 3), (0, 4)]
     none = neardup.mixed_buckets(buckets, spark.createDataFrame(
         [(bytes([i]), bytes([0])) for i in range(6)], "key binary, class binary"))
     assert none.count() == 0
