@@ -72,6 +72,15 @@ class Memo(dict):
         return value
 
 
+def kept(key: tuple, make):
+    """An object that a worker process makes once and keeps over its tasks. Functions that
+    travel by value have no module of their own to keep it in, so a library's holds it."""
+    store = vars(pa).setdefault("_orderloom_kept", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def slices(batches, text: str = "text", size: int = 2_000_000):
     """Row ranges of Arrow batches with a bounded amount of text (one row at least), so
     that what a task holds does not depend on how many rows Spark puts into a batch."""

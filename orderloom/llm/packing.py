@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import U64, Scratch, Words, column, slices, texts_of, word_hashes
+from orderloom.llm.common import U64, Scratch, Words, column, kept, slices, texts_of, word_hashes
 
 WINDOW = 2048
 STEP = 8
@@ -170,7 +170,7 @@ def _piece_rows(vocabulary: str, window: int, closing: int):
     end = np.array([closing], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Ids(vocabulary)
+        ids_of = kept(("ids", vocabulary), lambda: Ids(vocabulary))
         for part in slices(batches, size=4_000_000):
             owner, rows = [], []
             for i, ids in enumerate(ids_of(texts_of(part))):

@@ -20,6 +20,7 @@ the one token they stand for; repeated rows are counted separately; a null doc_i
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,12 +29,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import column, slices, texts_of
-from orderloom.operators.picking import lookup_groups
+from orderloom.llm.common import column, kept, slices, texts_of
 
 LIMIT = 512
 BLOCK_TEXTS = 16_384
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 500_000
 
 #: Up to U+024F: letters, numbers and white space, as the byte-level tokenizer's pattern means
 #: them. Its pattern (fixed and public) with these classes cuts texts of such characters;
@@ -50,13 +50,17 @@ class Pieces:
     """Pre-tokens of texts, and their numbers of pieces."""
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.vocabulary = vocabulary
         with open(vocabulary, encoding="utf-8") as f:
             special = [t["content"] for t in json.load(f)["added_tokens"]]
         special.sort(key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.vocabulary)
+
     def find(self, text: str) -> list[str]:
         if LATIN.fullmatch(text):
             return PATTERN.findall(text)
@@ -80,12 +84,16 @@ class Pieces:
         return [w for p in parts for w in self.find(p)], len(parts) - 1
 
 
-def _distinct_rows(vocabulary: str, most: int = BLOCK_WORDS):
+def pieces_of(vocabulary: str) -> Pieces:
+    return kept(("pieces", vocabulary), lambda: Pieces(vocabulary))
+
+
+def _distinct_rows(vocabulary: str, single: frozenset[str], most: int = BLOCK_WORDS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(vocabulary)
-        single, seen = pieces.single(), set()
+        pieces, seen = pieces_of(vocabulary), set()
         for part in slices(batches):
-            seen.update(*(pieces.cut(text)[0] for text in texts_of(part)))
+            for text in texts_of(part):
+                seen.update(pieces.cut(text)[0])
             if len(seen) > most:
                 yield pa.RecordBatch.from_arrays([pa.array(list(seen - single), pa.string())],
                                                  names=["pre_token"])
@@ -95,11 +103,10 @@ def _distinct_rows(vocabulary: str, most: int = BLOCK_WORDS):
     return run
 
 
-def pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, single: frozenset[str]) -> DataFrame:
     """(pre_token, pieces) for each distinct pre-token of several pieces."""
-    found = docs.select("text").mapInArrow(_distinct_rows(vocabulary), "pre_token string")
-    distinct = lookup_groups(found, ["pre_token"]).agg(F.count("*").alias("blocks"))
-    return distinct.select("pre_token", piece_counts(vocabulary)("pre_token").alias("pieces"))
+    found = docs.select("text").mapInArrow(_distinct_rows(vocabulary, single), "pre_token string")
+    return found.distinct().withColumn("pieces", piece_counts(vocabulary)("pre_token"))
 
 
 #: A text of a block (at most BLOCK_TEXTS) with a frequency, or with a sum of pieces.
@@ -157,10 +164,9 @@ class _Block:
             names=["block", "pre_token", "postings", "text_number", "doc_id", "n_bytes", "base"])
 
 
-def _posting_rows(vocabulary: str):
+def _posting_rows(vocabulary: str, single: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(vocabulary)
-        single, number = pieces.single(), TaskContext.get().partitionId() << 32
+        pieces, number = pieces_of(vocabulary), TaskContext.get().partitionId() << 32
         block, kind = _Block(), pa.null()
         for part in slices(batches):
             docs, kind = column(part, "doc_id").to_pylist(), column(part, "doc_id").type
@@ -174,17 +180,17 @@ def _posting_rows(vocabulary: str):
     return run
 
 
-def postings(docs: DataFrame, vocabulary: str) -> DataFrame:
+def postings(docs: DataFrame, vocabulary: str, single: frozenset[str]) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        _posting_rows(vocabulary), "block long, pre_token string, postings binary, "
+        _posting_rows(vocabulary, single), "block long, pre_token string, postings binary, "
         f"text_number int, doc_id {kind}, n_bytes long, base long")
 
 
 def piece_counts(vocabulary: str):
     @F.pandas_udf("int")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = Pieces(vocabulary)
+        pieces = pieces_of(vocabulary)
         for words in batches:
             yield pd.Series(pieces.counts(list(words)), dtype="int32")
     return run
@@ -263,8 +269,13 @@ def _sum_block(rows: pa.Table) -> pa.Table:
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = postings(docs, vocabulary).join(pieces(docs, vocabulary), "pre_token", "left")
-    return (joined.drop("pre_token")
+    single = Pieces(vocabulary).single()
+    # With the length as a second key neither side lends the join its partitioning, so that
+    # Spark can split a pre-token that all blocks have.
+    keys = ["pre_token", "chars"]
+    rows, known = (df.withColumn("chars", F.length("pre_token"))
+                   for df in (postings(docs, vocabulary, single), pieces(docs, vocabulary, single)))
+    return (rows.join(known, keys, "left").drop(*keys)
             .mapInArrow(_partial_rows(), "block long, text_number int, "
                         f"doc_id {kind}, n_bytes long, base long, sums binary")
             .groupBy("block")
