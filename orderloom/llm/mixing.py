@@ -163,7 +163,12 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, one row for each time one is read: a document of which at
     least half is taken in a pass is read whole in it. All columns as they were."""
     copies = F.when(F.col("_size") > 0, F.round(F.col("_taken") / F.col("_size"))).otherwise(0)
-    found = mix(docs, F.array("source")).withColumn("_copies", copies.cast("int"))
+    rows = docs.select("doc_id", "text", "source", F.struct(*_all(docs)).alias("row"))
+    found = mix(rows, F.array("source")).withColumn("_copies", copies.cast("int"))
     return (found.where("_copies > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+            .select("row.*"))
+
+
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]

@@ -402,10 +402,11 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY, counted: bool = Fals
     """The documents with one row of each class, all columns as they were."""
     _, classes = links_and_classes(docs, least, counted)
     text = F.coalesce(F.col("text"), F.lit(""))
-    named = docs.withColumn("_key", F.unhex(F.md5(text.cast("binary"))))
-    named = named.join(classes.toDF("_key", "_class"), "_key", "left").withColumn(
-        "_class", F.coalesce("_class", "_key"))
-    blank = F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    spread = first_rows(named.where(~blank), ["_class"],
-                        [F.col("doc_id").asc_nulls_last(), "_key"])
-    return spread.unionByName(named.where(blank)).select(*docs.columns)
+    # The row travels as one column, so that no name can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id",
+                       F.unhex(F.md5(text.cast("binary"))).alias("key"),
+                       F.coalesce(~text.rlike(r"[^\x20\x09-\x0D]"), F.lit(True)).alias("blank"))
+    named = rows.where("not blank").join(classes, "key", "left").withColumn(
+        "class", F.coalesce("class", "key"))
+    one = first_rows(named, ["class"], [F.col("doc_id").asc_nulls_last(), "key"])
+    return one.select("row.*").unionByName(rows.where("blank").select("row.*"))

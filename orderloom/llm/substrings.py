@@ -254,11 +254,13 @@ def cut_text(words, kept: np.ndarray, t: int) -> str:
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents with repeated spans cut from their texts and ``n_chars`` (if there)
     counted anew; a document that loses all its words goes."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return with_spans(docs, width).mapInArrow(_cut_rows(docs.columns), fields)
+    # Other columns travel under names of our own, so that none can clash.
+    inner = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
+    named = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+    return with_spans(named, width).mapInArrow(_cut_rows(inner), docs.schema)
 
 
-def _cut_rows(names: list[str]):
+def _cut_rows(names: dict[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             words = words_of(part)
@@ -271,16 +273,17 @@ def _cut_rows(names: list[str]):
     return run
 
 
-def _replaced(part: pa.RecordBatch, names: list[str], rows, new) -> pa.RecordBatch:
-    """The given rows, with the new text where there is one."""
+def _replaced(part: pa.RecordBatch, names: dict[str, str], rows, new) -> pa.RecordBatch:
+    """The given rows, with the new text where there is one. ``names`` has the batch's name of
+    each column."""
     at, out = pa.array(rows, pa.int64()), []
     changed = pa.array([x is not None for x in new], pa.bool_())
-    for name in names:
-        values = column(part, name).take(at)
+    for name, inner in names.items():
+        values = column(part, inner).take(at)
         if name == "text":
             values = pc.if_else(changed, pa.array(new, values.type), values)
         elif name == "n_chars":
             sizes = pa.array([None if x is None else len(x) for x in new], values.type)
             values = pc.if_else(changed, sizes, values)
         out.append(values)
-    return pa.RecordBatch.from_arrays(out, names=names)
+    return pa.RecordBatch.from_arrays(out, names=list(names))

@@ -8,7 +8,10 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _tag2 string"
+#: The last columns are named like ones the operators use inside.
+NAMES = ["_tag", "_spans", "row", "key", "class", "blank", "_size", "_copies", "spans", "c0", "a.b"]
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
+          + ", ".join(f"`{n}` string" for n in NAMES))
 
 
 def words(text):
@@ -34,8 +37,9 @@ def document_rows():
            (None, base), (None, "é <|endoftext|> 中文 x<|startoftext|>'s \u00a0nb  sp"),
            (13, "a b c d e " * 60), (14, "x\u0085y\u001cz\u2028w " * 9), (15, shared + " " + shared)]
     out += [(100 + i, prose(rng, 25) + " " + shared[:200] + " " + prose(rng, 25)) for i in range(12)]
-    rows = [(i, t, "en", f"src{(i or 0) % 3}", None if t is None else len(t), "x") for i, t in out]
-    return [*rows, (16, "no source here at all", None, None, None, None)]
+    rows = [(i, t, "en", f"src{(i or 0) % 3}", None if t is None else len(t), *["x"] * len(NAMES))
+            for i, t in out]
+    return [*rows, (16, "no source here at all", None, None, None, *[None] * len(NAMES))]
 
 
 @pytest.fixture(scope="module")
