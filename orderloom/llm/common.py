@@ -1,5 +1,7 @@
 """Helpers the operators share: words, hashes over word sequences, text batches, scratch tables."""
 
+import contextlib
+import ctypes
 import re
 from typing import NamedTuple
 
@@ -83,7 +85,8 @@ def kept(key: tuple, make):
 
 def slices(batches, text: str = "text", size: int = 2_000_000):
     """Row ranges of Arrow batches with a bounded amount of text (one row at least), so
-    that what a task holds does not depend on how many rows Spark puts into a batch."""
+    that what a task holds does not depend on how many rows Spark puts into a batch. What
+    was used is given back at the end, as worker processes outlive their tasks."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(column(batch, text)), 0).to_numpy(
             zero_copy_only=False)
@@ -95,6 +98,9 @@ def slices(batches, text: str = "text", size: int = 2_000_000):
             total += n
         if first < len(lengths):
             yield batch.slice(first)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def column(batch, name: str):

@@ -102,7 +102,7 @@ def _throw(ids: np.ndarray, weights: np.ndarray, limit: np.ndarray, owner: np.nd
 
 
 def darts(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int,
-          k: int = COORDINATES, at_once: int = 500_000) -> np.ndarray:
+          k: int = COORDINATES, at_once: int = 250_000) -> np.ndarray:
     """Signatures of n texts (``owner`` ascending): for each coordinate the id of its
     earliest dart. Texts are taken some at a time, about ``at_once`` darts."""
     step = max(1, int(at_once / (k * (np.log(k) + 3))))

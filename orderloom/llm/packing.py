@@ -24,6 +24,7 @@ separate documents; sequences hold 1 to ``window`` ids. Other columns are ignore
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -82,16 +83,16 @@ def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Ids:
     """Token ids of texts; ``most`` pre-tokens are remembered."""
 
-    def __init__(self, vocabulary: str, most: int = 600_000):
+    def __init__(self, vocabulary: str, most: int = 400_000):
         from tokenizers import Tokenizer, pre_tokenizers
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        # The same model for words that are cut and lower-case already.
+        self.vocabulary = vocabulary
+        # The library's model for words that are cut and lower-case already.
         self.words = Tokenizer.from_file(vocabulary)
         self.words.normalizer = None
         self.words.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        vocab = self.words.get_vocab(with_added_tokens=False)
         self.final = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a pre-token
         self.final[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.most = most
@@ -108,7 +109,15 @@ class Ids:
         self.known, self.size = but, self.size[at]
         self.begin = np.cumsum(self.size) - self.size
 
+    @cached_property
+    def tokenizer(self):
+        """The whole tokenizer, for texts and words that are not cut here."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.vocabulary)
+
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32) for x in found]
 

@@ -23,7 +23,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -86,7 +85,7 @@ def _sample(labels: DataFrame, rows: int, seed: int) -> tuple[DataFrame, dict[in
 
 def _features(groups):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(word_features)
+        memo = Memo(word_features, 50_000)
         pack = lambda words: np.unique(np.fromiter(
             (f for w in words for f in memo[w]), np.uint32)).tobytes()
         for part in slices(batches):
@@ -173,19 +172,16 @@ def _minimise(x, y, weight, d, sparsity, fairness, rounds):
     return w[:-1], w[-1]
 
 
-def score(text: Column, model: Model) -> Column:
-    """Probability from 0 to 1 that a text is toxic."""
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = model.weights
-        memo = Memo(lambda w: tuple(f for f in word_features(w) if f in known))
-        for texts in batches:
-            yield pd.Series([_score(x, memo, model) for x in texts], dtype="float64")
-    return run(text)
+def _scored(batches, model: Model):
+    """Parts of the batches with the score of each row: the probability that it is toxic."""
+    known = model.weights
+    memo = Memo(lambda w: tuple(f for f in word_features(w) if f in known), 150_000)
+    for part in slices(batches):
+        yield part, np.array([_score(x, memo, model) for x in texts_of(part)], np.float64)
 
 
-def _score(text: str | None, memo: Memo, model: Model) -> float:
-    found = {f for w in set(WORD.findall(text or "")) for f in memo[w]}
+def _score(text: str, memo: Memo, model: Model) -> float:
+    found = {f for w in set(WORD.findall(text)) for f in memo[w]}
     total = model.intercept + math.fsum(model.weights[f] for f in found)
     return 1 / (1 + math.exp(-total)) if total > -700 else 0.0
 
@@ -194,13 +190,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
              **fitting) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     model = fit(docs, labels, **fitting)
-    return (docs.select("doc_id", "text")
-            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
-                    score(F.col("text"), model).alias("score"))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, scores in _scored(batches, model):
+            yield pa.RecordBatch.from_arrays([column(part, "doc_id"), pa.array(scores)],
+                                             names=["doc_id", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scored = docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, score double")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                   **fitting) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
-    return docs.where(score(F.col("text"), fit(docs, labels, **fitting)) < threshold)
+    model = fit(docs, labels, **fitting)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, scores in _scored(batches, model):
+            yield part.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(rows, docs.schema)
