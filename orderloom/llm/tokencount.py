@@ -34,6 +34,7 @@ from orderloom.llm.common import column, kept, slices, texts_of
 LIMIT = 512
 BLOCK_TEXTS = 16_384
 BLOCK_WORDS = 500_000
+BLOCK_ENTRIES = 20_000_000
 
 #: Up to U+024F: letters, numbers and white space, as the byte-level tokenizer's pattern means
 #: them. Its pattern (fixed and public) with these classes cuts texts of such characters;
@@ -109,8 +110,9 @@ def pieces(docs: DataFrame, vocabulary: str, single: frozenset[str]) -> DataFram
     return found.distinct().withColumn("pieces", piece_counts(vocabulary)("pre_token"))
 
 
-#: A text of a block (at most BLOCK_TEXTS) with a frequency, or with a sum of pieces.
-POSTING = np.dtype([("text", "<u2"), ("n", "u1")])
+#: A text of a block (at most BLOCK_TEXTS), as often as it has the pre-token, which takes less
+#: than a number for each; and a text with a sum of pieces.
+POSTING = np.dtype("<u2")
 PARTIAL = np.dtype([("text", "<u2"), ("n", "<u4")])
 
 
@@ -119,6 +121,7 @@ class _Block:
 
     def __init__(self):
         self.number, self.owners, self.found, self.head = {}, [], [], []
+        self.entries = 0
 
     def add(self, doc, n_bytes: int, words: list[str], base: int, single: frozenset[str]):
         several = [w for w in words if w not in single]
@@ -127,9 +130,11 @@ class _Block:
         own = [number.setdefault(w, len(number)) for w in several]
         self.found.append(np.array(own, np.int32))
         self.owners.append(np.full(len(own), text, np.int32))
+        self.entries += len(own)
 
     def full(self) -> bool:
-        return len(self.head) >= BLOCK_TEXTS or len(self.number) >= BLOCK_WORDS
+        return (len(self.head) >= BLOCK_TEXTS or len(self.number) >= BLOCK_WORDS
+                or self.entries >= BLOCK_ENTRIES)
 
     def batch(self, block: int, kind: pa.DataType) -> pa.RecordBatch:
         """One row per pre-token with its postings, one per text with what it has already.
@@ -137,31 +142,27 @@ class _Block:
         Texts get a key of their own in place of a pre-token (no pre-token mixes digits with
         other characters), so that both go through the same join, evenly dealt.
         """
-        key = (np.concatenate(self.found).astype(np.int64) << 32) + np.concatenate(self.owners)
-        key, n = np.unique(key, return_counts=True)
-        times = -(-n // 0xFF)  # a frequency beyond 8 bits is split over several entries
-        key, n = np.repeat(key, times), np.where(
-            np.arange(times.sum()) == np.repeat(np.cumsum(times), times) - 1,
-            np.repeat(n - (times - 1) * 0xFF, times), 0xFF)
-        pairs = np.empty(len(key), POSTING)
-        pairs["text"], pairs["n"] = key & 0xFFFFFFFF, n
+        key = np.sort((np.concatenate(self.found).astype(np.int64) << 32)
+                      + np.concatenate(self.owners))
         places = (np.searchsorted(key >> 32, np.arange(len(self.number) + 1))
                   * POSTING.itemsize).astype(np.int32)
+        entries = (key & 0xFFFFFFFF).astype(POSTING)
         words, texts = len(self.number), len(self.head)
         docs, sizes, base = zip(*self.head, strict=True)
         postings = pa.Array.from_buffers(
-            pa.binary(), words, [None, pa.py_buffer(places), pa.py_buffer(pairs.tobytes())])
+            pa.binary(), words, [None, pa.py_buffer(places), pa.py_buffer(entries.tobytes())])
         nothing = lambda k, t: pa.nulls(k, t)
+        head = pa.StructArray.from_arrays(
+            [pa.array(range(texts), pa.int32()), pa.array(docs, kind),
+             pa.array(sizes, pa.int64()), pa.array(base, pa.int64())],
+            names=["text_number", "doc_id", "n_bytes", "base"])
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(words + texts, block)),
              pa.concat_arrays([pa.array(list(self.number), pa.string()),
                                pa.array([f"#{block}:{i}" for i in range(texts)], pa.string())]),
              pa.concat_arrays([postings, nothing(texts, pa.binary())]),
-             pa.concat_arrays([nothing(words, pa.int32()), pa.array(range(texts), pa.int32())]),
-             pa.concat_arrays([nothing(words, kind), pa.array(docs, kind)]),
-             pa.concat_arrays([nothing(words, pa.int64()), pa.array(sizes, pa.int64())]),
-             pa.concat_arrays([nothing(words, pa.int64()), pa.array(base, pa.int64())])],
-            names=["block", "pre_token", "postings", "text_number", "doc_id", "n_bytes", "base"])
+             pa.concat_arrays([nothing(words, head.type), head])],
+            names=["block", "pre_token", "postings", "head"])
 
 
 def _posting_rows(vocabulary: str, single: frozenset[str]):
@@ -184,7 +185,7 @@ def postings(docs: DataFrame, vocabulary: str, single: frozenset[str]) -> DataFr
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         _posting_rows(vocabulary, single), "block long, pre_token string, postings binary, "
-        f"text_number int, doc_id {kind}, n_bytes long, base long")
+        f"head struct<text_number:int,doc_id:{kind},n_bytes:bigint,base:bigint>")
 
 
 def piece_counts(vocabulary: str):
@@ -204,12 +205,12 @@ class _Sums:
 
     def add(self, blocks: np.ndarray, postings: list[bytes], pieces: np.ndarray):
         sizes = np.array([len(p) for p in postings]) // POSTING.itemsize
-        pairs = np.frombuffer(b"".join(postings), POSTING)
-        each = np.repeat(pieces, sizes) * pairs["n"].astype(np.float64)
+        texts = np.frombuffer(b"".join(postings), POSTING)
+        each = np.repeat(pieces, sizes).astype(np.float64)
         owner = np.repeat(blocks, sizes)
         for block in np.unique(blocks).tolist():
             here = owner == block
-            got = np.bincount(pairs["text"][here], each[here]).astype(np.int64)
+            got = np.bincount(texts[here], each[here]).astype(np.int64)
             old = self.blocks.get(block, got[:0])
             if len(old) < len(got):
                 old, got = got, old
@@ -239,7 +240,7 @@ def _partial_rows(most: int = 2_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, heads = _Sums(), None
         for batch in batches:
-            head = pc.is_valid(column(batch, "text_number"))
+            head = pc.is_valid(column(batch, "head"))
             body = batch.filter(pc.invert(head))
             heads = batch.filter(head).drop_columns(["postings", "pieces"])
             heads = heads.append_column("sums", pa.nulls(heads.num_rows, pa.binary()))
@@ -258,7 +259,8 @@ def _partial_rows(most: int = 2_000_000):
 
 
 def _sum_block(rows: pa.Table) -> pa.Table:
-    head = rows.filter(pc.is_valid(rows["text_number"])).sort_by("text_number")
+    head = pa.Table.from_struct_array(rows.filter(pc.is_valid(rows["head"]))["head"])
+    head = head.sort_by("text_number")
     total = np.array(head["base"].to_numpy())
     for packed in rows.filter(pc.is_valid(rows["sums"]))["sums"].to_pylist():
         part = np.frombuffer(packed, PARTIAL)
@@ -270,14 +272,14 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFr
     """doc_id, n_bytes, n_tokens, over_limit for every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     single = Pieces(vocabulary).single()
+    rows, known = postings(docs, vocabulary, single), pieces(docs, vocabulary, single)
     # With the length as a second key neither side lends the join its partitioning, so that
     # Spark can split a pre-token that all blocks have.
-    keys = ["pre_token", "chars"]
-    rows, known = (df.withColumn("chars", F.length("pre_token"))
-                   for df in (postings(docs, vocabulary, single), pieces(docs, vocabulary, single)))
-    return (rows.join(known, keys, "left").drop(*keys)
-            .mapInArrow(_partial_rows(), "block long, text_number int, "
-                        f"doc_id {kind}, n_bytes long, base long, sums binary")
+    same = ((rows["pre_token"] == known["pre_token"])
+            & (F.length(rows["pre_token"]) == F.length(known["pre_token"])))
+    head = f"struct<text_number:int,doc_id:{kind},n_bytes:bigint,base:bigint>"
+    return (rows.join(known, same, "left").select("block", "postings", "head", "pieces")
+            .mapInArrow(_partial_rows(), f"block long, head {head}, sums binary")
             .groupBy("block")
             .applyInArrow(_sum_block, f"doc_id {kind}, n_bytes long, n_tokens long")
             .withColumn("over_limit", F.col("n_tokens") > limit))
