@@ -1,11 +1,13 @@
-"""License scan: winnowed template fingerprints pick candidates, banded alignment checks them.
+"""License scan: template fingerprints pick stretches of text, a longest common subsequence checks them.
 
-Words are runs of letters and digits, ASCII case folded. Each template is winnowed: of every
-``WINNOW`` consecutive ``GRAM``-word hashes the least is a fingerprint, which makes an inverted
-index of a few hundred entries, however many documents there are. All rolling hashes of a
-document are looked up in it; hits of one template on nearly the same diagonal are a
-candidate, and a banded alignment of template and document around that diagonal gives the
-matched words, their share of the template, and where they lie.
+Words are runs of letters and digits, ASCII case folded. Fingerprints are hashes of ``GRAM``
+consecutive words (fewer in short templates): all of a template, or of a long one the least of
+every ``WINNOW`` (winnowing). They make an inverted index that does not grow with the documents.
+All rolling hashes of a document are looked up in it. A hit marks the stretch that a match
+through it may take; in stretches that meet, the longest common subsequence of template and
+text gives the matched words, their share of the template, and where they lie. It is exact, not
+banded: words may be missing or foreign one by one or in runs. A match is no longer than
+twice its template (a third more for templates under ``WHOLE`` words).
 
 Rows stay where they are, there is no shuffle, and whole texts are scanned.
 
@@ -14,6 +16,7 @@ two rows; repeated documents have their rows each; a template that is part of an
 reported on its own. Other columns are ignored.
 """
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -24,8 +27,11 @@ from pyspark.sql import DataFrame
 from orderloom.llm.common import (column, gram_hashes, gram_valid, mix, slices, word_hashes, words_of)
 
 GRAM, WINNOW = 3, 3
-BAND = 8
 LEAST_COVERAGE = 0.8
+#: Templates below SHORT words are sought by shorter grams, from LONG words on winnowed, and from
+#: WHOLE words on a match may hold as many foreign words as the template has words. A stretch
+#: needs a hit for every SEEDS words of its template.
+SHORT, LONG, WHOLE, SEEDS = 10, 64, 24, 40
 
 #: Notices and license paragraphs as their publishers word them (fixed texts).
 TEMPLATES = {
@@ -63,13 +69,30 @@ def _words(batch):
     return words_of(batch, separator=~_LETTER, folded=_FOLDED)
 
 
+class Template(NamedTuple):
+    """A template's name, number of words, the words that a match needs, the longest match, and
+    for each word its places as bits, from the front and from the back."""
+    name: str
+    size: int
+    need: int
+    longest: int
+    front: dict[int, int]
+    back: dict[int, int]
+
+
 class Index(NamedTuple):
-    """Template words by name; sorted fingerprints with their template and place in it."""
-    names: list[str]
-    words: list[np.ndarray]
-    prints: np.ndarray
-    template: np.ndarray
-    place: np.ndarray
+    """Templates; for each gram size sorted fingerprints with their template and place in it."""
+    templates: list[Template]
+    prints: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def room(size: int) -> int:
+    """How many words longer than its template a match may be; short notices stay short."""
+    return size if size >= WHOLE else size // 3
+
+
+def gram_of(size: int) -> int:
+    return GRAM if size >= SHORT else min(size, GRAM - 1)
 
 
 def winnow(grams: np.ndarray, window: int = WINNOW) -> np.ndarray:
@@ -81,90 +104,162 @@ def winnow(grams: np.ndarray, window: int = WINNOW) -> np.ndarray:
     return np.unique(np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(1))
 
 
-def index(templates: dict[str, str], gram: int = GRAM) -> Index:
+def template_of(name: str, words: list[int], least: float) -> Template:
+    size, front, back = len(words), {}, {}
+    for i, w in enumerate(words):
+        front[w] = front.get(w, 0) | 1 << i
+        back[w] = back.get(w, 0) | 1 << (size - 1 - i)
+    return Template(name, size, max(1, math.ceil(least * size - 1e-9)), size + room(size), front, back)
+
+
+def index(templates: dict[str, str], least: float = LEAST_COVERAGE) -> Index:
     batch = pa.RecordBatch.from_arrays([pa.array(list(templates.values()))], names=["text"])
     words = _words(batch)
     h = word_hashes(words)
     own = [h[a:b] for a, b in zip(words.ends[:-1], words.ends[1:], strict=True)]
-    grams = [mix(gram_hashes(t, gram)) for t in own]
-    place = [winnow(g) for g in grams]
-    prints = np.concatenate([g[p] for g, p in zip(grams, place, strict=True)])
-    order = np.argsort(prints, kind="stable")
-    which = np.repeat(np.arange(len(own)), [len(p) for p in place])
-    return Index(list(templates), own, prints[order], which[order], np.concatenate(place)[order])
-
-
-def band_of(words: int) -> int:
-    """How far diagonals of one match may lie apart; short notices may follow each other."""
-    return min(BAND, words // 3)
-
-
-def candidates(idx: Index, h: np.ndarray, ends: np.ndarray, gram: int = GRAM):
-    """(text, template, diagonal) of hit groups; a diagonal is text place minus template place."""
-    at = np.flatnonzero(gram_valid(ends, gram))
-    grams = mix(gram_hashes(h, gram))[at] if len(at) else np.zeros(0, np.uint64)
-    low, high = (np.searchsorted(idx.prints, grams, side) for side in ("left", "right"))
-    hit = np.flatnonzero(high > low)
-    size = high[hit] - low[hit]
-    entry = np.repeat(low[hit] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    where = np.repeat(at[hit], size)
+    found = {}
+    for k, t in enumerate(own):
+        if len(t):
+            gram = gram_of(len(t))
+            grams = mix(gram_hashes(t, gram))
+            place = winnow(grams) if len(t) >= LONG else np.arange(len(grams))
+            found.setdefault(gram, []).append((grams[place], np.full(len(place), k), place))
+    prints = {}
+    for gram, parts in found.items():
+        keys, which, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(keys, kind="stable")
+        prints[gram] = keys[order], which[order], place[order]
+    return Index([template_of(n, t.tolist(), least) for n, t in zip(templates, own, strict=True)], prints)
+
+
+def hits(idx: Index, h: np.ndarray, ends: np.ndarray):
+    """(place in all words, template, place in it) of every fingerprint found."""
+    out = [[np.zeros(0, np.int64)] * 3]
+    for gram, (prints, which, place) in idx.prints.items():
+        at = np.flatnonzero(gram_valid(ends, gram))
+        if not len(at):
+            continue
+        grams = mix(gram_hashes(h, gram))[at]
+        low = np.searchsorted(prints, grams)
+        hit = np.flatnonzero(prints[np.minimum(low, len(prints) - 1)] == grams)
+        low, size = low[hit], np.searchsorted(prints, grams[hit], "right") - low[hit]
+        entry = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        out.append([np.repeat(at[hit], size), which[entry], place[entry]])
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
+def regions(idx: Index, h: np.ndarray, ends: np.ndarray):
+    """(text, template, first, end) of the stretches of words that may hold a match: a match lies
+    inside the stretch around any of its hits, and stretches that meet are one."""
+    where, template, place = hits(idx, h, ends)
+    size, need, longest = (np.array([getattr(t, n) for t in idx.templates], np.int64)
+                           for n in ("size", "need", "longest"))
     text = np.searchsorted(ends, where, "right") - 1
-    template, diagonal = idx.template[entry], where - ends[text] - idx.place[entry]
-    order = np.lexsort((diagonal, template, text))
-    text, template, diagonal = text[order], template[order], diagonal[order]
-    band = np.array([band_of(len(t)) for t in idx.words])[template]
-    new = np.r_[True, (np.diff(text) != 0) | (np.diff(template) != 0) | (np.diff(diagonal) > band[1:])]
-    return [x[new[:len(text)]] for x in (text, template, diagonal)]
+    fits = np.diff(ends)[text] >= need[template]
+    where, template, place, text = where[fits], template[fits], place[fits], text[fits]
+    low = where - place - (longest - need)[template]
+    order = np.lexsort((where, low, template, text))
+    where, template, text, low = where[order], template[order], text[order], low[order]
+    high = low + (2 * longest - need + size - need)[template]
+    new = np.ones(len(low), bool)
+    new[1:] = (np.diff(text) != 0) | (np.diff(template) != 0) | (low[1:] > high[:-1])
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(new)][:len(first)] - 1
+    enough = last - first + 1 >= size[template[first]] // SEEDS
+    first, last = first[enough], last[enough]
+    text, template = text[first], template[first]
+    return (text, template, np.maximum(low[first], ends[text]), np.minimum(high[last], ends[text + 1]))
+
+
+def grow(masks: list, size: int, enough: int) -> tuple[int, int]:
+    """The longest common subsequence of a template and the words with these masks, or ``enough``
+    of it, and how many words that takes. One addition handles a word: a row of the table is kept
+    as the bits where it does not rise, and a carry out of it is one more match."""
+    full = (1 << size) - 1
+    row, found, end = full, 0, 0
+    for j, mask in enumerate(masks):
+        if mask and (same := row & mask):
+            total = row + same
+            if total > full:
+                found, end = found + 1, j + 1
+                if found == enough:
+                    break
+            row = (total | (row - same)) & full
+    return found, end
+
+
+def first_match(t: Template, front: list, back: list, start: int, stop: int):
+    """The match that ends first of those that begin at ``start`` or later, as (first, end)
+    with only the words it needs, or None."""
+    while stop - start >= t.need:
+        limit = min(stop, start + 2 * t.longest)
+        found, size = grow(front[start:limit], t.size, t.need)
+        if found < t.need:
+            if limit == stop:
+                return None
+            start += t.longest
+            continue
+        end = start + size
+        first = end - grow(back[start:end][::-1], t.size, t.need)[1]
+        if end - first <= t.longest:
+            return first, end
+        start = first + 1
+    return None
+
+
+def widest(t: Template, front: list, back: list, start: int, stop: int) -> tuple[int, int, int]:
+    """(matched words, first, end) of all that is common between two places."""
+    end = start + grow(front[start:stop], t.size, t.size)[1]
+    found, size = grow(back[start:end][::-1], t.size, t.size)
+    return found, end - size, end
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int):
-    """Most words that match in order inside the band: (matches, first place, end) or None.
+def matches(t: Template, words: list[int]) -> list[tuple[int, int, int]]:
+    """(matched words, first, end) of the matches of a template in a stretch of words.
 
-    Row i of the table holds the best count for the template's first i + 1 words and the
-    text up to place i + diagonal - band + column.
+    A match holds at least ``need`` words of the template in order and is at most ``longest``
+    words long, wherever words are missing or foreign. Matches are told apart by the words
+    they need at least, and then take what else there is up to the next one.
     """
-    m, band = len(template), band_of(len(template))
-    width = 2 * band + 1
-    best = np.zeros((m + 1, width + 1), np.int32)
-    same = np.zeros((m, width), bool)
-    for i in range(m):
-        j = np.arange(i + diagonal - band, i + diagonal + band + 1)
-        inside = (j >= 0) & (j < len(text))
-        same[i, inside] = text[j[inside]] == template[i]
-        row = np.maximum(best[i, 1:], best[i, :-1] + same[i])
-        best[i + 1, :-1] = np.maximum.accumulate(row)
-        best[i + 1, -1] = best[i + 1, -2]
-    found, o, i = [], width - 1, m
-    while i > 0 and o >= 0 and best[i, o] > 0:
-        if o > 0 and best[i, o - 1] == best[i, o]:
-            o -= 1
-        elif best[i - 1, o + 1] == best[i, o] and o + 1 <= width:
-            i, o = i - 1, o + 1
-            o = min(o, width - 1)
-        else:
-            found.append(i - 1 + diagonal - band + o)
-            i -= 1
-    return (len(found), found[-1], found[0] + 1) if found else None
+    front = [t.front.get(w) for w in words]
+    if len(front) - front.count(None) < t.need:
+        return []
+    back = [t.back.get(w) for w in words]
+    cores, at = [], 0
+    while (core := first_match(t, front, back, at, len(words))) is not None:
+        # A stray word before it may have made it wide: the narrowest of those that overlap.
+        while (other := first_match(t, front, back, core[0] + 1, min(len(words), core[1] + t.longest))
+               ) and other[0] < core[1] and other[1] - other[0] < core[1] - core[0]:
+            core = other
+        cores.append(core)
+        at = core[1]
+    out, done = [], 0
+    for i, (first, end) in enumerate(cores):
+        begin = max(done, end - t.longest)
+        stop = min(cores[i + 1][0] if i + 1 < len(cores) else len(words), first + t.longest)
+        match = widest(t, front, back, begin, stop)
+        if match[2] - match[1] > t.longest:  # words from both sides: first those behind, then before
+            end = widest(t, front, back, first, stop)[2]
+            match = widest(t, front, back, max(done, end - t.longest), end)
+        out.append(match)
+        done = match[2]
+    return out
 
 
 def _scan_rows(templates: dict[str, str], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idx = index(templates)
+        idx = index(templates, least)
         for part in slices(batches):
             words = _words(part)
             h = word_hashes(words)
             starts = np.r_[0, np.cumsum((words.data & 0xC0) != 0x80)]
-            rows, seen = [], set()
-            for t, k, d in zip(*candidates(idx, h, words.ends), strict=True):
-                lo, hi = words.ends[t], words.ends[t + 1]
-                got = align(idx.words[k], h[lo:hi], int(d))
-                if got is None or got[0] < least * len(idx.words[k]) or (t, k, got[1]) in seen:
-                    continue
-                seen.add((t, k, got[1]))
-                base = starts[words.places[t]]
-                rows.append((int(t), idx.names[k], got[0], got[0] / len(idx.words[k]),
-                             int(starts[words.first[lo + got[1]]] - base),
-                             int(starts[words.last[lo + got[2] - 1]] - base)))
+            rows = []
+            for t, k, lo, hi in zip(*regions(idx, h, words.ends), strict=True):
+                template, base = idx.templates[k], starts[words.places[t]]
+                for found, first, end in matches(template, h[lo:hi].tolist()):
+                    rows.append((int(t), template.name, found, found / template.size,
+                                 int(starts[words.first[lo + first]] - base),
+                                 int(starts[words.last[lo + end - 1]] - base)))
             owner, name, matched, share, first, end = zip(*rows, strict=True) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id").take(pa.array(owner, pa.int64())), pa.array(name, pa.string()),

@@ -93,6 +93,53 @@ def test_every_notice_of_a_table_is_found(spark):
     assert want and got == want
 
 
+def scanned(texts):
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    return [tuple(r.values())[:4] for b in licenses._scan_rows(licenses.TEMPLATES, 0.8)([batch])
+            for r in b.to_pylist()]
+
+
+def common(a, b):
+    """Length of the longest common subsequence, by the whole table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        left = 0
+        for j, y in enumerate(b, 1):
+            left, row[j] = row[j], left + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_notices_with_foreign_and_missing_runs_are_found():
+    w = licenses.TEMPLATES["mit-permission"].split()
+    fives = " ".join(x + (f" {i}" if i % 5 == 4 else "") for i, x in enumerate(w))
+    run = " ".join([*w[:33], *[f"x{i}" for i in range(30)], *w[33:]])
+    less = " ".join(w[:30] + w[42:])
+    got = scanned([fives, run, less, " ".join(w * 2), "Released under MIT License", "under the MIT"])
+    size = len(re.findall(r"\w+", " ".join(w)))
+    assert got == [(0, "mit-permission", size, 1.0), (1, "mit-permission", size, 1.0),
+                   (2, "mit-permission", size - 12, (size - 12) / size),
+                   *[(3, "mit-permission", size, 1.0)] * 2, (4, "mit-notice", 4, 0.8)]
+
+
+def test_matched_words_are_the_longest_common_subsequence():
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = (rng.choices(range(5), k=rng.randint(1, 90)) for _ in "ab")
+        t = licenses.template_of("t", a, 0.8)
+        found, end = licenses.grow([t.front.get(x) for x in b], t.size, t.size)
+        assert found == common(a, b) == common(a, b[:end])
+    names = licenses.TEMPLATES["gpl-3.0-header"].lower().replace(",", "").split()
+    for _ in range(40):  # no more foreign words than words of the template
+        text = [w for w in names if rng.random() > 0.05]
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randint(1, len(text) - 1)
+            text[at:at] = ["zz"] * rng.randint(1, 10)
+        got = [r for r in scanned([" ".join(text)]) if r[1] == "gpl-3.0-header"]
+        clean = [re.findall("[a-z0-9]+", " ".join(x)) for x in (names, text)]
+        want = common(*clean)
+        assert [r[2] for r in got] == ([want] if want >= 0.8 * len(clean[0]) else [])
+
+
 def test_winnowing_keeps_one_of_each_window():
     grams = np.random.default_rng(2).integers(0, 99, 200).astype(np.uint64)
     kept = set(licenses.winnow(grams, 4).tolist())
