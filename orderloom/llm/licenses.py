@@ -12,11 +12,13 @@ twice its template (a third more for templates under ``WHOLE`` words).
 Rows stay where they are, there is no shuffle, and whole texts are scanned.
 
 Defined results: null, empty and blank texts match nothing; a text that holds a notice twice has
-two rows; repeated documents have their rows each; a template that is part of another is
-reported on its own. Other columns are ignored.
+two rows; repeated documents have their rows each; of templates that match at one place the best
+is reported, so a paragraph of a whole text that was found has no row of its own. A one-line
+notice needs its name and version. Other columns are ignored.
 """
 
 import math
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from orderloom.llm.common import (column, gram_hashes, gram_valid, mix, slices, word_hashes, words_of)
+from orderloom.llm.notices import GENERIC, templates
 
 GRAM, WINNOW = 3, 3
 LEAST_COVERAGE = 0.8
@@ -33,31 +36,15 @@ LEAST_COVERAGE = 0.8
 #: needs a hit for every SEEDS words of its template.
 SHORT, LONG, WHOLE, SEEDS = 10, 64, 24, 40
 
-#: Notices and license paragraphs as their publishers word them (fixed texts).
-TEMPLATES = {
-    "all-rights-reserved": "All rights reserved.",
-    "mit-notice": "Released under the MIT License.",
-    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "mit-permission":
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files (the \"Software\"), to deal in the Software "
-        "without restriction, including without limitation the rights to use, copy, modify, merge, "
-        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
-        "to whom the Software is furnished to do so, subject to the following conditions:",
-    "apache-2.0-header":
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
-        "except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0",
-    "bsd-redistribution":
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met:",
-    "gpl-3.0-header":
-        "This program is free software: you can redistribute it and/or modify it under the terms of "
-        "the GNU General Public License as published by the Free Software Foundation, either version "
-        "3 of the License, or (at your option) any later version.",
-}
+TEMPLATES, _NOTICES = templates()
+
+
+def names_of(name: str, text: str) -> str:
+    """The words of a notice without which it is another license's or none, else nothing."""
+    if name not in _NOTICES:
+        return ""
+    return " ".join(w for w in re.findall("[a-z0-9]+", text.lower()) if w not in GENERIC)
+
 
 _BYTE = np.arange(256)
 _LETTER = ((_BYTE >= 0x80) | ((_BYTE >= 0x30) & (_BYTE <= 0x39)) | ((_BYTE >= 0x41) & (_BYTE <= 0x5A))
@@ -71,13 +58,15 @@ def _words(batch):
 
 class Template(NamedTuple):
     """A template's name, number of words, the words that a match needs, the longest match, and
-    for each word its places as bits, from the front and from the back."""
+    for each word its places as bits, from the front and from the back; the words of which
+    none may be missing."""
     name: str
     size: int
     need: int
     longest: int
     front: dict[int, int]
     back: dict[int, int]
+    names: frozenset[int] = frozenset()
 
 
 class Index(NamedTuple):
@@ -104,19 +93,25 @@ def winnow(grams: np.ndarray, window: int = WINNOW) -> np.ndarray:
     return np.unique(np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(1))
 
 
-def template_of(name: str, words: list[int], least: float) -> Template:
+def template_of(name: str, words: list[int], least: float, names=()) -> Template:
     size, front, back = len(words), {}, {}
     for i, w in enumerate(words):
         front[w] = front.get(w, 0) | 1 << i
         back[w] = back.get(w, 0) | 1 << (size - 1 - i)
-    return Template(name, size, max(1, math.ceil(least * size - 1e-9)), size + room(size), front, back)
+    need = max(1, math.ceil(least * size - 1e-9))
+    return Template(name, size, need, size + room(size), front, back, frozenset(names))
 
 
-def index(templates: dict[str, str], least: float = LEAST_COVERAGE) -> Index:
-    batch = pa.RecordBatch.from_arrays([pa.array(list(templates.values()))], names=["text"])
-    words = _words(batch)
+def hashes(texts: list[str]) -> list[np.ndarray]:
+    """The word hashes of each text."""
+    words = _words(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"]))
     h = word_hashes(words)
-    own = [h[a:b] for a, b in zip(words.ends[:-1], words.ends[1:], strict=True)]
+    return [h[a:b] for a, b in zip(words.ends[:-1], words.ends[1:], strict=True)]
+
+
+def index(templates: dict[str, str], least: float = LEAST_COVERAGE) -> Index:
+    own = hashes(list(templates.values()))
+    named = hashes([names_of(n, t) for n, t in templates.items()])
     found = {}
     for k, t in enumerate(own):
         if len(t):
@@ -129,7 +124,8 @@ def index(templates: dict[str, str], least: float = LEAST_COVERAGE) -> Index:
         keys, which, place = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(keys, kind="stable")
         prints[gram] = keys[order], which[order], place[order]
-    return Index([template_of(n, t.tolist(), least) for n, t in zip(templates, own, strict=True)], prints)
+    return Index([template_of(n, t.tolist(), least, w.tolist())
+                  for n, t, w in zip(templates, own, named, strict=True)], prints)
 
 
 def hits(idx: Index, h: np.ndarray, ends: np.ndarray):
@@ -241,11 +237,42 @@ def matches(t: Template, words: list[int]) -> list[tuple[int, int, int]]:
         if match[2] - match[1] > t.longest:  # words from both sides: first those behind, then before
             end = widest(t, front, back, first, stop)[2]
             match = widest(t, front, back, max(done, end - t.longest), end)
-        out.append(match)
         done = match[2]
+        if t.names <= set(words[match[1]:match[2]]):
+            out.append(match)
     return out
 
 
+class Match(NamedTuple):
+    """A template found in a text, with places in the words of all texts."""
+    text: int
+    template: Template
+    found: int
+    first: int
+    end: int
+
+
+def best_of(found: list[Match], h: np.ndarray) -> list[Match]:
+    """The matches without those whose words a better one has. The better one matches more words,
+    less those of its template that it misses. Two matches that only touch are both kept:
+    one has the other's words if it loses half as many without them."""
+    out, order = [], sorted(found, key=lambda m: (
+        m.text, m.template.size - 2 * m.found, -m.found / m.template.size, m.first))
+    for m in order:
+        rivals = (o for o in reversed(out) if o.first < m.end and m.first < o.end)
+        if not any(2 * loss(o, m, h) >= m.found for o in rivals):
+            out.append(m)
+    return sorted(out, key=lambda m: (m.text, m.first, m.end, m.template.name))
+
+
+def loss(m: Match, other: Match, h: np.ndarray) -> int:
+    """How many words fewer match without those the other match takes."""
+    if m.template.size == 2 * m.found - m.end + m.first:  # nothing foreign, nothing missing
+        return min(m.end, other.end) - max(m.first, other.first)
+    rest = [*h[m.first:max(m.first, other.first)].tolist(), *h[min(m.end, other.end):m.end].tolist()]
+    return m.found - grow([m.template.front.get(w) for w in rest], m.template.size, m.template.size)[0]
+
+
 def _scan_rows(templates: dict[str, str], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idx = index(templates, least)
@@ -253,13 +280,13 @@ def _scan_rows(templates: dict[str, str], least: float):
             words = _words(part)
             h = word_hashes(words)
             starts = np.r_[0, np.cumsum((words.data & 0xC0) != 0x80)]
-            rows = []
-            for t, k, lo, hi in zip(*regions(idx, h, words.ends), strict=True):
-                template, base = idx.templates[k], starts[words.places[t]]
-                for found, first, end in matches(template, h[lo:hi].tolist()):
-                    rows.append((int(t), template.name, found, found / template.size,
-                                 int(starts[words.first[lo + first]] - base),
-                                 int(starts[words.last[lo + end - 1]] - base)))
+            every = [Match(t, idx.templates[k], found, lo + first, lo + end)
+                     for t, k, lo, hi in zip(*(x.tolist() for x in regions(idx, h, words.ends)), strict=True)
+                     for found, first, end in matches(idx.templates[k], h[lo:hi].tolist())]
+            rows = [(m.text, m.template.name, m.found, m.found / m.template.size,
+                     int(starts[words.first[m.first]] - starts[words.places[m.text]]),
+                     int(starts[words.last[m.end - 1]] - starts[words.places[m.text]]))
+                    for m in best_of(every, h)]
             owner, name, matched, share, first, end = zip(*rows, strict=True) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id").take(pa.array(owner, pa.int64())), pa.array(name, pa.string()),

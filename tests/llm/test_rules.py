@@ -93,9 +93,9 @@ def test_every_notice_of_a_table_is_found(spark):
     assert want and got == want
 
 
-def scanned(texts):
+def scanned(texts, templates=licenses.TEMPLATES):
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
-    return [tuple(r.values())[:4] for b in licenses._scan_rows(licenses.TEMPLATES, 0.8)([batch])
+    return [tuple(r.values())[:4] for b in licenses._scan_rows(templates, 0.8)([batch])
             for r in b.to_pylist()]
 
 
@@ -121,6 +121,29 @@ def test_notices_with_foreign_and_missing_runs_are_found():
                    *[(3, "mit-permission", size, 1.0)] * 2, (4, "mit-notice", 4, 0.8)]
 
 
+def test_close_licenses_are_told_apart():
+    lgpl = ("This library is free software; you can redistribute it and/or modify it under the terms of "
+            "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+            "version 2.1 of the License, or (at your option) any later version.")
+    gpl = lgpl.replace("Lesser ", "").replace("2.1", "2").replace("library", "program")
+    texts = {"gpl-2.0-header": gpl, "lgpl-2.1-header": lgpl,
+             "agpl-3.0-header": gpl.replace("General", "Affero General").replace("2", "3"),
+             "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+             "cc-by-4.0-notice": "Licensed under CC BY 4.0.", "cc-by-nc-sa-3.0-notice": "licensed under CC "
+             "BY-NC-SA 3.0", "cc-by-nd-4.0-full-notice": "This work is licensed under a Creative Commons "
+             "Attribution-NoDerivatives 4.0 International License."}
+    assert [r[:2] for r in scanned(list(texts.values()))] == list(enumerate(texts))
+    assert scanned(["Released under the Other License.", "Licensed under CC BY 7.0."]) == []
+    # Two notices one after the other have a row each.
+    assert [r[1] for r in scanned(["All rights reserved. " + lgpl + " Licensed under CC BY-SA 4.0."])] == [
+        "all-rights-reserved", "lgpl-2.1-header", "cc-by-sa-4.0-notice"]
+
+
+def test_every_template_is_found_as_itself():
+    got = scanned(list(licenses.TEMPLATES.values()))
+    assert [(r[0], r[1], r[3]) for r in got] == [(i, n, 1.0) for i, n in enumerate(licenses.TEMPLATES)]
+
+
 def test_matched_words_are_the_longest_common_subsequence():
     rng = random.Random(6)
     for _ in range(300):
@@ -134,7 +157,7 @@ def test_matched_words_are_the_longest_common_subsequence():
         for _ in range(rng.randint(0, 4)):
             at = rng.randint(1, len(text) - 1)
             text[at:at] = ["zz"] * rng.randint(1, 10)
-        got = [r for r in scanned([" ".join(text)]) if r[1] == "gpl-3.0-header"]
+        got = scanned([" ".join(text)], {"gpl-3.0-header": licenses.TEMPLATES["gpl-3.0-header"]})
         clean = [re.findall("[a-z0-9]+", " ".join(x)) for x in (names, text)]
         want = common(*clean)
         assert [r[2] for r in got] == ([want] if want >= 0.8 * len(clean[0]) else [])
