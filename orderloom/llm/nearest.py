@@ -9,7 +9,8 @@ of all indexes retrieves every code within r; candidates are checked on the whol
 ranked by the inner product of the original vectors in double precision.
 
 The radius is fitted, too: the least that holds ``RECALL`` of the true neighbours within the
-sample. A block with fewer than k codes within it is taken whole, so every query gets k rows if
+sample, however wide; for long vectors in nearly random directions it is over half of the bits,
+most codes are retrieved, and a block is all but scanned. A block with fewer than k codes within it is taken whole, so every query gets k rows if
 there are as many.
 
 Stored vectors and queries are dealt into blocks of bounded size; each pair of blocks is one task
@@ -32,7 +33,6 @@ EVERY = 20
 BITS, SUBSTRINGS = 64, 8
 FIT_ROWS, FIT_QUERIES, RECALL = 4000, 200, 0.96
 BLOCK, QUERY_BLOCK = 16_384, 2_048
-MOST_RADIUS = 4 * SUBSTRINGS - 1
 
 
 class Codes:
@@ -80,9 +80,9 @@ class Codes:
         score[np.arange(len(pick)), pick] = -np.inf
         best = np.argsort(-score, axis=1, kind="stable")[:, :min(k, len(sample) - 1)]
         if not best.size:
-            return MOST_RADIUS
+            return BITS
         far = np.bitwise_count(self.queries(sample[pick])[:, None] ^ self.stored(sample)[best])
-        return min(MOST_RADIUS, int(np.ceil(np.quantile(far, RECALL, method="higher"))))
+        return int(np.ceil(np.quantile(far, RECALL, method="higher")))
 
 
 class SubstringIndex:

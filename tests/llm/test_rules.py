@@ -361,6 +361,19 @@ def test_recall_on_a_given_table(spark):
     assert np.mean([len({j for j, _ in want[i]} & got[i]) / 20 for i in want]) >= 0.9
 
 
+def test_radius_holds_the_neighbours_of_wide_random_vectors():
+    x = np.random.default_rng(4).normal(size=(5000, 384))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    codes = nearest.Codes(x[:2000], 1.0)
+    index = nearest.SubstringIndex(codes.stored(x))
+    hit = 0
+    for i, code in enumerate(codes.queries(x[-100:]), 4900):
+        score = x @ x[i]
+        score[i] = -1
+        hit += len(set(np.argsort(-score)[:20]) & set(index.within(code, codes.radius)))
+    assert hit / 2000 >= 0.9
+
+
 def test_pigeonhole_finds_every_code():
     rng = np.random.default_rng(8)
     codes = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
