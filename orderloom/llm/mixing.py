@@ -3,8 +3,10 @@
 Documents are summed up by membership pattern (the set of sources they belong to). Patterns send
 words to the quotas of their sources; a pattern's first pass over its documents is free,
 each further pass costs more (a convex cost), so text is repeated only where a quota needs
-it. The flow is solved on the pattern table alone, whose size depends on the sources and not on
-the documents; ``MOST_PATTERNS`` bounds it, beyond that the operator stops with an error.
+it. Sources and patterns stay tables of any size: targets come from a few sums over the sources, and
+the flow of a source that shares no document is the lesser of its quota and its passes. Only
+sources that share documents, directly or through others, need the solver: each such
+component is solved on its patterns alone, in a task of its own.
 
 Documents of a pattern are taken whole in the order of a seeded hash, every pass over all
 of them before the next; the last one taken of a pass is taken in part, so that the
@@ -16,20 +18,21 @@ is one source, the last; sources without words have target 0; rows that repeat a
 documents. An empty table gives an empty result.
 """
 
-import json
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orderloom.llm.common import size_of
+from orderloom.llm.common import Scratch, size_of
+from orderloom.llm.neardup import components
+from orderloom.operators.picking import positions
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
 SEED = 17
 SLICE_DIGITS = 3  # hex digits of the hash that make a slice: 4096 slices a pattern
-MOST_PATTERNS = 100_000
 
 
 def targets(sizes: dict, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -51,7 +54,16 @@ def targets(sizes: dict, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 def min_cost_flow(capacity: Sequence[int], members: Sequence[Sequence[int]],
                   quota: Sequence[int], passes: int = PASSES) -> np.ndarray:
-    """Words each pattern (row) gives to each source (column).
+    """Words each pattern (row) gives to each source (column)."""
+    out = np.zeros((len(capacity), len(quota)), np.int64)
+    for i, j, words in flows(capacity, members, quota, passes):
+        out[i, j] = words
+    return out
+
+
+def flows(capacity: Sequence[int], members: Sequence[Sequence[int]], quota: Sequence[int],
+          passes: int = PASSES) -> list[tuple[int, int, int]]:
+    """(pattern, source, words) for every membership.
 
     Successive shortest paths, the costs of the passes being 0, 1, 4, ...; ``members``
     lists the sources of each pattern.
@@ -89,11 +101,28 @@ def min_cost_flow(capacity: Sequence[int], members: Sequence[Sequence[int]],
         most = room[path].min()
         room[path] -= most
         room[[(a + n) % (2 * n) for a in path]] += most
-    out = np.zeros((p, s), np.int64)
-    for a, (u, v, c, _) in enumerate(arcs):
-        if 1 <= u <= p and v < sink:
-            out[u - 1, v - 1 - p] = c - room[a]
-    return out
+    return [(u - 1, v - 1 - p, int(c - room[a])) for a, (u, v, c, _) in enumerate(arcs)
+            if 1 <= u <= p and v < sink]
+
+
+def aims(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
+         most: int = PASSES) -> DataFrame:
+    """``targets`` of a table (source, n) of any length, as ``aim``; sources in their order."""
+    at = F.pmod(F.col("position"), F.lit(len(weights))).cast("int")
+    rows = positions(sizes, ["source"]).select(
+        "source", "n", (F.col("n") * most).alias("cap"),
+        F.element_at(F.array(*map(F.lit, map(float, weights))), at + 1).alias("weight"))
+    all_ = rows.agg(F.sum("n").alias("n"), F.sum("weight").alias("weight")).first()
+    level, capped = share * (all_.n or 0) / (all_.weight or 1), None
+    while True:  # the level rises as the sources that are full leave more to the others
+        full = F.col("cap") <= F.col("weight") * level
+        now = rows.agg(F.count_if(full).alias("full"), F.sum(F.when(full, F.col("cap"))).alias("cap"),
+                       F.sum(F.when(~full, F.col("weight"))).alias("weight")).first()
+        if now.full == capped or not now.weight:
+            break
+        level, capped = (share * all_.n - (now.cap or 0)) / now.weight, now.full
+    return rows.select("source", "n", F.when(full, F.col("cap").cast("double")).otherwise(
+        F.col("weight") * level).alias("aim"))
 
 
 def mix(docs: DataFrame, sources: Column, weights: Sequence[float] = WEIGHTS,
@@ -111,13 +140,9 @@ def mix(docs: DataFrame, sources: Column, weights: Sequence[float] = WEIGHTS,
             .withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS)))
     sizes = rows.select("_size", "_pattern", "_slice").groupBy("_pattern", "_slice").agg(
         F.sum("_size").alias("_words"))
-    table = sizes.groupBy("_pattern").agg(F.sum("_words").alias("n")).limit(
-        MOST_PATTERNS + 1).collect()
-    if len(table) > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
-    plan = docs.sparkSession.createDataFrame(
-        _plan(table, weights, share, passes),
-        "_pattern string, _flow long, _all long, _source_size long, _target double")
+    scratch = Scratch(docs.select("doc_id"), "mixing")
+    sizes = scratch.keep(sizes, "sizes")
+    plan = scratch.keep(_plan(sizes, scratch, weights, share, passes), "plan")
     before = F.coalesce(F.sum("_words").over(Window.partitionBy("_pattern").orderBy("_slice")
                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     slices = sizes.withColumn("_before", before).join(plan, "_pattern").drop("_words")
@@ -132,23 +157,43 @@ def mix(docs: DataFrame, sources: Column, weights: Sequence[float] = WEIGHTS,
     return placed.select(*docs.columns, "_size", "_source_size", "_target", taken)
 
 
-def _plan(table, weights, share, passes) -> list[tuple]:
-    table = sorted(table, key=lambda r: r["_pattern"])
-    member = [json.loads(r["_pattern"]) for r in table]
-    sizes: dict = {}
-    for r, names in zip(table, member, strict=True):
-        for s in names:
-            sizes[s] = sizes.get(s, 0) + r["n"]
-    if not sizes:
-        return []
-    aim = targets(sizes, weights, share, passes)
-    names = sorted(sizes, key=lambda s: (s is None, s or ""))
-    at = {s: i for i, s in enumerate(names)}
-    flow = min_cost_flow([r["n"] for r in table], [[at[s] for s in m] for m in member],
-                         [int(aim[s]) for s in names], passes)
-    first = [min(m, key=at.get) for m in member]
-    return [(r["_pattern"], int(flow[i].sum()), r["n"], sizes[s], float(aim[s]))
-            for i, (r, s) in enumerate(zip(table, first, strict=True))]
+def _solved(passes: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["_pattern", "source"])
+        pattern, first = np.unique(rows["_pattern"].to_numpy(str), return_index=True)
+        source, one = np.unique(rows["source"].to_numpy(str), return_index=True)
+        own = np.split(np.searchsorted(source, rows["source"].to_numpy(str)), first[1:])
+        words = np.zeros(len(pattern), np.int64)
+        for i, _, n in flows(rows["_all"].to_numpy()[first].tolist(), [x.tolist() for x in own],
+                             rows["quota"].to_numpy()[one].tolist(), passes):
+            words[i] += n
+        return pd.DataFrame({"_pattern": rows["_pattern"].to_numpy()[first], "_flow": words})
+    return run
+
+
+def _plan(sizes: DataFrame, scratch: Scratch, weights, share, passes) -> DataFrame:
+    """_pattern, _flow, _all, _source_size, _target for every membership pattern."""
+    # Names by code point, the null source last.
+    named = F.transform(F.from_json("_pattern", "array<string>"), lambda x: F.when(
+        x.isNull(), "1").otherwise(F.concat(F.lit("0"), x)))
+    patterns = scratch.keep(sizes.groupBy("_pattern").agg(F.sum("_words").alias("_all"))
+                            .withColumn("_names", named), "patterns")
+    members = patterns.select("_pattern", "_all", F.explode("_names").alias("source"))
+    found = scratch.keep(aims(members.groupBy("source").agg(F.sum("_all").alias("n")),
+                              weights, share, passes), "aims")
+    alone = F.least(F.floor("aim"), F.col("_all") * passes).alias("_flow")
+    plan = patterns.join(found, F.col("_names")[0] == found["source"]).select(
+        "_pattern", alone, "_all", F.col("n").alias("_source_size"), F.col("aim").alias("_target"))
+    several = patterns.where(F.size("_names") > 1)
+    if several.isEmpty():
+        return plan
+    links = several.select(F.col("_names")[0].alias("a"), F.explode("_names").alias("b")).where("a <> b")
+    classes = components(links.distinct(), scratch, "shared")
+    solved = (members.join(found.select("source", F.floor("aim").alias("quota")), "source")
+              .join(classes.select(F.col("key").alias("source"), "class"), "source")
+              .groupBy("class").applyInPandas(_solved(passes), "_pattern string, _flow long"))
+    return plan.withColumnRenamed("_flow", "_alone").join(solved, "_pattern", "left").select(
+        "_pattern", F.coalesce("_flow", "_alone").alias("_flow"), "_all", "_source_size", "_target")
 
 
 def mixed_sizes(docs: DataFrame) -> DataFrame:

@@ -305,6 +305,38 @@ def test_overlapping_sources_share_documents(spark):
     assert got.where("_taken > 2 * _size").count() == 0
 
 
+def test_mix_of_more_sources_than_any_driver_table(spark):
+    n = 100_003
+    table = spark.range(n).selectExpr("id as doc_id", "repeat('w ', int(id % 7)) as text",
+                                      "concat('host', id) as source")
+    got = mixing.mixed_sizes(table).agg(F.count("*"), F.sum("taken"), F.sum("size"),
+                                        F.max(F.col("taken") - 2 * F.col("size"))).first()
+    total = sum(i % 7 for i in range(n))
+    # A target is cut to whole words.
+    assert got[0] == n and got[2] == total and got[3] == 0 and 1.5 * total - n < got[1] <= 1.5 * total
+
+
+def test_aims_are_the_targets(spark):
+    rng = random.Random(3)
+    sizes = {f"s{i}": rng.choice([0, 1, 5, 300, 10**6]) for i in range(200)}
+    table = spark.createDataFrame(list(sizes.items()), "source string, n long")
+    assert {r.source: r.aim for r in mixing.aims(table).collect()} == mixing.targets(sizes)
+
+
+def test_separate_components_are_solved_as_one_flow(spark):
+    kinds = [["a"], ["a", "b"], ["b"], ["c", None], [None], ["d"], ["e", "f"], ["g", "f"], ["e"]]
+    rows = [(i, "w " * (1 + i % 5), kinds[i % len(kinds)]) for i in range(180)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    got = mixing.mix(table, F.col("sources"))
+    words = [sum(1 + i % 5 for i in range(180) if i % len(kinds) == k) for k in range(len(kinds))]
+    names = sorted({s for m in kinds for s in m}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(w for w, m in zip(words, kinds, strict=True) if s in m) for s in names}
+    aim = mixing.targets(size)
+    flow = mixing.min_cost_flow(words, [[names.index(s) for s in m] for m in kinds],
+                                [int(aim[s]) for s in names])
+    assert got.agg(F.sum("_taken")).first()[0] == flow.sum() and got.count() == 180
+
+
 def plain_nearest(rows, k=20):
     vectors = {(i, tuple(v)) for i, v in rows if i is not None and v and None not in v
                and np.isfinite(v).all() and any(v)}
