@@ -204,11 +204,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                   **fitting) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns, whatever the names."""
     model = fit(docs, labels, **fitting)
+    # Other columns travel under names of our own; a name with a dot is no path then.
+    inner = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, scores in _scored(batches, model):
-            yield part.filter(pa.array(scores < threshold))
+            yield part.filter(pa.array(scores < threshold)).rename_columns(list(inner))
 
-    return docs.mapInArrow(rows, docs.schema)
+    named = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+    return named.mapInArrow(rows, docs.schema)
