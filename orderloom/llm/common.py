@@ -2,6 +2,7 @@
 
 import contextlib
 import ctypes
+import hashlib
 import re
 from typing import NamedTuple
 
@@ -16,9 +17,8 @@ from orderloom.session import new_folder
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
-#: Fixed odd multiplier of the polynomial hashes, and its inverse modulo 2**64.
+#: Fixed odd multiplier of the rolling hashes over a few words.
 BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 U64 = np.uint64
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -74,13 +74,14 @@ class Memo(dict):
         return value
 
 
+_KEPT: dict[tuple, object] = {}
+
+
 def kept(key: tuple, make):
-    """An object that a worker process makes once and keeps over its tasks. Functions that
-    travel by value have no module of their own to keep it in, so a library's holds it."""
-    store = vars(pa).setdefault("_orderloom_kept", {})
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    """An object that a worker process makes once and keeps over its tasks."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def slices(batches, text: str = "text", size: int = 2_000_000):
@@ -153,22 +154,42 @@ def words_of(batch, name: str = "text", separator: np.ndarray = _SPACE,
     return Words(data, places, first, last, np.searchsorted(first, places))
 
 
-def word_hashes(words: Words, seed: int = 0, step: int = 1 << 20) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: a polynomial over a fixed table of the byte values,
-    from running sums. Sums are taken over some ``step`` bytes at a time."""
-    table = mix(np.arange(1, 257, dtype=U64) + U64(seed << 32))
-    out, done = np.zeros(len(words.first), U64), 0
-    while done < len(out):
-        start = words.first[done]
-        end = max(done + 1, int(np.searchsorted(words.last, start + step)))
-        first, last = words.first[done:end] - start, words.last[done:end] - start
-        some = table[words.data[start:start + last[-1]]] * powers(BASE, int(last[-1]))
-        sums = np.concatenate([np.zeros(1, U64), np.cumsum(some)])
-        out[done:end] = mix((sums[last] - sums[first]) * powers(BASE_INVERSE, len(sums))[first])
-        done = end
+#: A word of more bytes than this is hashed by digest, a shorter one is its own number.
+_PACKED = 7
+
+
+def word_hashes(words: Words) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, the first of ``word_hash_pairs``."""
+    return word_hash_pairs(words)[:, 0]
+
+
+def word_hash_pairs(words: Words) -> np.ndarray:
+    """Two 64-bit hashes (n, 2) of each word's bytes.
+
+    Up to seven bytes and their number are one 64-bit number, spread by bijections, so
+    such words never agree; of longer words the two are halves of a keyed cryptographic
+    digest, remembered for words that come again.
+    """
+    size = words.last - words.first
+    out = np.empty((len(size), 2), U64)
+    short = size <= _PACKED
+    eight = np.lib.stride_tricks.sliding_window_view(np.r_[words.data, np.zeros(8, np.uint8)], 8)
+    packed = np.ascontiguousarray(eight[words.first[short]]).view("<u8")[:, 0]
+    bits = (8 * size[short]).astype(U64)
+    packed = packed & ((U64(1) << bits) - U64(1)) | (bits << U64(53))
+    out[short] = np.stack([mix(packed), mix(packed ^ U64(BASE))], 1)
+    data, memo = words.data.tobytes(), kept(("digests",), lambda: Memo(_digest_of, 100_000))
+    first, last = words.first[~short].tolist(), words.last[~short].tolist()
+    found = b"".join([memo[data[a:b]] if b - a <= 40 else _digest_of(data[a:b])
+                      for a, b in zip(first, last, strict=True)])
+    out[~short] = np.frombuffer(found, "<u8").reshape(-1, 2)
     return out
 
 
+def _digest_of(word: bytes) -> bytes:
+    return hashlib.blake2b(word, digest_size=16, key=b"word").digest()
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n - 1) modulo 2**64."""
     out = np.full(n, U64(base))

@@ -13,8 +13,8 @@ within their length class in two levels (class and slice of a hash, then slices
 no class is sorted in one task, and find their sequence by binary search in the plan.
 
 Ids come from the tokenizer library, once per distinct pre-token of a task: texts are cut into
-pre-tokens on their bytes, told apart by 64-bit hashes, and only new ones are tokenized, all
-in one call. Texts with special strings or characters outside the Latin letters go to the
+pre-tokens on their bytes, told apart by two hashes (equal only for equal words or equal
+128-bit digests), and only new ones are tokenized, all in one call. Texts with special strings or characters outside the Latin letters go to the
 library whole.
 
 Defined results: a null or empty text is one piece with the closing id alone; repeated rows are
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import U64, Scratch, Words, column, kept, slices, texts_of, word_hashes
+from orderloom.llm.common import U64, Scratch, Words, column, kept, slices, texts_of, word_hash_pairs
 
 WINDOW = 2048
 STEP = 8
@@ -102,11 +102,12 @@ class Ids:
         """Drop what is known but for the given hashes (sorted)."""
         if not len(but):
             self.known, self.ids = np.zeros(0, U64), np.zeros(0, np.uint32)
+            self.second = self.known
             self.begin = self.size = np.zeros(0, np.int64)
             return
         at = np.searchsorted(self.known, but)
         self.ids = self.ids[_spread(self.begin[at], self.size[at])]
-        self.known, self.size = but, self.size[at]
+        self.known, self.second, self.size = but, self.second[at], self.size[at]
         self.begin = np.cumsum(self.size) - self.size
 
     @cached_property
@@ -133,14 +134,14 @@ class Ids:
         stop = np.flatnonzero(self.final[ids]) + 1
         return ids, np.diff(np.r_[0, stop])
 
-    def _learn(self, words: Words, hashes: np.ndarray, at: np.ndarray) -> None:
+    def _learn(self, words: Words, hashes: np.ndarray, second: np.ndarray, at: np.ndarray) -> None:
         """Tokenize the pre-tokens at the given places whose hashes (sorted) are new."""
         known = np.isin(hashes, self.known, assume_unique=True)
         if known.all():
             return
         if len(self.known) + len(hashes) > self.most:
             self._forget(hashes[known])
-        new, at = hashes[~known], at[~known]
+        new, second, at = hashes[~known], second[~known], at[~known]
         marks = np.r_[0, np.cumsum(words.data == _APOSTROPHE)]
         whole = marks[words.last[at]] > marks[words.first[at]]
         ids, size = self._cut(words, at[~whole])
@@ -152,20 +153,27 @@ class Ids:
         hashes = np.r_[self.known, new[~whole], new[whole]]
         order = np.argsort(hashes, kind="stable")
         self.known = hashes[order]
+        self.second = np.r_[self.second, second[~whole], second[whole]][order]
         self.begin, self.size = np.r_[self.begin, begin][order], np.r_[self.size, size][order]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         raw = [t.lower().encode() for t in texts]
         words = pre_tokens(np.frombuffer(b"".join(raw), np.uint8),
                            np.cumsum([0, *map(len, raw)]))
-        hashes, at, back = np.unique(word_hashes(words), return_index=True, return_inverse=True)
-        self._learn(words, hashes, at)
+        pairs = word_hash_pairs(words)
+        hashes, at, back = np.unique(pairs[:, 0], return_index=True, return_inverse=True)
+        self._learn(words, hashes, pairs[at, 1], at)
         own = np.searchsorted(self.known, hashes)
         size = self.size[own][back]
         done = np.r_[0, np.cumsum(size)]
         out = self.ids[_spread(self.begin[own][back], size)].astype("<u4").tobytes()
         ends = (done[words.ends] * 4).tolist()
-        return [out[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        found = [out[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        # Words with one hash that differ in the second: the library has the last word.
+        unlike = np.unique(words.owners()[self.second[own][back] != pairs[:, 1]]).tolist()
+        for i, ids in zip(unlike, self._whole([texts[i] for i in unlike]), strict=True):
+            found[i] = ids.astype("<u4").tobytes()
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""

@@ -14,9 +14,10 @@ shuffled one by one:
   Only there, and only for the source of each content, single windows are compared.
 * the repeated stretches are merged per document and cut from the text.
 
-Every join compares two independent 64-bit hashes over the same words, so that a coordinate
-counts as a copy of its source only if 128 bits agree. Joins are against one row per key and
-both sides come from a shuffle, so adaptive execution splits a hot key.
+A coordinate counts as a copy of its source only if cryptographic digests of the words
+themselves agree, 64 bits of a path's besides its anchor and 128 of a single window's. Joins
+are against one row per key and both sides come from a shuffle, so adaptive execution splits
+a hot key.
 
 Defined results: coordinates are ordered by (doc_id, start), a null doc_id first; rows with
 the same doc_id and the same text count as one document and get the same result; rows with the
@@ -32,13 +33,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import (BASE, BASE_INVERSE, U64, Scratch, column, gram_hashes, gram_valid,
-                                  mix, powers, signed, slices, word_hashes, words_of)
+from orderloom.llm.common import (U64, Scratch, Words, column, gram_hashes, gram_valid, mix, signed,
+                                  slices, word_hashes, words_of)
 from orderloom.operators.picking import lookup_groups
 
 WIDTH = 20
 ANCHOR = 6
-SECOND_BASE = 0xD1342543DE82EF95  # fixed odd multiplier, independent of the first
 
 #: A text's coordinate system: its id, and its crc32 in case the id repeats.
 DOC = ["doc_id", "_tag"]
@@ -67,14 +67,24 @@ def _least(values: np.ndarray, n: int) -> np.ndarray:
     return at
 
 
-def _span_hashes(h: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of h[first:end] for each pair, wherever in the array the span lies."""
-    sums = np.concatenate([np.zeros(1, U64), np.cumsum(h * powers(BASE, len(h)))])
-    return mix((sums[end] - sums[first]) * powers(BASE_INVERSE, len(h) + 1)[first])
+class Spans:
+    """Digests of the words of spans of a batch, joined by one space."""
 
+    def __init__(self, words: Words):
+        data, _ = joined_words(words, np.ones(len(words.first), bool), True)
+        size = words.last - words.first + 1
+        self.data, self.at = memoryview(data), np.cumsum(np.r_[0, size])
 
-def cut_edges(h: np.ndarray, ends: np.ndarray, width: int):
-    """Edges of a batch: text number, first window, windows, anchor, content hash."""
+    def digests(self, first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+        """One row of ``size`` bytes as 64-bit numbers for each span of words."""
+        data, where = self.data, zip(self.at[first].tolist(), (self.at[end] - 1).tolist(), strict=True)
+        found = b"".join([hashlib.blake2b(data[a:b], digest_size=size).digest() for a, b in where])
+        return np.frombuffer(found, "<u8").reshape(-1, size // 8)
+
+
+def cut_edges(words: Words, width: int):
+    """Edges of a batch: text number, first window, windows, anchor, content digest."""
+    h, ends = word_hashes(words), words.ends
     starts = np.flatnonzero(gram_valid(ends, width))
     if not len(starts):
         return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U64)] * 2
@@ -84,7 +94,7 @@ def cut_edges(h: np.ndarray, ends: np.ndarray, width: int):
     first = np.flatnonzero(np.r_[True, (np.diff(at) != 0) | (np.diff(owner) != 0)])
     count = np.diff(np.r_[first, len(starts)])
     s, a, o = starts[first], at[first], owner[first]
-    content = _span_hashes(h, s, s + count + width - 1)
+    content = Spans(words).digests(s, s + count + width - 1, 8)[:, 0]
     content = mix(content ^ ((a - s) * 64 + count).astype(U64))
     return o, s - ends[o], count, grams[a], content
 
@@ -93,7 +103,7 @@ def _edge_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             words = words_of(part)
-            o, start, count, anchor, content = cut_edges(word_hashes(words), words.ends, width)
+            o, start, count, anchor, content = cut_edges(words, width)
             owners = pa.array(o)
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id").take(owners), column(part, "_tag").take(owners),
@@ -124,8 +134,7 @@ def sources(many: DataFrame) -> DataFrame:
 def _window_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            words = words_of(part)
-            h, lists = word_hashes(words), column(part, "spans")
+            words, lists = words_of(part), column(part, "spans")
             owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
             spans = lists.flatten()
             start, count = (spans.field(k).to_numpy().astype(np.int64) for k in (0, 1))
@@ -133,11 +142,11 @@ def _window_rows(width: int):
             at = (np.repeat(start, count) + np.arange(len(who))
                   - np.repeat(np.cumsum(count) - count, count))
             flat, owners = at + words.ends[who], pa.array(who)
+            digests = Spans(words).digests(flat, flat + width, 16)
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id").take(owners), column(part, "_tag").take(owners),
                  pa.array(at, pa.int32()),
-                 pa.array(signed(mix(gram_hashes(h, width)[flat]))),
-                 pa.array(signed(mix(gram_hashes(h, width, SECOND_BASE)[flat])))],
+                 *(pa.array(signed(np.ascontiguousarray(digests[:, k]))) for k in (0, 1))],
                 names=[*DOC, "start", "one", "two"])
     return run
 
@@ -147,7 +156,7 @@ def _same_document(a: DataFrame, b: DataFrame):
 
 
 def source_windows(rows: DataFrame, first: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The windows of the sources at branches, one row each, with two hashes."""
+    """The windows of the sources at branches, one row each, with the halves of a digest."""
     branch = lookup_groups(first, ["anchor"]).agg(F.count("*").alias("n")).where("n > 1")
     spans = (first.join(branch.select("anchor"), "anchor").select("source.*", "windows")
              .groupBy(*DOC).agg(F.collect_list(F.struct("start", "windows")).alias("spans")))
@@ -202,12 +211,13 @@ def kept_words(part: pa.RecordBatch, words) -> np.ndarray:
     return np.cumsum(change[:-1]) == 0
 
 
-def joined_words(words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the kept words of each text joined by one space, and where each text begins."""
+def joined_words(words, kept: np.ndarray, spaced: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the kept words of each text joined by one space, and where each text begins;
+    ``spaced`` puts one behind a text's last word, too."""
     first, last, owner = words.first[kept], words.last[kept], words.owners()[kept]
     size = last - first + 1  # with the space behind it
     final = np.r_[owner[1:] != owner[:-1], True][:len(owner)]
-    size = size - final
+    size = size - (final & (not spaced))
     at = np.cumsum(size) - size
     out = np.full(int(size.sum()), 0x20, np.uint8)
     length = last - first
