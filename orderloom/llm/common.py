@@ -29,8 +29,8 @@ class Scratch:
     What follows no longer depends on recomputing what came before, so a lost executor costs
     little. The shuffle files of a table are freed when it is written, and a table that is
     no longer needed is dropped, so the disk holds one step at a time. Tables have at most a
-    file for every ``ROWS_A_FILE`` rows of the operator's input: their number follows the input
-    and not how finely a join was split.
+    file for every ``ROWS_A_FILE`` rows of the operator's input, or one for every core: their
+    number follows the input and not how finely a join was split.
     """
 
     ROWS_A_FILE = 8_000
@@ -38,7 +38,8 @@ class Scratch:
     def __init__(self, source: DataFrame, purpose: str):
         self.spark = source.sparkSession
         self.folder = new_folder(self.spark, purpose)
-        self.files = max(1, -(-source.count() // self.ROWS_A_FILE))
+        self.files = max(self.spark.sparkContext.defaultParallelism,
+                         -(-source.count() // self.ROWS_A_FILE))
 
     def few(self, df: DataFrame) -> DataFrame:
         """The rows in no more tasks than the table would have files."""

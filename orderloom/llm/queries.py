@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import (licenses, mixing, nearest, neardup, packing, repetition, substrings,
+from orderloom.llm import (alignment, licenses, mixing, nearest, neardup, packing, repetition, substrings,
                            tokencount, toxicity, urlfilter)
 from orderloom.llm.common import from_parquet
 
@@ -142,3 +142,9 @@ FROM r
 @query
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(from_parquet(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(from_parquet(spark, sf_dir, "documents"),
+                               tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))

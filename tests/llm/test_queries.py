@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, name):
 def test_all_are_registered():
     found = entry.queries()
     assert "pipeline" in found and set(queries.QUERIES) <= set(found)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_is_its_stages_in_order(spark):
