@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import (alignment, licenses, mixing, nearest, neardup, packing, repetition, substrings,
-                           tokencount, toxicity, urlfilter)
+from orderloom.llm import (alignment, licenses, mixing, nearest, neardup, packing, repetition, resampling,
+                           substrings, tokencount, toxicity, urlfilter)
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -148,3 +148,49 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment(from_parquet(spark, sf_dir, "documents"),
                                tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(from_parquet(spark, sf_dir, "documents"),
+                                from_parquet(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The checksum's table is the usual one: eight steps of the reflected polynomial for each byte.
+ORACLE["op12_resampling"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT unnest(range(256))::UBIGINT AS i, unnest(range(256))::UBIGINT AS c, 0 AS k
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM steps WHERE k = 8),
+f AS (
+  SELECT doc_id, NULL::BIGINT AS item, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT NULL, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+counted AS (SELECT w, count(*) FILTER (WHERE item IS NULL) AS s, count(*) FILTER (WHERE item IS NOT NULL) AS t
+            FROM f GROUP BY w),
+bytes AS (SELECT w, s, t, list_prepend(4294967295::UBIGINT, list_transform(range(strlen(w)),
+    lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::UBIGINT)) AS b FROM counted),
+bucket AS (
+  SELECT w, s, t, xor(4294967295::UBIGINT, list_reduce(b, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255)::BIGINT + 1]))) % 10000 AS k
+  FROM bytes, crc),
+sums AS (SELECT k, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM bucket GROUP BY k),
+gain AS (SELECT k, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000)
+    / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000))))::BIGINT AS g FROM sums),
+per AS (SELECT doc_id, count(*) AS n, sum(g)::BIGINT AS weight
+        FROM f JOIN bucket USING (w) JOIN gain USING (k) WHERE item IS NULL GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r,
+  count(*) FILTER (WHERE n_features >= 20) OVER () * 10 // 100 AS most FROM scored)
+SELECT doc_id, n_features, weight, score::BIGINT AS score,
+  CASE WHEN n_features >= 20 AND r <= most THEN r END::BIGINT AS rank FROM ranked
+"""
