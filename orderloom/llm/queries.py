@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import (alignment, licenses, mixing, nearest, neardup, packing, repetition, resampling,
-                           substrings, tokencount, toxicity, urlfilter)
+from orderloom.llm import (alignment, language, licenses, mixing, nearest, neardup, packing, repetition,
+                           resampling, substrings, tokencount, toxicity, urlfilter)
 from orderloom.llm.common import from_parquet
 
 QUERIES, ORACLE = {}, {}
@@ -194,3 +194,9 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY s
 SELECT doc_id, n_features, weight, score::BIGINT AS score,
   CASE WHEN n_features >= 20 AND r <= most THEN r END::BIGINT AS rank FROM ranked
 """
+
+
+@query
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(from_parquet(spark, sf_dir, "documents"),
+                              tokenizer_file("piece_bpe_32k.model"))
