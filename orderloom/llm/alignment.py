@@ -40,7 +40,7 @@ from orderloom.llm.common import Scratch, column, kept, slices
 from orderloom.operators.picking import lookup_groups
 
 BLOCK_LINKS = 1_000_000
-REMEMBERED, REMEMBERED_CHARS = 200_000, 48
+REMEMBERED, REMEMBERED_CHARS, IN_A_ROW = 300_000, 48, 2000
 B_BITS = 15
 
 #: A part of a text: up to a space that follows a character that is no white space.
@@ -72,6 +72,11 @@ def token_ends(ends: np.ndarray, spans: np.ndarray, sizes: np.ndarray) -> np.nda
     return decoded + np.where(last < 0, 0, (ends - decoded)[last])
 
 
+#: Of a text or part: its links, each an unsigned 32-bit number A id * 2**B_BITS + B id; its groups
+#: as text (or the digest of that); its numbers of A and of B tokens.
+Found = tuple[bytes, bytes | str, int, int]
+
+
 class Aligner:
     """Tokens of both tokenizers and their common ends, for texts with a space before them."""
 
@@ -97,62 +102,77 @@ class Aligner:
         self.lone_space = self.b.piece_to_id(_SPACE_PIECE)
         if len(self.a_bytes) > 1 << 17 or len(pieces) > 1 << B_BITS:
             raise ValueError("a pair of ids must fit into 32 bits")
-        self.memo: dict[str, tuple[bytes, bytes, int, int] | None] = {}
-
-    def _b_tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Ids, coarse ends and span lengths of B for texts with a space before them; the
-        library adds that space itself."""
-        out = []
-        for text, found in zip(texts, self.b.encode([t[1:] for t in texts], return_type="proto",
-                                                    num_threads=1), strict=True):
-            rows = [(p.id, p.begin, p.end) for p in found.pieces]
-            if not rows and text == " ":  # the library adds no space to an empty text
-                rows = [(self.lone_space, 0, 0)]
-            ids, begin, end = np.array(rows, np.int64).reshape(-1, 3).T
-            out.append((ids, end + 1, end - begin))
-        return out
-
-    def _a_tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        out = []
-        for text, found in zip(texts, self.a.encode_batch(texts, add_special_tokens=False), strict=True):
-            offsets = np.array(found.offsets, np.int64).reshape(-1, 2)
-            if not text.isascii():
-                code = np.frombuffer(text.encode("utf-32-le"), "<u4")
-                widths = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
-                offsets = np.r_[0, np.cumsum(widths)][offsets]
-            begin, end = offsets.T
-            out.append((np.array(found.ids, np.int64), end, end - begin))
-        return out
-
-    def align(self, texts: list[str]) -> list[tuple[bytes, bytes, int, int] | None]:
-        """Of each text: its links as unsigned 32-bit A id * 2**15 + B id, its groups as text, and its
-        numbers of tokens. None if either side does not decode to the text."""
-        out = []
-        for text, (a, a_end, a_span), (b, b_end, b_span) in zip(
-                texts, self._a_tokens(texts), self._b_tokens(texts), strict=True):
-            raw, a_ids, b_ids = text.encode(), a.tolist(), b.tolist()
-            if (b"".join([self.a_bytes[i] for i in a_ids]) != raw
-                    or b"".join([self.b_bytes[i] for i in b_ids]) != raw):
-                out.append(None)
-                continue
-            a_end = token_ends(a_end, a_span, self.a_size[a])
-            b_end = token_ends(b_end, b_span, self.b_size[b])
-            _, at, bt = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-            groups, i, j = [], 0, 0
-            for x, y in zip((at + 1).tolist(), (bt + 1).tolist(), strict=True):
-                groups.append(f"{','.join(map(str, a_ids[i:x]))}|{','.join(map(str, b_ids[j:y]))}")
-                i, j = x, y
-            links = ((a[at] << B_BITS) + b[bt]).astype("<u4").tobytes()
-            out.append((links, ";".join(groups).encode(), len(a_ids), len(b_ids)))
-        return out
-
-    def whole(self, text: str) -> tuple[bytes, str, int, int]:
+        self.memo: dict[str, Found | None] = {}
+
+    def _a_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A and their byte ends."""
+        found = self.a.encode(text, add_special_tokens=False)
+        ids = np.array(found.ids, np.int64)
+        begin, end = np.array(found.offsets, np.int64).reshape(-1, 2).T
+        if not text.isascii():
+            code = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            place = np.r_[0, np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))]
+            begin, end = place[begin], place[end]
+        return ids, token_ends(end, end - begin, self.a_size[ids])
+
+    def _b_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of B and their byte ends; the library adds the space before the text itself."""
+        found = self.b.encode(text[1:], return_type="proto").pieces
+        rows = [x for p in found for x in (p.id, p.begin, p.end)]
+        if not rows and text == " ":  # it adds none to an empty text
+            rows = [self.lone_space, 0, 0]
+        ids, begin, end = np.array(rows, np.int64).reshape(-1, 3).T
+        return ids, token_ends(end + 1, end - begin, self.b_size[ids])
+
+    def align(self, parts: list[str]) -> list[Found | None]:
+        """What there is to know of each part; None if a side does not decode to it.
+
+        Parts are encoded in a row where that is the same: each begins with a space, and the one
+        before it does not end with white space.
+        """
+        out: dict[int, Found | None] = {}
+        in_row = [i for i, p in enumerate(parts) if not p[-1].isspace()]
+        alone = [i for i, p in enumerate(parts) if p[-1].isspace()]
+        todo = [in_row[i:i + IN_A_ROW] for i in range(0, len(in_row), IN_A_ROW)] + [[i] for i in alone]
+        while todo:
+            some = todo.pop()
+            found = self._aligned([parts[i] for i in some])
+            if found is None and len(some) > 1:  # find the part that does not decode
+                todo += [some[:len(some) // 2], some[len(some) // 2:]]
+            else:
+                out.update(zip(some, found or [None], strict=True))
+        return [out[i] for i in range(len(parts))]
+
+    def _aligned(self, parts: list[str]) -> list[Found] | None:
+        text = "".join(parts)
+        (a, a_end), (b, b_end) = self._a_tokens(text), self._b_tokens(text)
+        a_ids, b_ids, raw = a.tolist(), b.tolist(), text.encode()
+        if (b"".join([self.a_bytes[i] for i in a_ids]) != raw
+                or b"".join([self.b_bytes[i] for i in b_ids]) != raw):
+            return None
+        at = np.flatnonzero(np.isin(a_end, b_end, assume_unique=True))
+        bt = np.searchsorted(b_end, a_end[at])
+        links = ((a[at] << B_BITS) + b[bt]).astype("<u4").tobytes()
+        a_text, b_text = [*map(str, a_ids)], [*map(str, b_ids)]
+        groups, i, j = [], 0, 0
+        for x, y in zip((at + 1).tolist(), (bt + 1).tolist(), strict=True):
+            groups.append(f"{a_text[i] if x == i + 1 else ','.join(a_text[i:x])}|"
+                          f"{b_text[j] if y == j + 1 else ','.join(b_text[j:y])}")
+            i, j = x, y
+        ends = np.cumsum([len(p.encode()) for p in parts])
+        last = np.searchsorted(a_end[at], ends)  # a part's last group ends with it
+        g = [0, *(last + 1).tolist()]
+        n_a, n_b = (np.diff(np.r_[0, x[last] + 1]).tolist() for x in (at, bt))
+        return [(links[4 * g[k]:4 * g[k + 1]], ";".join(groups[g[k]:g[k + 1]]).encode(), n_a[k], n_b[k])
+                for k in range(len(parts))]
+
+    def whole(self, text: str) -> Found:
         found = self.align([" " + text])[0]
         if found is None:
             return b"", "", 0, 0
         return found[0], hashlib.sha256(found[1]).hexdigest(), *found[2:]
 
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[bytes, str, int, int]]:
+    def texts(self, texts: list[str | None]) -> Iterator[Found]:
         """Links, digest of the groups and numbers of tokens of each text."""
         cut = [PART.findall(" " + t)[:-1] if t and self.in_parts else [] for t in texts]
         memo, wanted = self.memo, {p for parts in cut for p in parts}
@@ -160,9 +180,7 @@ class Aligner:
         if len(memo) + len(new) > REMEMBERED:
             memo.clear()
             new = list(wanted)
-        for at in range(0, len(new), 2000):
-            some = new[at:at + 2000]
-            memo.update(zip(some, self.align(some), strict=True))
+        memo.update(zip(new, self.align(new), strict=True))
         for text, parts in zip(texts, cut, strict=True):
             found = [memo[p] for p in parts]
             if not text:
@@ -191,7 +209,7 @@ class _Block:
     def __init__(self, number: int):
         self.number, self.rows, self.links = number, [], 0
 
-    def add(self, doc, found: tuple[bytes, str, int, int]):
+    def add(self, doc, found: Found):
         self.rows.append((doc, *found))
         self.links += len(found[0]) // 4
 
