@@ -9,8 +9,8 @@ Words are runs of letters in lower case with a word-begin mark, as the vocabular
 more than ``LONGEST`` letters are scored in parts of that length. A letter that is no piece of its
 own counts as an unknown one, equally improbable in all languages.
 
-The piece probabilities are fitted by expectation maximisation on a bounded sample: the first
-``fit_rows`` documents of each language in hash order, found from ids and labels alone. Its words are
+The piece probabilities are fitted by expectation maximisation on a bounded sample: about
+``fit_rows`` documents of each language, a share of the hash range. Its words are
 counted once per language; each round is one job over them (forward and backward over all
 segmentations), which returns at most one number per piece and language. Smoothing mixes in the
 pieces of all languages. All texts are scored whole in their tasks, without a shuffle: the lattices
@@ -23,14 +23,13 @@ posterior of the predicted language. Other columns are ignored.
 """
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from orderloom.llm.common import Scratch, column, kept, slices
 from orderloom.llm.toxicity import held_out
@@ -45,27 +44,24 @@ REMEMBERED = 4_000_000
 UNIT = 1 << 20
 
 
-def _letters() -> re.Pattern:
-    """Runs of letters: word characters without decimal digits, underscore and other numbers."""
-    numbers = "".join(c for c in map(chr, range(sys.maxunicode + 1))
-                      if c.isalnum() and not c.isalpha() and not c.isdecimal())
-    return re.compile(rf"[^\W\d_{re.escape(numbers)}]+")
+_ALNUM = re.compile(r"[^\W\d_]+")
 
 
-def letters() -> re.Pattern:
-    return kept(("letters",), _letters)
+def _runs(text: str) -> list[str]:
+    """Runs of letters: word characters without decimal digits, underscore and other numbers."""
+    found = _ALNUM.findall(text)
+    if "".join(found).isalpha():
+        return found
+    return [r for w in found for r in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
 def words_in(text: str) -> list[str]:
     """Lower-case words with their mark, long ones in parts (the first has the mark)."""
-    out = []
-    for w in letters().findall(text.lower()):
-        if len(w) <= LONGEST:
-            out.append(MARK + w)
-        else:
-            out.append(MARK + w[:LONGEST])
-            out += [w[i:i + LONGEST] for i in range(LONGEST, len(w), LONGEST)]
-    return out
+    out = [MARK + w for w in _runs(text.lower())]
+    if not out or len(max(out, key=len)) <= LONGEST + 1:
+        return out
+    return [x for w in out for x in (w[:LONGEST + 1], *(
+        w[i:i + LONGEST] for i in range(LONGEST + 1, len(w), LONGEST)))]
 
 
 class Pieces:
@@ -194,17 +190,15 @@ class Model(NamedTuple):
 
 
 def _sample(docs: DataFrame, rows: int, seed: int) -> tuple[DataFrame, dict[str, int]]:
-    """(lang, text) of the first documents of each language in hash order; and how many documents
-    each language has. Only ids, languages and hashes are looked at to find them."""
-    order = F.xxhash64(F.lit(seed), "doc_id")
+    """(lang, text) of some documents of each language, those whose hash lies in the first
+    ``rows``-th of as many parts as the language has documents; and these numbers of documents."""
     known = docs.where("doc_id is not null and lang is not null").where(~held_out(F.col("doc_id")))
-    known = known.select("lang", "text", order.alias("order"))
+    known = known.select("lang", "text", F.xxhash64(F.lit(seed), "doc_id").alias("order"))
     shares = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    limits = (known.select("lang", "order").withColumn("place", place).where(F.col("place") <= rows)
-              .groupBy("lang").agg(F.max("order").alias("limit")))
-    # One row per language.
-    some = known.join(F.broadcast(limits), "lang").where(F.col("order") <= F.col("limit"))
+    limits = docs.sparkSession.createDataFrame(
+        [(lang, -2**63 + min(2**64 - 1, rows * 2**64 // n)) for lang, n in shares.items()],
+        "lang string, limit long")
+    some = known.join(limits, "lang").where(F.col("order") <= F.col("limit"))
     return some.groupBy("lang", "order").agg(F.max("text").alias("text")).select("lang", "text"), shares
 
 
@@ -244,7 +238,7 @@ def _count_rows(model: str, languages: list[str], table: np.ndarray):
 
 
 def fit(docs: DataFrame, model: str, fit_rows: int = 1500, rounds: int = 4, seed: int = 11) -> Model:
-    """Learn the probabilities from at most ``fit_rows`` documents of each language."""
+    """Learn the probabilities from about ``fit_rows`` documents of each language."""
     sample, shares = _sample(docs, fit_rows, seed)
     languages = sorted(shares)
     size = len(Pieces(model)) + 1

@@ -139,5 +139,7 @@ def test_each_language_is_learned_from_a_bounded_sample(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
     sample, shares = language._sample(docs, 100, 1)
     n = Counter(r.lang for r in sample.collect())
-    assert 0 < n["x"] <= 100 and n["y"] == 100 and set(shares) == {"x", "y"}
+    assert 60 < n["x"] < 150 and 60 < n["y"] < 150 and set(shares) == {"x", "y"}
+    every, _ = language._sample(docs, 4000, 1)
+    assert every.count() == sum(not held(r[0]) for r in rows[:4000])
     assert plain(sample) == plain(language._sample(docs.repartition(2), 100, 1)[0])
