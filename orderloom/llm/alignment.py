@@ -40,7 +40,7 @@ from orderloom.llm.common import Scratch, column, kept, slices
 from orderloom.operators.picking import lookup_groups
 
 BLOCK_LINKS = 1_000_000
-REMEMBERED, REMEMBERED_CHARS, IN_A_ROW = 300_000, 48, 2000
+REMEMBERED, REMEMBERED_CHARS, IN_A_ROW = 200_000, 48, 2000
 B_BITS = 15
 
 #: A part of a text: up to a space that follows a character that is no white space.
@@ -103,6 +103,7 @@ class Aligner:
         if len(self.a_bytes) > 1 << 17 or len(pieces) > 1 << B_BITS:
             raise ValueError("a pair of ids must fit into 32 bits")
         self.memo: dict[str, Found | None] = {}
+        self.old = self.memo
 
     def _a_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A and their byte ends."""
@@ -172,14 +173,21 @@ class Aligner:
             return b"", "", 0, 0
         return found[0], hashlib.sha256(found[1]).hexdigest(), *found[2:]
 
+    def _recent(self, wanted: set[str]) -> tuple[dict, dict]:
+        """The parts remembered of late, and those of the time before. What both lack long enough
+        is forgotten, so frequent parts stay."""
+        if len(self.memo) + len(wanted - self.memo.keys()) > REMEMBERED:
+            self.old, self.memo = self.memo, {}
+        return self.memo, self.old
+
     def texts(self, texts: list[str | None]) -> Iterator[Found]:
         """Links, digest of the groups and numbers of tokens of each text."""
         cut = [PART.findall(" " + t)[:-1] if t and self.in_parts else [] for t in texts]
-        memo, wanted = self.memo, {p for parts in cut for p in parts}
+        wanted = {p for parts in cut for p in parts}
+        memo, old = self._recent(wanted)
         new = [p for p in wanted if p not in memo]
-        if len(memo) + len(new) > REMEMBERED:
-            memo.clear()
-            new = list(wanted)
+        memo.update({p: old[p] for p in new if p in old})
+        new = [p for p in new if p not in memo]
         memo.update(zip(new, self.align(new), strict=True))
         for text, parts in zip(texts, cut, strict=True):
             found = [memo[p] for p in parts]
