@@ -195,10 +195,10 @@ def _sample(docs: DataFrame, rows: int, seed: int) -> tuple[DataFrame, dict[str,
     known = docs.where("doc_id is not null and lang is not null").where(~held_out(F.col("doc_id")))
     known = known.select("lang", "text", F.xxhash64(F.lit(seed), "doc_id").alias("order"))
     shares = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
-    limits = docs.sparkSession.createDataFrame(
-        [(lang, -2**63 + min(2**64 - 1, rows * 2**64 // n)) for lang, n in shares.items()],
-        "lang string, limit long")
-    some = known.join(limits, "lang").where(F.col("order") <= F.col("limit"))
+    # An entry for each language, as the model has; the texts are not shuffled for it.
+    limits = F.create_map(*[F.lit(x) for lang, n in shares.items() for x in (
+        lang, -2**63 + min(2**64 - 1, rows * 2**64 // n))]) if shares else F.lit(None).cast("map<string,long>")
+    some = known.where(F.col("order") <= F.element_at(limits, F.col("lang")))
     return some.groupBy("lang", "order").agg(F.max("text").alias("text")).select("lang", "text"), shares
 
 
