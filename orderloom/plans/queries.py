@@ -1037,20 +1037,14 @@ def dashboard_columns(t):
 
 # ----------------------------------------------------------------- streams
 
-def _landed(t: Tables, df: DataFrame, purpose: str, *parts: Column) -> DataFrame:
-    """Land rows as several files and read them back as a stream of two files per batch."""
-    folder = new_folder(t.spark, purpose)
-    df.repartition(4, *parts).write.parquet(folder)
-    return (t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(folder))
+def _in_turn(t: Tables, purpose: str, each, *batches: DataFrame) -> None:
+    """Run ``each`` over the batches in this order, as a stream of landed files."""
+    streams.run_in_turn(batches, new_folder(t.spark, purpose), new_folder(t.spark, "checkpoint"), each)
 
 
-def _in_turn(t: Tables, purpose: str, *batches: DataFrame) -> DataFrame:
-    """Land each batch as one file, in this order, and read them as a stream of a file each."""
-    folder = new_folder(t.spark, purpose)
-    for df in batches:
-        df.coalesce(1).write.mode("append").parquet(folder)
-    return (t.spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 1)
-            .parquet(folder))
+def _halves(df: DataFrame, key: str) -> list[DataFrame]:
+    half = F.pmod(F.xxhash64(key), F.lit(2))
+    return [df.where(half == i) for i in (0, 1)]
 
 
 @query
@@ -1060,10 +1054,9 @@ def stream_insert_ignore(t):
     early = F.pmod(F.xxhash64("order_no"), F.lit(2)) == 0
     again = t.items.withColumns({c: F.when(early, F.lit("late")).otherwise(F.col(c))
                                  for c in ("price", "quantity", "phone_2")})
-    source = _in_turn(t, "items-in", t.items.where(early), again)
-    streams.run_available(source, new_folder(t.spark, "checkpoint"),
-                          streams.insert_ignore_batches(out))
-    return t.spark.read.parquet(out).select("order_no", "sku", "price", "quantity", "phone_2")
+    _in_turn(t, "items-in", streams.insert_ignore_batches(out), t.items.where(early), again)
+    return streams.stored_items(t.spark, out, again.schema).rows().select(
+        "order_no", "sku", "price", "quantity", "phone_2")
 
 
 @query
@@ -1081,24 +1074,22 @@ def stream_daily_once_watermark(t):
     return t.spark.read.parquet(out).select("branch", "codcli", F.to_date("day").alias("day"))
 
 
-def _daily_once(t: Tables, source: DataFrame) -> DataFrame:
+def _daily_once(t: Tables, *batches: DataFrame) -> DataFrame:
     out = new_folder(t.spark, "daily-once-exact")
-    streams.run_available(source, new_folder(t.spark, "checkpoint"),
-                          streams.daily_once_batches(out))
-    written = t.spark.read.schema("branch string, codcli string, day date").parquet(out)
-    return written.select("branch", "codcli", "day")
+    _in_turn(t, "events-in", streams.daily_once_batches(out), *batches)
+    return streams.stored_notices(t.spark, out).rows().select("branch", "codcli", "day")
 
 
 @query
 def stream_daily_once(t):
     # Keys of the first batch come again in the second.
     odd = F.pmod(F.xxhash64("codcli"), F.lit(3)) < 2
-    return _daily_once(t, _in_turn(t, "events-in", t.credit_events.where(odd), t.credit_events))
+    return _daily_once(t, t.credit_events.where(odd), t.credit_events)
 
 
 @query
 def stream_daily_once_exact(t):
-    return _daily_once(t, _landed(t, t.credit_events, "events-in"))
+    return _daily_once(t, *_halves(t.credit_events, "ts"))
 
 
 @query
@@ -1111,9 +1102,8 @@ def stream_snapshot_reconcile(t):
         t.listing.select("branch", "order_no", "pos").withColumn("kind", F.lit("listing")),
         t.captured.join(listed, "branch", "left").withColumn("kind", F.lit("captured"))])
     # One branch first, then both: its orders are met again.
-    source = _in_turn(t, "snapshots-in", rows.where("branch = 'north'"), rows)
-    streams.run_available(source, new_folder(t.spark, "checkpoint"),
-                          streams.snapshot_batches(out, t.stored_items))
+    _in_turn(t, "snapshots-in", streams.snapshot_batches(out, t.stored_items),
+             rows.where("branch = 'north'"), rows)
     latest = streams.current_table(t.spark, out, t.stored_items.schema)
     return latest.select("branch", "order_no", "sku", "price", "quantity")
 
@@ -1123,10 +1113,13 @@ def stream_order_stats(t):
     out = new_folder(t.spark, "order-stats")
     heads = t.headers.select("branch", "collected_at", money.parse_money_us(F.col("order_total"))
                              .alias("value"))
-    stats = streams.order_stats_stream(_landed(t, heads, "headers-in"))
-    (stats.writeStream.outputMode("complete").trigger(availableNow=True)
-     .option("checkpointLocation", new_folder(t.spark, "checkpoint"))
-     .foreachBatch(streams.latest_batches(out)).start().awaitTermination())
+    landed, checkpoint = new_folder(t.spark, "headers-in"), new_folder(t.spark, "checkpoint")
+    for half in _halves(heads, "collected_at"):
+        half.write.mode("append").parquet(landed)
+        stats = streams.order_stats_stream(t.spark.readStream.schema(heads.schema).parquet(landed))
+        (stats.writeStream.outputMode("complete").trigger(availableNow=True)
+         .option("checkpointLocation", checkpoint)
+         .foreachBatch(streams.latest_batches(out)).start().awaitTermination())
     versions = t.spark.read.parquet(out)
     last = versions.withColumn("_last", F.max("version").over(Window.partitionBy("branch")))
     return last.where("version = _last").select(

@@ -51,6 +51,25 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return name
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path that a job has written to its end."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    return [n for n in names if files.exists(_file_system(spark, f"{path}/{n}/_SUCCESS")[0])]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Write once to the shared folder and read back: the result no longer depends
     on recomputation, so ids taken from partitions survive lost executors."""
