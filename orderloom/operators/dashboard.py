@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.clock import time_text
@@ -104,19 +104,30 @@ def search_orders(orders: DataFrame, query: str = "", branch: str = "") -> DataF
     return found.where(reduce(lambda a, b: a | b, hits))
 
 
+#: Pages that are taken as the first rows of the order, without sorting the others.
+EARLY_PAGES = 50
+
+
 def paginate(orders: DataFrame, page: int, size: int = PAGE_SIZE,
              order: Sequence[str] = ("order_no",)) -> DataFrame:
     """Page ``page`` of the orders, clamped to the pages there are, with the numbers
     shown below the table.
 
-    Every row gets its place in one total order, ties broken by the other columns, and a
+    Every row has its place in one total order, ties broken by the other columns, and a
     page is a range of places, wherever it lies. Rows that are equal in all columns are
-    interchangeable. The orders are computed once.
+    interchangeable. An early page lies in the first ``EARLY_PAGES`` pages, of which only so
+    many rows leave a task; for later ones all rows are put in order. A table whose pages are
+    read often is better kept in order (``paging``).
     """
-    placed = positions(orders, [*order, *(c for c in orders.columns if c not in order)])
-    total = F.max("position") + 1
-    numbers = placed.agg(F.coalesce(total, F.lit(0)).alias("total")).select(
-        "total", F.ceil(F.col("total") / size).cast("bigint").alias("pages"))
+    keys = [*order, *(c for c in orders.columns if c not in order)]
+    if page <= EARLY_PAGES:
+        place = F.row_number().over(Window.orderBy(*keys)).cast("bigint") - 1
+        placed = orders.orderBy(*keys).limit(max(page, 1) * size).withColumn("position", place)
+        total = orders.agg(F.count("*").alias("total"))
+    else:
+        placed = positions(orders, keys)
+        total = placed.agg(F.coalesce(F.max("position") + 1, F.lit(0)).alias("total"))
+    numbers = total.select("total", F.ceil(F.col("total") / size).cast("bigint").alias("pages"))
     numbers = numbers.withColumn("page", F.greatest(F.lit(1), F.least(F.lit(page), F.col("pages"))))
     known = numbers.select(F.struct("total", "pages", "page")).scalar()
     first = (known["page"] - 1) * size

@@ -38,10 +38,14 @@ def route_of(city: Column, document: Column, regional: Sequence[str],
              interior: Sequence[str]) -> Column:
     """``regional``, ``general`` or null for an order's first row."""
     city = F.coalesce(upper_trim_city(city), F.lit(""))
+    return _route(city, document, matches_any(city, regional), matches_any(city, interior))
+
+
+def _route(city: Column, document: Column, regional: Column, interior: Column) -> Column:
     document = F.coalesce(F.upper(strip(document)), F.lit(""))
-    general = (~matches_any(city, interior) & F.contains(document, F.lit(GENERAL_DOCUMENT))
+    general = (~interior & F.contains(document, F.lit(GENERAL_DOCUMENT))
                & F.contains(city, F.lit(GENERAL_STATE)))
-    return F.when(matches_any(city, regional), F.lit("regional")).when(general, F.lit("general"))
+    return F.when(regional, F.lit("regional")).when(general, F.lit("general"))
 
 
 def route_orders(items: DataFrame, sent: DataFrame, regional: Sequence[str],
@@ -53,6 +57,38 @@ def route_orders(items: DataFrame, sent: DataFrame, regional: Sequence[str],
     return not_sent(heads.select("order_no", route.alias("route")), sent)
 
 
+def pattern_hits(texts: DataFrame, patterns: DataFrame, text: str = "city") -> DataFrame:
+    """(text, lists): for each distinct text the lists that have a pattern it contains.
+
+    ``patterns`` is a table (list, pattern) of any size. A text is cut into its substrings of the
+    lengths that patterns have, and these meet the patterns in an equi-join, so no text is
+    compared with every pattern. The empty pattern is in every text, a null one in none.
+    """
+    known = (patterns.where("pattern is not null")
+             .select("list", F.upper("pattern").alias("_piece")).distinct())
+    # One number per distinct length: at most as many as the longest pattern has characters.
+    lengths = known.agg(F.coalesce(F.collect_set(F.length("_piece")), F.array().cast("array<int>"))).scalar()
+    size = F.length(text)
+    cut = (texts.select(text).distinct().select(text, F.explode(lengths).alias("_n"))
+           .where(F.col("_n") <= size)
+           .select(text, "_n", F.explode(F.sequence(F.lit(1), size - F.col("_n") + 1)).alias("_at"))
+           .select(text, F.substr(text, "_at", "_n").alias("_piece")).distinct())
+    return (cut.join(known, "_piece").groupBy(F.xxhash64(text).alias("_hash"), text)
+            .agg(F.collect_set("list").alias("lists")).drop("_hash"))
+
+
+def route_orders_by_rules(items: DataFrame, sent: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``route_orders`` with the city patterns as a table (list = regional or interior,
+    pattern). Distinct cities are matched, and each order looks its city up."""
+    heads = order_heads(items, "city_uf", "document").withColumn(
+        "city", F.coalesce(upper_trim_city(F.col("city_uf")), F.lit("")))
+    hits = pattern_hits(heads, patterns)
+    found = heads.join(hits, "city", "left")
+    on = lambda name: F.coalesce(F.array_contains("lists", F.lit(name)), F.lit(False))
+    route = _route(F.col("city"), F.col("document"), on("regional"), on("interior"))
+    return not_sent(found.select("order_no", route.alias("route")), sent)
+
+
 def any_eligible(items: DataFrame, sent: DataFrame,
                  regional: Sequence[str], interior: Sequence[str]) -> DataFrame:
     """One row: is there any unsent order with a route?"""

@@ -379,6 +379,9 @@ SQL = {
  total from page_rows where n between 40 and 59""",
     "paginate_clamped": """select order_no, trade_name, ((total + 19) // 20)::bigint page, ((total + 19) // 20)::bigint pages,
  ((total - 1) // 20 * 20 + 1)::bigint first, total::bigint as last, total from page_rows where n >= (total - 1) // 20 * 20""",
+    "paginate_late": """select order_no, trade_name, page, pages, (20 * page - 19)::bigint first, least(20 * page, total)::bigint as last, total
+ from (select *, ((total + 19) // 20)::bigint pages, least(51, (total + 19) // 20)::bigint page from page_rows)
+ where n // 20 + 1 = page""",
     "exists_limit_1": """select distinct branch, day, (branch, day) in (select (branch, greeted_day) from led where greeted_day is not null) greeted from ev""",
     "union_by_name": """select order_no, codcli, null::varchar city_uf from hdr where branch = 'north'
  union all select order_no, null, city_uf from hdr where branch = 'south'""",
@@ -490,6 +493,14 @@ union all select branch, case seq when 0 then '__saudacao__' else codcli end, da
 }
 
 
+#: Queries that give the rows of another one by other means.
+SAME_AS = {
+    "insert_ignore_bucketed": "insert_ignore_items", "reconcile_bucketed": "reconcile_snapshot",
+    "route_orders_rules": "route_orders", "search_orders_indexed": "search_orders",
+    "paginate_stored": "paginate", "stream_order_stats_changes": "stream_order_stats",
+}
+
+
 def _needed(sql: str, found: list[str]) -> list[str]:
     for name, body in BASE.items():
         if name not in found and re.search(rf"\b(?:from|join)\s+{name}\b", sql):
@@ -509,4 +520,5 @@ def statement(sql: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    return {name: statement(sql) for name, sql in SQL.items()}
+    own = {name: statement(sql) for name, sql in SQL.items()}
+    return own | {name: own[other] for name, other in SAME_AS.items()}

@@ -3,6 +3,7 @@
 Results are flat; money is bigint cents, times are text, so that they compare exactly.
 """
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,14 +11,14 @@ from pyspark.sql import functions as F
 
 from orderloom import rules
 from orderloom.functions import clock, display, extract, money, text
-from orderloom.operators import (capture, credit, dashboard, erp, ledger, outbox, picking,
-                                 registry, routing, shaping, state)
+from orderloom.operators import (bucketed, capture, credit, dashboard, erp, ledger, outbox, paging, picking,
+                                 registry, routing, search, shaping, state)
 from orderloom.plans import bindings, jobs
 from orderloom.plans.bindings import Tables
 from orderloom.schemas import HEADER_FIELDS, ORDER_LABELS, REGISTRY_LABELS
 from orderloom.session import new_folder, settle
 from orderloom.sources import files, tables
-from orderloom.streaming import jobs as streams
+from orderloom.streaming import jobs as streams, views
 
 REGISTERED: dict[str, Callable[[Tables], DataFrame]] = {}
 
@@ -701,6 +702,29 @@ def paginate_clamped(t):
     return page.select("order_no", "trade_name", "page", "pages", "first", "last", "total")
 
 
+@query
+def paginate_late(t):
+    """A page behind the early ones: every row gets its place."""
+    page = dashboard.paginate(dashboard.order_list(t.items), dashboard.EARLY_PAGES + 1)
+    return page.select("order_no", "trade_name", "page", "pages", "first", "last", "total")
+
+
+@query
+def paginate_stored(t):
+    folder = new_folder(t.spark, "pages")
+    heads = dashboard.order_list(t.items).select("order_no", "trade_name")
+    paging.write_ranges(heads, folder)
+    return paging.page_of(t.spark, folder, heads.schema, 3)
+
+
+@query
+def search_orders_indexed(t):
+    folder, heads = new_folder(t.spark, "search"), settle(dashboard.order_list(t.items), "heads")
+    search.write_index(heads, folder)
+    return search.search_indexed(heads, folder, " CPF ", "north").select(
+        "order_no", "document", "branch")
+
+
 @query
 def exists_limit_1(t):
     days = t.credit_events.select("branch", F.to_date("ts").alias("day")).distinct()
@@ -940,6 +964,25 @@ def reconcile_snapshot(t):
     return new.select("branch", "order_no", "sku", "price", "quantity")
 
 
+def _bucketed(t: Tables) -> DataFrame:
+    return bucketed.store(t.stored_items, f"items_{uuid.uuid4().hex}")
+
+
+@query
+def reconcile_bucketed(t):
+    batch = t.order_items.where("o_orderstatus = 'P'").drop("o_orderkey", "o_orderstatus")
+    new = bucketed.reconcile_rows(_bucketed(t), t.listing, batch, t.captured, f"items_{uuid.uuid4().hex}")
+    return new.select("branch", "order_no", "sku", "price", "quantity")
+
+
+@query
+def insert_ignore_bucketed(t):
+    """The stored items, and the batch's rows that they do not hold."""
+    stored = _bucketed(t)
+    new = stored.drop("_slot").unionByName(bucketed.fresh_items(stored, incoming(t)), allowMissingColumns=True)
+    return new.select("branch", "order_no", "sku", "price", "quantity", "trade_name", "phone_2")
+
+
 @query
 def reconcile_pages(t):
     new = jobs.reconcile(t.stored_items.drop("ord"), t.listing, t.details, t.captured)
@@ -974,6 +1017,12 @@ def route_orders_default_cities(t):
     return routing.route_orders(t.items, t.queue, rules.REGIONAL_CITIES, rules.INTERIOR_CITIES)
 
 
+@query
+def route_orders_rules(t):
+    patterns = [("regional", p) for p in bindings.REGIONAL] + [("interior", p) for p in bindings.INTERIOR]
+    return routing.route_orders_by_rules(t.items, t.queue, t.rules(patterns, "list string, pattern string"))
+
+
 def _credit_messages(t: Tables) -> DataFrame:
     return credit.credit_outbox(_gap(t), contacts(t), t.credit_ledger, t.as_of)
 
@@ -1108,6 +1157,21 @@ def stream_snapshot_reconcile(t):
     return latest.select("branch", "order_no", "sku", "price", "quantity")
 
 
+@query
+def stream_order_stats_changes(t):
+    """Totals kept by deltas: orders come with other values, go, and come as they are."""
+    out = new_folder(t.spark, "order-totals")
+    after = t.headers.select("order_no", "branch", "collected_at",
+                             money.parse_money_us(F.col("order_total")).alias("value"))
+    third = F.pmod(F.xxhash64("order_no"), F.lit(3)) == 0
+    before = after.where(~third).unionByName(after.where(third).withColumns({
+        "value": F.col("value") + 1, "collected_at": F.col("collected_at") + F.expr("interval 1 year")}))
+    first = before.withColumn("change", F.lit(1).cast("bigint"))
+    _in_turn(t, "changes-in", views.totals_batches(out), first.where("branch = 'north'"),
+             first.where("branch <> 'north'"), views.signed_changes(before, after).select(*first.columns))
+    return views.totals(t.spark, out).select("branch", "orders", cents("value"), stamp("last_update"))
+
+
 @query
 def stream_order_stats(t):
     out = new_folder(t.spark, "order-stats")
