@@ -1,9 +1,10 @@
 """CSV and JSON files. Schemas are given, never inferred."""
 
+import csv
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.schemas import LEDGER_JSON, ORDER_LABELS, REGISTRY_LABELS, text_schema
@@ -39,20 +40,19 @@ def _by_header(spark: SparkSession, path: str, key: str, labels: list[str],
                options: dict) -> DataFrame:
     """Files under a path by the names in their first lines. A file whose first line has no
     column ``key`` is an error, not silently left out."""
-    headers = sorted(_first_lines(spark, path, options).items())
-    by_header: dict[str, list[str]] = {}
-    for file, line in headers:
-        if key not in line.split(","):
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, line in sorted(_first_lines(spark, path, options).items()):
+        names = tuple(next(csv.reader([line]), ()))
+        if key not in names:
             raise ValueError(f"no column {key} in the first line of {file}")
-        by_header.setdefault(line, []).append(unquote(file))
+        by_header.setdefault(names, []).append(unquote(file))
     if not by_header:
         return spark.createDataFrame([], text_schema(labels))
-    return union_all([_csv(spark, files, line.split(","))
-                      for line, files in sorted(by_header.items())])
+    return union_all([_csv(spark, files, list(names)) for names, files in sorted(by_header.items())])
 
 
 def _first_lines(spark: SparkSession, path: str, options: dict) -> dict[str, str]:
-    """First line of each file, without byte-order mark and quotes.
+    """First line of each file, without a byte-order mark.
 
     Only the split that holds a file's beginning is looked at, and of it the first row; the
     driver gets one short row per file, no more than the file list Spark itself keeps.
@@ -61,7 +61,7 @@ def _first_lines(spark: SparkSession, path: str, options: dict) -> dict[str, str
              .select("value", F.col("_metadata.file_path").alias("path"),
                      F.monotonically_increasing_id().alias("row"))
              .where("_metadata.file_block_start = 0"))
-    bare = F.regexp_replace(F.min_by("value", "row"), '^\ufeff|"|\\r$', "")
+    bare = F.regexp_replace(F.min_by("value", "row"), "^\ufeff|\\r$", "")
     return {r.path: r.line for r in lines.groupBy("path").agg(bare.alias("line")).collect()}
 
 
@@ -82,36 +82,76 @@ def _too_long(line: Column, width: int) -> Column:
     return F.coalesce(F.size(F.split(bare, ",")) > width, F.lit(False))
 
 
-# A quoted JSON text.
-JSON_TEXT = r'("(?:[^"\\]|\\.)*")'
+# What may stand between the texts of JSON arrays, without white space: in the middle, before the
+# first and behind the last text of a file, and in a file without texts.
+BETWEEN, BEFORE, BEHIND, NO_TEXT = (
+    rf"^(?:{p})$" for p in (r",|\](?:\[\])*\[", r"(?:\[\])*\[", r"\](?:\[\])*", r"(?:\[\])+"))
+
+
+def _quoted(spark: SparkSession, path: str) -> DataFrame:
+    """The pieces of files between quotes: (path, place, value, number, inside).
+
+    Files are cut at quotes, so a single line of any length is read by many tasks. A quote is a
+    character of a text if a backslash that counts stands before it; ``number`` is the number of
+    true quotes before a piece, odd inside texts. It is summed up in each split and over the splits
+    of a file (one row each).
+    """
+    pieces = (spark.read.option("lineSep", '"').text(path)
+              .select("value", F.col("_metadata.file_path").alias("path"),
+                      F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("row"))
+              .withColumn("true", F.length(F.regexp_extract("value", r"(\\*)$", 1)) % 2 == 0))
+    split, before = Window.partitionBy("path", "block").orderBy("row"), (Window.unboundedPreceding, -1)
+    file = Window.partitionBy("path").orderBy("block")
+    quotes = F.coalesce(F.sum(F.col("true").cast("long")).over(split.rowsBetween(*before)), F.lit(0))
+    sums = (pieces.groupBy("path", "block").agg(F.sum(F.col("true").cast("long")).alias("n"))
+            .select("path", "block", F.coalesce(F.sum("n").over(file.rowsBetween(*before)), F.lit(0))
+                    .alias("before")))
+    number = F.col("here") + F.col("before")
+    return (pieces.withColumn("here", quotes).join(sums, ["path", "block"])
+            .select("path", F.struct("block", "row").alias("place"), "value", number.alias("number"),
+                    (number % 2 == 1).alias("inside")))
+
+
+def _sound(pieces: DataFrame) -> DataFrame:
+    """One row: are all files arrays of texts, with nothing but commas and brackets between?"""
+    between = F.when(~F.col("inside"), F.regexp_replace("value", r"[ \t\n\r]+", ""))
+    files = pieces.withColumn("between", between).groupBy("path").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("between").rlike(BETWEEN)).alias("ends"),
+        F.count_if(F.col("inside") & F.col("value").rlike(r"[\x00-\x1F]")).alias("broken"),
+        F.min_by("between", "place").alias("first"), F.max_by("between", "place").alias("last"))
+    sound = F.when(F.col("n") == 1, F.col("first").rlike(NO_TEXT)).otherwise(
+        (F.col("ends") == 2) & F.col("first").rlike(BEFORE) & F.col("last").rlike(BEHIND))
+    whole = F.coalesce(sound, F.lit(False)) & (F.col("broken") == 0)
+    return files.agg(F.coalesce(F.bool_and(whole), F.lit(False)).alias("sound"))
 
 
 def sent_registry(spark: SparkSession, path: str, on_corrupt: str = "empty") -> DataFrame:
-    """Order numbers of a JSON array file (or of lines of arrays), as distinct rows.
+    """Order numbers of JSON array files (a file may hold several arrays), as distinct rows.
 
-    A JSON text never holds a line break, so lines are read by many tasks, and within a line
-    texts are told from the rest by their quotes; a comma in a text is part of it.
-    Anything but texts, commas and brackets makes the file corrupt: no rows then, or an
-    error with ``on_corrupt="fail"``. A missing file gives no rows.
+    Files are read by many tasks, however their lines are cut; a comma, bracket or escaped
+    quote in a text is part of it. Texts and commas must alternate between brackets. Anything else
+    makes the set corrupt: no rows then, or an error with ``on_corrupt="fail"``. A missing file
+    gives no rows.
     """
-    empty = spark.createDataFrame([], text_schema(["order_no"]))
     try:
-        lines = spark.read.text(path)
+        pieces = _quoted(spark, path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty
-    rest = F.regexp_replace("value", JSON_TEXT, "")
-    opened, closed = (F.coalesce(F.sum(F.regexp_count(rest, F.lit(b))), F.lit(0))
-                      for b in (r"\[", r"\]"))
-    clean = F.coalesce(F.bool_and(rest.rlike(r"^[\s,\[\]]*$")), F.lit(False))
-    sound = lines.agg((clean & (opened == closed) & (opened > 0)).alias("sound"))
+        return spark.createDataFrame([], text_schema(["order_no"]))
+    # The pieces of a text are those with its number of quotes before them; most have one.
+    texts = (pieces.where("inside").groupBy("path", "number")
+             .agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("pieces"))
+             .select(F.array_join("pieces.value", '"').alias("text")))
+    value = F.get(F.from_json(F.concat(F.lit('["'), "text", F.lit('"]')), "array<string>"), F.lit(0))
+    numbers = texts.select(value.alias("order_no"))
+    # A text that is none (an unknown escape) is null here.
+    read = numbers.agg(F.coalesce(F.bool_and(F.col("order_no").isNotNull()), F.lit(True)).alias("sound"))
+    sound = _sound(pieces).union(read).agg(F.bool_and("sound").alias("sound"))
     if on_corrupt == "fail" and not sound.first()[0]:
         raise ValueError(f"not a JSON array of texts: {path}")
-    texts = lines.where(sound.scalar()).select(
-        F.explode(F.regexp_extract_all("value", F.lit(JSON_TEXT), F.lit(1))).alias("text"))
-    value = F.get(F.from_json(F.concat(F.lit("["), "text", F.lit("]")), "array<string>"), F.lit(0))
-    return texts.select(value.alias("order_no")).distinct()
+    return numbers.where(sound.scalar()).distinct()
 
 
 def company_json(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.money import MONEY
+from orderloom.session import settle
 
 
 def all_items(items: DataFrame, order: str = "ord") -> DataFrame:
@@ -53,8 +54,9 @@ def multi_source_union(sources: Mapping[str, DataFrame | Callable[[], DataFrame]
     """The same scan over several sources, each row tagged with its source.
 
     ``None`` marks a source that is not configured and is left out. A source that
-    cannot be opened (no such table, no connection) fails the query, unless ``skip_failed``
-    leaves it out as well.
+    cannot be opened (no such table, no connection) or whose query fails while it runs fails
+    all, unless ``skip_failed`` leaves it out as well; each source is then read once, into
+    the shared folder, before the rest goes on.
     """
     frames = []
     for name, source in sources.items():
@@ -62,6 +64,8 @@ def multi_source_union(sources: Mapping[str, DataFrame | Callable[[], DataFrame]
             continue
         try:
             df = source() if callable(source) else source
+            if skip_failed:
+                df = settle(df, "source")
         except (PySparkException, Py4JError, OSError):
             if not skip_failed:
                 raise

@@ -57,6 +57,10 @@ def test_a_label_as_a_value_is_no_header(spark, tmp_path):
     ('[\n  "1",\n  "2"\n]', ["1", "2"]),
     ('["a\\"b"]', ['a"b']), ('["a,b", "c"]', ["a,b", "c"]), ('["[x]", ","]', [",", "[x]"]),
     ('["x"]\n["y","z"]\n', ["x", "y", "z"]),
+    ('["a\\\\"]', ["a\\"]), ('["\\"", "\\\\\\"x", "\\u00e9"]', ['"', '\\"x', "é"]), ('[""]', [""]),
+    ('[] ["x"]', ["x"]), ('[]\n[]', []), ('["a" "b"]', []), ('["a",,"b"]', []), ('["a",]', []), ('[,"a"]', []),
+    ('"a"', []), ('["a"],["b"]', []), ('[["a"]]', []), ('["a', []), ('["a"]]', []), ('["a\nb"]', []),
+    ('["a\\x"]', []), ('["a"] x', []), ('{"a"}', []), (" ", []), ('["a"]["b"', []),
     ("[]", []), ("", []), ('["1", 2]', []), ('["1", "2"', []), ("{}", []),
 ])
 def test_sent_registry(spark, tmp_path, content, expected):
@@ -65,6 +69,36 @@ def test_sent_registry(spark, tmp_path, content, expected):
     assert sorted(r[0] for r in files.sent_registry(spark, str(path)).collect()) == expected
 
 
+def test_one_long_line_is_read_by_several_tasks(spark, tmp_path):
+    want = [f'{i},"]\\{"x" * (i % 9)}' for i in range(3000)]
+    (tmp_path / "sent.json").write_text(json.dumps(want))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        pieces = files._quoted(spark, str(tmp_path / "sent.json"))
+        assert pieces.select("place.block").distinct().count() > 10
+        got = files.sent_registry(spark, str(tmp_path), on_corrupt="fail")
+        assert sorted(r[0] for r in got.collect()) == sorted(want)
+        (tmp_path / "sent.json").write_text(json.dumps(want)[:-1])
+        assert files.sent_registry(spark, str(tmp_path)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_header_names_with_commas_and_quotes(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('"Razao, Social",CNPJ,"No""me"\n"Acme, Ltda",123,Acme\n')
+    got = files.registry_csv(spark, str(tmp_path))
+    assert rows(got.select("Razao, Social", "CNPJ", 'No"me')) == [("Acme, Ltda", "123", "Acme")]
+
+
+def test_a_source_whose_query_fails_is_left_out(spark):
+    one = spark.createDataFrame([("1",)], "codcli string")
+    failing = one.select(F.raise_error(F.lit("no such view")).cast("string").alias("codcli"))
+    with pytest.raises(Exception, match="no such view"):
+        tables.multi_source_union({"n": one, "x": failing}).collect()
+    assert rows(tables.multi_source_union({"n": one, "x": failing}, skip_failed=True)) == [("1", "n")]
+
+
 def test_missing_and_corrupt_sent_registry(spark, tmp_path):
     assert files.sent_registry(spark, str(tmp_path / "none.json")).count() == 0
     bad = tmp_path / "bad.json"
