@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.clock import time_text
@@ -166,7 +166,16 @@ def dashboard_view(items: DataFrame, query: str = "", branch: str = "", page: in
 
 
 def run_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Rows per stage, one aggregate each, none of them on the driver."""
-    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("stage"), "rows")
-              for name, df in stages.items()]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    """Rows per stage, observed while one job runs through all of them.
+
+    Stages that share their input should read it from one settled table; then nothing is computed
+    again to be counted. A stage is observed where its last task runs, whose metrics count
+    once however often the task is repeated.
+    """
+    spark = next(iter(stages.values())).sparkSession
+    seen = {name: Observation() for name in stages}
+    rows = [df.select(F.lit(1).alias("row")).observe(seen[name], F.count(F.lit(1)).alias("rows"))
+            for name, df in stages.items()]
+    reduce(lambda a, b: a.unionByName(b), rows).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(name, o.get["rows"]) for name, o in seen.items()],
+                                 "stage string, rows long")

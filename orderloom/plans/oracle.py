@@ -340,6 +340,9 @@ SQL = {
  select order_no, 'item', l_linenumber::bigint, {', '.join('null' for _ in HEADER.split(', '))}, sku, price, quantity from oi""",
     "orders_grouped_flat": """select order_no, l_linenumber::bigint line_no, sku, product_name, price, quantity, quantity quantity_prepared,
  trade_name, document, order_total from oi""",
+    "order_documents": f"""select order_no, arg_min_null(trade_name, p) trade_name, arg_min(order_total, p) order_total, count(*) items,
+ arg_min_null(sku, p) first_sku, arg_max_null(price, p) last_price
+ from (select *, row_number() over (order by {ORD}) p from oi) group by order_no""",
     "credit_gap": "select * from gap",
     "credit_gap_all_orders": """select codcli, sum(total_cents)::bigint total_cents, arg_min(payment, order_no) payment, branch
  from gap_rows group by branch, codcli

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from orderloom import rules
 from orderloom.functions import clock, display, extract, money, text
-from orderloom.operators import (bucketed, capture, credit, dashboard, erp, ledger, outbox, paging, picking,
-                                 registry, routing, search, shaping, state)
+from orderloom.operators import (bucketed, capture, credit, dashboard, documents, erp, ledger, outbox,
+                                 paging, picking, registry, routing, search, shaping, state)
 from orderloom.plans import bindings, jobs
 from orderloom.plans.bindings import Tables
 from orderloom.schemas import HEADER_FIELDS, ORDER_LABELS, REGISTRY_LABELS
@@ -555,6 +555,17 @@ def orders_grouped_flat(t):
         "trade_name", "document", "order_total")
 
 
+@query
+def order_documents(t):
+    folder = new_folder(t.spark, "documents")
+    documents.write_documents(t.items, folder)
+    order, items = F.col("order"), F.col("order")[documents.ITEMS_KEY]
+    return documents.read_documents(t.spark, folder).select(
+        order["Numero Pedido"].alias("order_no"), order["Nome Comercial"].alias("trade_name"),
+        order["Total Pedido"].alias("order_total"), big(F.size(items), "items"),
+        items[0]["SKU"].alias("first_sku"), F.element_at(items, -1)["Preco"].alias("last_price"))
+
+
 def _gap(t: Tables, **options) -> DataFrame:
     return credit.credit_gap(t.items, t.erp_clients, t.erp_receivables, centers(t),
                              credit_sources(t), payments=rules.PAYMENT_CODES, **options)
@@ -638,10 +649,11 @@ def order_message_lines(t):
 
 @query
 def run_counts(t):
+    items = settle(t.items.select("order_no", "account_id"), "run")
     return dashboard.run_counts({
-        "items": t.items, "orders": t.items.select("order_no").distinct(),
-        "companies": registry.order_companies(t.items),
-        "unknown companies": registry.unknown_companies(t.items, t.registry),
+        "items": items, "orders": items.select("order_no").distinct(),
+        "companies": registry.order_companies(items),
+        "unknown companies": registry.unknown_companies(items, t.registry),
         "company problems": registry.company_problems(t.registry),
         "queue": t.queue})
 
