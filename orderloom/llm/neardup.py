@@ -1,8 +1,9 @@
 """Near-duplicate documents: DartMinHash signatures, banded joining, exact check, components.
 
 A text is the weighted set of its shingles (``SHINGLE`` words; a shorter text with any word is
-one shingle). Each has weight 1, or with ``counted`` as many as it occurs; the default keeps
-texts apart that share little but one line repeated many times. Darts of a fixed random process are thrown
+one shingle). A shingle that occurs n times has weight 1 + floor(log2(n)) (``counted="log"``), so
+repeats count, but texts that share little but one line repeated many times stay apart; ``True`` takes
+n itself and ``False`` sets. Darts of a fixed random process are thrown
 at the area (shingle x weight x rank); those that land within a text's weights are kept in
 order of rank and each of ``COORDINATES`` coordinates keeps its earliest dart. Two texts
 agree in a coordinate with probability equal to their weighted Jaccard similarity, and the
@@ -49,13 +50,14 @@ SKETCH_BITS = 97
 LONG_SKETCH, SHORTFALL = 1024, 4.2
 LONGS = [f"long{i}" for i in range(LONG_SKETCH // 64)]
 UNIT = 2.0 ** -53
+Counted = bool | str
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> U64(11)).astype(np.float64) + 0.5) * UNIT
 
 
-def weighted_shingles(h: np.ndarray, ends: np.ndarray, counted: bool, n: int = SHINGLE):
+def weighted_shingles(h: np.ndarray, ends: np.ndarray, counted: Counted, n: int = SHINGLE):
     """(owner, shingle, weight) of each text's distinct shingles, ordered by both."""
     sizes = np.diff(ends)
     grams = mix(gram_hashes(h, n))
@@ -71,6 +73,8 @@ def weighted_shingles(h: np.ndarray, ends: np.ndarray, counted: bool, n: int = S
     owner, ids = owner[order], ids[order]
     first = np.flatnonzero(np.r_[True, (np.diff(owner) != 0) | (ids[1:] != ids[:-1])][:len(ids)])
     weight = np.diff(np.r_[first, len(ids)]) if counted else np.ones(len(first), np.int64)
+    if counted == "log":
+        weight = np.frexp(weight)[1].astype(np.int64)  # the number of binary digits
     return owner[first], ids[first], weight
 
 
@@ -133,7 +137,7 @@ def _earliest(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int, k
     return out.reshape(n, k)
 
 
-def _signature_rows(counted: bool):
+def _signature_rows(counted: Counted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             words = words_of(part)
@@ -166,7 +170,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.unhex(F.md5(text.cast("binary"))).alias("key"))
 
 
-def signatures(keyed: DataFrame, counted: bool = False) -> DataFrame:
+def signatures(keyed: DataFrame, counted: Counted = "log") -> DataFrame:
     """One row per distinct text with a word: key, bands, sketch0, sketch1."""
     found = keyed.select("key", "text").mapInArrow(
         _signature_rows(counted), "key binary, bands array<long>, sketch0 long, sketch1 long")
@@ -245,7 +249,7 @@ def class_pairs(mixed: DataFrame, sizes: DataFrame, tested: DataFrame, least: fl
             .join(tested, ["a", "b"], "left_anti"))
 
 
-def _set_rows(counted: bool, sketched: bool):
+def _set_rows(counted: Counted, sketched: bool):
     """Packed shingles of each text (ids ascending, then weights), and its long sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -309,7 +313,7 @@ def texts_of_keys(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return first_rows(found, ["key"], ["doc_id"]).select("key", "text")
 
 
-def shingle_sets(keyed: DataFrame, wanted: DataFrame, counted: bool, sketched: bool) -> DataFrame:
+def shingle_sets(keyed: DataFrame, wanted: DataFrame, counted: Counted, sketched: bool) -> DataFrame:
     longs = "".join(f", {c} long" for c in LONGS) if sketched else ""
     return texts_of_keys(keyed, wanted).mapInArrow(
         _set_rows(counted, sketched), f"key binary, shingles binary{longs}")
@@ -350,7 +354,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def links_and_classes(docs: DataFrame, least: float = SIMILARITY,
-                      counted: bool = False) -> tuple[DataFrame, DataFrame]:
+                      counted: Counted = "log") -> tuple[DataFrame, DataFrame]:
     """Checked links between distinct texts (a, b), and (key, class) for linked texts."""
     scratch = Scratch(docs.select("doc_id"), "neardup")
     keyed = _keyed(docs)
@@ -378,7 +382,7 @@ def links_and_classes(docs: DataFrame, least: float = SIMILARITY,
     return links, classes if second.isEmpty() else components(links, scratch, "classes")
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, counted: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, counted: Counted = "log") -> DataFrame:
     """doc_id, class_id, links, keep for every row; keep marks the class's least doc_id
     (on each of its rows, if that id repeats) and every text without words."""
     links, classes = links_and_classes(docs, least, counted)
@@ -398,7 +402,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, counted: bool =
         "links", (F.col("blank") | F.col("doc_id").eqNullSafe(F.col("first"))).alias("keep"))
 
 
-def one_of_each(docs: DataFrame, least: float = SIMILARITY, counted: bool = False) -> DataFrame:
+def one_of_each(docs: DataFrame, least: float = SIMILARITY, counted: Counted = "log") -> DataFrame:
     """The documents with one row of each class, all columns as they were."""
     _, classes = links_and_classes(docs, least, counted)
     text = F.coalesce(F.col("text"), F.lit(""))

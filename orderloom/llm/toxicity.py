@@ -105,7 +105,8 @@ def _features(groups):
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 3000, features: int = 2048,
         groups=IDENTITY_GROUPS, sparsity: float = 1e-4, fairness: float = 1.0,
         rounds: int = 400, seed: int = 7) -> Model:
-    """Learn the weights from at most ``fit_rows`` labelled documents of each class."""
+    """Learn the weights from at most ``fit_rows`` labelled documents of each class, and of at most
+    ``features`` features, those that differ most between the classes."""
     sample, total = _sample(labels, fit_rows, seed)
     if not total.get(1) or not total.get(0):
         return Model({}, math.inf if total.get(1) else -math.inf)

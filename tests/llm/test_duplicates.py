@@ -23,6 +23,8 @@ def shingles(text):
 def similarity(x, y, counted):
     if not counted:
         x, y = Counter(set(x)), Counter(set(y))
+    if counted == "log":
+        x, y = (Counter({k: n.bit_length() for k, n in z.items()}) for z in (x, y))
     both = sum((x & y).values())
     return both / (sum(x.values()) + sum(y.values()) - both)
 
@@ -48,7 +50,7 @@ def plain_classes(rows, counted=False):
     return sorted(((d, least[root(i)] if bags[i] else d) for i, (d, _) in enumerate(rows)), key=repr)
 
 
-@pytest.mark.parametrize("counted", [False, True])
+@pytest.mark.parametrize("counted", [False, True, "log"])
 def test_classes_of_odd_rows(docs, counted):
     got = neardup.near_duplicates(docs, counted=counted)
     assert plain(got.select("doc_id", "class_id")) == plain_classes(
@@ -58,7 +60,7 @@ def test_classes_of_odd_rows(docs, counted):
 def test_a_common_repeated_line_makes_no_near_duplicates(spark):
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)) + " same old line." * 200) for i in range(6)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
-    for counted, classes in ((False, 6), (True, 1)):
+    for counted, classes in ((False, 6), (True, 1), ("log", 6)):
         got = neardup.near_duplicates(table, counted=counted)
         assert got.select("class_id").distinct().count() == classes
 
