@@ -13,8 +13,8 @@ within their length class in two levels (class and slice of a hash, then slices
 no class is sorted in one task, and find their sequence by binary search in the plan.
 
 Ids come from the tokenizer library, once per distinct pre-token of a task: texts are cut into
-pre-tokens on their bytes, told apart by two hashes (equal only for equal words or equal
-128-bit digests), and only new ones are tokenized, all in one call. Texts with special strings or characters outside the Latin letters go to the
+pre-tokens on their bytes, told apart by two numbers (equal only for equal words or,
+if long, equal 128-bit digests), and only new ones are tokenized, all in one call. Texts with special strings or characters outside the Latin letters go to the
 library whole.
 
 Defined results: a null or empty text is one piece with the closing id alone; repeated rows are
@@ -31,7 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import U64, Scratch, Words, column, kept, slices, texts_of, word_hash_pairs
+from orderloom.llm.common import (U64, Scratch, Words, column, kept, mix, slices, texts_of,
+                                  word_hash_pairs)
 
 WINDOW = 2048
 STEP = 8
@@ -80,6 +81,28 @@ def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (end - size), size) + np.arange(end[-1] if len(end) else 0)
 
 
+#: Which bits of the first and the second eight bytes belong to a word of 0 to 15 bytes.
+_BITS = np.array([[(1 << 8 * min(8, n)) - 1, (1 << 8 * max(0, n - 8)) - 1] for n in range(16)], U64)
+
+
+def exact_pairs(words: Words) -> np.ndarray:
+    """Two numbers (n, 2) of each word that agree in both only for equal words of up to 15 bytes:
+    the bytes and their number, spread by rounds that can be undone; longer words have the halves
+    of a digest."""
+    size = words.last - words.first
+    short = size < 16
+    out = np.empty((len(size), 2), U64)
+    bytes_ = np.lib.stride_tricks.sliding_window_view(np.r_[words.data, np.zeros(16, np.uint8)], 16)
+    lanes = np.ascontiguousarray(bytes_[words.first[short]]).view("<u8") & _BITS[size[short]]
+    right = lanes[:, 1] | size[short].astype(U64) << U64(56)
+    left = lanes[:, 0] ^ mix(right)
+    right = right ^ mix(left + U64(1))
+    out[short] = np.stack([left ^ mix(right + U64(2)), right], 1)
+    if not short.all():
+        out[~short] = word_hash_pairs(words._replace(first=words.first[~short], last=words.last[~short]))
+    return out
+
+
 class Ids:
     """Token ids of texts; ``most`` pre-tokens are remembered."""
 
@@ -160,7 +183,7 @@ class Ids:
         raw = [t.lower().encode() for t in texts]
         words = pre_tokens(np.frombuffer(b"".join(raw), np.uint8),
                            np.cumsum([0, *map(len, raw)]))
-        pairs = word_hash_pairs(words)
+        pairs = exact_pairs(words)
         hashes, at, back = np.unique(pairs[:, 0], return_index=True, return_inverse=True)
         self._learn(words, hashes, pairs[at, 1], at)
         own = np.searchsorted(self.known, hashes)

@@ -59,6 +59,9 @@ def test_hashes_of_short_words_are_their_own():
     words = {bytes(rng.integers(33, 127, rng.integers(1, 12)).astype(np.uint8)).decode()
              for _ in range(20_000)} | {"a", "a\0", "\0a", "é", "\0", "\0\0", "aaaaaaa", "aaaaaaaa"}
     words = sorted(words)
+    own = packing.exact_pairs(words_of(pa.record_batch([pa.array([" ".join([*words, "x" * 15, "x" * 16,
+                                                                             "x" * 17])])], ["text"])))
+    assert len(np.unique(own, axis=0)) == len(own) == len(words) + 3
     found = pairs([" ".join(words)])
     assert len(found) == len(words)
     assert len(np.unique(found[:, 0])) == len(np.unique(found[:, 1])) == len(words)
@@ -68,8 +71,8 @@ def test_hashes_of_short_words_are_their_own():
 def test_changed_hash_of_a_known_pre_token_goes_to_the_library(monkeypatch):
     ids, library = packing.Ids(CASELESS), Tokenizer.from_file(CASELESS)
     ids(["other words", "thing"])
-    real = packing.word_hash_pairs
-    monkeypatch.setattr(packing, "word_hash_pairs",
+    real = packing.exact_pairs
+    monkeypatch.setattr(packing, "exact_pairs",
                         lambda w: np.stack([np.full(len(w.first), real(w)[0, 0]), real(w)[:, 1]], 1))
     texts = ["apple pear", "pear", "apple"]
     want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
