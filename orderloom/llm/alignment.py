@@ -9,10 +9,10 @@ messages of B. These are coarse where a token holds a part of a character (A giv
 the whole character, B gives all but the last of its byte pieces nothing); there the decoded
 bytes of the tokens tell the ends.
 
-Neither tokenizer has a token across a space that follows a character which is no white space
-(looked up in the vocabulary of B; A's rule cuts there). Texts are cut at these spaces, each
-distinct part is encoded and aligned once per worker while it is remembered, and a text's
-groups are those of its parts. A text one of whose parts does not decode to itself is encoded whole.
+Neither tokenizer has a token across a space that follows a character which is no white space,
+nor across a letter and a mark such as a comma (looked up in the vocabulary of B; A's rule cuts
+there). Texts are cut at these places, each distinct part is encoded and aligned once per worker
+while it is remembered, and a text's groups are those of its parts. A text one of whose parts does not decode to itself is encoded whole.
 
 Parts of texts are read once. A task writes blocks of whole texts to the shared folder: each
 text's links as numbers of the distinct pairs of its block, and these pairs with their counts. The
@@ -43,10 +43,23 @@ BLOCK_LINKS = 1_000_000
 REMEMBERED, REMEMBERED_CHARS, IN_A_ROW = 200_000, 48, 2000
 B_BITS = 15
 
-#: A part of a text: up to a space that follows a character that is no white space.
-PART = re.compile(r"\s*\S*(?:[^\S ]\s*\S*)*")
+#: Marks that A cuts off a letter before them, as its rule says; B does where no piece has both.
+MARKS = ",.;:!?"
+LETTER = " a"
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+
+
+def part_pattern(marks: str) -> re.Pattern:
+    """Parts of a text: up to a space that follows a character that is no white space, or up to
+    a mark that follows a Latin letter. (Python's white space is a little more than the
+    tokenizers'; parts are only longer for it.)"""
+    if not marks:
+        return re.compile(r"\s*\S*(?:[^\S ]\s*\S*)*")
+    m = re.escape(marks)
+    body = rf"(?:[^\s{m}]+|(?<![{_LATIN}])[{m}])*"
+    return re.compile(rf"(?:\s+|[{m}]?){body}(?:[^\S ]\s*{body})*")
+
 
-#: Python's white space is a little more than the tokenizers'; parts are only longer for it.
 _SPACE_PIECE = "▁"
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
@@ -99,6 +112,8 @@ class Aligner:
         # Parts are encoded alone if no piece goes across a space behind another character.
         self.in_parts = (isinstance(self.a.pre_tokenizer, pre_tokenizers.ByteLevel)
                          and not any(_SPACE_PIECE in p.lstrip(_SPACE_PIECE) for p in pieces))
+        self.part = part_pattern("".join(m for m in MARKS if not any(
+            re.search(f"[{_LATIN}]{re.escape(m)}", p) for p in pieces)))
         self.lone_space = self.b.piece_to_id(_SPACE_PIECE)
         if len(self.a_bytes) > 1 << 17 or len(pieces) > 1 << B_BITS:
             raise ValueError("a pair of ids must fit into 32 bits")
@@ -128,8 +143,8 @@ class Aligner:
     def align(self, parts: list[str]) -> list[Found | None]:
         """What there is to know of each part; None if a side does not decode to it.
 
-        Parts are encoded in a row where that is the same: each begins with a space, and the one
-        before it does not end with white space.
+        Parts are encoded in a row where that is the same: each begins with a space (one that begins
+        with a mark gets a letter before it), and the one before it does not end with white space.
         """
         out: dict[int, Found | None] = {}
         in_row = [i for i, p in enumerate(parts) if not p[-1].isspace()]
@@ -137,7 +152,9 @@ class Aligner:
         todo = [in_row[i:i + IN_A_ROW] for i in range(0, len(in_row), IN_A_ROW)] + [[i] for i in alone]
         while todo:
             some = todo.pop()
-            found = self._aligned([parts[i] for i in some])
+            row = [x for i in some for x in ([LETTER, parts[i]] if parts[i][0] != " " else [parts[i]])]
+            found = self._aligned(row)
+            found = found and [f for f, p in zip(found, row, strict=True) if p is not LETTER]
             if found is None and len(some) > 1:  # find the part that does not decode
                 todo += [some[:len(some) // 2], some[len(some) // 2:]]
             else:
@@ -182,7 +199,7 @@ class Aligner:
 
     def texts(self, texts: list[str | None]) -> Iterator[Found]:
         """Links, digest of the groups and numbers of tokens of each text."""
-        cut = [PART.findall(" " + t)[:-1] if t and self.in_parts else [] for t in texts]
+        cut = [self.part.findall(" " + t)[:-1] if t and self.in_parts else [] for t in texts]
         wanted = {p for parts in cut for p in parts}
         memo, old = self._recent(wanted)
         new = [p for p in wanted if p not in memo]

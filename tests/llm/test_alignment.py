@@ -81,8 +81,8 @@ ODD = ["\u65e5\u672c\u8a9e \u4e2d\u6587\U0001f600x \U0001f9d1\u200d\U0001f680",
 
 def test_odd_texts_equal_the_plain_alignment(spark, libraries):
     rng = random.Random(8)
-    letters = [*"ab  \n\t.'1\u00e9\u4e2d\U0001f600\u2581\u00a0\x1c\r", "the", " ing", "  ", "<s>", "'s"]
-    texts = ODD + ["".join(rng.choices(letters, k=rng.randint(1, 30))) for _ in range(600)]
+    letters = [*"ab  \n\t.'1\u00e9\u4e2d\U0001f600\u2581\u00a0\x1c\r", "the", " ing", "  ", "<s>", "'s", *",;:!?", "a,", ".b", "\u0101!", "\u00d7."]
+    texts = ODD + ["".join(rng.choices(letters, k=rng.randint(1, 30))) for _ in range(1500)]
     rows = list(enumerate(texts))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert plain(alignment.alignment(docs, BYTES, PIECES)) == plain_alignment(libraries, rows)
