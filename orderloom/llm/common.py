@@ -179,7 +179,7 @@ def word_hash_pairs(words: Words) -> np.ndarray:
     bits = (8 * size[short]).astype(U64)
     packed = packed & ((U64(1) << bits) - U64(1)) | (bits << U64(53))
     out[short] = np.stack([mix(packed), mix(packed ^ U64(BASE))], 1)
-    data, memo = words.data.tobytes(), kept(("digests",), lambda: Memo(_digest_of, 100_000))
+    data, memo = words.data.tobytes(), kept(("digests",), lambda: Memo(_digest_of, 30_000))
     first, last = words.first[~short].tolist(), words.last[~short].tolist()
     found = b"".join([memo[data[a:b]] if b - a <= 40 else _digest_of(data[a:b])
                       for a, b in zip(first, last, strict=True)])

@@ -68,12 +68,14 @@ def _least(values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Spans:
-    """Digests of the words of spans of a batch, joined by one space."""
+    """Digests of the words of spans of a batch, joined by one space. (Without an argument, bytes are
+    split at just the white space that separates words.)"""
 
     def __init__(self, words: Words):
-        data, _ = joined_words(words, np.ones(len(words.first), bool), True)
-        size = words.last - words.first + 1
-        self.data, self.at = memoryview(data), np.cumsum(np.r_[0, size])
+        places = words.places.tolist()
+        texts = (words.data[a:b].tobytes().split() for a, b in zip(places[:-1], places[1:], strict=True))
+        self.data = memoryview(b"".join([b" ".join([*t, b""]) for t in texts if t]))
+        self.at = np.cumsum(np.r_[0, words.last - words.first + 1])
 
     def digests(self, first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
         """One row of ``size`` bytes as 64-bit numbers for each span of words."""
@@ -211,13 +213,12 @@ def kept_words(part: pa.RecordBatch, words) -> np.ndarray:
     return np.cumsum(change[:-1]) == 0
 
 
-def joined_words(words, kept: np.ndarray, spaced: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the kept words of each text joined by one space, and where each text begins;
-    ``spaced`` puts one behind a text's last word, too."""
+def joined_words(words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the kept words of each text joined by one space, and where each text begins."""
     first, last, owner = words.first[kept], words.last[kept], words.owners()[kept]
     size = last - first + 1  # with the space behind it
     final = np.r_[owner[1:] != owner[:-1], True][:len(owner)]
-    size = size - (final & (not spaced))
+    size = size - final
     at = np.cumsum(size) - size
     out = np.full(int(size.sum()), 0x20, np.uint8)
     length = last - first
