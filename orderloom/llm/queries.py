@@ -119,7 +119,9 @@ def op9_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(from_parquet(spark, sf_dir, "pages"))
 
 
-ORACLE["op9_urlfilter"] = r"""
+_any = lambda words: "|".join(words)
+
+ORACLE["op9_urlfilter"] = rf"""
 WITH p AS (
   SELECT page_id,
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
@@ -133,7 +135,8 @@ r AS (
     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
   FROM p)
 SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-  WHEN regexp_matches(host || path, '(?s)([.](exe|zip|iso)$)|/login|/cart/|/wp-admin/') THEN 'block'
+  WHEN regexp_matches(path, '(?s)(^/.*[.]({_any(urlfilter.ENDINGS)})$)|(/({_any(urlfilter.PARTS)})([/.]|$))')
+    OR regexp_matches(host || path, '^([^/]*[.])?({_any(urlfilter.LABELS)})[.]') THEN 'block'
   ELSE 'allow' END AS verdict
 FROM r
 """
