@@ -1,20 +1,23 @@
-"""License scan: template fingerprints pick stretches of text, a longest common subsequence checks them.
+"""License scan: template fingerprints pick stretches of text, a banded alignment checks them.
 
 Words are runs of letters and digits, ASCII case folded. Fingerprints are hashes of ``GRAM``
 consecutive words (fewer in short templates): all of a template, or of a long one the least of
 every ``WINNOW`` (winnowing). They make an inverted index that does not grow with the documents.
 All rolling hashes of a document are looked up in it. A hit marks the stretch that a match
 through it may take; in stretches that meet, the longest common subsequence of template and
-text gives the matched words, their share of the template, and where they lie. It is exact, not
-banded: words may be missing or foreign one by one or in runs. A match is no longer than
-twice its template (a third more for templates under ``WHOLE`` words).
+text gives the matched words, their share of the template, and where they lie. It is taken inside a band
+over all diagonals of the stretch's hits, with a margin of as many words as may be foreign or
+missing in a match: no pair of words of a match with a hit lies outside of it, so words may be missing or
+foreign one by one or in runs. A match is no longer than twice its template (a third more
+for templates under ``WHOLE`` words).
 
 Rows stay where they are, there is no shuffle, and whole texts are scanned.
 
 Defined results: null, empty and blank texts match nothing; a text that holds a notice twice has
 two rows; repeated documents have their rows each; of templates that match at one place the best
 is reported, so a paragraph of a whole text that was found has no row of its own. A one-line
-notice needs its name and version. Other columns are ignored.
+notice needs its name and version. ``published`` tells whether the template's words stand in a row in one
+of the published license files; all other templates are approximations. Other columns are ignored.
 """
 
 import math
@@ -24,10 +27,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from orderloom.llm.common import (column, gram_hashes, gram_valid, mix, slices, word_hashes, words_of)
-from orderloom.llm.notices import GENERIC, templates
+from orderloom.llm.notices import GENERIC, published, templates
 
 GRAM, WINNOW = 3, 3
 LEAST_COVERAGE = 0.8
@@ -37,6 +40,7 @@ LEAST_COVERAGE = 0.8
 SHORT, LONG, WHOLE, SEEDS = 10, 64, 24, 40
 
 TEMPLATES, _NOTICES = templates()
+PUBLISHED = published(TEMPLATES)
 
 
 def names_of(name: str, text: str) -> str:
@@ -145,8 +149,9 @@ def hits(idx: Index, h: np.ndarray, ends: np.ndarray):
 
 
 def regions(idx: Index, h: np.ndarray, ends: np.ndarray):
-    """(text, template, first, end) of the stretches of words that may hold a match: a match lies
-    inside the stretch around any of its hits, and stretches that meet are one."""
+    """(text, template, first, end, lowest, highest) of the stretches of words that may hold a match: a
+    match lies inside the stretch around any of its hits, and stretches that meet are one. The last two
+    are the diagonals (place in all words less place in the template) that a match may touch."""
     where, template, place = hits(idx, h, ends)
     size, need, longest = (np.array([getattr(t, n) for t in idx.templates], np.int64)
                            for n in ("size", "need", "longest"))
@@ -156,15 +161,23 @@ def regions(idx: Index, h: np.ndarray, ends: np.ndarray):
     low = where - place - (longest - need)[template]
     order = np.lexsort((where, low, template, text))
     where, template, text, low = where[order], template[order], text[order], low[order]
+    diagonal = where - place[order]
     high = low + (2 * longest - need + size - need)[template]
     new = np.ones(len(low), bool)
     new[1:] = (np.diff(text) != 0) | (np.diff(template) != 0) | (low[1:] > high[:-1])
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(new)][:len(first)] - 1
+    if len(first):
+        margin = (longest - need)[template[first]]
+        lowest = np.minimum.reduceat(diagonal, first) - margin
+        highest = np.maximum.reduceat(diagonal, first) + margin
+    else:
+        lowest = highest = first
     enough = last - first + 1 >= size[template[first]] // SEEDS
-    first, last = first[enough], last[enough]
+    first, last, lowest, highest = first[enough], last[enough], lowest[enough], highest[enough]
     text, template = text[first], template[first]
-    return (text, template, np.maximum(low[first], ends[text]), np.minimum(high[last], ends[text + 1]))
+    return (text, template, np.maximum(low[first], ends[text]), np.minimum(high[last], ends[text + 1]),
+            lowest, highest)
 
 
 def grow(masks: list, size: int, enough: int) -> tuple[int, int]:
@@ -210,17 +223,35 @@ def widest(t: Template, front: list, back: list, start: int, stop: int) -> tuple
     return found, end - size, end
 
 
-def matches(t: Template, words: list[int]) -> list[tuple[int, int, int]]:
-    """(matched words, first, end) of the matches of a template in a stretch of words.
+def banded(t: Template, words: list[int], lowest: int, highest: int) -> tuple[list, list]:
+    """For each word its places in the template, from the front and from the back, as far as they
+    lie between two diagonals; None where there is none."""
+    front, back = [], []
+    for j, w in enumerate(words):
+        bits, low, high = t.front.get(w), max(0, j - highest), min(t.size, j - lowest + 1)
+        if bits is None or low >= high:
+            bits = other = None
+        else:
+            other = t.back[w]
+            if low > 0 or high < t.size:
+                bits = bits & ((1 << high) - (1 << low)) or None
+                other = other & ((1 << (t.size - low)) - (1 << (t.size - high))) or None
+        front.append(bits)
+        back.append(other)
+    return front, back
+
+
+def matches(t: Template, words: list[int], lowest: int, highest: int) -> list[tuple[int, int, int]]:
+    """(matched words, first, end) of the matches of a template in a stretch of words, between
+    the lowest and the highest diagonal (place in the stretch less place in the template).
 
     A match holds at least ``need`` words of the template in order and is at most ``longest``
     words long, wherever words are missing or foreign. Matches are told apart by the words
     they need at least, and then take what else there is up to the next one.
     """
-    front = [t.front.get(w) for w in words]
+    front, back = banded(t, words, lowest, highest)
     if len(front) - front.count(None) < t.need:
         return []
-    back = [t.back.get(w) for w in words]
     cores, at = [], 0
     while (core := first_match(t, front, back, at, len(words))) is not None:
         # A stray word before it may have made it wide: the narrowest of those that overlap.
@@ -281,8 +312,8 @@ def _scan_rows(templates: dict[str, str], least: float):
             h = word_hashes(words)
             starts = np.r_[0, np.cumsum((words.data & 0xC0) != 0x80)]
             every = [Match(t, idx.templates[k], found, lo + first, lo + end)
-                     for t, k, lo, hi in zip(*(x.tolist() for x in regions(idx, h, words.ends)), strict=True)
-                     for found, first, end in matches(idx.templates[k], h[lo:hi].tolist())]
+                     for t, k, lo, hi, a, b in zip(*(x.tolist() for x in regions(idx, h, words.ends)), strict=True)
+                     for found, first, end in matches(idx.templates[k], h[lo:hi].tolist(), a - lo, b - lo)]
             rows = [(m.text, m.template.name, m.found, m.found / m.template.size,
                      int(starts[words.first[m.first]] - starts[words.places[m.text]]),
                      int(starts[words.last[m.end - 1]] - starts[words.places[m.text]]))
@@ -296,10 +327,11 @@ def _scan_rows(templates: dict[str, str], least: float):
     return run
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES,
-         least: float = LEAST_COVERAGE) -> DataFrame:
-    """doc_id, license, matched_words, coverage, start_char, end_char for every match."""
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST_COVERAGE,
+         published: frozenset[str] = PUBLISHED) -> DataFrame:
+    """doc_id, license, matched_words, coverage, start_char, end_char, published for every match."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         _scan_rows(templates, least), f"doc_id {kind}, license string, matched_words long, "
-                                      "coverage double, start_char long, end_char long")
+                                      "coverage double, start_char long, end_char long").withColumn(
+        "published", F.col("license").isin(sorted(published)))

@@ -3,9 +3,11 @@
 Notices of a family differ in a word or two (version, Lesser, Affero, BY / SA / ND), so every
 member has its own template and the scan reports the one that explains a place best. Whole texts
 lie in ``license_texts``. They are the published ones, but for the Affero license, which is
-version 3 of the General Public License with Affero's preamble and sections 13 and 14.
+version 3 of the General Public License with Affero's preamble and sections 13 and 14. All else was
+typed; ``published`` compares it with the published files.
 """
 
+import re
 from importlib import resources
 
 NOTICES = {
@@ -29,6 +31,9 @@ NOTICES = {
     "bsd-3-clause-notice": "Released under the BSD 3-Clause License.",
 }
 
+#: Files that are no published text, and words up to which a text may stand in a file by chance.
+PUT_TOGETHER, FEWEST_WORDS = ("agpl-3.0.txt",), 8
+
 #: Words of a notice that name nothing; all others must be there.
 GENERIC = frozenset("0 a all attribution by clause commons creative creativecommons distributed general "
                     "generic international is license licensed licenses org public released reserved "
@@ -224,6 +229,15 @@ def whole_texts() -> dict[str, str]:
         "apache-2.0-header-text": join("apache-2.0-header", "apache-2.0-header-warranty")}
 
 
+def published(texts: dict[str, str]) -> frozenset[str]:
+    """The names of texts whose words stand in a row in one of the published files."""
+    folder = resources.files("orderloom.llm") / "license_texts"
+    words = lambda text: f" {' '.join(re.findall('[a-z0-9]+', text.lower()))} "
+    files = [words(f.read_text("utf-8")) for f in folder.iterdir() if f.name not in PUT_TOGETHER]
+    return frozenset(n for n, t in texts.items() if len(words(t).split()) > FEWEST_WORDS
+                     and any(words(t) in f for f in files))
+
+
 def templates() -> tuple[dict[str, str], frozenset[str]]:
     """All texts by name, and the names of those that are notices."""
     (gnu_short, gnu_long), (cc_short, cc_long) = gnu(), creative_commons()

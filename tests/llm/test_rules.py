@@ -53,6 +53,14 @@ def test_repetition_shares():
                   for j in range(k)}
         assert got[f"repeated{k}"][1] == pytest.approx(
             sum(len(w[i]) for i in inside) / sum(map(len, w)))
+        seen, later = set(), set()
+        for i in range(len(w) - k + 1):
+            gram = tuple(w[i:i + k])
+            later |= {i + j for j in range(k)} if gram in seen else set()
+            seen.add(gram)
+        assert got[f"again{k}"][1] == pytest.approx(
+            sum(len(w[i]) for i in later) / sum(map(len, w)))
+        assert 0 < got[f"again{k}"][1] < got[f"repeated{k}"][1]
     assert got["line_share"][2] == 0.5 and got["n_dup_lines"].tolist() == [0, 0, 2]
 
 
@@ -64,6 +72,28 @@ def test_good_labels_are_kept_and_bad_ones_found(spark):
     assert got.where("not kept and quality = 1").count() == 0
 
 
+def test_limits_hold_on_labels_that_did_not_set_them(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = repetition.repetition(docs).join(labels, "doc_id").where("not base_failed")
+    n = got.agg(*(F.count_if(F.expr(f"quality = {q} and {x}")).alias(f"{x[:3]}{q}")
+                  for q in (0, 1) for x in ("kept", "not kept"))).first()
+    assert n.kep0 <= 0.01 * (n.kep0 + n.not0) and n.not1 <= 0.005 * (n.kep1 + n.not1)
+
+
+def test_limits_fall_with_the_length():
+    limits = list((repetition.TOP | repetition.AGAIN).values())
+    assert list(repetition.TOP.values()) == sorted(repetition.TOP.values(), reverse=True)
+    assert list(repetition.AGAIN.values()) == sorted(repetition.AGAIN.values(), reverse=True)
+    assert max(limits) <= 0.2
+    rng = random.Random(3)
+    # A tenth of the text comes again in one run, and a quarter.
+    some, more = prose(rng, 30), prose(rng, 80)
+    texts = [prose(rng, 240) + " " + some + " " + some, prose(rng, 180) + " " + more + " " + more]
+    found = repetition.measures(pa.RecordBatch.from_pydict({"text": texts}))
+    assert found["again10"][0] < 0.15 < found["again10"][1]
+
+
 def test_repetition_of_nothing(no_docs):
     assert repetition.repetition(no_docs).collect() == []
 
@@ -121,6 +151,34 @@ def test_notices_with_foreign_and_missing_runs_are_found():
                    *[(3, "mit-permission", size, 1.0)] * 2, (4, "mit-notice", 4, 0.8)]
 
 
+def test_the_band_loses_no_match():
+    # Texts with scattered, moved and repeated pieces of templates give what the whole table gives.
+    idx, rng = licenses.index(licenses.TEMPLATES), random.Random(12)
+    names = ["mit-permission", "isc-warranty", "gpl-3.0-header", "bsd-binary", "gpl-3.0-notice"]
+    wide, texts = 1 << 40, []
+    for _ in range(60):
+        w = licenses.TEMPLATES[rng.choice(names)].split()
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at + rng.choice([0, 0, 1, 3])] = [f"x{i}" for i in range(rng.choice([0, 1, 5]))]
+        texts.append(" ".join(prose(rng, 9).split() + w + prose(rng, 20).split() + w[:len(w) // 2]))
+    part = pa.RecordBatch.from_pydict({"text": texts})
+    words = licenses._words(part)
+    h, n = licenses.word_hashes(words), 0
+    for _, k, lo, hi, a, b in zip(*(x.tolist() for x in licenses.regions(idx, h, words.ends)), strict=True):
+        t, own = idx.templates[k], h[lo:hi].tolist()
+        got = licenses.matches(t, own, a - lo, b - lo)
+        assert got == licenses.matches(t, own, -wide, wide)
+        n += len(got)
+    assert n > 40
+
+
+def test_templates_name_their_origin():
+    got = licenses.PUBLISHED
+    assert {"gpl-3.0-text", "apache-2.0-text", "mpl-2.0-text", "apache-2.0-header"} <= got
+    assert not {"agpl-3.0-text", "mit-notice", "epl-2.0-header"} & got
+
+
 def test_close_licenses_are_told_apart():
     lgpl = ("This library is free software; you can redistribute it and/or modify it under the terms of "
             "the GNU Lesser General Public License as published by the Free Software Foundation; either "
@@ -248,6 +306,33 @@ def test_urls(spark):
     assert got[16][2] == "org/fr/" and got[17][2] == "net/"
 
 
+def test_listed_words_are_whole_parts_endings_and_labels(spark):
+    words = [*urlfilter.ENDINGS[::9], *urlfilter.PARTS[::6], *urlfilter.LABELS[::5], "page", "x"]
+    rng, urls = random.Random(6), ["http://x.y/loginov", "http://x.y/login.php", "http://x.y/login",
+                                   "http://x.y/a/login/b", "http://ads.x.y/", "http://x.ads.y/z",
+                                   "http://loads.x.y/", "http://x.ads", "http://x.zip", "http://x.y/a.zip",
+                                   "http://x.y/a.zip/b", "http://x.y/ads.z", "http://x.y/.zip", "http://x.y"]
+    for _ in range(400):
+        part = lambda: rng.choice(words) + rng.choice(["", "", "s"])
+        urls.append("http://" + ".".join(part() for _ in range(rng.randint(1, 3)))
+                    + "".join(rng.choice("/.-") + part() for _ in range(rng.randint(0, 4))))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urlfilter.judge(pages, rules=()).collect()}
+
+    def plain_verdict(url):
+        host, _, path = url.removeprefix("http://").partition("/")
+        parts = re.split("/", path) if path else []
+        labels = f"{host}{'/' if path else ''}".split("/")[0].split(".")
+        bad = any(p.split(".")[0] in urlfilter.PARTS for p in parts)
+        bad |= any(x in urlfilter.LABELS for x in labels[:-1])
+        bad |= "." in path and path.rsplit(".", 1)[1] in urlfilter.ENDINGS
+        return "block" if bad else "allow"
+
+    assert got == {i: plain_verdict(u) for i, u in enumerate(urls)}
+    assert [got[i] for i in range(4)] == ["allow", "block", "block", "block"]
+    assert urlfilter.Automaton(urlfilter.blocked_globs()).words > 20
+
+
 def test_no_urls(spark):
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
