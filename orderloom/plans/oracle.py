@@ -489,6 +489,7 @@ union all select branch, case seq when 0 then '__saudacao__' else codcli end, da
  from (select *, row_number() over (partition by order_no, sku order by {ORD}) rn from oi) where rn = 1""",
     "stream_daily_once": "select distinct branch, codcli, day from ev",
     "stream_daily_once_watermark": "select distinct branch, codcli, day from ev",
+    "stream_daily_once_timed": "select distinct branch, codcli, day from ev",
     "stream_daily_once_exact": "select distinct branch, codcli, day from ev",
     "stream_snapshot_reconcile": "select * from snap",
     "stream_order_stats": f"""select branch, count(*) orders, sum(total_cents)::bigint value_cents,

@@ -1148,6 +1148,21 @@ def stream_daily_once(t):
     return _daily_once(t, t.credit_events.where(odd), t.credit_events)
 
 
+@query
+def stream_daily_once_timed(t):
+    """With timers: the later half of the notices comes first, and all days are in the ledger."""
+    out, landed = new_folder(t.spark, "daily-once-timed"), new_folder(t.spark, "events-in")
+    events, checkpoint = t.credit_events, new_folder(t.spark, "checkpoint")
+    middle = events.agg(F.timestamp_micros(
+        ((F.unix_micros(F.min("ts")) + F.unix_micros(F.max("ts"))) / 2).cast("long")).alias("ts")).first().ts
+    for half in (events.where(F.col("ts") >= middle), events):
+        half.write.mode("append").parquet(landed)
+        once = streams.daily_once_timed(t.spark.readStream.schema(events.schema).parquet(landed), "20 years")
+        (once.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .format("parquet").start(out).awaitTermination())
+    return t.spark.read.schema(once.schema).parquet(out)
+
+
 @query
 def stream_daily_once_exact(t):
     return _daily_once(t, *_halves(t.credit_events, "ts"))
