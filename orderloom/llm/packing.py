@@ -10,7 +10,9 @@ a histogram of ``STEP``-wide length classes (rounded up), the only thing the pla
 
 The plan has a row per combination, whatever the number of documents. Pieces get a number
 within their length class in two levels (class and slice of a hash, then slices added up), so
-no class is sorted in one task, and find their sequence by binary search in the plan.
+no class is sorted in one task, and find their sequence by binary search in the plan. Equal
+pieces (of rows that repeat) are counted before they are numbered and told apart again in runs of
+``RUN``, so a row that is there very often is neither one group nor one task.
 
 Ids come from the tokenizer library, once per distinct pre-token of a task: texts are cut into
 pre-tokens on their bytes, told apart by two numbers (equal only for equal words or,
@@ -39,6 +41,7 @@ STEP = 8
 DEPTH = 3
 CLOSING = 1
 SLICES = 256
+RUN = 4096
 
 #: Texts of these characters only are cut here: white space that the library and Python agree
 #: on, printable ASCII, and letters from U+00C0 to U+024F (without the dotted capital I, whose
@@ -368,10 +371,15 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, step: int = STE
     starts = docs.sparkSession.createDataFrame(
         [(int(u), int(s), int(before[u, s])) for u, s in got[:, :2]] or [(0, 0, 0)],
         "_unit int, _slice int, _before long")
-    within = Window.partitionBy("_unit", "_slice").orderBy("doc_id", *own)
-    numbered = (rows.join(F.broadcast(starts), ["_unit", "_slice"])
-                .withColumn("_number", F.col("_before") + F.row_number().over(within) - 1)
-                .drop("_slice", "_before"))
+    equal = rows.groupBy("_unit", "_slice", "doc_id", *own).agg(F.count("*").alias("_n"))
+    earlier = (Window.partitionBy("_unit", "_slice").orderBy("doc_id", *own)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    first = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    numbered = (equal.join(F.broadcast(starts), ["_unit", "_slice"]).withColumn("_number", first)
+                .withColumn("_run", F.explode(F.expr(f"sequence(0L, _n - 1, {RUN}L)")))
+                .repartition("_unit", "_number", "_run")
+                .withColumn("_copy", F.explode(F.expr(f"sequence(_run, least(_run + {RUN}, _n) - 1)")))
+                .select("_unit", (F.col("_number") + F.col("_copy")).alias("_number"), *cut.columns))
     kind = cut.schema["doc_id"].dataType.simpleString()
     seated = numbered.mapInArrow(
         _seat_rows(runs), f"doc_id {kind}, start long, length long, ids_crc32 long, "

@@ -81,6 +81,20 @@ def test_pieces_cover_every_id_once(docs, window):
         assert (s.offset == s.length.cumsum() - s.length).all()
 
 
+def test_a_row_repeated_often_is_packed_in_runs(spark):
+    """9,000 equal rows are more than two runs; every copy has a place of its own."""
+    text = "one two three"
+    docs = spark.range(9_000).selectExpr("cast(null as long) doc_id", f"'{text}' text").unionAll(
+        spark.range(20).selectExpr("id doc_id", f"'{text} four' text"))
+    got = packing.pack(docs, CASELESS, window=64).toPandas()
+    assert len(got) == 9_020 and got.doc_id.isna().sum() == 9_000
+    assert sorted(got.doc_id.dropna().astype(int)) == list(range(20))
+    assert not got.duplicated(["sequence_id", "offset"]).any()
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert s.length.sum() <= 64
+        assert (s.offset == s.length.cumsum() - s.length).all()
+
+
 def test_packing_nothing(no_docs):
     assert packing.pack(no_docs, CASELESS).collect() == []
 
