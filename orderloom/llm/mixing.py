@@ -10,8 +10,12 @@ component is solved on its patterns alone, in a task of its own.
 
 Documents of a pattern are taken whole in the order of a seeded hash, every pass over all
 of them before the next; the last one taken of a pass is taken in part, so that the
-words taken equal the flow. Running sums are taken per slice of the hash, so no source is
-sorted in one task however large it is. Nothing depends on row order or partitions: reruns agree.
+words taken equal the flow. Only the place of that one is looked for: by sums per slice of the
+hash, then among the documents of one slice, equal ones counted as one. Every other document is
+taken or not by comparing its own place with it, so texts are read where they lie and none is
+shuffled or sorted. Rows of one place (equal ids and sizes) that a pass cuts apart are
+numbered by a distributed sort of their texts. Nothing depends on row order or partitions:
+reruns agree.
 
 Defined results: a null or empty text has size 0 and nothing is taken of it; the null source
 is one source, the last; sources without words have target 0; rows that repeat are separate
@@ -135,26 +139,58 @@ def mix(docs: DataFrame, sources: Column, weights: Sequence[float] = WEIGHTS,
     pattern = F.to_json(F.array_sort(F.array_distinct(sources)), {"ignoreNullFields": "false"})
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
                   .cast("binary"))
-    rows = (docs.withColumn("_size", size_of(F.col("text"))).withColumn("_pattern", pattern)
-            .withColumn("_order", order)
-            .withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS)))
+    dealt = (docs.withColumn("_pattern", pattern).withColumn("_order", order)
+             .withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS)))
+    rows = dealt.withColumn("_size", size_of(F.col("text")))
     sizes = rows.select("_size", "_pattern", "_slice").groupBy("_pattern", "_slice").agg(
         F.sum("_size").alias("_words"))
     scratch = Scratch(docs.select("doc_id"), "mixing")
     sizes = scratch.keep(sizes, "sizes")
-    plan = scratch.keep(_plan(sizes, scratch, weights, share, passes), "plan")
+    whole = F.when(F.col("_all") > 0, F.expr("_flow div _all")).otherwise(0)
+    plan = scratch.keep(_plan(sizes, scratch, weights, share, passes).withColumn("_whole", whole)
+                        .withColumn("_rest", F.col("_flow") - F.col("_whole") * F.col("_all")), "plan")
+    cuts = scratch.keep(_cuts(dealt, sizes, plan, scratch), "cuts")
+    placed = rows.join(cuts, "_pattern")
+    part = (F.when(_place() < F.col("_cut"), F.col("_size"))
+            .when(_place() == F.col("_cut"), F.least("_size", "_left")).otherwise(0))
+    out = [*docs.columns, "_size", "_source_size", "_target",
+           (F.col("_whole") * F.col("_size") + part).cast("long").alias("_taken")]
+    if cuts.where("_n > 1").isEmpty():
+        return placed.select(*out)
+    tied = F.coalesce((F.col("_n") > 1) & (_place() == F.col("_cut")), F.lit(False))
+    copies = scratch.keep(placed.where(tied).withColumn("_text", F.md5(F.col("text").cast("binary")))
+                          .withColumn("_copy", F.monotonically_increasing_id()), "tied")
+    numbered = positions(copies, ["_pattern", "_text", "_copy"], "_number")
+    first = numbered.groupBy("_pattern").agg(F.min("_number").alias("_first"))
+    left = F.col("_left") - (F.col("_number") - F.col("_first")) * F.col("_size")
+    numbered = numbered.join(first, "_pattern").withColumn("_left", F.greatest(F.lit(0), left))
+    return placed.where(~tied).select(*out).unionAll(numbered.select(*out))
+
+
+def _place() -> Column:
+    """Where a document stands in its pattern."""
+    return F.struct("_order", "doc_id", "_size")
+
+
+def _cuts(dealt: DataFrame, sizes: DataFrame, plan: DataFrame, scratch: Scratch) -> DataFrame:
+    """The plan with the place ``_cut`` at which the last pass over a pattern ends, the words
+    ``_left`` for it there, and the number ``_n`` of documents at that place."""
     before = F.coalesce(F.sum("_words").over(Window.partitionBy("_pattern").orderBy("_slice")
                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    slices = sizes.withColumn("_before", before).join(plan, "_pattern").drop("_words")
-    inside = Window.partitionBy("_pattern", "_slice").orderBy("_order", "doc_id", "_size")
-    placed = rows.join(slices, ["_pattern", "_slice"]).withColumn(
-        "_at", F.col("_before") + F.sum("_size").over(inside.rowsBetween(
-            Window.unboundedPreceding, 0)) - F.col("_size"))
-    whole = F.when(F.col("_all") > 0, F.expr("_flow div _all")).otherwise(0)
-    rest = F.col("_flow") - whole * F.col("_all")
-    part = F.least(F.col("_size"), F.greatest(F.lit(0).cast("long"), rest - F.col("_at")))
-    taken = (whole * F.col("_size") + part).cast("long").alias("_taken")
-    return placed.select(*docs.columns, "_size", "_source_size", "_target", taken)
+    last = scratch.keep(
+        sizes.withColumn("_before", before).join(plan.select("_pattern", "_rest"), "_pattern")
+        .where("_before <= _rest and _rest < _before + _words").drop("_words"), "last")
+    inside = (Window.partitionBy("_pattern").orderBy("_cut")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    words = F.col("_n") * F.col("_cut._size")
+    # Joined before sizes are needed, so that words are counted in one slice only.
+    found = (dealt.join(last, ["_pattern", "_slice"]).withColumn("_size", size_of(F.col("text")))
+             .select("_pattern", "_before", "_rest", _place().alias("_cut"))
+             .groupBy("_pattern", "_before", "_rest", "_cut").agg(F.count("*").alias("_n"))
+             .withColumn("_at", F.col("_before") + F.coalesce(F.sum(words).over(inside), F.lit(0)))
+             .where((F.col("_at") <= F.col("_rest")) & (F.col("_rest") < F.col("_at") + words))
+             .select("_pattern", "_cut", "_n", (F.col("_rest") - F.col("_at")).alias("_left")))
+    return plan.join(found, "_pattern", "left").drop("_flow", "_all", "_rest")
 
 
 def _solved(passes: int):

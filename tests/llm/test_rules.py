@@ -1,5 +1,6 @@
 """Quality rules, license scans, toxicity, URL rules, mixing and search."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -377,6 +378,29 @@ def test_mix_comes_near_its_targets(docs):
     assert plain(mixing.mixed_sizes(docs)) == plain(mixing.mixed_sizes(docs.repartition(5)))
 
 
+def test_mix_of_rows_with_one_place(spark):
+    """Two thirds of the rows share a null id: copies are cut apart by number, not in one window."""
+    rows = ([(None, f"a b {i % 7}", "x") for i in range(2000)] + [(i, "w " * (i % 9), "x") for i in range(600)]
+            + [(3, "one two three four", "y")] * 300 + [(i, "z " * (i % 5), "y") for i in range(100)]
+            + [(i, "v " * 6, "z") for i in range(2000)] + [(None, None, None)] * 5)
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    size = lambda t: len((t or "").split())
+    total = {s: sum(size(t) for _, t, x in rows if x == s) for s in ("x", "y", "z", None)}
+    aim, want = mixing.targets(total), []
+    for s, n in total.items():
+        mine = sorted(((hashlib.md5(f"17:{'' if i is None else i}".encode()).hexdigest(), i or 0, size(t), i)
+                       for i, t, x in rows if x == s), key=lambda r: r[:3])
+        full, rest, at = int(aim[s]) // n if n else 0, int(aim[s]) % n if n else 0, 0
+        for _, _, k, i in mine:
+            want.append((i, k, n, aim[s], full * k + min(k, max(0, rest - at))))
+            at += k
+    got = mixing.mixed_sizes(table)
+    assert plain(got) == sorted(want, key=repr)
+    taken = plain(mixing.mixed_documents(table))
+    assert taken == plain(mixing.mixed_documents(table.repartition(2)))
+    assert len(taken) == sum(round(w[4] / w[1]) if w[1] else 0 for w in want)
+
+
 def test_mix_of_nothing(no_docs):
     assert mixing.mixed_sizes(no_docs).collect() == []
     assert mixing.mixed_documents(no_docs).collect() == []
