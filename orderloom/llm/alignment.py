@@ -258,11 +258,19 @@ class _Block:
             names=["block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links", "pairs", "counts"])
 
 
+def _source(rows: pa.RecordBatch) -> int:
+    """The partition the rows were read from (``_part``), without that column the task's."""
+    at = rows.schema.get_field_index("_part")
+    return rows.column(at)[0].as_py() if at >= 0 else TaskContext.get().partitionId()
+
+
 def _block_rows(byte_vocabulary: str, piece_model: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, number = aligner(byte_vocabulary, piece_model), TaskContext.get().partitionId() << 32
-        block, kind = _Block(number), pa.null()
+        both, block, kind = aligner(byte_vocabulary, piece_model), None, pa.null()
         for part in slices(batches, size=500_000):
+            if block is None:
+                number = _source(part) << 32
+                block = _Block(number)
             ids, kind = column(part, "doc_id").to_pylist(), column(part, "doc_id").type
             for doc, found in zip(ids, both.texts(column(part, "text").to_pylist()), strict=True):
                 block.add(doc, found)
@@ -270,16 +278,20 @@ def _block_rows(byte_vocabulary: str, piece_model: str, most: int):
                     yield block.batch(kind)
                     number += 1
                     block = _Block(number)
-        if block.rows:
+        if block and block.rows:
             yield block.batch(kind)
     return run
 
 
 def blocks(docs: DataFrame, byte_vocabulary: str, piece_model: str, most: int = BLOCK_LINKS) -> DataFrame:
     """One row per text with its links as numbers of its block's pairs, and one per block
-    (``pairs`` is there) with these pairs and their counts."""
+    (``pairs`` is there) with these pairs and their counts.
+
+    Blocks are numbered within the partition they are read from. The task's own number would not do:
+    a task that reads several partitions, as below a ``coalesce``, runs this once for each.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text", F.spark_partition_id().alias("_part")).mapInArrow(
         _block_rows(byte_vocabulary, piece_model, most),
         f"block long, doc_id {kind}, {TEXTS}, links binary, pairs binary, counts binary")
 

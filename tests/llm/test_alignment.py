@@ -93,6 +93,12 @@ def test_documents_equal_the_plain_alignment(docs, libraries):
     assert plain(alignment.alignment(docs, BYTES, PIECES)) == want
 
 
+def test_more_partitions_than_tasks_change_nothing(spark, libraries):
+    rows = [(i, f"the {w} of {w}s, {w}") for i, w in enumerate(["cat", "dogma", "na\u00efve", "token", "x"] * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    assert plain(alignment.alignment(docs, BYTES, PIECES)) == plain_alignment(libraries, rows)
+
+
 def test_small_blocks_and_a_small_memory_change_nothing(docs, libraries, monkeypatch):
     want = plain_alignment(libraries, [r[:2] for r in document_rows()])
     own = alignment.Aligner(BYTES, PIECES)
