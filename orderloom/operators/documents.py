@@ -65,9 +65,11 @@ def document_lines(items: DataFrame, order: str = "ord") -> DataFrame:
     return numbered.select("order_no", "place", text.alias("text"))
 
 
-def write_documents(items: DataFrame, folder: str, order: str = "ord") -> None:
-    """One document per order, several per file, one behind the other."""
-    document_lines(items, order).select("text").write.mode("overwrite").text(folder)
+def write_documents(items: DataFrame, folder: str, order: str = "ord", compression: str = "none") -> None:
+    """One document per order, several per file, one behind the other. A compressed file is read by
+    one task, as it was written by one."""
+    (document_lines(items, order).select("text").write.mode("overwrite")
+     .option("compression", compression).text(folder))
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:

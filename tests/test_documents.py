@@ -22,6 +22,17 @@ def parsed(folder):
     return out
 
 
+def test_compressed_documents_are_small_and_read_the_same(spark, t, tmp_path):
+    items = t.items.where("cast(order_no as int) < 300")
+    sizes, found = [], []
+    for kind in ("none", "gzip"):
+        folder = tmp_path / kind
+        documents.write_documents(items, str(folder), compression=kind)
+        sizes.append(sum(f.stat().st_size for f in folder.glob("part-*")))
+        found.append(rows(documents.read_documents(spark, str(folder))))
+    assert found[0] == found[1] and 3 * sizes[1] < sizes[0]
+
+
 def test_documents_have_all_fields_and_items_in_order(spark, t, tmp_path):
     odd = spark.createDataFrame([("q\"uo]}te\n", 1, None), ("q\"uo]}te\n", 0, "]}\n")],
                                 "order_no string, n int, sku string")
