@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import column, kept, slices, texts_of
+from orderloom.llm.common import column, give_back, kept, slices, texts_of
 
 LIMIT = 512
 BLOCK_TEXTS = 16_384
@@ -101,6 +101,8 @@ def _distinct_rows(vocabulary: str, single: frozenset[str], most: int = BLOCK_WO
                 seen = set()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen - single), pa.string())],
                                          names=["pre_token"])
+        seen = None
+        give_back()
     return run
 
 
@@ -178,6 +180,8 @@ def _posting_rows(vocabulary: str, single: frozenset[str]):
                     block, number = _Block(), number + 1
         if block.head:
             yield block.batch(number, kind)
+        block = None
+        give_back()
     return run
 
 
@@ -194,6 +198,7 @@ def piece_counts(vocabulary: str):
         pieces = pieces_of(vocabulary)
         for words in batches:
             yield pd.Series(pieces.counts(list(words)), dtype="int32")
+        give_back()
     return run
 
 
