@@ -1,8 +1,8 @@
 """Search by an index of character grams.
 
 The index has a row (gram, order_no) for each distinct run of 1 to 3 characters in the searched
-fields of an order, stored in partitions by a hash of the gram, and a row per gram with its
-number of orders. A search looks up the few rarest grams of the needle, opens only their
+fields of an order's row, stored in partitions by a hash of the gram, and a row per gram with its
+number of rows. A search looks up the few rarest grams of the needle, opens only their
 partitions, intersects the orders and checks the needle itself on what is left, so it finds
 what a scan finds, for needles of any length.
 """
@@ -25,7 +25,8 @@ def _part(gram: Column, parts: int) -> Column:
 
 
 def grams(orders: DataFrame) -> DataFrame:
-    """(gram, order_no): the distinct grams of each order."""
+    """(gram, order_no): the distinct grams of each row. An order of several rows may have a gram
+    more than once; the look-up counts different grams, so no row is shuffled to drop these."""
     def of(text: Column, n: int) -> Column:
         last = F.length(text) - n + 1
         return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
@@ -33,7 +34,7 @@ def grams(orders: DataFrame) -> DataFrame:
 
     fields = [F.lower(F.coalesce(c, F.lit(""))) for c in SEARCHED]
     every = F.concat(*[of(f, n) for f in fields for n in range(1, LONGEST + 1)])
-    return orders.select(F.explode(F.array_distinct(every)).alias("gram"), "order_no").distinct()
+    return orders.select(F.explode(F.array_distinct(every)).alias("gram"), "order_no")
 
 
 def write_index(orders: DataFrame, folder: str, parts: int = PARTS) -> None:
@@ -60,7 +61,7 @@ def candidates(spark: SparkSession, folder: str, needle: str, parts: int = PARTS
     known = {r.gram: r.orders for r in _in_parts(counts, own, parts).collect()}
     rarest = sorted(own, key=lambda g: (known.get(g, 0), g))[:LOOKED_UP]
     index = spark.read.schema("gram string, order_no string, part int").parquet(f"{folder}/grams")
-    return (_in_parts(index, rarest, parts).groupBy("order_no").agg(F.count("*").alias("_n"))
+    return (_in_parts(index, rarest, parts).groupBy("order_no").agg(F.count_distinct("gram").alias("_n"))
             .where(F.col("_n") == len(rarest)).select("order_no"))
 
 

@@ -139,6 +139,17 @@ def test_indexed_search_equals_the_scan(spark, heads, tmp_path_factory, needle,
             dashboard.search_orders(heads, needle, branch).select("order_no"))
 
 
+def test_grams_are_not_shuffled_and_orders_of_several_rows_are_found(spark, heads, tmp_path):
+    plan = search.grams(heads.limit(5).localCheckpoint())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    some = heads.where("cast(order_no as int) < 200")
+    twice = some.unionByName(some).unionByName(some.withColumn("document", F.lit("CPF: 77")))
+    search.write_index(twice, str(tmp_path), parts=4)
+    for needle in ("cpf", "77", "cpf: 77", "customer"):
+        assert rows(search.search_indexed(twice, str(tmp_path), needle, parts=4)) == rows(
+            dashboard.search_orders(twice, needle))
+
+
 def test_a_search_opens_only_partitions_of_its_grams(spark, heads, tmp_path):
     search.write_index(heads, str(tmp_path), parts=32)
     found = search.candidates(spark, str(tmp_path), "cnpj: 0000", parts=32)
