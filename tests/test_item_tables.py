@@ -54,3 +54,15 @@ def test_items_of_made_orders(made):
         ("10", "50", "$10.00", "0", "five", "Cartão de Crédito na Entrega (Somente em 1x)", "$1,234,567.00"),
         ("2", "8", "$1.00", "1", None, None, None), ("2", "8", "$5.00", "5", None, None, None)]
     assert made.items.count() == 9
+
+
+def test_pages_are_gathered_where_the_join_has_their_lines(made):
+    plan = physical(made.detail_capture.select("order_no", "items"))
+    assert plan.index("SortMergeJoin") < plan.index("Exchange")
+
+
+def test_pages_hold_all_lines_in_order(made):
+    got = made.detail_capture.select("branch", "order_no", "items.sku", "items.quantity", "status")
+    assert rows(got) == [
+        ("south", "1", [None, "7", "7", "7", None], [None, "2", "2", "3", "4"], " A ser preparado"),
+        ("south", "3", ["9"], ["1"], " A ser preparado")]
