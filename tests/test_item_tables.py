@@ -66,3 +66,14 @@ def test_pages_hold_all_lines_in_order(made):
     assert rows(got) == [
         ("south", "1", [None, "7", "7", "7", None], [None, "2", "2", "3", "4"], " A ser preparado"),
         ("south", "3", ["9"], ["1"], " A ser preparado")]
+
+
+def test_stored_items_are_picked_where_the_join_has_them(made):
+    plan = physical(made.stored_items.select("order_no", "sku", "price"))
+    assert plan.index("SortMergeJoin") < plan.index("Exchange")
+
+
+def test_stored_items_are_the_first_per_order_and_product(made):
+    assert rows(made.stored_items.select("order_no", "sku", "quantity", "ord.l_linenumber")) == [
+        ("1", "", "", 1), ("1", "7", "2", 2), ("10", "50", "0", 1), ("2", "8", "1", None)]
+    assert set(made.stored_items.columns) == set(made.items.columns)
