@@ -1,12 +1,13 @@
 """The item tables: joins carry values, texts are made above them, no row is shuffled again to be picked."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from orderloom.plans.bindings import Tables
+from orderloom.plans.bindings import Tables, dotted
 
 
 @pytest.fixture
@@ -77,3 +78,21 @@ def test_stored_items_are_the_first_per_order_and_product(made):
     assert rows(made.stored_items.select("order_no", "sku", "quantity", "ord.l_linenumber")) == [
         ("1", "", "", 1), ("1", "7", "2", 2), ("10", "50", "0", 1), ("2", "8", "1", None)]
     assert set(made.stored_items.columns) == set(made.items.columns)
+
+
+def test_item_texts_are_compiled(spark, made):
+    """The virtual machine only interprets methods of 8,000 bytes or more."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = made.items._jdf.queryExecution()
+        text = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_dotted_numbers(spark):
+    cases = spark.createDataFrame([(12345678000195,), (42,), (-5,), (None,), (123456789012345,)], "n long")
+    assert [r[0] for r in cases.select(dotted(F.col("n"))).collect()] == [
+        "12.345.678/0001-95", "00.000.000/0000-42", "00.000.000/0000--5", None, "12.345.678/9012-34"]
