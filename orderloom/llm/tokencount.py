@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import column, give_back, kept, slices, texts_of
+from orderloom.llm.common import column, give_back, kept, kept_over_tasks, slices, texts_of
 
 LIMIT = 512
 BLOCK_TEXTS = 16_384
@@ -59,8 +59,15 @@ class Pieces:
 
     @cached_property
     def tokenizer(self):
+        return kept_over_tasks(("piece counts", self.vocabulary), self._load)
+
+    def _load(self):
+        """The library's tokenizer. Each pre-token is counted once, so its cache finds little;
+        the cache's memory, one for each thread, outlives the tokenizer."""
         from tokenizers import Tokenizer
-        return Tokenizer.from_file(self.vocabulary)
+        found = Tokenizer.from_file(self.vocabulary)
+        found.model._resize_cache(0)
+        return found
 
     def find(self, text: str) -> list[str]:
         if LATIN.fullmatch(text):

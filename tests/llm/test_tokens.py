@@ -1,8 +1,13 @@
 """Token counts and packing against the tokenizer library itself."""
 
+import os
+import random
+import string
+import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -52,6 +57,24 @@ def test_counts_of_nothing(no_docs):
     assert tokencount.token_counts(no_docs, BYTES).collect() == []
 
 
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="read from there")
+def test_workers_do_not_grow_with_the_tasks_that_count_pieces(spark):
+    def held(batches):
+        task = sum(batch.id.sum() for batch in batches)
+        rng = random.Random(int(task))
+        words = ["".join(rng.choices(string.ascii_lowercase, k=8)) for _ in range(30_000)]
+        tokencount.pieces_of(BYTES).counts(words)
+        del words
+        tokencount.give_back()
+        with open("/proc/self/smaps_rollup") as f:
+            kb = next(int(x.split()[1]) for x in f if x.startswith("Pss_Anon:"))
+        yield pd.DataFrame({"pid": [os.getpid()], "at": [time.time()], "mb": [kb / 1024]})
+
+    got = spark.range(0, 24, 1, 24).mapInPandas(held, "pid long, at double, mb double").toPandas()
+    steps = got.sort_values("at").groupby("pid").mb.diff().dropna()
+    assert len(steps) and steps.mean() < 4
+
+
 def test_large_frequencies_and_sums_in_parts():
     import pyarrow as pa
     block = tokencount._Block()
