@@ -33,8 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import (U64, Scratch, Words, column, kept, mix, slices, texts_of,
-                                  word_hash_pairs)
+from orderloom.llm.common import (U64, Scratch, Words, column, give_back, kept_over_tasks, mix, slices,
+                                  texts_of, word_hash_pairs)
 
 WINDOW = 2048
 STEP = 8
@@ -42,6 +42,8 @@ DEPTH = 3
 CLOSING = 1
 SLICES = 256
 RUN = 4096
+#: Bytes of text that a task cuts at once; the arrays for it take many times that.
+SLICE = 1_000_000
 
 #: Texts of these characters only are cut here: white space that the library and Python agree
 #: on, printable ASCII, and letters from U+00C0 to U+024F (without the dotted capital I, whose
@@ -52,7 +54,7 @@ _PLAIN = re.compile("[\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]*
 #: digits, which stand alone, and the rest.
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 _KIND = np.array([_SPACE if b == 0x20 or 0x09 <= b <= 0x0D else _DIGIT if 0x30 <= b <= 0x39
-                  else _LETTER if b >= 0x80 or chr(b).isalpha() else _OTHER for b in range(256)])
+                  else _LETTER if b >= 0x80 or chr(b).isalpha() else _OTHER for b in range(256)], np.int8)
 _APOSTROPHE = 0x27
 
 
@@ -106,21 +108,36 @@ def exact_pairs(words: Words) -> np.ndarray:
     return out
 
 
+def _whole_tokenizer(vocabulary: str):
+    """The library's tokenizer without its cache, whose memory, one for each thread, outlives it."""
+    from tokenizers import Tokenizer
+    found = Tokenizer.from_file(vocabulary)
+    found.model._resize_cache(0)
+    return found
+
+
+def _word_tokenizer(vocabulary: str):
+    """The library's model for words that are cut and lower-case already, and which ids end a
+    pre-token."""
+    from tokenizers import pre_tokenizers
+    words = _whole_tokenizer(vocabulary)
+    words.normalizer = None
+    words.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.WhitespaceSplit(),
+        pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    vocab = words.get_vocab(with_added_tokens=False)
+    final = np.zeros(max(vocab.values()) + 1, bool)
+    final[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+    return words, final
+
+
 class Ids:
     """Token ids of texts; ``most`` pre-tokens are remembered."""
 
     def __init__(self, vocabulary: str, most: int = 400_000):
-        from tokenizers import Tokenizer, pre_tokenizers
         self.vocabulary = vocabulary
-        # The library's model for words that are cut and lower-case already.
-        self.words = Tokenizer.from_file(vocabulary)
-        self.words.normalizer = None
-        self.words.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.words.get_vocab(with_added_tokens=False)
-        self.final = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a pre-token
-        self.final[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.words, self.final = kept_over_tasks(("packing, words", vocabulary),
+                                                 lambda: _word_tokenizer(vocabulary))
         self.most = most
         self._forget(np.zeros(0, U64))
 
@@ -139,8 +156,8 @@ class Ids:
     @cached_property
     def tokenizer(self):
         """The whole tokenizer, for texts and words that are not cut here."""
-        from tokenizers import Tokenizer
-        return Tokenizer.from_file(self.vocabulary)
+        return kept_over_tasks(("packing, whole", self.vocabulary),
+                               lambda: _whole_tokenizer(self.vocabulary))
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
@@ -213,8 +230,8 @@ def _piece_rows(vocabulary: str, window: int, closing: int):
     end = np.array([closing], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = kept(("ids", vocabulary), lambda: Ids(vocabulary))
-        for part in slices(batches, size=4_000_000):
+        ids_of = Ids(vocabulary)
+        for part in slices(batches, size=SLICE):
             owner, rows = [], []
             for i, ids in enumerate(ids_of(texts_of(part))):
                 ids += end
@@ -229,6 +246,8 @@ def _piece_rows(vocabulary: str, window: int, closing: int):
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                  pa.array(total, pa.int64())],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        ids_of = None
+        give_back()
     return run
 
 

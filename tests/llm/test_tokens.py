@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -118,6 +119,40 @@ def test_a_row_repeated_often_is_packed_in_runs(spark):
         assert (s.offset == s.length.cumsum() - s.length).all()
 
 
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="read from there")
+def test_workers_do_not_grow_with_the_tasks_that_pack(spark):
+    def held(batches):
+        task = sum(batch.id.sum() for batch in batches)
+        rng = random.Random(int(task))
+        letters = string.ascii_lowercase + "абвгде"
+        texts = [" ".join("".join(rng.choices(letters[:n], k=8)) for _ in range(200))
+                 for n in (26, 32) for _ in range(75)]
+        batch = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+        del texts
+        n = sum(out.num_rows for out in packing._piece_rows(CASELESS, 2048, 1)(iter([batch])))
+        with open("/proc/self/smaps_rollup") as f:
+            kb = next(int(x.split()[1]) for x in f if x.startswith("Pss_Anon:"))
+        yield pd.DataFrame({"pid": [os.getpid()], "at": [time.time()], "mb": [kb / 1024], "n": [n]})
+
+    got = spark.range(0, 24, 1, 24).mapInPandas(held, "pid long, at double, mb double, n long").toPandas()
+    steps = got.sort_values("at").groupby("pid").mb.diff().dropna()
+    assert (got.n >= 150).all() and len(steps) and steps.mean() < 3
+
+
+def test_a_task_cuts_a_bounded_amount_of_text_at_once(monkeypatch):
+    sizes, real = [], packing.Ids.__call__
+    monkeypatch.setattr(packing.Ids, "__call__",
+                        lambda self, texts: sizes.append(sum(map(len, texts))) or real(self, texts))
+    texts = [f"word{i} " * 10_000 for i in range(40)]
+    batch = pa.record_batch({"doc_id": pa.array(range(40)), "text": pa.array(texts)})
+    out = pa.Table.from_batches(packing._piece_rows(CASELESS, 2048, 1)(iter([batch])))
+    assert sum(sizes) == sum(map(len, texts)) and max(sizes) <= 1_000_000
+    library = Tokenizer.from_file(CASELESS)
+    want = [len(library.encode(x, add_special_tokens=False).ids) + 1 for x in texts]
+    assert out.group_by("doc_id").aggregate([("length", "sum")]).sort_by("doc_id")[
+        "length_sum"].to_pylist() == want
+
+
 def test_packing_nothing(no_docs):
     assert packing.pack(no_docs, CASELESS).collect() == []
 
