@@ -1,10 +1,11 @@
 """Search by an index of character grams.
 
-The index has a row (gram, order_no) for each distinct run of 1 to 3 characters in the searched
-fields of an order's row, stored in partitions by a hash of the gram, and a row per gram with its
-number of rows. A search looks up the few rarest grams of the needle, opens only their
-partitions, intersects the orders and checks the needle itself on what is left, so it finds
-what a scan finds, for needles of any length.
+The index has a row (gram, order_no) for each distinct run of 3 characters in the searched fields of an
+order's row, and for the 2 and the 1 at a field's end, so that a gram begins at every place. It is stored
+in partitions by a hash of the gram, with a row per gram and its number of rows. A search looks up the
+few rarest grams of the needle, or all that begin with a shorter one, opens only their partitions,
+intersects the orders and checks the needle itself on what is left, so it finds what a scan finds,
+for needles of any length.
 """
 
 from functools import reduce
@@ -27,13 +28,12 @@ def _part(gram: Column, parts: int) -> Column:
 def grams(orders: DataFrame) -> DataFrame:
     """(gram, order_no): the distinct grams of each row. An order of several rows may have a gram
     more than once; the look-up counts different grams, so no row is shuffled to drop these."""
-    def of(text: Column, n: int) -> Column:
-        last = F.length(text) - n + 1
-        return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                                            lambda i: F.substr(text, i, F.lit(n)))).otherwise(F.array())
+    def of(text: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+        return F.when(F.length(text) > 0, F.transform(places, lambda i: F.substr(text, i, F.lit(LONGEST)))).otherwise(
+            F.array())
 
-    fields = [F.lower(F.coalesce(c, F.lit(""))) for c in SEARCHED]
-    every = F.concat(*[of(f, n) for f in fields for n in range(1, LONGEST + 1)])
+    every = F.concat(*[of(F.lower(F.coalesce(c, F.lit("")))) for c in SEARCHED])
     return orders.select(F.explode(F.array_distinct(every)).alias("gram"), "order_no")
 
 
@@ -55,12 +55,17 @@ def _in_parts(df: DataFrame, wanted: list[str], parts: int) -> DataFrame:
 
 def candidates(spark: SparkSession, folder: str, needle: str, parts: int = PARTS) -> DataFrame:
     """Numbers of the orders that have the rarest grams of a needle, which is not empty."""
-    own = sorted({needle[i:i + LONGEST] for i in range(max(1, len(needle) - LONGEST + 1))})
     counts = spark.read.schema("gram string, orders long, part int").parquet(f"{folder}/counts")
+    index = spark.read.schema("gram string, order_no string, part int").parquet(f"{folder}/grams")
+    if len(needle) < LONGEST:
+        begins = F.startswith("gram", F.lit(needle))
+        # At most as many rows as there are partitions.
+        held = [r.part for r in counts.where(begins).select("part").distinct().collect()]
+        return index.where(F.col("part").isin(held) & begins).select("order_no").distinct()
+    own = sorted({needle[i:i + LONGEST] for i in range(len(needle) - LONGEST + 1)})
     # One row per gram of the needle.
     known = {r.gram: r.orders for r in _in_parts(counts, own, parts).collect()}
     rarest = sorted(own, key=lambda g: (known.get(g, 0), g))[:LOOKED_UP]
-    index = spark.read.schema("gram string, order_no string, part int").parquet(f"{folder}/grams")
     return (_in_parts(index, rarest, parts).groupBy("order_no").agg(F.count_distinct("gram").alias("_n"))
             .where(F.col("_n") == len(rarest)).select("order_no"))
 
